@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 FIELD_SEP = "\u001f"
-NULL_MARK = "\u0000"
+NULL_MARK = "\\N"
 
 
 def _canonical(c: Column, dtype: T.DataType) -> Column:

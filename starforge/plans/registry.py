@@ -186,3 +186,334 @@ def q_lineage_log(spark, d):
 def flagship(spark, d):
     """C8 + A6: star from orders/customer, month x customer cube."""
     return q_cuboid_month_dim(spark, d)
+
+
+# =====================================================================  cleaning (P1-P8) and typing
+def _dirty(spark, d):
+    return clean.normalize_names(FX.dirty_orders(spark, d))
+
+
+def _dirty_clean(spark, d):
+    return clean.clean(FX.dirty_orders(spark, d), csv_like=True)
+
+
+@register("normalize_names", f"""
+WITH p AS (SELECT p_partkey, CASE WHEN p_partkey % 97 = 0 THEN ' -- ' ELSE '  ' || upper(p_name) || ' (' || p_type || ')-' || p_brand || '#' END AS label FROM part)
+SELECT p_partkey, label, {S.normalize_sql('label')} AS normalized FROM p""")
+def q_normalize_names(spark, d):
+    p = FX.table(spark, d, "part")
+    label = F.when(F.col("p_partkey") % 97 == 0, F.lit(" -- ")).otherwise(
+        F.concat(F.lit("  "), F.upper("p_name"), F.lit(" ("), F.col("p_type"), F.lit(")-"), F.col("p_brand"), F.lit("#")))
+    return p.select("p_partkey", label.alias("label")).withColumn("normalized", normalize_name_col(F.col("label")))
+
+
+def _dirty_sql(tail: str) -> str:
+    return "WITH " + FX.dirty_orders_sql().strip() + "\n" + tail
+
+
+@register("trim_strings", _dirty_sql("SELECT " + ", ".join(FX._trim_sql(c) for c in FX.DIRTY_NORMALIZED)
+                                     + " FROM dirty_norm"))
+def q_trim_strings(spark, d):
+    return clean.trim_strings(_dirty(spark, d))
+
+
+@register("na_tokens", _dirty_sql("SELECT order_no, order_total, is_urgent FROM dirty_na"))
+def q_na_tokens(spark, d):
+    return clean.na_tokens(_dirty(spark, d)).select("order_no", "order_total", "is_urgent")
+
+
+@register("drop_empty_rows", _dirty_sql("SELECT * FROM dirty_nonempty"))
+def q_drop_empty_rows(spark, d):
+    return _dirty(spark, d).transform(clean.na_tokens).transform(clean.trim_strings).transform(clean.drop_empty_rows)
+
+
+@register("dedup_rows", _dirty_sql("""
+SELECT 'dirty_orders' AS source, (SELECT count(*) FROM dirty_nonempty) AS rows_in,
+       (SELECT count(*) FROM dirty_clean) AS rows_out,
+       (SELECT count(*) FROM dirty_nonempty) - (SELECT count(*) FROM dirty_clean) AS removed
+UNION ALL
+SELECT 'documents', (SELECT count(*) FROM documents),
+       (SELECT count(*) FROM (SELECT DISTINCT lang, source, text FROM documents)),
+       (SELECT count(*) FROM documents) - (SELECT count(*) FROM (SELECT DISTINCT lang, source, text FROM documents))"""))
+def q_dedup_rows(spark, d):
+    dirty = _dirty(spark, d).transform(clean.na_tokens).transform(clean.trim_strings).transform(clean.drop_empty_rows)
+    docs = FX.table(spark, d, "documents").select("lang", "source", "text")
+
+    def counts(name, df):
+        before = df.agg(F.count(F.lit(1)).alias("rows_in"))
+        after = clean.dedup_rows(df).agg(F.count(F.lit(1)).alias("rows_out"))
+        # both sides are single-row aggregates: a key-less one-row join
+        return (before.withColumn("__k", F.lit(1)).join(after.withColumn("__k", F.lit(1)), "__k")
+                .select(F.lit(name).alias("source"), "rows_in", "rows_out",
+                        (F.col("rows_in") - F.col("rows_out")).alias("removed")))
+    return counts("dirty_orders", dirty).unionByName(counts("documents", docs))
+
+
+CLEAN_ORDERS_SELECT = (
+    f"{S.int_sql('order_no')} AS order_no, {S.int_sql('cust_id')} AS cust_id, order_status, order_priority, "
+    f"{S.num_sql('order_total')} AS order_total, {S.parse_dt_sql('trim(order_dt)')} AS order_dt, "
+    f"{S.bool_sql('is_urgent', FX.cfg())} AS is_urgent, notes")
+
+
+@register("clean_orders", _dirty_sql(f"SELECT {CLEAN_ORDERS_SELECT} FROM dirty_clean"))
+def q_clean_orders(spark, d):
+    typed, _ = infer.infer_and_cast(_dirty_clean(spark, d), cfg=FX.cfg())
+    return typed
+
+
+@register("cast_numeric", _dirty_sql(f"SELECT order_no, {S.num_sql('order_total')} AS amount FROM dirty_clean"))
+def q_cast_numeric(spark, d):
+    df = _dirty_clean(spark, d)
+    return df.select("order_no", infer.numeric_value(F.col("order_total")).alias("amount"))
+
+
+@register("cast_datetime", _dirty_sql(f"SELECT order_no, {S.parse_dt_sql('trim(order_dt)')} AS order_date FROM dirty_clean"))
+def q_cast_datetime(spark, d):
+    df = _dirty_clean(spark, d)
+    return df.select("order_no", D.parse_datetime(F.trim(F.col("order_dt"))).alias("order_date"))
+
+
+@register("cast_boolean", f"""
+SELECT doc_id, {S.bool_sql('CAST(quality AS VARCHAR)', FX.cfg())} AS quality,
+       {S.bool_sql('CAST(toxic AS VARCHAR)', FX.cfg())} AS toxic FROM labels""")
+def q_cast_boolean(spark, d):
+    lab = FX.table(spark, d, "labels")
+    decided = infer.labels(lab, ["quality", "toxic"], FX.cfg())
+    return infer.cast(lab, decided, FX.cfg())
+
+
+def _stats_sql(source: str, frm: str, cols: list[str]) -> list[str]:
+    cfg = FX.cfg()
+    vocab = ", ".join(S.q(v.lower()) for v in cfg.true_values + cfg.false_values)
+    out = []
+    for i, c in enumerate(cols):
+        t = f"trim(CAST({c} AS VARCHAR))"
+        out.append(
+            f"SELECT {S.q(source)} AS source, {S.q(c)} AS \"column\", {i} AS position, count({c}) AS nonnull, "
+            f"count(CASE WHEN lower({t}) IN ({vocab}) THEN 1 END) AS bool_hits, "
+            f"count(CASE WHEN regexp_matches({t}, {S.q(infer.NUMBER_PATTERN)}) THEN 1 END) AS num_hits, "
+            f"count(CASE WHEN regexp_matches({t}, {S.q(infer.INTEGER_PATTERN)}) THEN 1 END) AS int_hits, "
+            f"count({S.parse_dt_sql(t)}) AS dt_hits FROM {frm}")
+    return out
+
+
+INFER_SOURCES = [("dirty_orders", FX.DIRTY_NORMALIZED), ("labels", ["doc_id", "quality", "toxic"]),
+                 ("events", ["event_id", "ts", "user_id", "event_type", "value", "props"])]
+
+
+@register("infer_types", _dirty_sql("""
+, st AS (
+  """ + "\n  UNION ALL ".join(
+    _stats_sql("dirty_orders", "dirty_clean", FX.DIRTY_NORMALIZED)
+    + _stats_sql("labels", "labels", ["doc_id", "quality", "toxic"])
+    + _stats_sql("events", "events", ["event_id", "ts", "user_id", "event_type", "value", "props"])) + f"""
+)
+SELECT source, "column", position, nonnull, bool_hits, num_hits, int_hits, dt_hits,
+  CASE WHEN nonnull = 0 THEN 'empty' WHEN bool_hits / nonnull >= {C.BOOL_THRESHOLD} THEN 'boolean'
+       WHEN num_hits / nonnull >= {C.NUMERIC_THRESHOLD} THEN 'numeric'
+       WHEN dt_hits / nonnull >= {C.DATETIME_THRESHOLD} THEN 'datetime' ELSE 'string' END AS label
+FROM st"""))
+def q_infer_types(spark, d):
+    srcs = {"dirty_orders": _dirty_clean(spark, d), "labels": FX.table(spark, d, "labels"),
+            "events": FX.table(spark, d, "events")}
+    out = None
+    for name, cols in INFER_SOURCES:
+        st = infer.decide(infer.column_stats(srcs[name], cols, FX.cfg())).select(
+            F.lit(name).alias("source"), "column", "position", "nonnull", "bool_hits", "num_hits", "int_hits",
+            "dt_hits", "label")
+        out = st if out is None else out.unionByName(st)
+    return out
+
+
+LINEAGE_PATH = "tpch/orders.parquet"
+
+
+@register("lineage_cols", f"""
+SELECT o.*, {S.q(LINEAGE_PATH)} AS _bronze_path, 'tpch' AS _domain, 'orders' AS _entity, '.parquet' AS _format,
+       sha256({S.q(LINEAGE_PATH)}) AS _file_checksum, {S.q(FX.PROCESSED_AT)} AS _processed_at,
+       {S.q(FX.RUN_ID)} AS _pipeline_run_id,
+       sha256(concat_ws(chr(31), 'i:' || CAST(o_orderkey AS VARCHAR), 'i:' || CAST(o_custkey AS VARCHAR),
+              's:' || o_orderstatus, 'f:' || CAST(o_totalprice AS VARCHAR),
+              't:' || strftime(o_orderdate, '%Y-%m-%d %H:%M:%S.%f'), 's:' || o_orderpriority)) AS _row_checksum,
+       FALSE AS _needs_review
+FROM orders o""")
+def q_lineage_cols(spark, d):
+    from starforge.operators.lineage import add_lineage
+    o = FX.table(spark, d, "orders").withColumn("_bronze_path", F.lit(LINEAGE_PATH))
+    cat = CAT.with_domain_entity(spark.createDataFrame([(LINEAGE_PATH,)], "path string")).withColumn(
+        "checksum", F.sha2(F.col("path"), 256))
+    return add_lineage(o, cat, FX.RUN_ID, FX.PROCESSED_AT)
+
+
+@register("row_checksum", """
+SELECT c_custkey, sha256(concat_ws(chr(31), coalesce('i:' || CAST(c_custkey AS VARCHAR), '\\N'),
+       coalesce('s:' || c_name, '\\N'), coalesce('i:' || CAST(c_nationkey AS VARCHAR), '\\N'),
+       coalesce('f:' || CAST(c_acctbal AS VARCHAR), '\\N'), coalesce('s:' || c_mktsegment, '\\N'))) AS checksum
+FROM customer""")
+def q_row_checksum(spark, d):
+    c = FX.table(spark, d, "customer")
+    return c.select("c_custkey", row_checksum(c).alias("checksum"))
+
+
+# =====================================================================  harmonisation (H1-H9, P9) and profile (Q1-Q5)
+def _resolved(spark, d):
+    return harmonize.resolve(FX.col_catalog(spark, d), FX.cfg(), FX.memory_df(spark))
+
+
+H_SQL = S.harmonize_sql()
+
+
+@register("harmonize", with_ctes(H_SQL) + """
+SELECT domain, entity, raw_column, position, mapped, method, needs_review, final_column FROM resolved""")
+def q_harmonize(spark, d):
+    return _resolved(spark, d).select("domain", "entity", "raw_column", "position", "mapped", "method",
+                                      "needs_review", "final_column")
+
+
+@register("needs_review", with_ctes(H_SQL) + """
+SELECT domain, entity, bool_or(needs_review) OR domain = 'unknown' AS needs_review FROM resolved GROUP BY domain, entity""")
+def q_needs_review(spark, d):
+    from starforge.operators.lineage import file_needs_review
+    r = file_needs_review(_resolved(spark, d))
+    return r.select("domain", "entity", (F.col("needs_review") | (F.col("domain") == "unknown")).alias("needs_review"))
+
+
+UPSERT_SQL = f"""
+touched AS (SELECT DISTINCT domain, entity, raw_norm AS raw_column, first(mapped) OVER w AS n_mapped, first(method) OVER w AS n_method
+            FROM resolved WHERE method <> 'memory'
+            WINDOW w AS (PARTITION BY domain, entity, raw_norm ORDER BY position)),
+upserted AS (
+  SELECT coalesce(m.domain, t.domain) AS domain, coalesce(m.entity, t.entity) AS entity,
+         coalesce(m.raw_column, t.raw_column) AS raw_column,
+         CASE WHEN m.method IS NOT NULL THEN m.mapped_column ELSE t.n_mapped END AS mapped_column,
+         CASE WHEN m.method IS NOT NULL THEN m.method ELSE t.n_method END AS method,
+         CASE WHEN m.method IS NOT NULL THEN m.approved ELSE t.n_method IN ({", ".join(S.q(x) for x in C.AUTO_APPROVED_METHODS)}) END AS approved,
+         CASE WHEN m.method IS NOT NULL THEN m.first_seen ELSE TIMESTAMP '{FX.CLOCK_1}' END AS first_seen,
+         CASE WHEN t.n_method IS NOT NULL THEN TIMESTAMP '{FX.CLOCK_1}' ELSE m.last_seen END AS last_seen
+  FROM memory m FULL OUTER JOIN touched t
+    ON m.domain = t.domain AND m.entity = t.entity AND m.raw_column = t.raw_column
+)"""
+
+
+def _upserted(spark, d):
+    return harmonize.upsert_memory(FX.memory_df(spark), _resolved(spark, d), F.to_timestamp(F.lit(FX.CLOCK_1)))
+
+
+@register("mapping_upsert", with_ctes(H_SQL, UPSERT_SQL) + "SELECT * FROM upserted")
+def q_mapping_upsert(spark, d):
+    return _upserted(spark, d)
+
+
+@register("pending_review", with_ctes(H_SQL, UPSERT_SQL) + """
+SELECT domain, entity, count(*) AS pending FROM upserted WHERE NOT approved GROUP BY domain, entity""")
+def q_pending_review(spark, d):
+    return harmonize.pending_review(_upserted(spark, d))
+
+
+@register("range_guess", with_ctes(H_SQL) + """
+SELECT raw_column, n_rows, num_values, range_mapped AS guess FROM resolved WHERE entity = 'export'""")
+def q_range_guess(spark, d):
+    r = _resolved(spark, d).where(F.col("entity") == "export")
+    return r.select("raw_column", "n_rows", "num_values", F.col("range_mapped").alias("guess"))
+
+
+@register("dup_suffix", with_ctes(H_SQL) + """
+SELECT domain, entity, raw_column, mapped, final_column FROM resolved WHERE mapped IN (
+  SELECT mapped FROM resolved r2 WHERE r2.domain = resolved.domain AND r2.entity = resolved.entity
+  GROUP BY mapped HAVING count(*) > 1)""")
+def q_dup_suffix(spark, d):
+    r = _resolved(spark, d)
+    multi = (r.groupBy("domain", "entity", "mapped").agg(F.count(F.lit(1)).alias("n"))
+             .where(F.col("n") > 1).drop("n"))
+    return r.join(multi, ["domain", "entity", "mapped"], "left_semi").select(
+        "domain", "entity", "raw_column", "mapped", "final_column")
+
+
+@register("schema_drift", with_ctes(H_SQL) + """
+, p AS (SELECT final_column AS "column" FROM resolved WHERE entity = 'customer'),
+c AS (SELECT final_column AS "column" FROM resolved WHERE entity = 'supplier')
+SELECT "column", 'added' AS change FROM c WHERE "column" NOT IN (SELECT "column" FROM p)
+UNION ALL
+SELECT "column", 'removed' FROM p WHERE "column" NOT IN (SELECT "column" FROM c)""")
+def q_schema_drift(spark, d):
+    r = _resolved(spark, d).select("entity", F.col("final_column").alias("column"))
+    return profile.drift(r.where(F.col("entity") == "customer"), r.where(F.col("entity") == "supplier"))
+
+
+def _classify_input(spark, d):
+    r = _resolved(spark, d)
+    return r.select("domain", "entity", F.col("final_column").alias("column"), "position", "type_class",
+                    F.lit(True).alias("null_free"))
+
+
+CLASSIFY_SQL = """
+cls AS (
+  SELECT domain, entity,
+         count(CASE WHEN ends_with(final_column, '_id') THEN 1 END) AS n_id,
+         count(CASE WHEN type_class = 'numeric' AND NOT ends_with(final_column, '_id') THEN 1 END) AS n_measure,
+         count(CASE WHEN type_class = 'datetime' THEN 1 END) AS n_date
+  FROM resolved GROUP BY domain, entity
+),
+cls2 AS (
+  SELECT *, CASE WHEN n_id >= 2 OR n_measure >= 1 OR n_date >= 2 THEN 'fact' ELSE 'dimension' END AS heuristic FROM cls
+)"""
+
+
+def _overrides_sql() -> str:
+    return S.values(FX.cfg().override_rows(), ["domain", "entity", "forced"])
+
+
+@register("classify", with_ctes(H_SQL, CLASSIFY_SQL) + "SELECT domain, entity, n_id, n_measure, n_date, heuristic AS class FROM cls2")
+def q_classify(spark, d):
+    c = star.classify(_classify_input(spark, d))
+    return c.select("domain", "entity", "n_id", "n_measure", "n_date", "class")
+
+
+@register("classify_override", with_ctes(H_SQL, CLASSIFY_SQL) + f"""
+SELECT c.domain, c.entity, coalesce(o.forced, c.heuristic) AS class, o.forced IS NOT NULL AS overridden
+FROM cls2 c LEFT JOIN (SELECT * FROM {_overrides_sql()} WHERE forced IN ('dimension', 'fact')) o
+  ON c.domain = o.domain AND c.entity = o.entity""")
+def q_classify_override(spark, d):
+    c = star.classify(_classify_input(spark, d), FX.cfg().override_df(spark))
+    return c.select("domain", "entity", "class", "overridden")
+
+
+HOLEY_COLS = ["order_id", "customer_id", "o_orderstatus", "amount", "order_date", "o_orderpriority"]
+LINEITEM_COLS = [n for n, _ in FX.DRIVER_SCHEMAS["lineitem"]]
+
+
+def _nulls_sql(table: str, frm: str, cols: list[str]) -> list[str]:
+    return [f"SELECT {S.q(table)} AS \"table\", {S.q(c)} AS \"column\", {i} AS position, count(*) AS rows, "
+            f"count(*) - count({c}) AS nulls, round(100.0 * (count(*) - count({c})) / count(*), 2) AS null_pct FROM {frm}"
+            for i, c in enumerate(cols)]
+
+
+PROFILE_SQL = "prof AS (\n  " + "\n  UNION ALL ".join(
+    _nulls_sql("holey_orders", "holey_orders", HOLEY_COLS) + _nulls_sql("lineitem", "lineitem", LINEITEM_COLS)) + "\n)"
+
+
+def _profile(spark, d):
+    h = profile.null_profile(FX.holey_orders(spark, d), HOLEY_COLS).withColumn("table", F.lit("holey_orders"))
+    li = profile.null_profile(FX.table(spark, d, "lineitem")).withColumn("table", F.lit("lineitem"))
+    return h.unionByName(li).select("table", "column", "position", "rows", "nulls", "null_pct")
+
+
+@register("profile_nulls", with_ctes(FX.HOLEY_ORDERS_SQL, PROFILE_SQL) + "SELECT * FROM prof")
+def q_profile_nulls(spark, d):
+    return _profile(spark, d)
+
+
+@register("completeness", with_ctes(FX.HOLEY_ORDERS_SQL, PROFILE_SQL)
+          + "SELECT \"table\", round(100 - avg(null_pct), 2) AS completeness FROM prof GROUP BY \"table\"")
+def q_completeness(spark, d):
+    return profile.completeness(_profile(spark, d), ["table"])
+
+
+@register("sample_values", with_ctes(FX.HOLEY_ORDERS_SQL) + """
+, long AS (""" + "\n  UNION ALL ".join(
+    f"SELECT {S.q(c)} AS \"column\", order_id AS ord, CAST({c} AS VARCHAR) AS value FROM holey_orders WHERE {c} IS NOT NULL"
+    for c in HOLEY_COLS) + """)
+SELECT "column", CAST(rank AS INTEGER) AS rank, value FROM (
+  SELECT *, row_number() OVER (PARTITION BY "column" ORDER BY ord) AS rank FROM long) WHERE rank <= 3""")
+def q_sample_values(spark, d):
+    return profile.sample_values(FX.holey_orders(spark, d).select(*HOLEY_COLS), ["order_id"], 3, HOLEY_COLS)

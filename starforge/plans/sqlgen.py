@@ -90,9 +90,9 @@ def harmonize_sql() -> str:
     cfg = FX.cfg()
     alias = values(cfg.alias_rows(), ["domain", "entity", "canonical", "canon_order", "alias_norm"])
     name_case = " ".join(
-        f"WHEN instr(raw_norm, {q(k)}) > 0 THEN {q(v) if v is not None else 'CAST(NULL AS VARCHAR)'}"
+        f"WHEN instr(c.raw_norm, {q(k)}) > 0 THEN {q(v) if v is not None else 'CAST(NULL AS VARCHAR)'}"
         for k, v in cfg.name_rules)
-    range_case = " ".join(f"WHEN r{j} / num_values > 0.9 THEN {q(m)}" for j, (_, _, m) in enumerate(cfg.range_rules))
+    range_case = " ".join(f"WHEN c.r{j} / c.num_values > 0.9 THEN {q(m)}" for j, (_, _, m) in enumerate(cfg.range_rules))
     review = ", ".join(q(m) for m in C.NEEDS_REVIEW_METHODS)
     return f"""{catalog_sql()},
 {memory_sql()},

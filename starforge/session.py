@@ -36,7 +36,7 @@ def get_session(master: str | None = None, app_name: str = "starforge",
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    conf = {**REQUIRED_CONF, **SCALE_CONF, "spark.ui.enabled": "false"}
+    conf = {**REQUIRED_CONF, **SCALE_CONF, "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"}
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
