@@ -5,14 +5,15 @@
 
 1. range-partition on the order columns and sort within partitions
    (one shuffle; no single-partition window);
-2. ``monotonically_increasing_id`` then encodes (partition, position);
-3. per-partition counts (one row per partition - bounded by the partition
+2. ``checkpoint`` that layout to the shared checkpoint folder: the count
+   branch and the numbering branch below must see the *same* partitions in
+   the same order. Without it each branch may plan its own range exchange
+   (column pruning makes them differ) with its own sampled bounds, and a
+   task recomputed after an executor loss could see other rows;
+3. ``monotonically_increasing_id`` then encodes (partition, position);
+4. per-partition counts (one row per partition - bounded by the partition
    count, so broadcasting them is safe) give running offsets;
-4. id = start + offset(partition) + position.
-
-Both branches read the same range exchange, so Spark reuses it. With a unique
-ordering the result is deterministic, also when tasks are recomputed after an
-executor loss.
+5. id = start + offset(partition) + position.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starforge.session import shuffle_partitions
+from starforge.session import ensure_checkpoint_dir, shuffle_partitions
 
 _PID_SHIFT = 33  # monotonically_increasing_id = partition << 33 | row position
 
@@ -28,9 +29,9 @@ _PID_SHIFT = 33  # monotonically_increasing_id = partition << 33 | row position
 def dense_ids(df: DataFrame, order_cols: list[str | Column], id_col: str,
               start: int | Column = 1, num_partitions: int | None = None) -> DataFrame:
     n = num_partitions or shuffle_partitions(df.sparkSession)
-    ranged = (df.repartitionByRange(n, *order_cols)
-              .sortWithinPartitions(*order_cols)
-              .withColumn("__mid", F.monotonically_increasing_id()))
+    ensure_checkpoint_dir(df.sparkSession)
+    laid_out = df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols).checkpoint(eager=True)
+    ranged = laid_out.withColumn("__mid", F.monotonically_increasing_id())
     tagged = (ranged.withColumn("__pid", F.shiftright("__mid", _PID_SHIFT))
               .withColumn("__pos", F.col("__mid") - F.shiftleft(F.col("__pid"), _PID_SHIFT)))
     counts = tagged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))

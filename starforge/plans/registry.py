@@ -517,3 +517,202 @@ SELECT "column", CAST(rank AS INTEGER) AS rank, value FROM (
   SELECT *, row_number() OVER (PARTITION BY "column" ORDER BY ord) AS rank FROM long) WHERE rank <= 3""")
 def q_sample_values(spark, d):
     return profile.sample_values(FX.holey_orders(spark, d).select(*HOLEY_COLS), ["order_id"], 3, HOLEY_COLS)
+
+
+# =====================================================================  star schema
+def rounded(df: DataFrame) -> DataFrame:
+    """Float aggregates rounded for comparison: sums to 2, means to 4 decimals."""
+    return df.select(*[r2(F.col(c)).alias(c) if c.endswith("_sum") or c == "sum"
+                       else r4(F.col(c)).alias(c) if c.endswith("_mean") or c == "mean"
+                       else F.col(c) for c in df.columns])
+
+
+def rounded_sql(cols: list[tuple[str, str]]) -> str:
+    out = []
+    for expr, name in cols:
+        if name.endswith("_sum") or name == "sum":
+            out.append(f"round(CAST({expr} AS DOUBLE), 2) AS {name}")
+        elif name.endswith("_mean") or name == "mean":
+            out.append(f"round(CAST({expr} AS DOUBLE), 4) AS {name}")
+        else:
+            out.append(f"{expr} AS {name}")
+    return ", ".join(out)
+
+
+def _dim_customer(spark, d):
+    dim, nat = star.dimension(FX.customer_dim_input(spark, d), "customer_id", order_cols=["customer_id"])
+    return dense_ids(dim, [nat], "customer_key")
+
+
+def _fact_orders(spark, d):
+    return star.fact(FX.holey_orders(spark, d), "orders", {"customer": (_dim_customer(spark, d), "customer_id")})
+
+
+FACT_ORDERS_SQL = """
+fact_orders AS (
+  SELECT h.*, CAST(strftime(h.order_date, '%Y%m%d') AS INTEGER) AS order_date_key, dc.customer_key
+  FROM holey_orders h LEFT JOIN dim_customer dc ON h.customer_id IS NOT DISTINCT FROM dc.customer_id
+)"""
+STAR_ORDERS = [FX.HOLEY_ORDERS_SQL, FX.CUSTOMER_DIM_SQL, FACT_ORDERS_SQL]
+
+CUSTOMER_VERSIONS_SQL = """
+cust_versions AS (
+  SELECT c_custkey AS customer_id, c_name, c_nationkey AS nation_id, c_acctbal, c_mktsegment,
+         'tpch/customer_v0.csv' AS _bronze_path, c_custkey AS _src_row, sha256('tpch/customer_v0.csv') AS _file_checksum
+  FROM customer
+  UNION ALL
+  SELECT c_custkey, c_name, c_nationkey, c_acctbal + 1, 'CHANGED', 'tpch/customer_v1.csv', c_custkey,
+         sha256('tpch/customer_v1.csv')
+  FROM customer WHERE c_custkey % 7 = 0
+),
+dim_cust_first AS (
+  SELECT customer_id, c_name, nation_id, c_acctbal, c_mktsegment, _bronze_path, _file_checksum FROM (
+    SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY _bronze_path, _src_row) AS rn FROM cust_versions)
+  WHERE rn = 1
+)"""
+
+
+def _customer_versions(spark, d):
+    base = FX.customer_dim_input(spark, d)
+    v0 = base.withColumns({"_bronze_path": F.lit("tpch/customer_v0.csv"), "_src_row": F.col("customer_id")})
+    v1 = (base.where(F.col("customer_id") % 7 == 0)
+          .withColumns({"c_acctbal": F.col("c_acctbal") + 1, "c_mktsegment": F.lit("CHANGED"),
+                        "_bronze_path": F.lit("tpch/customer_v1.csv"), "_src_row": F.col("customer_id")}))
+    return v0.unionByName(v1).withColumn("_file_checksum", F.sha2(F.col("_bronze_path"), 256))
+
+
+@register("dim_customer", with_ctes(CUSTOMER_VERSIONS_SQL) + "SELECT * FROM dim_cust_first")
+def q_dim_customer(spark, d):
+    dim, _ = star.dimension(_customer_versions(spark, d))
+    return dim
+
+
+@register("dim_surrogate", with_ctes(CUSTOMER_VERSIONS_SQL)
+          + "SELECT row_number() OVER (ORDER BY customer_id NULLS FIRST) AS customer_key, customer_id FROM dim_cust_first")
+def q_dim_surrogate(spark, d):
+    dim, nat = star.dimension(_customer_versions(spark, d))
+    return dense_ids(dim, [nat], "customer_key").select("customer_key", "customer_id")
+
+
+DATES_SQL = """
+dd AS (SELECT DISTINCT d FROM (
+  SELECT CAST(o_orderdate AS DATE) AS d FROM orders UNION ALL
+  SELECT CAST(l_shipdate AS DATE) FROM lineitem UNION ALL
+  SELECT CAST(ts AS DATE) FROM events) WHERE d IS NOT NULL),
+dim_date AS (
+  SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_key, d AS date, CAST(year(d) AS INTEGER) AS year,
+         CAST(quarter(d) AS INTEGER) AS quarter, CAST(month(d) AS INTEGER) AS month, monthname(d) AS month_name,
+         CAST(day(d) AS INTEGER) AS day, dayname(d) AS day_of_week, isodow(d) >= 6 AS is_weekend
+  FROM dd
+)"""
+
+
+def _dim_date(spark, d):
+    return star.dim_date([(FX.table(spark, d, "orders"), ["o_orderdate"]),
+                          (FX.table(spark, d, "lineitem"), ["l_shipdate"]),
+                          (FX.table(spark, d, "events"), ["ts"])])
+
+
+@register("dim_date", with_ctes(DATES_SQL) + "SELECT * FROM dim_date")
+def q_dim_date(spark, d):
+    return _dim_date(spark, d)
+
+
+@register("date_keys", with_ctes(FX.HOLEY_ORDERS_SQL)
+          + "SELECT order_id, CAST(strftime(order_date, '%Y%m%d') AS INTEGER) AS order_date_key FROM holey_orders")
+def q_date_keys(spark, d):
+    return star.with_date_keys(FX.holey_orders(spark, d)).select("order_id", "order_date_key")
+
+
+@register("fact_orders_fk", with_ctes(*STAR_ORDERS)
+          + "SELECT order_id, customer_id, customer_key, order_date_key FROM fact_orders")
+def q_fact_orders_fk(spark, d):
+    return _fact_orders(spark, d).select("order_id", "customer_id", "customer_key", "order_date_key")
+
+
+@register("fk_match_rate", with_ctes(*STAR_ORDERS) + """
+SELECT 'customer_key' AS key_col, count(customer_key) AS matched, count(*) AS total FROM fact_orders
+UNION ALL SELECT 'order_date_key', count(order_date_key), count(*) FROM fact_orders""")
+def q_fk_match_rate(spark, d):
+    return star.fk_match(_fact_orders(spark, d), ["customer_key", "order_date_key"])
+
+
+@register("fact_ids", "SELECT row_number() OVER (ORDER BY " + ", ".join(LINEITEM_COLS)
+          + ") AS fact_id, l_orderkey, l_partkey, l_suppkey, l_linenumber FROM lineitem")
+def q_fact_ids(spark, d):
+    li = FX.table(spark, d, "lineitem")
+    return dense_ids(li, LINEITEM_COLS, "fact_id").select("fact_id", "l_orderkey", "l_partkey", "l_suppkey",
+                                                          "l_linenumber")
+
+
+@register("incr_dim_date", with_ctes(DATES_SQL) + "SELECT * FROM dim_date WHERE date >= DATE '2000-01-01'")
+def q_incr_dim_date(spark, d):
+    batch = _dim_date(spark, d)
+    existing = batch.where(F.col("date") < F.lit("2000-01-01").cast("date"))
+    _, appended = incremental.load_dim_date(existing, batch)
+    return appended
+
+
+@register("incr_dim", with_ctes(FX.CUSTOMER_DIM_SQL) + """
+, ex AS (SELECT row_number() OVER (ORDER BY customer_id) AS customer_key, * FROM customer_h WHERE customer_id % 10 < 8),
+nw AS (SELECT (SELECT max(customer_key) FROM ex) + row_number() OVER (ORDER BY customer_id) AS customer_key, *
+       FROM customer_h WHERE customer_id NOT IN (SELECT customer_id FROM ex))
+SELECT * FROM ex UNION ALL SELECT * FROM nw""")
+def q_incr_dim(spark, d):
+    batch = FX.customer_dim_input(spark, d)
+    existing, _ = incremental.load_dimension(None, batch.where(F.col("customer_id") % 10 < 8), "customer", "customer_id")
+    full, _ = incremental.load_dimension(existing, batch, "customer", "customer_id")
+    return full
+
+
+ORDERS_CHECKSUM_SQL = """
+fo AS (
+  SELECT o_orderkey AS order_id, o_custkey AS customer_id, o_orderstatus, o_totalprice AS amount,
+         o_orderdate AS order_date, o_orderpriority,
+         sha256(concat_ws(chr(31), coalesce('i:' || CAST(o_orderkey AS VARCHAR), '\\N'),
+           coalesce('i:' || CAST(o_custkey AS VARCHAR), '\\N'), coalesce('s:' || o_orderstatus, '\\N'),
+           coalesce('f:' || CAST(o_totalprice AS VARCHAR), '\\N'),
+           coalesce('t:' || strftime(o_orderdate, '%Y-%m-%d %H:%M:%S.%f'), '\\N'),
+           coalesce('s:' || o_orderpriority, '\\N'))) AS _row_checksum
+  FROM orders
+)"""
+
+
+def _orders_fact_rows(spark, d):
+    o = FX.table(spark, d, "orders").select(
+        F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("customer_id"), "o_orderstatus",
+        F.col("o_totalprice").alias("amount"), F.col("o_orderdate").alias("order_date"), "o_orderpriority")
+    return o.withColumn("_row_checksum", row_checksum(o))
+
+
+@register("incr_fact", with_ctes(ORDERS_CHECKSUM_SQL) + """
+, ex AS (SELECT row_number() OVER (ORDER BY _row_checksum) AS fact_id, * FROM fo WHERE order_id % 10 < 8)
+SELECT (SELECT max(fact_id) FROM ex) + row_number() OVER (ORDER BY _row_checksum) AS fact_id, order_id, _row_checksum
+FROM fo WHERE _row_checksum NOT IN (SELECT _row_checksum FROM ex)""")
+def q_incr_fact(spark, d):
+    batch = _orders_fact_rows(spark, d)
+    existing, _ = incremental.load_fact(None, batch.where(F.col("order_id") % 10 < 8))
+    _, appended = incremental.load_fact(existing, batch)
+    return appended.select("fact_id", "order_id", "_row_checksum")
+
+
+@register("unique_keys", "SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY ALL HAVING count(*) > 1")
+def q_unique_keys(spark, d):
+    return validate.duplicate_keys(FX.table(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+@register("measure_list", with_ctes(H_SQL, CLASSIFY_SQL) + f"""
+, cls3 AS (SELECT c.domain, c.entity, coalesce(o.forced, c.heuristic) AS class
+           FROM cls2 c LEFT JOIN (SELECT * FROM {_overrides_sql()} WHERE forced IN ('dimension', 'fact')) o
+           ON c.domain = o.domain AND c.entity = o.entity)
+SELECT r.entity, r.final_column AS "column",
+       CASE WHEN ends_with(r.final_column, '_id') THEN 'identifier' WHEN r.type_class = 'datetime' THEN 'date'
+            WHEN r.type_class = 'numeric' THEN 'measure' ELSE 'attribute' END AS role
+FROM resolved r JOIN cls3 c ON r.domain = c.domain AND r.entity = c.entity WHERE c.class = 'fact'""")
+def q_measure_list(spark, d):
+    cat = _classify_input(spark, d)
+    facts = star.classify(cat, FX.cfg().override_df(spark)).where(F.col("class") == "fact").select("domain", "entity")
+    role = (F.when(F.col("column").endswith("_id"), F.lit("identifier"))
+            .when(F.col("type_class") == "datetime", F.lit("date"))
+            .when(F.col("type_class") == "numeric", F.lit("measure")).otherwise(F.lit("attribute")))
+    return cat.join(facts, ["domain", "entity"], "left_semi").select("entity", "column", role.alias("role"))
