@@ -62,7 +62,7 @@ def page(df: DataFrame, order_by: list[str], limit: int = 100, offset: int = 0)
     if not 1 <= limit <= 5000 or offset < 0:
         raise ValueError("limit must be 1..5000 and offset >= 0")
     total = df.count()   # one scalar (a COUNT(*); footer metadata for a plain Parquet scan)
-    return df.orderBy(*order_by).offset(offset).limit(limit).withColumn("total_rows", F.lit(total))
+    return df.orderBy(*order_by).offset(offset).limit(limit).withColumn("total_rows", F.lit(total).cast("bigint"))
 
 
 def export_records(df: DataFrame) -> DataFrame:

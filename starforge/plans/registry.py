@@ -521,10 +521,27 @@ def q_sample_values(spark, d):
 
 # =====================================================================  star schema
 def rounded(df: DataFrame) -> DataFrame:
-    """Float aggregates rounded for comparison: sums to 2, means to 4 decimals."""
-    return df.select(*[r2(F.col(c)).alias(c) if c.endswith("_sum") or c == "sum"
-                       else r4(F.col(c)).alias(c) if c.endswith("_mean") or c == "mean"
-                       else F.col(c) for c in df.columns])
+    """Float aggregates in a form two engines reproduce bit for bit.
+
+    Sums are rounded to 2 decimals (the inputs have 2); means are that rounded
+    sum divided by the count (an IEEE division of identical operands), never a
+    rounded ``avg`` - rounding a mean hits exact decimal ties (k/800, ...).
+    """
+    cols = set(df.columns)
+    out = []
+    for c in df.columns:
+        if c.endswith("_sum") or c == "sum":
+            out.append(r2(F.col(c)).alias(c))
+        elif c.endswith("_mean") or c == "mean":
+            base = c[: -len("mean")]
+            s_, n_ = f"{base}sum", f"{base}count"
+            if s_ in cols and n_ in cols:
+                out.append(F.when(F.col(n_) > 0, r2(F.col(s_)) / F.col(n_)).alias(c))
+            else:
+                out.append(F.col(c))
+        else:
+            out.append(F.col(c))
+    return df.select(*out)
 
 
 def rounded_sql(cols: list[tuple[str, str]]) -> str:
@@ -532,8 +549,6 @@ def rounded_sql(cols: list[tuple[str, str]]) -> str:
     for expr, name in cols:
         if name.endswith("_sum") or name == "sum":
             out.append(f"round(CAST({expr} AS DOUBLE), 2) AS {name}")
-        elif name.endswith("_mean") or name == "mean":
-            out.append(f"round(CAST({expr} AS DOUBLE), 4) AS {name}")
         else:
             out.append(f"{expr} AS {name}")
     return ", ".join(out)
@@ -716,3 +731,182 @@ def q_measure_list(spark, d):
             .when(F.col("type_class") == "datetime", F.lit("date"))
             .when(F.col("type_class") == "numeric", F.lit("measure")).otherwise(F.lit("attribute")))
     return cat.join(facts, ["domain", "entity"], "left_semi").select("entity", "column", role.alias("role"))
+
+
+# =====================================================================  cubes (A1-A7), reads (L1-L6), drill (R1-R3), validation
+def _month_sql(k: str) -> str:
+    return (f"CAST({k} // 10000 AS INTEGER) AS year, CAST(({k} // 100) % 100 AS INTEGER) AS month, "
+            f"monthname(strptime(CAST({k} AS VARCHAR), '%Y%m%d')) AS month_name")
+
+
+def _mean_sql(m: str) -> str:
+    return f"round(CAST(coalesce(sum({m}), 0) AS DOUBLE), 2) / nullif(count({m}), 0)"
+
+
+def _aggs_sql(ms: list[str]) -> str:
+    return rounded_sql([x for m in ms for x in (
+        (f"coalesce(sum({m}), 0)", f"{m}_sum"), (f"count({m})", f"{m}_count"), (_mean_sql(m), f"{m}_mean"))])
+
+
+@register("cuboid_record_count", """
+SELECT role, CAST(count(*) AS BIGINT) AS _record_count_sum, count(*) AS _record_count_count,
+       CAST(1.0 AS DOUBLE) AS _record_count_mean FROM conversations GROUP BY role""")
+def q_cuboid_record_count(spark, d):
+    conv = FX.table(spark, d, "conversations").select("role", "text")
+    out = cube.by_dim(conv, "role")
+    return out.withColumn("_record_count_sum", F.col("_record_count_sum").cast("bigint"))
+
+
+LI_MEASURES = ["l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+def _lineitem_h(spark, d):
+    li = FX.table(spark, d, "lineitem")
+    ren = FX.alias_map("lineitem")
+    return li.select(*[F.col(c).alias(ren.get(c, c)) for c in li.columns])
+
+
+@register("cuboid_apex", "\nUNION ALL ".join(
+    f"SELECT {S.q(m)} AS measure, round(CAST(coalesce(sum({m}), 0) AS DOUBLE), 2) AS sum, count({m}) AS count, "
+    f"{_mean_sql(m)} AS mean FROM lineitem" for m in LI_MEASURES))
+def q_cuboid_apex(spark, d):
+    return rounded(cube.apex(_lineitem_h(spark, d)))
+
+
+@register("cuboid_by_month", with_ctes(*STAR_ORDERS) + f"""
+, m AS (SELECT *, {_month_sql('order_date_key')} FROM fact_orders)
+SELECT year, month, month_name, {_aggs_sql(['amount'])} FROM m GROUP BY year, month, month_name""")
+def q_cuboid_by_month(spark, d):
+    return rounded(cube.by_month(_fact_orders(spark, d), "order_date_key"))
+
+
+@register("cuboid_by_dim", with_ctes(*STAR_ORDERS) + f"""
+SELECT customer_key, {_aggs_sql(['amount'])} FROM fact_orders GROUP BY customer_key""")
+def q_cuboid_by_dim(spark, d):
+    return rounded(cube.by_dim(_fact_orders(spark, d), "customer_key"))
+
+
+@register("cuboid_month_dim", with_ctes(*STAR_ORDERS) + f"""
+, m AS (SELECT *, {_month_sql('order_date_key')} FROM fact_orders)
+SELECT year, month, customer_key, {_aggs_sql(['amount'])} FROM m GROUP BY year, month, customer_key""")
+def q_cuboid_month_dim(spark, d):
+    return rounded(cube.by_month_dim(_fact_orders(spark, d), "order_date_key", "customer_key"))
+
+
+def _dim_keys(spark, d, entity: str, nat: str):
+    src = FX.table(spark, d, entity)
+    ren = FX.alias_map(entity)
+    src = src.select(*[F.col(c).alias(ren.get(c, c)) for c in src.columns])
+    dim, nat = star.dimension(src, nat, order_cols=[nat])
+    return dense_ids(dim, [nat], f"{entity}_key")
+
+
+def _fact_lineitem(spark, d):
+    dims = {"part": (_dim_keys(spark, d, "part", "part_id"), "part_id"),
+            "supplier": (_dim_keys(spark, d, "supplier", "supplier_id"), "supplier_id")}
+    return star.fact(_lineitem_h(spark, d), "lineitem", dims)
+
+
+LATTICE_KEYS = ["part_key", "supplier_key"]
+FACT_LINEITEM_SQL = """
+dim_part AS (SELECT row_number() OVER (ORDER BY p_partkey) AS part_key, p_partkey AS part_id FROM part),
+dim_supplier AS (SELECT row_number() OVER (ORDER BY s_suppkey) AS supplier_key, s_suppkey AS supplier_id FROM supplier),
+fact_lineitem AS (
+  SELECT l.*, CAST(strftime(l.l_shipdate, '%Y%m%d') AS INTEGER) AS ship_date_key, p.part_key, s.supplier_key
+  FROM lineitem l LEFT JOIN dim_part p ON l.l_partkey IS NOT DISTINCT FROM p.part_id
+  LEFT JOIN dim_supplier s ON l.l_suppkey IS NOT DISTINCT FROM s.supplier_id
+)"""
+
+
+def _lattice_sql() -> str:
+    group_cols = ["year", "month", "month_name"] + LATTICE_KEYS
+    sets = cube.lattice_sets(LATTICE_KEYS, True)
+
+    def gid(cols):
+        v = 0
+        for i, c in enumerate(group_cols):
+            if c not in cols:
+                v |= 1 << (len(group_cols) - 1 - i)
+        return v
+    names = " ".join(f"WHEN {gid(cols)} THEN {S.q(n)}" for n, cols in sets)
+    gsets = ", ".join("(" + ", ".join(cols) + ")" for _, cols in sets)
+    return with_ctes(FACT_LINEITEM_SQL) + f"""
+, m AS (SELECT *, {_month_sql('ship_date_key')} FROM fact_lineitem)
+SELECT CASE grouping({", ".join(group_cols)}) {names} END AS cuboid, {", ".join(group_cols)}, {_aggs_sql(LI_MEASURES)}
+FROM m GROUP BY GROUPING SETS ({gsets})"""
+
+
+@register("cuboid_lattice", _lattice_sql())
+def q_cuboid_lattice(spark, d):
+    f = _fact_lineitem(spark, d)
+    return rounded(cube.lattice(f, LATTICE_KEYS, "ship_date_key", LI_MEASURES))
+
+
+@register("monthly_trend", with_ctes(*STAR_ORDERS) + f"""
+, m AS (SELECT *, {_month_sql('order_date_key')} FROM fact_orders),
+bm AS (SELECT year, month, round(CAST(coalesce(sum(amount), 0) AS DOUBLE), 2) AS amount_sum FROM m GROUP BY year, month)
+SELECT year * 12 + month AS period, strftime(make_date(year, month, 1), '%b ''%y') AS label,
+       coalesce(amount_sum, 0.0) AS value FROM bm WHERE year IS NOT NULL""")
+def q_monthly_trend(spark, d):
+    bm = rounded(cube.by_month(_fact_orders(spark, d), "order_date_key"))
+    return drill.monthly_trend(bm, "amount")
+
+
+@register("topk_by_dim", with_ctes(*STAR_ORDERS) + """
+, bd AS (SELECT customer_key, round(CAST(coalesce(sum(amount), 0) AS DOUBLE), 2) AS value FROM fact_orders
+         WHERE customer_key IS NOT NULL GROUP BY customer_key),
+top AS (SELECT * FROM bd ORDER BY value DESC, customer_key ASC LIMIT 15)
+SELECT CAST(row_number() OVER (ORDER BY t.value DESC, t.customer_key ASC) AS INTEGER) AS rank, t.customer_key,
+       coalesce(dc.c_name, CAST(t.customer_key AS VARCHAR)) AS label, t.value
+FROM top t LEFT JOIN dim_customer dc ON t.customer_key = dc.customer_key""")
+def q_topk_by_dim(spark, d):
+    bd = rounded(cube.by_dim(_fact_orders(spark, d), "customer_key"))
+    return drill.topk_by_dim(bd, _dim_customer(spark, d), "customer_key", "amount", 15)
+
+
+@register("page_table", """
+SELECT *, (SELECT count(*) FROM orders) AS total_rows FROM orders ORDER BY o_orderkey LIMIT 25 OFFSET 50""")
+def q_page_table(spark, d):
+    return drill.page(FX.table(spark, d, "orders"), ["o_orderkey"], limit=25, offset=50)
+
+
+DRILL_COLS = ["order_id", "customer_id", "customer_key", "amount", "order_date_key", "_bronze_path"]
+
+
+@register("drill_dim", with_ctes(*STAR_ORDERS) + f"SELECT {', '.join(DRILL_COLS)} FROM fact_orders WHERE customer_key = 7")
+def q_drill_dim(spark, d):
+    return drill.rows(_fact_orders(spark, d), {"customer_key": "7"}).select(*DRILL_COLS)
+
+
+@register("drill_month", with_ctes(*STAR_ORDERS)
+          + f"SELECT {', '.join(DRILL_COLS)} FROM fact_orders WHERE order_date_key // 10000 = 1996 AND (order_date_key // 100) % 100 = 3")
+def q_drill_month(spark, d):
+    return drill.rows(_fact_orders(spark, d), {"year": 1996, "month": 3}, date_role="order_date_key").select(*DRILL_COLS)
+
+
+@register("trace_cell", with_ctes(*STAR_ORDERS) + """
+SELECT _bronze_path, _file_checksum, count(*) AS n_rows FROM fact_orders WHERE order_date_key // 10000 = 1997
+GROUP BY _bronze_path, _file_checksum""")
+def q_trace_cell(spark, d):
+    return drill.trace(drill.rows(_fact_orders(spark, d), {"year": 1997}, date_role="order_date_key"))
+
+
+@register("validate_apex", """
+WITH a AS (""" + "\nUNION ALL ".join(
+    f"SELECT {S.q(m)} AS measure FROM lineitem" if False else f"SELECT {S.q(m)} AS measure" for m in LI_MEASURES) + """)
+SELECT 'original' AS copy, measure, TRUE AS ok FROM a
+UNION ALL SELECT 'corrupted', measure, measure <> 'l_quantity' FROM a""")
+def q_validate_apex(spark, d):
+    f = _lineitem_h(spark, d)
+    lat = cube.lattice(f, [], None, LI_MEASURES)
+    ap = cube.apex(f, LI_MEASURES)  # same shape as a stored apex cuboid
+    stored = lat.select(F.explode(F.array(*[F.struct(F.lit(m).alias("measure"),
+                                                       F.col(f"{m}_sum").cast("double").alias("sum"),
+                                                       F.col(f"{m}_count").alias("count"),
+                                                       F.col(f"{m}_mean").alias("mean")) for m in LI_MEASURES])).alias("s")
+                        ).select("s.*")
+    corrupted = stored.withColumn("sum", F.when(F.col("measure") == "l_quantity", F.col("sum") + 1).otherwise(F.col("sum")))
+    ok = validate.apex_check(f, stored, LI_MEASURES).select(F.lit("original").alias("copy"), "measure", "ok")
+    bad = validate.apex_check(f, corrupted, LI_MEASURES).select(F.lit("corrupted").alias("copy"), "measure", "ok")
+    del ap
+    return ok.unionByName(bad)
