@@ -910,3 +910,110 @@ def q_validate_apex(spark, d):
     bad = validate.apex_check(f, corrupted, LI_MEASURES).select(F.lit("corrupted").alias("copy"), "measure", "ok")
     del ap
     return ok.unionByName(bad)
+
+
+def _events_fact(spark, d):
+    return star.with_date_keys(FX.table(spark, d, "events"))
+
+
+def _manifest(spark, d):
+    """Gold manifest (name, kind, fact, rows) of three facts and their cuboids.
+
+    Rows are counted from the data; the apex of the events fact is left out
+    on purpose, so validation must report it.
+    """
+    facts = {
+        "fact_tpch_orders": (_fact_orders(spark, d), ["customer_key"], "order_date_key", ["amount"]),
+        "fact_tpch_lineitem": (_fact_lineitem(spark, d), LATTICE_KEYS, "ship_date_key", LI_MEASURES),
+        "fact_tpch_events": (_events_fact(spark, d), [], "ts_key", ["value"]),
+    }
+    parts = []
+    for name, (f, keys, dk, ms) in facts.items():
+        parts.append(f.agg(F.count(F.lit(1)).alias("rows")).select(
+            F.lit(name).alias("name"), F.lit("fact").alias("kind"), F.lit(None).cast("string").alias("fact"), "rows"))
+        lat = cube.lattice(f, keys, dk, ms)
+        if name == "fact_tpch_events":
+            lat = lat.where(F.col("cuboid") != "apex")
+        parts.append(lat.groupBy("cuboid").agg(F.count(F.lit(1)).alias("rows")).select(
+            F.concat(F.lit(f"cuboid_{name}_"), F.col("cuboid")).alias("name"), F.lit("cuboid").alias("kind"),
+            F.lit(name).alias("fact"), "rows"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@register("validate_cubes", """
+SELECT 'missing apex cuboid for ' || f AS finding FROM (SELECT 'fact_tpch_events' AS f, count(*) AS n FROM events)
+UNION ALL
+SELECT 'fact_tpch_orders is empty' FROM orders HAVING count(*) = 0""")
+def q_validate_cubes(spark, d):
+    return validate.manifest_findings(_manifest(spark, d))
+
+
+INVENTORY_SQL = with_ctes(DATES_SQL) + """
+, t AS (
+  SELECT 'dim' AS kind, count(DISTINCT r_regionkey) AS n FROM region
+  UNION ALL SELECT 'dim', count(DISTINCT n_nationkey) FROM nation
+  UNION ALL SELECT 'dim', count(DISTINCT c_custkey) FROM customer
+  UNION ALL SELECT 'dim', count(DISTINCT s_suppkey) FROM supplier
+  UNION ALL SELECT 'dim', count(DISTINCT p_partkey) FROM part
+  UNION ALL SELECT 'dim', count(*) FROM dim_date
+  UNION ALL SELECT 'fact', count(*) FROM orders
+  UNION ALL SELECT 'fact', count(*) FROM lineitem
+  UNION ALL SELECT 'fact', count(*) FROM events
+  UNION ALL SELECT 'fact', count(*) FROM labels
+  UNION ALL SELECT 'fact', count(*) FROM conversations
+)
+SELECT kind, count(*) AS n_tables, CAST(sum(n) AS BIGINT) AS n_rows FROM t GROUP BY kind"""
+
+
+@register("gold_inventory", INVENTORY_SQL)
+def q_gold_inventory(spark, d):
+    """Tables per kind of the star built from the driver tables."""
+    cls = star.classify(_classify_input(spark, d), FX.cfg().override_df(spark)).where(F.col("domain") == FX.DOMAIN)
+    classes = {r["entity"]: r["class"] for r in cls.select("entity", "class").collect()}   # one row per entity
+    parts = []
+    frames = []
+    for entity in FX.STAR_ENTITIES:
+        df = FX.table(spark, d, entity)
+        ren = FX.alias_map(entity)
+        df = df.select(*[F.col(c).alias(ren.get(c, c)) for c in df.columns])
+        frames.append((df, star.datetime_columns(df)))
+        if classes.get(entity) == "dimension":
+            dim, _ = star.dimension(df)
+            parts.append(dim.agg(F.count(F.lit(1)).alias("n")).select(F.lit("dim").alias("kind"), "n"))
+        else:
+            parts.append(df.agg(F.count(F.lit(1)).alias("n")).select(F.lit("fact").alias("kind"), "n"))
+    dd = star.dim_date([(f, c) for f, c in frames if c])
+    parts.append(dd.agg(F.count(F.lit(1)).alias("n")).select(F.lit("dim").alias("kind"), "n"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.groupBy("kind").agg(F.count(F.lit(1)).alias("n_tables"), F.sum("n").cast("bigint").alias("n_rows"))
+
+
+@register("silver_union", """
+SELECT 'customer' AS entity, c_custkey AS customer_id, c_name, c_nationkey AS nation_id, c_acctbal, c_mktsegment,
+       CAST(NULL AS BIGINT) AS supplier_id, CAST(NULL AS VARCHAR) AS s_name, CAST(NULL AS DOUBLE) AS s_acctbal FROM customer
+UNION ALL
+SELECT 'supplier', NULL, NULL, s_nationkey, NULL, NULL, s_suppkey, s_name, s_acctbal FROM supplier""")
+def q_silver_union(spark, d):
+    def h(entity):
+        df = FX.table(spark, d, entity)
+        ren = FX.alias_map(entity)
+        return df.select(F.lit(entity).alias("entity"), *[F.col(c).alias(ren.get(c, c)) for c in df.columns])
+    return h("customer").unionByName(h("supplier"), allowMissingColumns=True)
+
+
+@register("json_flatten", "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS props_k FROM events")
+def q_json_flatten(spark, d):
+    from starforge.functions.json import flatten_column
+    return flatten_column(FX.table(spark, d, "events").select("event_id", "props"), "props")
+
+
+@register("export_records", with_ctes(FX.HOLEY_ORDERS_SQL) + """
+SELECT order_id, customer_id, o_orderstatus, amount, strftime(order_date, '%Y-%m-%dT%H:%M:%S') AS order_date,
+       o_orderpriority FROM holey_orders""")
+def q_export_records(spark, d):
+    return drill.export_records(FX.holey_orders(spark, d).select(*HOLEY_COLS))
