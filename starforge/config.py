@@ -36,6 +36,17 @@ NEEDS_REVIEW_METHODS = ("heuristic_range", "fallback")
 UNNAMED_COLUMN_PATTERN = r"^(unnamed|col|column|field)_?[0-9]*$"
 
 
+def local_df(spark: SparkSession, rows: list[tuple], schema: str | T.StructType) -> DataFrame:
+    """A small in-memory table as a ``LocalRelation`` (built through Arrow from
+    pandas): no RDD, no job to materialise it, and the planner knows its size."""
+    import pandas as pd
+    st = schema if isinstance(schema, T.StructType) else T._parse_datatype_string(schema)
+    pdf = pd.DataFrame(rows, columns=[f.name for f in st.fields])
+    if not rows:
+        return spark.createDataFrame([], st)
+    return spark.createDataFrame(pdf, st)
+
+
 def _load_yaml(path: Path) -> dict:
     if not path.exists():
         return {}
@@ -88,7 +99,7 @@ class Config:
 
     def alias_df(self, spark: SparkSession) -> DataFrame:
         schema = "domain string, entity string, canonical string, canon_order int, alias_norm string"
-        return spark.createDataFrame(self.alias_rows(), schema)
+        return local_df(spark, self.alias_rows(), schema)
 
     def override_rows(self) -> list[tuple]:
         rows = []
@@ -98,7 +109,7 @@ class Config:
         return rows
 
     def override_df(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame(self.override_rows(), "domain string, entity string, forced string")
+        return local_df(spark, self.override_rows(), "domain string, entity string, forced string")
 
 
 MEMORY_SCHEMA = T.StructType([

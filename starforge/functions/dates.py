@@ -5,21 +5,25 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Parse formats tried in order. Month-first before day-first: '05/06/2026' is
-# 6 May, '13/05/2026' fails month-first and becomes 13 May.
+# Parse formats tried in order, each behind a cheap shape test: a failed
+# parse costs an exception on the JVM, a failed regex does not, so a value is
+# only handed to the formats whose shape it has. Month-first before day-first:
+# '05/06/2026' is 6 May, '13/05/2026' fails month-first and becomes 13 May.
+_D2 = r"[0-9]{1,2}"
+_Y = r"[0-9]{4}"
 DATETIME_FORMATS = [
-    "yyyy-MM-dd HH:mm:ss",
-    "yyyy-MM-dd HH:mm:ss.SSSSSS",
-    "yyyy-MM-dd'T'HH:mm:ss",
-    "yyyy-MM-dd HH:mm",
-    "yyyy-MM-dd",
-    "yyyy/MM/dd",
-    "M/d/yyyy",
-    "d/M/yyyy",
-    "M-d-yyyy",
-    "d-M-yyyy",
-    "MMM d yyyy",
-    "d MMM yyyy",
+    ("yyyy-MM-dd HH:mm:ss", rf"^{_Y}-{_D2}-{_D2} {_D2}:[0-9]{{2}}:[0-9]{{2}}$"),
+    ("yyyy-MM-dd HH:mm:ss.SSSSSS", rf"^{_Y}-{_D2}-{_D2} {_D2}:[0-9]{{2}}:[0-9]{{2}}[.][0-9]{{1,6}}$"),
+    ("yyyy-MM-dd'T'HH:mm:ss", rf"^{_Y}-{_D2}-{_D2}T{_D2}:[0-9]{{2}}:[0-9]{{2}}$"),
+    ("yyyy-MM-dd HH:mm", rf"^{_Y}-{_D2}-{_D2} {_D2}:[0-9]{{2}}$"),
+    ("yyyy-MM-dd", rf"^{_Y}-{_D2}-{_D2}$"),
+    ("yyyy/MM/dd", rf"^{_Y}/{_D2}/{_D2}$"),
+    ("M/d/yyyy", rf"^{_D2}/{_D2}/{_Y}$"),
+    ("d/M/yyyy", rf"^{_D2}/{_D2}/{_Y}$"),
+    ("M-d-yyyy", rf"^{_D2}-{_D2}-{_Y}$"),
+    ("d-M-yyyy", rf"^{_D2}-{_D2}-{_Y}$"),
+    ("MMM d yyyy", rf"^[A-Za-z]{{3}} {_D2} {_Y}$"),
+    ("d MMM yyyy", rf"^{_D2} [A-Za-z]{{3}} {_Y}$"),
 ]
 
 # The same formats in strptime notation (for SQL oracles).
@@ -42,7 +46,7 @@ STRPTIME_FORMATS = [
 def parse_datetime(c: Column) -> Column:
     """Mixed-format text -> timestamp, NULL when no format fits."""
     s = c.cast("string")
-    return F.coalesce(*[F.try_to_timestamp(s, F.lit(f)) for f in DATETIME_FORMATS])
+    return F.coalesce(*[F.when(s.rlike(shape), F.try_to_timestamp(s, F.lit(f))) for f, shape in DATETIME_FORMATS])
 
 
 def date_key(c: Column) -> Column:

@@ -123,28 +123,39 @@ def lattice(fact: DataFrame, dim_keys: list[str], date_key: str | None = None,
 
     Output: ``cuboid`` + all grouping columns (NULL when rolled up) + the
     measure aggregates. Split with ``where(cuboid == ...)`` or write
-    partitioned by ``cuboid``.
+    partitioned by ``cuboid``. ``month_name`` is a function of (year, month),
+    so it is derived after the aggregate, once per output row.
     """
     ms = measures(fact) if ms is None else ms
-    df = with_month(fact, date_key) if date_key else fact
+    df = fact
+    if date_key:
+        k = F.col(date_key)
+        df = fact.withColumns({"year": D.key_year(k), "month": D.key_month(k)})
     df, ms = _prepared(df, ms)
     sets = lattice_sets(dim_keys, date_key is not None)
-    group_cols = (["year", "month", "month_name"] if date_key else []) + sorted(dim_keys)
-    gid = F.grouping_id(*group_cols) if group_cols else F.lit(0)
-    # grouping_id bit i (from the left, MSB first) is 1 when column i is rolled up
+    group_cols = (["year", "month"] if date_key else []) + sorted(dim_keys)
+    if not group_cols:
+        return df.agg(*measure_aggs(ms)).select(F.lit("apex").alias("cuboid"), "*")
+    sets = [(n, [c for c in cols if c != "month_name"]) for n, cols in sets]
+
     def gid_of(cols):
+        # grouping_id bit i (MSB first) is 1 when group column i is rolled up
         v = 0
         for i, c in enumerate(group_cols):
             if c not in cols:
                 v |= 1 << (len(group_cols) - 1 - i)
         return v
     names = F.create_map(*[x for name, cols in sets for x in (F.lit(gid_of(cols)), F.lit(name))])
-    if not group_cols:
-        return df.agg(*measure_aggs(ms)).select(F.lit("apex").alias("cuboid"), "*")
     g = df.groupingSets([[F.col(c) for c in cols] for _, cols in sets], *[F.col(c) for c in group_cols])
-    out = g.agg(gid.alias("__gid"), *measure_aggs(ms))
-    return out.select(names[F.col("__gid")].alias("cuboid"), *group_cols,
-                      *[c for c in out.columns if c not in group_cols and c != "__gid"])
+    out = g.agg(F.grouping_id(*group_cols).alias("__gid"), *measure_aggs(ms))
+    out = out.withColumn("cuboid", names[F.col("__gid")])
+    keys = list(group_cols)
+    if date_key:
+        mname = F.when(F.col("cuboid") == "by_month",
+                       D.month_name(F.make_date(F.col("year"), F.col("month"), F.lit(1))))
+        out = out.withColumn("month_name", mname)
+        keys = ["year", "month", "month_name"] + sorted(dim_keys)
+    return out.select("cuboid", *keys, *[c for c in out.columns if c not in keys and c not in ("__gid", "cuboid")])
 
 
 def cuboid(lattice_df: DataFrame, name: str, keys: list[str]) -> DataFrame:

@@ -23,14 +23,16 @@ KEY = ["domain", "entity", "raw_norm"]
 
 def range_stats(df: DataFrame, cols: list[str], cfg: C.Config) -> DataFrame:
     """Per column: rows, numeric count and count within each range rule (one pass)."""
+    parsed = df.select(*[F.when(F.trim(F.col(f"`{c}`").cast("string")).rlike(NUMBER_PATTERN),
+                                F.trim(F.col(f"`{c}`").cast("string")).try_cast("double")).alias(f"__v{i}")
+                         for i, c in enumerate(cols)])
     aggs = [F.count(F.lit(1)).alias("__rows")]
     for i, c in enumerate(cols):
-        t = F.trim(F.col(f"`{c}`").cast("string"))
-        v = F.when(t.rlike(NUMBER_PATTERN), t.try_cast("double"))
+        v = F.col(f"__v{i}")
         aggs.append(F.count(v).alias(f"__{i}_num"))
         for j, (lo, hi, _) in enumerate(cfg.range_rules):
             aggs.append(F.count_if(v.between(lo, hi)).alias(f"__{i}_r{j}"))
-    wide = df.agg(*aggs)
+    wide = parsed.agg(*aggs)
     structs = [F.struct(F.lit(c).alias("raw_column"), F.col(f"__{i}_num").alias("num_values"),
                         F.array(*[F.col(f"__{i}_r{j}") for j in range(len(cfg.range_rules))]).alias("in_range"))
                for i, c in enumerate(cols)]
@@ -153,8 +155,8 @@ def harmonize(df: DataFrame, domain: str, entity: str, cfg: C.Config,
     """Harmonise one entity's DataFrame. Returns (renamed DataFrame, mapping DataFrame)."""
     spark = df.sparkSession
     business = [c for c in df.columns if not c.startswith("_")]
-    cat = spark.createDataFrame([(domain, entity, c, i) for i, c in enumerate(business)],
-                                "domain string, entity string, raw_column string, position int")
+    cat = C.local_df(spark, [(domain, entity, c, i) for i, c in enumerate(business)],
+                     "domain string, entity string, raw_column string, position int")
     # only unhelpful names can take a range guess: scan just those columns
     unnamed = [c for c in business if re.match(C.UNNAMED_COLUMN_PATTERN, normalize_name(c))]
     if with_ranges and unnamed and cfg.range_rules:

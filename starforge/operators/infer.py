@@ -42,26 +42,30 @@ def integer_value(c: Column) -> Column:
 
 
 def column_stats(df: DataFrame, cols: list[str] | None = None, cfg: C.Config | None = None) -> DataFrame:
-    """Long table: column, position, rows, nonnull, bool_hits, num_hits, int_hits, dt_hits."""
+    """Long table: column, position, rows, nonnull, bool_hits, num_hits, int_hits, dt_hits.
+
+    Values are unpivoted to (position, text) and aggregated per position: a
+    narrow aggregate that stays in generated code however many columns there
+    are, and is reduced map-side to one row per column and task.
+    """
     cfg = cfg or C.Config.load()
     cols = cols if cols is not None else list(df.columns)
     vocab = [v.lower() for v in cfg.true_values + cfg.false_values]
-    aggs = [F.count(F.lit(1)).alias("__rows")]
-    for i, c in enumerate(cols):
-        x = F.col(f"`{c}`")
-        t = _text(x)
-        aggs += [
-            F.count(x).alias(f"__{i}_nonnull"),
-            F.count_if(F.lower(F.trim(t)).isin(vocab)).alias(f"__{i}_bool_hits"),
-            F.count_if(F.trim(t).rlike(NUMBER_PATTERN)).alias(f"__{i}_num_hits"),
-            F.count_if(F.trim(t).rlike(INTEGER_PATTERN)).alias(f"__{i}_int_hits"),
-            F.count_if(parse_datetime(F.trim(t)).isNotNull()).alias(f"__{i}_dt_hits"),
-        ]
-    wide = df.agg(*aggs)
-    structs = [F.struct(F.lit(c).alias("column"), F.lit(i).alias("position"),
-                        *[F.col(f"__{i}_{s}").alias(s) for s in STAT_FIELDS]) for i, c in enumerate(cols)]
-    return (wide.select(F.col("__rows").alias("rows"), F.explode(F.array(*structs)).alias("s"))
-            .select("s.column", "s.position", "rows", *[f"s.{s}" for s in STAT_FIELDS]))
+    cells = F.explode(F.array(*[F.struct(F.lit(i).alias("p"), _text(F.col(f"`{c}`")).alias("v"))
+                                for i, c in enumerate(cols)]))
+    long = df.select(cells.alias("s")).select(F.col("s.p").alias("position"), F.trim(F.col("s.v")).alias("t"))
+    t = F.col("t")
+    stats = long.groupBy("position").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count(t).alias("nonnull"),
+        F.count_if(F.lower(t).isin(vocab)).alias("bool_hits"),
+        F.count_if(t.rlike(NUMBER_PATTERN)).alias("num_hits"),
+        F.count_if(t.rlike(INTEGER_PATTERN)).alias("int_hits"),
+        F.count_if(parse_datetime(t).isNotNull()).alias("dt_hits"),
+    )
+    names = C.local_df(df.sparkSession, [(i, c) for i, c in enumerate(cols)], "position int, column string")
+    return (stats.join(F.broadcast(names), "position")
+            .select("column", "position", "rows", *STAT_FIELDS))
 
 
 def label_expr() -> Column:

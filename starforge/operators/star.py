@@ -50,8 +50,9 @@ def column_catalog(df: DataFrame, domain: str, entity: str) -> DataFrame:
         row = df.agg(*[F.count_if(F.col(f"`{b}`").isNull()).alias(f"n{i}") for i, b in enumerate(bools)]).first()
         null_free = {b: row[f"n{i}"] == 0 for i, b in enumerate(bools)}
     rows = [(domain, entity, n, i, t, bool(null_free.get(n, True))) for i, n, t in fields]
-    return spark.createDataFrame(
-        rows, "domain string, entity string, column string, position int, type_class string, null_free boolean")
+    from starforge.config import local_df
+    return local_df(spark, rows,
+                    "domain string, entity string, column string, position int, type_class string, null_free boolean")
 
 
 def classify(columns: DataFrame, overrides: DataFrame | None = None) -> DataFrame:

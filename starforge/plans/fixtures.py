@@ -135,7 +135,9 @@ def _na_sql(c: str) -> str:
 
 
 def _trim_sql(c: str) -> str:
-    return f"regexp_replace({c}, '^\\s+|\\s+$', '', 'g') AS {c}"
+    from starforge.functions.text import WHITESPACE
+    chars = " || ".join(f"chr({ord(ch)})" for ch in WHITESPACE)
+    return f"trim({c}, {chars}) AS {c}"
 
 
 def dirty_orders_sql() -> str:
@@ -312,7 +314,8 @@ def memory_df(spark: SparkSession) -> DataFrame:
     from starforge.config import MEMORY_SCHEMA
     import datetime as dt
     t0 = dt.datetime.fromisoformat(CLOCK_0)
-    return spark.createDataFrame([r + (t0, t0) for r in MEMORY_ROWS], MEMORY_SCHEMA)
+    from starforge.config import local_df
+    return local_df(spark, [r + (t0, t0) for r in MEMORY_ROWS], MEMORY_SCHEMA)
 
 
 def entity_catalog(df: DataFrame, domain: str, entity: str) -> DataFrame:
@@ -327,14 +330,19 @@ def entity_catalog(df: DataFrame, domain: str, entity: str) -> DataFrame:
     from starforge.operators.star import type_class
     rules = cfg().range_rules
     fields = list(df.schema.fields)
+    unnamed = {i for i, f in enumerate(fields) if re.match(C.UNNAMED_COLUMN_PATTERN, normalize_name(f.name))}
+    # parse each candidate column once, in a projection fused with the aggregate
+    proj = [F.col(f"`{f.name}`").alias(f"__c{i}") for i, f in enumerate(fields)]
+    for i in unnamed:
+        t = F.trim(F.col(f"`{fields[i].name}`").cast("string"))
+        proj.append(F.when(t.rlike(NUMBER_PATTERN), t.try_cast("double")).alias(f"__v{i}"))
+    src = df.select(*proj)
     aggs = [F.count(F.lit(1)).alias("__rows")]
     structs = []
     for i, f in enumerate(fields):
-        c = F.col(f"`{f.name}`")
-        aggs.append(F.count(c).alias(f"__{i}_nn"))
-        if re.match(C.UNNAMED_COLUMN_PATTERN, normalize_name(f.name)):
-            t = F.trim(c.cast("string"))
-            v = F.when(t.rlike(NUMBER_PATTERN), t.try_cast("double"))
+        aggs.append(F.count(F.col(f"__c{i}")).alias(f"__{i}_nn"))
+        if i in unnamed:
+            v = F.col(f"__v{i}")
             aggs.append(F.count(v).alias(f"__{i}_num"))
             aggs += [F.count_if(v.between(lo, hi)).alias(f"__{i}_r{j}") for j, (lo, hi, _) in enumerate(rules)]
             num = F.col(f"__{i}_num")
@@ -346,7 +354,7 @@ def entity_catalog(df: DataFrame, domain: str, entity: str) -> DataFrame:
                                 F.lit(type_class(f.dataType)).alias("type_class"),
                                 F.col(f"__{i}_nn").alias("nonnull"), num.alias("num_values"),
                                 rng.alias("in_range")))
-    wide = df.agg(*aggs)
+    wide = src.agg(*aggs)
     return (wide.select(F.lit(domain).alias("domain"), F.lit(entity).alias("entity"),
                         F.col("__rows").alias("n_rows"), F.explode(F.array(*structs)).alias("s"))
             .select("domain", "entity", "s.raw_column", "s.position", "s.type_class", "n_rows",
