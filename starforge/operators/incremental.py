@@ -15,10 +15,18 @@ from pyspark.sql import functions as F
 from starforge.operators.clean import first_per_key
 from starforge.operators.joins import null_safe_anti_join
 from starforge.operators.keys import dense_ids
+from starforge.session import ensure_checkpoint_dir
 
 CHECKSUM = "_row_checksum"
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Write a delta once to the shared checkpoint folder (it is counted,
+    numbered and appended - three reads - and must not change in between)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def max_key(existing: DataFrame, key_col: str) -> int:
     """MAX(key) of the existing table, 0 when empty (one scalar to the driver)."""
     v = existing.agg(F.max(key_col)).first()[0]
@@ -48,11 +56,11 @@ def load_dimension(existing: DataFrame | None, batch: DataFrame, entity: str, na
     """Keys 1..N on first load / full reload, else unseen ids get max+1.."""
     key_col = f"{entity}_key"
     if full_reload or existing is None:
-        appended = dense_ids(batch, [nat], key_col, 1)
+        appended = dense_ids(materialize(batch), [nat], key_col, 1, stable_input=True)
         return appended, appended
     start = max_key(existing, key_col) + 1
-    fresh = new_rows(existing, batch, nat, null_safe=True)
-    appended = dense_ids(fresh, [nat], key_col, start).select(*existing.columns)
+    fresh = materialize(new_rows(existing, batch, nat, null_safe=True))
+    appended = dense_ids(fresh, [nat], key_col, start, stable_input=True).select(*existing.columns)
     return existing.unionByName(appended), appended
 
 
@@ -79,11 +87,11 @@ def load_fact(existing: DataFrame | None, batch: DataFrame, full_reload: bool =
     """
     batch = dedup_checksums(batch, on_duplicate, order_cols)
     if full_reload or existing is None:
-        appended = dense_ids(batch, [CHECKSUM], "fact_id", 1)
+        appended = dense_ids(materialize(batch), [CHECKSUM], "fact_id", 1, stable_input=True)
         return appended, appended
     start = max_key(existing, "fact_id") + 1
-    fresh = new_rows(existing, batch, CHECKSUM)
-    appended = dense_ids(fresh, [CHECKSUM], "fact_id", start).select(*existing.columns)
+    fresh = materialize(new_rows(existing, batch, CHECKSUM))
+    appended = dense_ids(fresh, [CHECKSUM], "fact_id", start, stable_input=True).select(*existing.columns)
     return existing.unionByName(appended), appended
 
 
