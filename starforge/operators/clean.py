@@ -10,9 +10,15 @@ from starforge.functions.names import dedupe_names, normalize_name
 from starforge.functions.text import null_na_tokens, trim_ws
 
 
+# Columns added by the readers (lineage); they pass through P1 unchanged.
+SYSTEM_COLUMNS = ("_bronze_path", "_src_row")
+
+
 def normalize_names(df: DataFrame) -> DataFrame:
     """Normalise every column name; names that collide get ``_dupN``."""
-    return df.toDF(*dedupe_names([normalize_name(c) for c in df.columns]))
+    raw = [c for c in df.columns if c not in SYSTEM_COLUMNS]
+    new = dict(zip(raw, dedupe_names([normalize_name(c) for c in raw])))
+    return df.toDF(*[new.get(c, c) for c in df.columns])
 
 
 def _string_cols(df: DataFrame, skip_system: bool = True) -> list[str]:

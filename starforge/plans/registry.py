@@ -893,13 +893,12 @@ def q_trace_cell(spark, d):
 
 @register("validate_apex", """
 WITH a AS (""" + "\nUNION ALL ".join(
-    f"SELECT {S.q(m)} AS measure FROM lineitem" if False else f"SELECT {S.q(m)} AS measure" for m in LI_MEASURES) + """)
+    f"SELECT DISTINCT {S.q(m)} AS measure FROM lineitem" for m in LI_MEASURES) + """)
 SELECT 'original' AS copy, measure, TRUE AS ok FROM a
 UNION ALL SELECT 'corrupted', measure, measure <> 'l_quantity' FROM a""")
 def q_validate_apex(spark, d):
     f = _lineitem_h(spark, d)
     lat = cube.lattice(f, [], None, LI_MEASURES)
-    ap = cube.apex(f, LI_MEASURES)  # same shape as a stored apex cuboid
     stored = lat.select(F.explode(F.array(*[F.struct(F.lit(m).alias("measure"),
                                                        F.col(f"{m}_sum").cast("double").alias("sum"),
                                                        F.col(f"{m}_count").alias("count"),
@@ -908,7 +907,6 @@ def q_validate_apex(spark, d):
     corrupted = stored.withColumn("sum", F.when(F.col("measure") == "l_quantity", F.col("sum") + 1).otherwise(F.col("sum")))
     ok = validate.apex_check(f, stored, LI_MEASURES).select(F.lit("original").alias("copy"), "measure", "ok")
     bad = validate.apex_check(f, corrupted, LI_MEASURES).select(F.lit("corrupted").alias("copy"), "measure", "ok")
-    del ap
     return ok.unionByName(bad)
 
 

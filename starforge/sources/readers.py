@@ -191,10 +191,10 @@ def read_xlsx(spark: SparkSession, paths: list[str], root: str | None = None) ->
     cells = cells.join(first, ["path", "sheet"], "left_semi")
     header = cells.where(F.col("row") == 0).select("path", "col", F.col("value").alias("name"))
     body = cells.where(F.col("row") > 0).join(header, ["path", "col"], "inner")
-    names = [r[0] for r in header.select("name").distinct().orderBy("name").collect()]   # schema-sized
+    # header names in column order (schema-sized metadata)
+    names = [r[0] for r in header.groupBy("name").agg(F.min("col").alias("c")).orderBy("c", "name").collect()]
     wide = body.groupBy("path", "row").pivot("name", names).agg(F.first("value"))
-    order = {n: i for i, n in enumerate(names)}
-    out = wide.select(*[F.col(f"`{n}`") for n in sorted(names, key=order.get)],
+    out = wide.select(*[F.col(f"`{n}`") for n in names],
                       _rel(F.col("path"), root).alias("_bronze_path"), F.col("row").cast("long").alias("_src_row"))
     return out
 
