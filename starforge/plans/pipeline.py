@@ -37,10 +37,18 @@ def _union(frames: list[DataFrame]) -> DataFrame:
 
 
 def bronze_to_silver(spark: SparkSession, bronze_root: str, silver_root: str, store: TableStore,
-                     cfg: C.Config, run_id: str, size_limit: int | None = None) -> RunResult:
-    """S1-S14, P1-P9, T0-T5, H1-H9, Q-profile, S20-S22 for one Bronze root."""
+                     cfg: C.Config, run_id: str, size_limit: int | None = None,
+                     only_paths: list[str] | None = None) -> RunResult:
+    """S1-S14, P1-P9, T0-T5, H1-H9, Q-profile, S20-S22 for one Bronze root.
+
+    ``only_paths`` (relative paths) restricts the run to some files, e.g. the
+    files of one streaming micro-batch.
+    """
     prev = store.read("catalog")
-    catalog = CAT.with_source_date(CAT.build(spark, bronze_root, prev)).cache()
+    catalog = CAT.with_source_date(CAT.build(spark, bronze_root, prev))
+    if only_paths is not None:
+        catalog = catalog.where(F.col("path").isin(list(only_paths)))
+    catalog = catalog.cache()
     existing = store.read("silver_outputs")
     gated = gate(catalog, existing, size_limit).cache()
     todo = gated.where(F.col("status") == "SUCCESS").select("path", "domain", "entity", "format").collect()
@@ -102,7 +110,10 @@ def bronze_to_silver(spark: SparkSession, bronze_root: str, silver_root: str, st
     store.append("silver_outputs", done)
     store.append("processing_log", results.drop("on_disk", "decodable", "out_checksum"))
     store.append("lineage_log", lineage_log(results, run_id))
-    store.replace("catalog", catalog)
+    if only_paths is None:
+        store.replace("catalog", catalog)
+    else:
+        store.append("catalog", catalog)
     return RunResult(catalog, results, mappings)
 
 

@@ -25,7 +25,7 @@ def test_resolution_order(spark):
     got = _resolve(spark, ["Order No", "Cust Id", "Order Dt", "Order Total", "Order Status", "update_amount",
                            "Customer Phone", "promo_code"])
     assert got["Order No"] == ("order_id", "alias", False)
-    assert got["Cust Id"][0] == "cust_id" and got["Cust Id"][1] == "heuristic_name" or got["Cust Id"][1] == "fallback"
+    assert got["Cust Id"] == ("customer_id", "alias", False)
     assert got["Order Dt"] == ("order_date", "alias", False)
     assert got["Order Total"] == ("amount", "alias", False)
     assert got["Order Status"] == ("status", "alias", False)
