@@ -6,15 +6,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def null_profile(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
-    """Q1: column, rows, nulls, null_pct = round(100 * nulls / rows, 2) - one aggregate."""
-    cols = cols if cols is not None else list(df.columns)
-    wide = df.agg(F.count(F.lit(1)).alias("__rows"),
-                  *[F.count_if(F.col(f"`{c}`").isNull()).alias(f"__n{i}") for i, c in enumerate(cols)])
+def null_profile(df: DataFrame, cols: list[str] | None = None, by: list[str] | None = None) -> DataFrame:
+    """Q1: column, rows, nulls, null_pct = round(100 * nulls / rows, 2) - one aggregate.
+
+    ``by`` (e.g. ``_bronze_path``) profiles each source separately in the
+    same pass; lineage columns are profiled too, as in the reference.
+    """
+    by = by or []
+    cols = cols if cols is not None else [c for c in df.columns if c not in by]
+    g = df.groupBy(*by) if by else df
+    wide = g.agg(F.count(F.lit(1)).alias("__rows"),
+                 *[F.count_if(F.col(f"`{c}`").isNull()).alias(f"__n{i}") for i, c in enumerate(cols)])
     structs = [F.struct(F.lit(c).alias("column"), F.lit(i).alias("position"), F.col(f"__n{i}").alias("nulls"))
                for i, c in enumerate(cols)]
-    return (wide.select(F.col("__rows").alias("rows"), F.explode(F.array(*structs)).alias("s"))
-            .select("s.column", "s.position", "rows", "s.nulls",
+    return (wide.select(*by, F.col("__rows").alias("rows"), F.explode(F.array(*structs)).alias("s"))
+            .select(*by, "s.column", "s.position", "rows", "s.nulls",
                     F.round(F.when(F.col("rows") > 0, F.col("s.nulls") * 100.0 / F.col("rows"))
                             , 2).alias("null_pct")))
 
@@ -60,3 +66,29 @@ def drift(prev_cols: DataFrame, cur_cols: DataFrame) -> DataFrame:
     j = p.join(c, "column", "full_outer")
     return (j.where(F.col("__p").isNull() | F.col("__c").isNull())
             .select("column", F.when(F.col("__p").isNull(), F.lit("added")).otherwise(F.lit("removed")).alias("change")))
+
+
+def assemble(silver: DataFrame, per: str, labels: dict[str, str], mapping: DataFrame,
+             removed: DataFrame, prev_columns: DataFrame | None) -> dict[str, DataFrame]:
+    """Q5: the per-file quality profile as long tables.
+
+    ``columns``: source_file, column, rows, nulls, null_pct, type_label,
+    mapped_from, method; ``summary``: source_file, row_count, column_count,
+    completeness, duplicates_removed; ``drift``: column, change against the
+    entity's previous load (empty when the columns are unchanged).
+    """
+    spark = silver.sparkSession
+    from starforge.config import local_df
+    prof = null_profile(silver, by=[per]).withColumnRenamed(per, "source_file")
+    lab = local_df(spark, sorted(labels.items()), "column string, type_label string")
+    maps = mapping.select(F.col("final_column").alias("column"), F.col("raw_column").alias("mapped_from"), "method")
+    cols = (prof.join(F.broadcast(lab), "column", "left").join(F.broadcast(maps), "column", "left"))
+    n_cols = len(silver.columns) - 1
+    summary = (prof.groupBy("source_file").agg(F.max("rows").alias("row_count"),
+                                                 F.round(100 - F.avg("null_pct"), 2).alias("completeness"))
+               .withColumn("column_count", F.lit(n_cols))
+               .join(removed.withColumnRenamed(per, "source_file"), "source_file", "left"))
+    cur = local_df(spark, [(c,) for c in silver.columns if c != per], "column string")
+    drift_df = drift(prev_columns, cur) if prev_columns is not None else cur.limit(0).withColumn(
+        "change", F.lit(None).cast("string"))
+    return {"columns": cols, "summary": summary, "drift": drift_df}

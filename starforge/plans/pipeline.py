@@ -14,11 +14,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starforge import config as C
-from starforge.operators import clean, cube, harmonize, incremental, infer, star, validate
+from starforge.operators import clean, cube, harmonize, incremental, infer, profile, star, validate
 from starforge.operators.ingest import gate, lineage_log, status_summary
 from starforge.operators.lineage import add_lineage
 from starforge.sources import catalog as CAT
 from starforge.sources.readers import read_group
+from starforge.session import ensure_checkpoint_dir
 from starforge.sources.sinks import TableStore, write_partitioned
 
 CSV_LIKE = (".csv", ".xlsx", ".xls")
@@ -48,9 +49,13 @@ def bronze_to_silver(spark: SparkSession, bronze_root: str, silver_root: str, st
     catalog = CAT.with_source_date(CAT.build(spark, bronze_root, prev))
     if only_paths is not None:
         catalog = catalog.where(F.col("path").isin(list(only_paths)))
-    catalog = catalog.cache()
+    # Checkpoint, not cache: this run appends to the tables these plans read
+    # (catalog, silver_outputs), and a write refreshes cached plans over its
+    # path - the gate would be re-evaluated against its own outputs.
+    ensure_checkpoint_dir(spark)
+    catalog = catalog.checkpoint(eager=True)
     existing = store.read("silver_outputs")
-    gated = gate(catalog, existing, size_limit).cache()
+    gated = gate(catalog, existing, size_limit).checkpoint(eager=True)
     todo = gated.where(F.col("status") == "SUCCESS").select("path", "domain", "entity", "format").collect()
     groups: dict[tuple[str, str], dict[str, list[str]]] = {}
     for r in todo:     # one row per file: metadata, bounded by the number of files
@@ -60,7 +65,7 @@ def bronze_to_silver(spark: SparkSession, bronze_root: str, silver_root: str, st
     memory = store.read("mapping_memory")
     if memory is None:
         memory = C.empty_memory(spark)
-    memory = memory.cache()
+    memory = memory.checkpoint(eager=True)
     per_file = []
     mappings = []
     for (domain, entity), by_fmt in sorted(groups.items()):
@@ -71,7 +76,7 @@ def bronze_to_silver(spark: SparkSession, bronze_root: str, silver_root: str, st
             clean_parts.append(clean.clean(raw, per=["_bronze_path"], csv_like=fmt in CSV_LIKE))
         raw_all = _union(raw_parts)
         cleaned = _union(clean_parts)
-        typed, _labels = infer.infer_and_cast(cleaned, cfg=cfg)
+        typed, labels = infer.infer_and_cast(cleaned, cfg=cfg)
         renamed, mapping = harmonize.harmonize(typed, domain, entity, cfg, memory)
         mappings.append(mapping)
         review = mapping.agg(F.coalesce(F.bool_or("needs_review"), F.lit(False))).first()[0]
@@ -83,6 +88,25 @@ def bronze_to_silver(spark: SparkSession, bronze_root: str, silver_root: str, st
         counts_in = raw_all.groupBy(F.col("_bronze_path").alias("path")).agg(F.count(F.lit(1)).alias("rows_in"))
         counts_out = cleaned.groupBy(F.col("_bronze_path").alias("path")).agg(F.count(F.lit(1)).alias("rows_out"))
         per_file.append(counts_in.join(counts_out, "path", "left").withColumn("needs_review", F.lit(bool(review))))
+        # Q5: quality profile per source file, drift against the entity's previous load
+        nonempty = raw_all.transform(clean.normalize_names).transform(
+            lambda x: clean.na_tokens(x) if any(f in CSV_LIKE for f in by_fmt) else x).transform(
+            clean.trim_strings).transform(clean.drop_empty_rows)
+        removed = (nonempty.groupBy("_bronze_path").agg(F.count(F.lit(1)).alias("n_in"))
+                   .join(cleaned.groupBy("_bronze_path").agg(F.count(F.lit(1)).alias("n_out")), "_bronze_path")
+                   .select("_bronze_path", (F.col("n_in") - F.col("n_out")).alias("duplicates_removed")))
+        prev_cols = store.read("profile_columns")
+        if prev_cols is not None:
+            prev_cols = prev_cols.where((F.col("domain") == domain) & (F.col("entity") == entity)).select("column")
+            if prev_cols.isEmpty():
+                prev_cols = None
+        final = {r["raw_column"]: r["final_column"] for r in mapping.select("raw_column", "final_column").collect()}
+        prof = profile.assemble(silver.drop("_src_row"), "_bronze_path",
+                                {final.get(c, c): lab for c, lab in labels.items()}, mapping, removed, prev_cols)
+        tag = {"domain": F.lit(domain), "entity": F.lit(entity), "run_id": F.lit(run_id)}
+        store.append("profile_columns", prof["columns"].withColumns(tag))
+        store.append("profile_summary", prof["summary"].withColumns(tag))
+        store.append("schema_drift", prof["drift"].withColumns(tag))
 
     counts = _union(per_file) if per_file else None
     results = gated
@@ -188,7 +212,9 @@ def gold_olap(spark: SparkSession, store: TableStore, reference_measures: bool =
         date_keys = cube.date_key_columns(f, sorted(dim_keys))
         ms = cube.measures(f, reference_measures)
         lat = cube.lattice(f, keys, date_keys[0] if date_keys else None, ms)
-        path = store.replace(f"cuboids_{n}", lat.repartition("cuboid"))
+        # partitioned on write: every task writes its share of every cuboid, so
+        # a large cuboid never lands in one task
+        path = store.replace(f"cuboids_{n}", lat, partition_by=["cuboid"])
         counts = spark.read.parquet(path).groupBy("cuboid").count().collect()   # one row per cuboid
         rows += [(f"cuboid_{n}_{r['cuboid']}", "cuboid", n, r["count"]) for r in counts]
     return C.local_df(spark, rows, "name string, kind string, fact string, rows long")

@@ -7,7 +7,7 @@ pruned and files are not read.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starforge.functions.hashing import content_checksum
@@ -76,23 +76,12 @@ def with_source_date(df: DataFrame, path_col: str = "path") -> DataFrame:
     return df.withColumns({"year": y, "month": m})
 
 
-def duplicates(catalog: DataFrame) -> DataFrame:
-    """``duplicate_of`` = the earliest-seen other path with the same checksum.
-
-    A window partitioned by checksum: one group holds the copies of one file,
-    so the group size is the number of copies (a hot checksum is handled as a
-    skewed window partition by AQE, never collected).
-    """
-    w = Window.partitionBy("checksum").orderBy("first_seen", "path")
-    first = F.first("path").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    return catalog.withColumn("duplicate_of", F.when(first != F.col("path"), first))
-
-
 def first_of_checksum(catalog: DataFrame) -> DataFrame:
-    """S4 without a window: (checksum, first path) via map-side ``min``, then a join.
+    """``duplicate_of`` = the earliest-seen other path with the same checksum.
 
-    Scales for a checksum held by a third of all files: the aggregate reduces
-    each task's copies to one row before the shuffle.
+    (checksum, first path) via map-side ``min(struct(first_seen, path))``,
+    then a join: a checksum held by a third of all files is reduced to one
+    row per task before the shuffle, never gathered in one window.
     """
     firsts = catalog.groupBy("checksum").agg(F.min(F.struct("first_seen", "path")).alias("__f"))
     j = catalog.join(firsts, "checksum", "left")

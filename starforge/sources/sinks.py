@@ -62,12 +62,16 @@ class TableStore:
         vs = self._versions(name)
         return self.spark.read.parquet(self.path(name, vs[-1])) if vs else None
 
-    def replace(self, name: str, df: DataFrame, sort_within: list[str] | None = None) -> str:
+    def replace(self, name: str, df: DataFrame, sort_within: list[str] | None = None,
+                partition_by: list[str] | None = None) -> str:
         """Write a new version (readers of the old one are unaffected)."""
         vs = self._versions(name)
         path = self.path(name, (vs[-1] + 1) if vs else 1)
         out = df.sortWithinPartitions(*sort_within) if sort_within else df
-        out.write.mode("overwrite").option("compression", "snappy").parquet(path)
+        w = out.write.mode("overwrite").option("compression", "snappy")
+        if partition_by:
+            w = w.partitionBy(*partition_by)
+        w.parquet(path)
         return path
 
     def append(self, name: str, df: DataFrame) -> str:

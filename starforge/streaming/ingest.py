@@ -24,6 +24,9 @@ from starforge.sources import catalog as CAT
 from starforge.sources.sinks import TableStore
 
 
+BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
+
+
 def ingest_stream(spark: SparkSession, bronze_root: str, lake_root: str, checkpoint: str,
                   cfg: C.Config | None = None, run_id: str = "stream", max_files_per_trigger: int = 1000,
                   available_now: bool = True) -> StreamingQuery:
@@ -31,7 +34,8 @@ def ingest_stream(spark: SparkSession, bronze_root: str, lake_root: str, checkpo
     store = TableStore(spark, f"{lake_root.rstrip('/')}/tables")
     silver_root = f"{lake_root.rstrip('/')}/silver"
     root = bronze_root.rstrip("/")
-    files = (spark.readStream.format("binaryFile").option("recursiveFileLookup", "true")
+    files = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
+             .option("recursiveFileLookup", "true")
              .option("maxFilesPerTrigger", max_files_per_trigger).load(root)
              .select("path", "length"))   # content pruned: the batch job reads what it needs
 

@@ -39,8 +39,6 @@ def test_duplicates_and_merge(spark):
     merged = CAT.merge(listing, prev, F.lit(dt.datetime(2026, 2, 1)))
     dup = {r["path"]: r["duplicate_of"] for r in CAT.first_of_checksum(merged).collect()}
     assert dup == {"b.csv": None, "a.csv": "b.csv", "c.csv": None}    # earliest first_seen wins
-    win = {r["path"]: r["duplicate_of"] for r in CAT.duplicates(merged).collect()}
-    assert win == dup
 
 
 def test_gate_order(spark):

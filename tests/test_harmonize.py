@@ -29,8 +29,8 @@ def test_resolution_order(spark):
     assert got["Order Dt"] == ("order_date", "alias", False)
     assert got["Order Total"] == ("amount", "alias", False)
     assert got["Order Status"] == ("status", "alias", False)
-    # 'date' is checked before 'amount', but update_amount holds no 'date'
-    assert got["update_amount"] == ("amount", "heuristic_name", False)
+    # 'update_amount' contains 'date', a rule without target: the search ends, no rename
+    assert got["update_amount"] == ("update_amount", "fallback", True)
     assert got["Customer Phone"] == ("phone_number", "heuristic_name", False)
     assert got["promo_code"] == ("promo_code", "fallback", True)
 

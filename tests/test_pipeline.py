@@ -54,3 +54,23 @@ def test_pipeline_end_to_end_and_rerun(spark, tmpdir_path):
     out2 = pipeline.run(spark, bronze, lake, C.Config.load(), run_id="r2")
     assert {r["status"] for r in out2["status"].collect()} == {"SKIPPED"}
     assert store.read("fact_retail_orders").count() == 15
+
+
+def test_quality_profile_and_drift(spark, tmpdir_path):
+    bronze = os.path.join(tmpdir_path, "bronze")
+    lake = os.path.join(tmpdir_path, "lake")
+    os.makedirs(os.path.join(bronze, "shop"))
+    with open(os.path.join(bronze, "shop", "items_20260101.csv"), "w") as fh:
+        fh.write("item id,price,note\nI1,1.5,\nI2,,x\nI2,,x\n")
+    pipeline.run(spark, bronze, lake, C.Config.load(), run_id="a")
+    store = TableStore(spark, os.path.join(lake, "tables"))
+    summ = store.read("profile_summary").first()
+    assert (summ["row_count"], summ["duplicates_removed"]) == (2, 1)
+    cols = {r["column"]: (r["null_pct"], r["type_label"]) for r in store.read("profile_columns").collect()}
+    assert cols["price"] == (50.0, "numeric")
+    assert store.read("schema_drift").count() == 0
+    with open(os.path.join(bronze, "shop", "items_20260201.csv"), "w") as fh:
+        fh.write("item id,price,colour\nI3,2.0,red\n")
+    pipeline.run(spark, bronze, lake, C.Config.load(), run_id="b")
+    drift = {(r["column"], r["change"]) for r in store.read("schema_drift").collect()}
+    assert ("colour", "added") in drift and ("note", "removed") in drift

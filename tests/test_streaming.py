@@ -32,6 +32,7 @@ def test_ingest_stream_processes_new_files_once(spark, tmpdir_path):
     q2 = ingest_stream(spark, bronze, lake, ckpt, C.Config.load())
     q2.awaitTermination(300)
     log = store.read("processing_log")
+    print([(r["path"], r["status"], r["reason"]) for r in log.collect()])
     assert log.count() == 2 and log.where("status = 'SUCCESS'").count() == 2
 
 
