@@ -150,6 +150,12 @@ def pending_review(memory: DataFrame) -> DataFrame:
     return memory.where(~F.col("approved")).groupBy("domain", "entity").agg(F.count(F.lit(1)).alias("pending"))
 
 
+MAPPING_COLUMNS = ["domain", "entity", "raw_column", "position", "raw_norm", "mapped", "method", "final_column",
+                   "needs_review", "range_mapped"]
+MAPPING_SCHEMA = ("domain string, entity string, raw_column string, position int, raw_norm string, mapped string, "
+                  "method string, final_column string, needs_review boolean, range_mapped string")
+
+
 def harmonize(df: DataFrame, domain: str, entity: str, cfg: C.Config,
               memory: DataFrame | None = None, with_ranges: bool = True):
     """Harmonise one entity's DataFrame. Returns (renamed DataFrame, mapping DataFrame)."""
@@ -161,6 +167,10 @@ def harmonize(df: DataFrame, domain: str, entity: str, cfg: C.Config,
     unnamed = [c for c in business if re.match(C.UNNAMED_COLUMN_PATTERN, normalize_name(c))]
     if with_ranges and unnamed and cfg.range_rules:
         cat = cat.join(F.broadcast(range_stats(df, unnamed, cfg)), "raw_column", "left")
-    mapping = resolve(cat, cfg, memory, spark)
-    names = {r["raw_column"]: r["final_column"] for r in mapping.select("raw_column", "final_column").collect()}
+    mapping = resolve(cat, cfg, memory, spark).select(*MAPPING_COLUMNS)
+    # one collect of the schema-sized decisions; re-used as a local table so
+    # later consumers (memory upsert, profile) do not rescan the data
+    rows = [tuple(r) for r in mapping.collect()]
+    mapping = C.local_df(spark, rows, MAPPING_SCHEMA)
+    names = {r[2]: r[7] for r in rows}
     return apply(df, names), mapping

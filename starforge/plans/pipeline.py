@@ -79,7 +79,8 @@ def bronze_to_silver(spark: SparkSession, bronze_root: str, silver_root: str, st
         typed, labels = infer.infer_and_cast(cleaned, cfg=cfg)
         renamed, mapping = harmonize.harmonize(typed, domain, entity, cfg, memory)
         mappings.append(mapping)
-        review = mapping.agg(F.coalesce(F.bool_or("needs_review"), F.lit(False))).first()[0]
+        decisions = mapping.select("raw_column", "final_column", "needs_review").collect()   # local table
+        review = any(r["needs_review"] for r in decisions)
         silver = add_lineage(renamed, catalog, run_id, needs_review=F.lit(bool(review)))
         parts = catalog.select(F.col("path").alias("_bronze_path"), "year", "month")
         out = silver.join(F.broadcast(parts), "_bronze_path", "left").withColumns(
@@ -100,7 +101,7 @@ def bronze_to_silver(spark: SparkSession, bronze_root: str, silver_root: str, st
             prev_cols = prev_cols.where((F.col("domain") == domain) & (F.col("entity") == entity)).select("column")
             if prev_cols.isEmpty():
                 prev_cols = None
-        final = {r["raw_column"]: r["final_column"] for r in mapping.select("raw_column", "final_column").collect()}
+        final = {r["raw_column"]: r["final_column"] for r in decisions}
         prof = profile.assemble(silver.drop("_src_row"), "_bronze_path",
                                 {final.get(c, c): lab for c, lab in labels.items()}, mapping, removed, prev_cols)
         tag = {"domain": F.lit(domain), "entity": F.lit(entity), "run_id": F.lit(run_id)}

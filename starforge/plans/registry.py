@@ -1015,3 +1015,46 @@ SELECT order_id, customer_id, o_orderstatus, amount, strftime(order_date, '%Y-%m
        o_orderpriority FROM holey_orders""")
 def q_export_records(spark, d):
     return drill.export_records(FX.holey_orders(spark, d).select(*HOLEY_COLS))
+
+
+# =====================================================================  readers over files Spark derives from the tables
+def _scratch(spark, name: str) -> str:
+    """A fresh folder under the shared checkpoint folder for derived Bronze files."""
+    import uuid
+    from starforge.session import ensure_checkpoint_dir
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/bronze-{name}-{uuid.uuid4().hex[:12]}"
+
+
+def _bronze_files(spark, root: str) -> list[str]:
+    """The data files under a folder (file names only; content pruned)."""
+    from starforge.sources.catalog import list_files
+    fs = list_files(spark, root, with_content=False).where(~F.col("path").rlike(r"(^|/)[_.]"))
+    return [f"{root}/{r['path']}" for r in fs.select("path").collect()]   # one row per file
+
+
+@register("csv_roundtrip", _dirty_sql(f"SELECT {CLEAN_ORDERS_SELECT} FROM dirty_clean"))
+def q_csv_roundtrip(spark, d):
+    """S1, S7, S11, P6, T: dirty orders written as CSV files, read back and cleaned."""
+    from starforge.sources.readers import read_group
+    root = _scratch(spark, "csv")
+    # four Bronze files with the raw headers; NA markers and blanks as written text
+    (FX.dirty_orders(spark, d).repartition(4).write.option("header", True).option("nullValue", "")
+     .option("emptyValue", "").option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+     .csv(f"{root}/tpch/orders_2026"))
+    raw = read_group(spark, _bronze_files(spark, root), ".csv", root)
+    cleaned = clean.clean(raw, per=None, csv_like=True).drop("_bronze_path", "_src_row")
+    typed, _ = infer.infer_and_cast(cleaned, cfg=FX.cfg())
+    return typed
+
+
+@register("xml_roundtrip", """
+SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey,
+       CAST(c_acctbal AS VARCHAR) AS c_acctbal, c_mktsegment FROM customer""")
+def q_xml_roundtrip(spark, d):
+    """Customer written as XML record files and read back as text columns."""
+    from starforge.sources.readers import read_group
+    root = _scratch(spark, "xml")
+    (FX.table(spark, d, "customer").repartition(3).write.format("xml").option("rowTag", "record")
+     .option("rootTag", "customers").save(f"{root}/tpch/customer_2026"))
+    raw = read_group(spark, _bronze_files(spark, root), ".xml", root)
+    return raw.drop("_bronze_path", "_src_row")
