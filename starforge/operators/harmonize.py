@@ -174,3 +174,41 @@ def harmonize(df: DataFrame, domain: str, entity: str, cfg: C.Config,
     mapping = C.local_df(spark, rows, MAPPING_SCHEMA)
     names = {r[2]: r[7] for r in rows}
     return apply(df, names), mapping
+
+
+def harmonize_many(frames: dict, cfg: C.Config, memory: DataFrame | None = None):
+    """Harmonise many entities with one resolution job.
+
+    ``frames``: (domain, entity) -> DataFrame. Returns ({key: renamed}, local
+    mapping table). Range statistics are computed only for unhelpful names,
+    in one union job; the resolution itself runs once over the combined column
+    catalog.
+    """
+    keys = list(frames)
+    if not keys:
+        return {}, None
+    spark = frames[keys[0]].sparkSession
+    rows, stats = [], []
+    for d, e in keys:
+        business = [c for c in frames[(d, e)].columns if not c.startswith("_")]
+        rows += [(d, e, c, i) for i, c in enumerate(business)]
+        unnamed = [c for c in business if re.match(C.UNNAMED_COLUMN_PATTERN, normalize_name(c))]
+        if unnamed and cfg.range_rules:
+            stats.append(range_stats(frames[(d, e)], unnamed, cfg).select(
+                F.lit(d).alias("domain"), F.lit(e).alias("entity"), "*"))
+    cat = C.local_df(spark, rows, "domain string, entity string, raw_column string, position int")
+    if stats:
+        st = stats[0]
+        for x in stats[1:]:
+            st = st.unionByName(x)
+        st = C.local_df(spark, [tuple(r) for r in st.collect()],
+                        "domain string, entity string, raw_column string, n_rows bigint, num_values bigint, "
+                        "in_range array<bigint>")
+        cat = cat.join(st, ["domain", "entity", "raw_column"], "left")
+    mapping = resolve(cat, cfg, memory, spark).select(*MAPPING_COLUMNS)
+    decided = [tuple(r) for r in mapping.collect()]
+    mapping = C.local_df(spark, decided, MAPPING_SCHEMA)
+    names: dict = {k: {} for k in keys}
+    for r in decided:
+        names[(r[0], r[1])][r[2]] = r[7]
+    return {k: apply(frames[k], names[k]) for k in keys}, mapping

@@ -119,3 +119,27 @@ def infer_and_cast(df: DataFrame, cols: list[str] | None = None, cfg: C.Config |
     cols = cols if cols is not None else [c for c in df.columns if not c.startswith("_")]
     decided = labels(df, cols, cfg)
     return cast(df, decided, cfg), {c: v[0] for c, v in decided.items()}
+
+
+def labels_many(frames: dict, cfg: C.Config | None = None) -> dict:
+    """Type decisions of many DataFrames in one job.
+
+    ``frames``: key -> (DataFrame, columns). The per-frame long statistics are
+    unioned, so all entities are decided by one action that returns one row
+    per column (schema-sized).
+    """
+    cfg = cfg or C.Config.load()
+    keys = list(frames)
+    if not keys:
+        return {}
+    parts = [column_stats(df, cols, cfg).withColumn("__k", F.lit(i)) for i, (df, cols) in
+             ((i, frames[k]) for i, k in enumerate(keys)) if cols]
+    out = {k: {} for k in keys}
+    if not parts:
+        return out
+    allstats = parts[0]
+    for p in parts[1:]:
+        allstats = allstats.unionByName(p)
+    for r in decide(allstats).select("__k", "column", "label", "integral").collect():
+        out[keys[r["__k"]]][r["column"]] = (r["label"], bool(r["integral"]))
+    return out

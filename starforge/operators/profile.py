@@ -59,17 +59,27 @@ def sample_values(df: DataFrame, order_cols: list[str], n: int = 3, cols: list[s
     return out
 
 
-def drift(prev_cols: DataFrame, cur_cols: DataFrame) -> DataFrame:
-    """Columns added or removed against the previous load (``column``)."""
-    p = prev_cols.select("column").distinct().withColumn("__p", F.lit(True))
-    c = cur_cols.select("column").distinct().withColumn("__c", F.lit(True))
-    j = p.join(c, "column", "full_outer")
+def drift(prev_cols: DataFrame, cur_cols: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """Columns added or removed against the previous load (``column``).
+
+    ``keys`` (e.g. domain, entity) compares many entities at once; only
+    entities present on both sides are compared.
+    """
+    keys = keys or []
+    p = prev_cols.select(*keys, "column").distinct().withColumn("__p", F.lit(True))
+    c = cur_cols.select(*keys, "column").distinct().withColumn("__c", F.lit(True))
+    if keys:
+        both = p.select(*keys).distinct().join(c.select(*keys).distinct(), keys)
+        p = p.join(both, keys, "left_semi")
+        c = c.join(both, keys, "left_semi")
+    j = p.join(c, keys + ["column"], "full_outer")
     return (j.where(F.col("__p").isNull() | F.col("__c").isNull())
-            .select("column", F.when(F.col("__p").isNull(), F.lit("added")).otherwise(F.lit("removed")).alias("change")))
+            .select(*keys, "column",
+                    F.when(F.col("__p").isNull(), F.lit("added")).otherwise(F.lit("removed")).alias("change")))
 
 
 def assemble(silver: DataFrame, per: str, labels: dict[str, str], mapping: DataFrame,
-             removed: DataFrame, prev_columns: DataFrame | None) -> dict[str, DataFrame]:
+             removed: DataFrame, prev_columns: DataFrame | None = None) -> dict[str, DataFrame]:
     """Q5: the per-file quality profile as long tables.
 
     ``columns``: source_file, column, rows, nulls, null_pct, type_label,

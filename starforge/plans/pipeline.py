@@ -7,6 +7,9 @@ Tables live in a versioned ``TableStore`` under one shared root.
 
 from __future__ import annotations
 
+import os
+import sys
+import time
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -18,7 +21,7 @@ from starforge.operators import clean, cube, harmonize, incremental, infer, prof
 from starforge.operators.ingest import gate, lineage_log, status_summary
 from starforge.operators.lineage import add_lineage
 from starforge.sources import catalog as CAT
-from starforge.sources.readers import read_group
+from starforge.sources.readers import csv_layout, read_group
 from starforge.session import ensure_checkpoint_dir
 from starforge.sources.sinks import TableStore, write_partitioned
 
@@ -26,6 +29,23 @@ CSV_LIKE = (".csv", ".xlsx", ".xls")
 SILVER_PARTITIONS = ["domain", "entity", "year", "month"]
 
 
+_TIMING = os.environ.get("STARFORGE_TIMING") == "1"
+
+
+class _phase:
+    """Wall-clock of a pipeline phase on stderr when STARFORGE_TIMING=1."""
+
+    def __init__(self, name):
+        self.name = name
+
+    def __enter__(self):
+        self.t = time.perf_counter()
+
+    def __exit__(self, *a):
+        if _TIMING:
+            print(f"[starforge] {self.name}: {time.perf_counter() - self.t:.2f}s", file=sys.stderr, flush=True)
+
+
 @dataclass
 class RunResult:
     catalog: DataFrame
@@ -45,6 +65,7 @@ def bronze_to_silver(spark: SparkSession, bronze_root: str, silver_root: str, st
     ``only_paths`` (relative paths) restricts the run to some files, e.g. the
     files of one streaming micro-batch.
     """
+    ph = _phase("catalog+gate"); ph.__enter__()
     prev = store.read("catalog")
     catalog = CAT.with_source_date(CAT.build(spark, bronze_root, prev))
     if only_paths is not None:
@@ -66,48 +87,91 @@ def bronze_to_silver(spark: SparkSession, bronze_root: str, silver_root: str, st
     if memory is None:
         memory = C.empty_memory(spark)
     memory = memory.checkpoint(eager=True)
-    per_file = []
-    mappings = []
-    for (domain, entity), by_fmt in sorted(groups.items()):
+    ph.__exit__()
+    keys = sorted(groups)
+    raw_of, clean_of = {}, {}
+    ph = _phase("reads"); ph.__enter__()
+    csv_paths = [p for k in keys for p in groups[k].get(".csv", [])]
+    layout = csv_layout(spark, csv_paths) if csv_paths else {}      # all CSV headers in one pass
+    for key in keys:                         # lazy reads, one per (format, header) group
         raw_parts, clean_parts = [], []
-        for fmt, paths in sorted(by_fmt.items()):
-            raw = read_group(spark, paths, fmt, bronze_root)
+        for fmt, paths in sorted(groups[key].items()):
+            raw = read_group(spark, paths, fmt, bronze_root, layout)
             raw_parts.append(raw)
             clean_parts.append(clean.clean(raw, per=["_bronze_path"], csv_like=fmt in CSV_LIKE))
-        raw_all = _union(raw_parts)
-        cleaned = _union(clean_parts)
-        typed, labels = infer.infer_and_cast(cleaned, cfg=cfg)
-        renamed, mapping = harmonize.harmonize(typed, domain, entity, cfg, memory)
-        mappings.append(mapping)
-        decisions = mapping.select("raw_column", "final_column", "needs_review").collect()   # local table
-        review = any(r["needs_review"] for r in decisions)
-        silver = add_lineage(renamed, catalog, run_id, needs_review=F.lit(bool(review)))
-        parts = catalog.select(F.col("path").alias("_bronze_path"), "year", "month")
+        raw_of[key], clean_of[key] = _union(raw_parts), _union(clean_parts)
+    ph.__exit__()
+
+    # pass 1 - T0-T5 for every entity in one job, H1-H9 for every entity in one job
+    ph = _phase("types"); ph.__enter__()
+    decided = infer.labels_many({k: (clean_of[k], [c for c in clean_of[k].columns if not c.startswith("_")])
+                                 for k in keys}, cfg)
+    typed = {k: infer.cast(clean_of[k], decided[k], cfg) for k in keys}
+    ph.__exit__()
+    ph = _phase("harmonize"); ph.__enter__()
+    renamed, mapping = harmonize.harmonize_many(typed, cfg, memory)
+    ph.__exit__()
+    decisions = mapping.collect() if mapping is not None else []          # local table
+    review = {k: False for k in keys}
+    final = {k: {} for k in keys}
+    for r in decisions:
+        review[(r["domain"], r["entity"])] |= bool(r["needs_review"])
+        final[(r["domain"], r["entity"])][r["raw_column"]] = r["final_column"]
+
+    # pass 2 - write Silver; everything below reads the written Silver (pruned
+    # Parquet, this run only) instead of re-reading and re-cleaning Bronze
+    parts = catalog.select(F.col("path").alias("_bronze_path"), "year", "month")
+    silver_cols = {}
+    for key in keys:
+        domain, entity = key
+        ph = _phase(f"write {domain}.{entity}"); ph.__enter__()
+        silver = add_lineage(renamed[key], catalog, run_id, needs_review=F.lit(review[key]))
+        silver_cols[key] = [c for c in silver.columns if c != "_src_row"]
         out = silver.join(F.broadcast(parts), "_bronze_path", "left").withColumns(
             {"domain": F.lit(domain), "entity": F.lit(entity)}).drop("_src_row")
         write_partitioned(out, silver_root, SILVER_PARTITIONS, mode="append")
-        counts_in = raw_all.groupBy(F.col("_bronze_path").alias("path")).agg(F.count(F.lit(1)).alias("rows_in"))
-        counts_out = cleaned.groupBy(F.col("_bronze_path").alias("path")).agg(F.count(F.lit(1)).alias("rows_out"))
-        per_file.append(counts_in.join(counts_out, "path", "left").withColumn("needs_review", F.lit(bool(review))))
-        # Q5: quality profile per source file, drift against the entity's previous load
-        nonempty = raw_all.transform(clean.normalize_names).transform(
-            lambda x: clean.na_tokens(x) if any(f in CSV_LIKE for f in by_fmt) else x).transform(
-            clean.trim_strings).transform(clean.drop_empty_rows)
-        removed = (nonempty.groupBy("_bronze_path").agg(F.count(F.lit(1)).alias("n_in"))
-                   .join(cleaned.groupBy("_bronze_path").agg(F.count(F.lit(1)).alias("n_out")), "_bronze_path")
-                   .select("_bronze_path", (F.col("n_in") - F.col("n_out")).alias("duplicates_removed")))
-        prev_cols = store.read("profile_columns")
-        if prev_cols is not None:
-            prev_cols = prev_cols.where((F.col("domain") == domain) & (F.col("entity") == entity)).select("column")
-            if prev_cols.isEmpty():
-                prev_cols = None
-        final = {r["raw_column"]: r["final_column"] for r in decisions}
-        prof = profile.assemble(silver.drop("_src_row"), "_bronze_path",
-                                {final.get(c, c): lab for c, lab in labels.items()}, mapping, removed, prev_cols)
-        tag = {"domain": F.lit(domain), "entity": F.lit(entity), "run_id": F.lit(run_id)}
-        store.append("profile_columns", prof["columns"].withColumns(tag))
-        store.append("profile_summary", prof["summary"].withColumns(tag))
-        store.append("schema_drift", prof["drift"].withColumns(tag))
+        ph.__exit__()
+
+    ph = _phase("profiles+logs"); ph.__enter__()
+    per_file = []
+    if keys:
+        ents = silver_entities(spark, silver_root, keys)
+        written = {k: ents[k].where(F.col("_pipeline_run_id") == run_id).select(*silver_cols[k]) for k in keys}
+        # three small per-file tables, each computed once for all entities
+        raw_counts = _union([_raw_counts(raw_of[k], any(f in CSV_LIKE for f in groups[k]))
+                             for k in keys]).checkpoint(eager=True)
+        out_counts = _union([written[k].groupBy("_bronze_path").agg(F.count(F.lit(1)).alias("rows_out"))
+                             .withColumn("needs_review", F.lit(review[k])) for k in keys]).checkpoint(eager=True)
+        nulls = _union([profile.null_profile(written[k], by=["_bronze_path"]).withColumns(
+            {"domain": F.lit(k[0]), "entity": F.lit(k[1])}) for k in keys]).checkpoint(eager=True)
+        # Q5 column profile: null % + type label + mapping decision
+        labels = C.local_df(spark, [(k[0], k[1], final[k].get(c, c), v[0]) for k in keys for c, v in decided[k].items()],
+                            "domain string, entity string, column string, type_label string")
+        maps = mapping.select("domain", "entity", F.col("final_column").alias("column"),
+                              F.col("raw_column").alias("mapped_from"), "method")
+        ke = ["domain", "entity", "column"]
+        prof_cols = (nulls.withColumnRenamed("_bronze_path", "source_file")
+                     .join(F.broadcast(labels), ke, "left").join(F.broadcast(maps), ke, "left"))
+        n_cols = C.local_df(spark, [(k[0], k[1], len(silver_cols[k]) - 1) for k in keys],
+                            "domain string, entity string, column_count int")
+        removed = raw_counts.join(out_counts, "_bronze_path").select(
+            "_bronze_path", (F.col("n_nonempty") - F.col("rows_out")).alias("duplicates_removed"))
+        prof_sum = (nulls.groupBy("domain", "entity", "_bronze_path")
+                    .agg(F.max("rows").alias("row_count"), F.round(100 - F.avg("null_pct"), 2).alias("completeness"))
+                    .join(F.broadcast(n_cols), ["domain", "entity"], "left")
+                    .join(removed, "_bronze_path", "left").withColumnRenamed("_bronze_path", "source_file"))
+        # Q4: drift of every entity against its previous load, one job
+        prev = store.read("profile_columns")
+        if prev is not None:
+            cur = C.local_df(spark, [(k[0], k[1], c) for k in keys for c in silver_cols[k]],
+                             "domain string, entity string, column string")
+            store.append("schema_drift", profile.drift(prev, cur, ["domain", "entity"])
+                         .withColumn("run_id", F.lit(run_id)))
+        store.append("profile_columns", prof_cols.withColumn("run_id", F.lit(run_id)))
+        store.append("profile_summary", prof_sum.withColumn("run_id", F.lit(run_id)))
+        per_file = [out_counts.join(raw_counts.select("_bronze_path", "rows_in"), "_bronze_path", "right")
+                    .withColumnRenamed("_bronze_path", "path")]
+    mappings = [mapping] if mapping is not None else []
 
     counts = _union(per_file) if per_file else None
     results = gated
@@ -116,7 +180,8 @@ def bronze_to_silver(spark: SparkSession, bronze_root: str, silver_root: str, st
     else:
         results = results.withColumns({"rows_in": F.lit(None).cast("bigint"), "rows_out": F.lit(None).cast("bigint"),
                                        "needs_review": F.lit(None).cast("boolean")})
-    results = results.withColumn("run_id", F.lit(run_id))
+    # one row per file, read by three appends below: computed once
+    results = results.withColumn("run_id", F.lit(run_id)).checkpoint(eager=True)
 
     # unstructured pass-through (S13): bytes + lineage, partitioned like Silver
     copied = gated.where(F.col("status") == "COPIED").select("path").collect()
@@ -139,24 +204,41 @@ def bronze_to_silver(spark: SparkSession, bronze_root: str, silver_root: str, st
         store.replace("catalog", catalog)
     else:
         store.append("catalog", catalog)
+    ph.__exit__()
     return RunResult(catalog, results, mappings)
 
 
-def silver_entities(spark: SparkSession, silver_root: str) -> dict[tuple[str, str], DataFrame]:
+def silver_entities(spark: SparkSession, silver_root: str,
+                    keys: list[tuple[str, str]] | None = None) -> dict[tuple[str, str], DataFrame]:
     """One DataFrame per (domain, entity); files of an entity are merged by name."""
-    listing = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-               .option("pathGlobFilter", "*.parquet").load(silver_root).select("path"))
-    ents = (listing.select(F.regexp_extract("path", r"domain=([^/]+)/entity=([^/]+)/", 1).alias("d"),
-                           F.regexp_extract("path", r"domain=([^/]+)/entity=([^/]+)/", 2).alias("e"))
-            .where(F.col("d") != "").distinct().collect())
+    if keys is None:
+        listing = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+                   .option("pathGlobFilter", "*.parquet").load(silver_root).select("path"))
+        ents = (listing.select(F.regexp_extract("path", r"domain=([^/]+)/entity=([^/]+)/", 1).alias("d"),
+                               F.regexp_extract("path", r"domain=([^/]+)/entity=([^/]+)/", 2).alias("e"))
+                .where(F.col("d") != "").distinct().collect())
+        keys = [(r["d"], r["e"]) for r in ents]
     out = {}
-    for r in sorted(ents, key=lambda x: (x["d"], x["e"])):
+    for d, e in sorted(keys):
         df = (spark.read.option("mergeSchema", "true").option("basePath", silver_root)
-              .parquet(f"{silver_root}/domain={r['d']}/entity={r['e']}"))
-        out[(r["d"], r["e"])] = df.drop(*SILVER_PARTITIONS)
+              .parquet(f"{silver_root}/domain={d}/entity={e}"))
+        out[(d, e)] = df.drop(*SILVER_PARTITIONS)
     return out
 
 
+def _raw_counts(raw: DataFrame, csv_like: bool) -> DataFrame:
+    """Per file: rows read and rows left after P1-P4 (before de-duplication)."""
+    cleaned = raw.transform(clean.normalize_names)
+    if csv_like:
+        cleaned = clean.na_tokens(cleaned)
+    cleaned = clean.trim_strings(cleaned)
+    business = [c for c in cleaned.columns if not c.startswith("_")]
+    nonempty = F.greatest(*[F.col(f"`{c}`").isNotNull() for c in business]) if len(business) > 1 else \
+        F.col(f"`{business[0]}`").isNotNull()
+    return cleaned.groupBy("_bronze_path").agg(F.count(F.lit(1)).alias("rows_in"),
+                                               F.count_if(nonempty).alias("n_nonempty"))
+
+
 def silver_to_gold(spark: SparkSession, silver_root: str, store: TableStore, cfg: C.Config,
                    full_reload: bool = False) -> DataFrame:
     """Classify, dim_date, dimensions, facts; returns a manifest."""

@@ -47,29 +47,40 @@ def utf8_validity(spark: SparkSession, paths: list[str]) -> DataFrame:
     return b.select(F.col("path"), F.is_valid_utf8(F.col("content").cast("string")).alias("valid_utf8"))
 
 
+def csv_layout(spark: SparkSession, paths: list[str], detect_encoding: bool = True) -> dict[str, tuple[str, str]]:
+    """path -> (encoding, header line) for many CSV files in at most three jobs."""
+    enc = {_strip_uri(p): "UTF-8" for p in paths}
+    if detect_encoding:
+        for r in utf8_validity(spark, paths).collect():   # one row per file
+            enc[_strip_uri(r["path"])] = "UTF-8" if r["valid_utf8"] else "ISO-8859-1"
+    out = {}
+    for encoding in sorted(set(enc.values())):
+        group = [p for p in paths if enc[_strip_uri(p)] == encoding]
+        for r in csv_headers(spark, group, encoding).collect():   # one row per file
+            out[_strip_uri(r["path"])] = (encoding, r["header"])
+    return out
+
+
 def read_csv(spark: SparkSession, paths: list[str], root: str | None = None,
-             detect_encoding: bool = True) -> DataFrame:
+             detect_encoding: bool = True, layout: dict[str, tuple[str, str]] | None = None) -> DataFrame:
     """Header row, all columns text, pandas' NA markers -> NULL.
 
     Files are grouped by (encoding, header line); each group is one CSV read,
-    groups are unioned by name (missing columns NULL).
+    groups are unioned by name (missing columns NULL). ``layout`` (from
+    ``csv_layout``) lets a caller discover many files' headers at once.
     """
-    enc = {p: "UTF-8" for p in paths}
-    if detect_encoding:
-        for r in utf8_validity(spark, paths).collect():   # one row per file
-            enc[_strip_uri(r["path"])] = "UTF-8" if r["valid_utf8"] else "ISO-8859-1"
+    layout = layout or csv_layout(spark, paths, detect_encoding)
+    by_group: dict[tuple[str, str], list[str]] = {}
+    for p in paths:
+        encoding, header = layout.get(_strip_uri(p), ("UTF-8", ""))
+        by_group.setdefault((encoding, header), []).append(p)
     parts = []
-    for encoding in sorted(set(enc.values())):
-        group = [p for p in paths if enc.get(_strip_uri(p), "UTF-8") == encoding]
-        heads = {}
-        for r in csv_headers(spark, group, encoding).collect():   # one row per file
-            heads.setdefault(r["header"], []).append(r["path"])
-        for _, files in sorted(heads.items()):
-            df = (spark.read.option("header", True).option("inferSchema", False).option("encoding", encoding)
-                  .option("multiLine", True).option("escape", '"').csv(files))
-            df = df.select(*[F.when(~F.col(f"`{c}`").isin(NA_TOKENS), F.col(f"`{c}`")).alias(c) for c in df.columns],
-                           "_metadata")
-            parts.append(_with_lineage(df, root).drop("_metadata"))
+    for (encoding, _), files in sorted(by_group.items()):
+        df = (spark.read.option("header", True).option("inferSchema", False).option("encoding", encoding)
+              .option("multiLine", True).option("escape", '"').csv(files))
+        df = df.select(*[F.when(~F.col(f"`{c}`").isin(NA_TOKENS), F.col(f"`{c}`")).alias(c) for c in df.columns],
+                       "_metadata")
+        parts.append(_with_lineage(df, root).drop("_metadata"))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
@@ -202,8 +213,11 @@ def read_xlsx(spark: SparkSession, paths: list[str], root: str | None = None) ->
 READERS = {".csv": read_csv, ".json": read_json, ".xml": read_xml, ".xlsx": read_xlsx}
 
 
-def read_group(spark: SparkSession, paths: list[str], fmt: str, root: str | None = None) -> DataFrame:
+def read_group(spark: SparkSession, paths: list[str], fmt: str, root: str | None = None,
+               csv_layout_: dict | None = None) -> DataFrame:
     """Dispatch on the lower-cased extension."""
     if fmt not in READERS:
         raise ValueError(f"unsupported extension {fmt}")
+    if fmt == ".csv" and csv_layout_ is not None:
+        return read_csv(spark, paths, root, layout=csv_layout_)
     return READERS[fmt](spark, paths, root)
