@@ -94,7 +94,9 @@ def read_json(spark: SparkSession, paths: list[str], root: str | None = None) ->
     Spark sorts inferred fields by name; the order of the first record's keys
     is restored so "first ``_id`` column" rules see the source order.
     """
-    df = spark.read.option("multiLine", True).option("primitivesAsString", True).json(paths)
+    # a file holding one JSON array is read whole; JSON-lines files are split
+    multi = _json_is_array(spark, paths[0])
+    df = spark.read.option("multiLine", multi).option("primitivesAsString", True).json(paths)
     df = _with_lineage(df.select("*", "_metadata"), root).drop("_metadata")
     order = _json_key_order(spark, paths)
     flat_cols = flatten(df.drop("_bronze_path", "_src_row")).columns
@@ -108,6 +110,13 @@ def _json_select(df: DataFrame, cols: list[str]) -> DataFrame:
     return flat.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in keep], "_bronze_path", "_src_row")
 
 
+def _json_is_array(spark: SparkSession, path: str) -> bool:
+    """True unless the file is JSON lines: first line a complete object (bounded head read)."""
+    lines = [r[0] for r in spark.read.text(path).limit(5).collect()]
+    first = next((x.strip() for x in lines if x.strip()), "")
+    return not (first.startswith("{") and first.endswith("}"))
+
+
 def _json_key_order(spark: SparkSession, paths: list[str]) -> dict[str, int]:
     """Key order of the first record of the first file (a bounded head read)."""
     head = spark.read.text(paths[:1], wholetext=False).limit(200).collect()

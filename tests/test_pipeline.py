@@ -74,3 +74,13 @@ def test_quality_profile_and_drift(spark, tmpdir_path):
     pipeline.run(spark, bronze, lake, C.Config.load(), run_id="b")
     drift = {(r["column"], r["change"]) for r in store.read("schema_drift").collect()}
     assert ("colour", "added") in drift and ("note", "removed") in drift
+
+
+def test_json_lines_and_nested(spark, tmpdir_path):
+    p = os.path.join(tmpdir_path, "x", "events_2026.json")
+    os.makedirs(os.path.dirname(p))
+    with open(p, "w") as fh:
+        fh.write('{"id": 1, "props": {"k": 2, "tags": ["a"]}}\n{"id": 2, "props": {"k": 3, "tags": []}}\n')
+    df = readers.read_json(spark, [p], tmpdir_path)
+    rows = sorted((r["id"], r["props_k"], r["props_tags"]) for r in df.collect())
+    assert rows == [("1", "2", '["a"]'), ("2", "3", "[]")]
