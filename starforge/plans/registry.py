@@ -240,12 +240,11 @@ def q_dedup_rows(spark, d):
     docs = FX.table(spark, d, "documents").select("lang", "source", "text")
 
     def counts(name, df):
-        before = df.agg(F.count(F.lit(1)).alias("rows_in"))
-        after = clean.dedup_rows(df).agg(F.count(F.lit(1)).alias("rows_out"))
-        # both sides are single-row aggregates: a key-less one-row join
-        return (before.withColumn("__k", F.lit(1)).join(after.withColumn("__k", F.lit(1)), "__k")
-                .select(F.lit(name).alias("source"), "rows_in", "rows_out",
-                        (F.col("rows_in") - F.col("rows_out")).alias("removed")))
+        src = F.lit(name).alias("source")
+        before = df.groupBy(src).agg(F.count(F.lit(1)).alias("rows_in"))
+        after = clean.dedup_rows(df).groupBy(src).agg(F.count(F.lit(1)).alias("rows_out"))
+        return (before.join(after, "source")
+                .select("source", "rows_in", "rows_out", (F.col("rows_in") - F.col("rows_out")).alias("removed")))
     return counts("dirty_orders", dirty).unionByName(counts("documents", docs))
 
 
