@@ -319,46 +319,49 @@ def memory_df(spark: SparkSession) -> DataFrame:
 
 
 def entity_catalog(df: DataFrame, domain: str, entity: str) -> DataFrame:
-    """Column catalog of one entity with value statistics (one aggregate pass).
+    """Column catalog of one entity: (domain, entity, raw_column, position,
+    type_class, n_rows, num_values, in_range).
 
-    Range statistics are computed only for unhelpful names (the only ones the
-    numeric-range guess may use).
+    Value statistics are what the numeric-range guess needs, and it only
+    applies to unhelpful names: an entity without such columns is catalogued
+    from its schema alone; otherwise one aggregate pass covers just those
+    columns (parsed once in a projection fused with the aggregate).
     """
     import re
     from starforge import config as C
+    from starforge.config import local_df
     from starforge.operators.infer import NUMBER_PATTERN
     from starforge.operators.star import type_class
     rules = cfg().range_rules
     fields = list(df.schema.fields)
-    unnamed = {i for i, f in enumerate(fields) if re.match(C.UNNAMED_COLUMN_PATTERN, normalize_name(f.name))}
-    # parse each candidate column once, in a projection fused with the aggregate
-    proj = [F.col(f"`{f.name}`").alias(f"__c{i}") for i, f in enumerate(fields)]
+    unnamed = [i for i, f in enumerate(fields) if re.match(C.UNNAMED_COLUMN_PATTERN, normalize_name(f.name))]
+    schema_rows = local_df(df.sparkSession, [(domain, entity, f.name, i, type_class(f.dataType))
+                                             for i, f in enumerate(fields)],
+                           "domain string, entity string, raw_column string, position int, type_class string")
+    if not unnamed:
+        return schema_rows.withColumns({"n_rows": F.lit(None).cast("bigint"),
+                                        "num_values": F.lit(None).cast("bigint"),
+                                        "in_range": F.lit(None).cast("array<bigint>")})
+    proj = []
     for i in unnamed:
         t = F.trim(F.col(f"`{fields[i].name}`").cast("string"))
         proj.append(F.when(t.rlike(NUMBER_PATTERN), t.try_cast("double")).alias(f"__v{i}"))
-    src = df.select(*proj)
     aggs = [F.count(F.lit(1)).alias("__rows")]
-    structs = []
-    for i, f in enumerate(fields):
-        aggs.append(F.count(F.col(f"__c{i}")).alias(f"__{i}_nn"))
-        if i in unnamed:
-            v = F.col(f"__v{i}")
-            aggs.append(F.count(v).alias(f"__{i}_num"))
-            aggs += [F.count_if(v.between(lo, hi)).alias(f"__{i}_r{j}") for j, (lo, hi, _) in enumerate(rules)]
-            num = F.col(f"__{i}_num")
-            rng = F.array(*[F.col(f"__{i}_r{j}") for j in range(len(rules))])
-        else:
-            num = F.lit(None).cast("bigint")
-            rng = F.lit(None).cast("array<bigint>")
-        structs.append(F.struct(F.lit(f.name).alias("raw_column"), F.lit(i).alias("position"),
-                                F.lit(type_class(f.dataType)).alias("type_class"),
-                                F.col(f"__{i}_nn").alias("nonnull"), num.alias("num_values"),
-                                rng.alias("in_range")))
-    wide = src.agg(*aggs)
-    return (wide.select(F.lit(domain).alias("domain"), F.lit(entity).alias("entity"),
-                        F.col("__rows").alias("n_rows"), F.explode(F.array(*structs)).alias("s"))
-            .select("domain", "entity", "s.raw_column", "s.position", "s.type_class", "n_rows",
-                    "s.nonnull", "s.num_values", "s.in_range"))
+    for i in unnamed:
+        v = F.col(f"__v{i}")
+        aggs.append(F.count(v).alias(f"__{i}_num"))
+        aggs += [F.count_if(v.between(lo, hi)).alias(f"__{i}_r{j}") for j, (lo, hi, _) in enumerate(rules)]
+    wide = df.select(*proj).agg(*aggs)
+    structs = [F.struct(F.lit(fields[i].name).alias("raw_column"), F.col(f"__{i}_num").alias("num_values"),
+                        F.array(*[F.col(f"__{i}_r{j}") for j in range(len(rules))]).alias("in_range"))
+               for i in unnamed]
+    stats = (wide.select(F.col("__rows").alias("n_rows"), F.explode(F.array(*structs)).alias("s"))
+             .select("s.raw_column", "n_rows", "s.num_values", "s.in_range"))
+    n_rows = wide.select(F.lit(domain).alias("domain"), F.lit(entity).alias("entity"), F.col("__rows").alias("n_rows"))
+    # every column of the entity carries the row count; value stats only for unhelpful names
+    return (schema_rows.join(F.broadcast(stats.drop("n_rows")), "raw_column", "left")
+            .join(F.broadcast(n_rows), ["domain", "entity"], "left")
+            .select("domain", "entity", "raw_column", "position", "type_class", "n_rows", "num_values", "in_range"))
 
 
 def col_catalog(spark: SparkSession, d: str) -> DataFrame:
