@@ -43,10 +43,15 @@ STRPTIME_FORMATS = [
 ]
 
 
+# One test every format's shape passes: numbers and words stop here.
+_ANY_SHAPE = rf"^([0-9]{{1,4}}[-/][0-9]{{1,2}}[-/][0-9]{{1,4}}|[A-Za-z]{{3}} {_D2} {_Y}|{_D2} [A-Za-z]{{3}} {_Y})"
+
+
 def parse_datetime(c: Column) -> Column:
     """Mixed-format text -> timestamp, NULL when no format fits."""
     s = c.cast("string")
-    return F.coalesce(*[F.when(s.rlike(shape), F.try_to_timestamp(s, F.lit(f))) for f, shape in DATETIME_FORMATS])
+    parsed = F.coalesce(*[F.when(s.rlike(shape), F.try_to_timestamp(s, F.lit(f))) for f, shape in DATETIME_FORMATS])
+    return F.when(s.rlike(_ANY_SHAPE), parsed)
 
 
 def date_key(c: Column) -> Column:

@@ -82,3 +82,16 @@ def test_dense_ids_paths_agree(spark):
     a = dense_ids(o, ["o_custkey", "o_orderkey"], "k", start=5, local_rows=0)
     b = dense_ids(o, ["o_custkey", "o_orderkey"], "k", start=5)
     assert sorted(tuple(r) for r in a.collect()) == sorted(tuple(r) for r in b.collect())
+
+
+def test_empty_fact_apex_and_late_dimension(spark):
+    from starforge.operators import incremental
+    empty = spark.createDataFrame([], "order_id string, amount double, customer_key long")
+    apex = cube.lattice(empty, [], None, ["amount"]).collect()
+    assert [(r["cuboid"], r["amount_sum"], r["amount_count"]) for r in apex] == [("apex", 0.0, 0)]
+    fact = spark.createDataFrame([("O1", "C1", None), ("O2", "C9", None), ("O3", "C2", 2)],
+                                 "order_id string, customer_id string, customer_key long")
+    dim = spark.createDataFrame([("C1", 1), ("C2", 2), ("C9", 9)], "customer_id string, customer_key long")
+    fixed = {r["order_id"]: r["customer_key"] for r in
+             incremental.reresolve_null_fks(fact, dim, "customer_id", "customer_key").collect()}
+    assert fixed == {"O1": 1, "O2": 9, "O3": 2}
