@@ -28,7 +28,7 @@ _PID_SHIFT = 33  # monotonically_increasing_id = partition << 33 | row position
 
 # Inputs with at most this many rows (a checked bound) are numbered by one
 # ordered window: one small task instead of a range shuffle and a checkpoint.
-LOCAL_ROWS = 1_000_000
+LOCAL_ROWS = 200_000
 
 
 def dense_ids(df: DataFrame, order_cols: list[str | Column], id_col: str,

@@ -32,18 +32,16 @@ SILVER_PARTITIONS = ["domain", "entity", "year", "month"]
 _TIMING = os.environ.get("STARFORGE_TIMING") == "1"
 
 
-class _phase:
-    """Wall-clock of a pipeline phase on stderr when STARFORGE_TIMING=1."""
+class _Clock:
+    """Wall-clock per pipeline phase on stderr when STARFORGE_TIMING=1."""
 
-    def __init__(self, name):
-        self.name = name
-
-    def __enter__(self):
+    def __init__(self):
         self.t = time.perf_counter()
 
-    def __exit__(self, *a):
+    def mark(self, name: str) -> None:
         if _TIMING:
-            print(f"[starforge] {self.name}: {time.perf_counter() - self.t:.2f}s", file=sys.stderr, flush=True)
+            print(f"[starforge] {name}: {time.perf_counter() - self.t:.2f}s", file=sys.stderr, flush=True)
+        self.t = time.perf_counter()
 
 
 @dataclass
@@ -65,7 +63,7 @@ def bronze_to_silver(spark: SparkSession, bronze_root: str, silver_root: str, st
     ``only_paths`` (relative paths) restricts the run to some files, e.g. the
     files of one streaming micro-batch.
     """
-    ph = _phase("catalog+gate"); ph.__enter__()
+    clock = _Clock()
     prev = store.read("catalog")
     catalog = CAT.with_source_date(CAT.build(spark, bronze_root, prev))
     if only_paths is not None:
@@ -87,10 +85,9 @@ def bronze_to_silver(spark: SparkSession, bronze_root: str, silver_root: str, st
     if memory is None:
         memory = C.empty_memory(spark)
     memory = memory.checkpoint(eager=True)
-    ph.__exit__()
+    clock.mark("catalog+gate")
     keys = sorted(groups)
     raw_of, clean_of = {}, {}
-    ph = _phase("reads"); ph.__enter__()
     csv_paths = [p for k in keys for p in groups[k].get(".csv", [])]
     layout = csv_layout(spark, csv_paths) if csv_paths else {}      # all CSV headers in one pass
     for key in keys:                         # lazy reads, one per (format, header) group
@@ -100,17 +97,15 @@ def bronze_to_silver(spark: SparkSession, bronze_root: str, silver_root: str, st
             raw_parts.append(raw)
             clean_parts.append(clean.clean(raw, per=["_bronze_path"], csv_like=fmt in CSV_LIKE))
         raw_of[key], clean_of[key] = _union(raw_parts), _union(clean_parts)
-    ph.__exit__()
+    clock.mark("reads")
 
     # pass 1 - T0-T5 for every entity in one job, H1-H9 for every entity in one job
-    ph = _phase("types"); ph.__enter__()
     decided = infer.labels_many({k: (clean_of[k], [c for c in clean_of[k].columns if not c.startswith("_")])
                                  for k in keys}, cfg)
     typed = {k: infer.cast(clean_of[k], decided[k], cfg) for k in keys}
-    ph.__exit__()
-    ph = _phase("harmonize"); ph.__enter__()
+    clock.mark("types")
     renamed, mapping = harmonize.harmonize_many(typed, cfg, memory)
-    ph.__exit__()
+    clock.mark("harmonize")
     decisions = mapping.collect() if mapping is not None else []          # local table
     review = {k: False for k in keys}
     final = {k: {} for k in keys}
@@ -124,15 +119,13 @@ def bronze_to_silver(spark: SparkSession, bronze_root: str, silver_root: str, st
     silver_cols = {}
     for key in keys:
         domain, entity = key
-        ph = _phase(f"write {domain}.{entity}"); ph.__enter__()
         silver = add_lineage(renamed[key], catalog, run_id, needs_review=F.lit(review[key]))
         silver_cols[key] = [c for c in silver.columns if c != "_src_row"]
         out = silver.join(F.broadcast(parts), "_bronze_path", "left").withColumns(
             {"domain": F.lit(domain), "entity": F.lit(entity)}).drop("_src_row")
         write_partitioned(out, silver_root, SILVER_PARTITIONS, mode="append")
-        ph.__exit__()
+        clock.mark(f"write {domain}.{entity}")
 
-    ph = _phase("profiles+logs"); ph.__enter__()
     per_file = []
     if keys:
         ents = silver_entities(spark, silver_root, keys)
@@ -204,7 +197,7 @@ def bronze_to_silver(spark: SparkSession, bronze_root: str, silver_root: str, st
         store.replace("catalog", catalog)
     else:
         store.append("catalog", catalog)
-    ph.__exit__()
+    clock.mark("profiles+logs")
     return RunResult(catalog, results, mappings)
 
 
