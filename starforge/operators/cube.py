@@ -162,6 +162,15 @@ def lattice(fact: DataFrame, dim_keys: list[str], date_key: str | None = None,
     return out.select("cuboid", *keys, *[c for c in out.columns if c not in keys and c not in ("__gid", "cuboid")])
 
 
+def lattice_apex(lattice_df: DataFrame) -> DataFrame:
+    """The apex row of a lattice in the stored apex shape (measure, sum, count, mean)."""
+    ms = [c[: -len("_sum")] for c in lattice_df.columns if c.endswith("_sum")]
+    structs = [F.struct(F.lit(m).alias("measure"), F.col(f"{m}_sum").cast("double").alias("sum"),
+                        F.col(f"{m}_count").alias("count"), F.col(f"{m}_mean").alias("mean")) for m in ms]
+    return (lattice_df.where(F.col("cuboid") == "apex")
+            .select(F.explode(F.array(*structs)).alias("s")).select("s.*"))
+
+
 def cuboid(lattice_df: DataFrame, name: str, keys: list[str]) -> DataFrame:
     """One cuboid out of a lattice, with only its own key columns."""
     ms = [c for c in lattice_df.columns if c.endswith(("_sum", "_count", "_mean"))]

@@ -309,9 +309,7 @@ def validate_gold(spark: SparkSession, store: TableStore, manifest: DataFrame) -
         if lat is None:
             continue
         ms = [c[:-4] for c in lat.columns if c.endswith("_sum")]
-        stored = lat.where(F.col("cuboid") == "apex").select(F.explode(F.array(*[
-            F.struct(F.lit(m).alias("measure"), F.col(f"{m}_sum").cast("double").alias("sum"),
-                     F.col(f"{m}_count").alias("count"), F.col(f"{m}_mean").alias("mean")) for m in ms])).alias("s")).select("s.*")
+        stored = cube.lattice_apex(lat)
         ms_fact = [m for m in ms if m in f.columns]
         chk = validate.apex_check(f, stored, ms_fact or None)
         findings.append(chk.where(~F.col("ok")).select(

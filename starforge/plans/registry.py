@@ -897,12 +897,7 @@ SELECT 'original' AS copy, measure, TRUE AS ok FROM a
 UNION ALL SELECT 'corrupted', measure, measure <> 'l_quantity' FROM a""")
 def q_validate_apex(spark, d):
     f = _lineitem_h(spark, d)
-    lat = cube.lattice(f, [], None, LI_MEASURES)
-    stored = lat.select(F.explode(F.array(*[F.struct(F.lit(m).alias("measure"),
-                                                       F.col(f"{m}_sum").cast("double").alias("sum"),
-                                                       F.col(f"{m}_count").alias("count"),
-                                                       F.col(f"{m}_mean").alias("mean")) for m in LI_MEASURES])).alias("s")
-                        ).select("s.*")
+    stored = cube.lattice_apex(cube.lattice(f, [], None, LI_MEASURES))
     corrupted = stored.withColumn("sum", F.when(F.col("measure") == "l_quantity", F.col("sum") + 1).otherwise(F.col("sum")))
     ok = validate.apex_check(f, stored, LI_MEASURES).select(F.lit("original").alias("copy"), "measure", "ok")
     bad = validate.apex_check(f, corrupted, LI_MEASURES).select(F.lit("corrupted").alias("copy"), "measure", "ok")
