@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
-from starforge.llm import byte_bpe, decontaminate
+from starforge.llm import byte_bpe, decontaminate, hamming, language_id, sharding, toxicity, warc
 
 QUERIES = {
+    "op2_warc": warc.query,
+    "op3_hamming_topk": hamming.query,
     "op4_decontaminate": decontaminate.query,
+    "op5_sharding": sharding.query,
+    "op8_toxicity": toxicity.query,
     "op9_byte_bpe": byte_bpe.query,
+    "op10_language_id": language_id.query,
 }
 
 ORACLE = {
+    "op3_hamming_topk": hamming.ORACLE_SQL,
     "op4_decontaminate": decontaminate.ORACLE_SQL,
 }
