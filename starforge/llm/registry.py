@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from starforge.llm import byte_bpe, decontaminate, hamming, language_id, sharding, substring_dedup, toxicity, warc
+from starforge.llm import byte_bpe, decontaminate, hamming, language_id, ngram_join, sharding, substring_dedup, toxicity, warc
 
 QUERIES = {
     "op2_warc": warc.query,
     "op3_hamming_topk": hamming.query,
     "op4_decontaminate": decontaminate.query,
     "op5_sharding": sharding.query,
+    "op6_ngram_join": ngram_join.query,
     "op7_substring_dedup": substring_dedup.query,
     "op8_toxicity": toxicity.query,
     "op9_byte_bpe": byte_bpe.query,
