@@ -22,14 +22,16 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from starforge.llm.common import per_text, read_table, split_batches
+from starforge.llm.common import per_text, raw, read_table, split_batches
 
 MATRIX_MAX = 256            # bytes of a piece handled by the matrices
 CACHE_PIECES = 300_000      # encoded pieces a task remembers
 BUCKETS = np.array([2, 3, 4, 5, 6, 7, 8, 10, 12, 16, 24, 32, 64, 128, MATRIX_MAX])
 NONE = np.int32(np.iinfo(np.int32).max)
+IDS = "n_tokens long, token_ids array<int>, round_trip boolean"
+DIGESTS = "n_tokens long, ids_sha256 string, decoded_sha256 string"
+ARROW = {"long": pa.int64(), "string": pa.string(), "boolean": pa.bool_(), "array<int>": pa.list_(pa.int32())}
 
 
 def load_ranks(path: str) -> list[bytes]:
@@ -206,21 +208,20 @@ class TextEncoder:
 
 
 def encode_partition(vocab: list[bytes], pattern: str, digest: bool):
-    """A function for ``mapInArrow``: doc_id and the token ids, or digests of ids and decoded bytes."""
+    """A function for ``mapInArrow``: doc_id, and the token ids with whether they decode to
+    the text again, or digests of ids and decoded bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = TextEncoder(BytePairCodec(vocab), pattern)
         token = vocab.__getitem__
+        names, kinds = zip(*((f.split()[0], ARROW[f.split()[1]]) for f in (DIGESTS if digest else IDS).split(", ")))
         for batch in split_batches(batches):
             rows = []
-            for ids in encoder.encode(batch.column("text").to_pylist()):
-                if digest:
-                    decoded = b"".join(map(token, np.frombuffer(ids, "<u4").tolist()))
-                    rows.append((len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded).hexdigest()))
-                else:
-                    rows.append((np.frombuffer(ids, "<u4").astype(np.int32),))
-            names = ["n_tokens", "ids_sha256", "decoded_sha256"] if digest else ["token_ids"]
-            kinds = [pa.int64(), pa.string(), pa.string()] if digest else [pa.list_(pa.int32())]
+            for text, data in zip(raw(batch), encoder.encode(batch.column("text").to_pylist())):
+                ids = np.frombuffer(data, "<u4")
+                decoded = b"".join(map(token, ids.tolist()))
+                rows.append((len(ids), hashlib.sha256(data).hexdigest(), hashlib.sha256(decoded).hexdigest()) if digest
+                            else (len(ids), ids.astype(np.int32), decoded == (text or b"")))
             columns = [pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], ["doc_id", *names])
 
@@ -228,9 +229,9 @@ def encode_partition(vocab: list[bytes], pattern: str, digest: bool):
 
 
 def encode(docs: DataFrame, vocab: list[bytes], pattern: str, digest: bool = False) -> DataFrame:
-    """``doc_id`` and ``token_ids`` of every whole text (or, with ``digest``, their
-    number and the digests of the ids and of the decoded bytes)."""
-    out = "n_tokens long, ids_sha256 string, decoded_sha256 string" if digest else "token_ids array<int>"
+    """``doc_id``, ``n_tokens``, ``token_ids`` and ``round_trip`` (they decode to the text) of
+    every whole text, or, with ``digest``, digests of the ids and of the decoded bytes."""
+    out = DIGESTS if digest else IDS
     kind = docs.schema["doc_id"].dataType.simpleString()
     return per_text(docs, ["doc_id"]).mapInArrow(encode_partition(vocab, pattern, digest), f"doc_id {kind}, {out}")
 
@@ -258,6 +259,5 @@ def query(spark, sf_dir: str) -> DataFrame:
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pipeline's last stage: doc_id, n_tokens, token_ids of every document it is given."""
-    vocab, pattern = public_vocabulary()
-    return encode(docs, vocab, pattern).withColumn("n_tokens", F.size("token_ids").cast("long"))
+    """The pipeline's last stage: doc_id, n_tokens, token_ids and round_trip of every document."""
+    return encode(docs, *public_vocabulary())

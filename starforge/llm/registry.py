@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from starforge.llm import byte_bpe, decontaminate, hamming, language_id, ngram_join, sharding, substring_dedup, toxicity, warc
+import corpus_pipeline
+from starforge.llm import byte_bpe, decontaminate, hamming, language_id, ngram_join, sharding, substring_dedup, suffix_tree, toxicity, warc
 
 QUERIES = {
+    "op1_suffix_tree": suffix_tree.query,
     "op2_warc": warc.query,
     "op3_hamming_topk": hamming.query,
     "op4_decontaminate": decontaminate.query,
@@ -14,6 +16,7 @@ QUERIES = {
     "op8_toxicity": toxicity.query,
     "op9_byte_bpe": byte_bpe.query,
     "op10_language_id": language_id.query,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE = {
