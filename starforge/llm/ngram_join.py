@@ -188,8 +188,9 @@ def spanning(adjacent: np.ndarray) -> np.ndarray:
 
 
 def verify_tile(threshold: tuple[int, int]):
-    """For ``applyInArrow`` over (component, side 0/1 or null, id, copies, shingles): per text
-    the copies linked to it, and a smaller text it is connected with in this tile."""
+    """For ``applyInArrow`` over (component, side, id, copies, shingles): per text the copies
+    linked to it, and a smaller text it is connected with in this tile. Sides 0 and 1 are
+    the two chunks of a tile across chunks; -1 is a tile of one chunk with itself."""
 
     def run(table: pa.Table) -> pa.Table:
         comp, ids = table.column("component").to_numpy(), table.column("id").to_numpy()
@@ -198,17 +199,17 @@ def verify_tile(threshold: tuple[int, int]):
         out_id, out_links, out_to = [], [], []
         order = np.lexsort((ids, comp))
         for group in np.split(order, np.flatnonzero(np.diff(comp[order])) + 1):
-            left, right = group[side[group] != 1], group[side[group] == 1]
-            if len(right):
-                cross = linked([sets[k] for k in left], [sets[k] for k in right], threshold)
+            if side[group[0]] == -1:
+                nodes = group
+                adjacent = linked([sets[k] for k in nodes], None, threshold)
+                np.fill_diagonal(adjacent, False)
+            else:
+                left, right = group[side[group] == 0], group[side[group] == 1]
                 nodes = np.concatenate((left, right))
                 adjacent = np.zeros((len(nodes), len(nodes)), bool)
-                adjacent[:len(left), len(left):] = cross
-                adjacent |= adjacent.T
-            else:
-                nodes = left
-                adjacent = linked([sets[k] for k in left], None, threshold)
-                np.fill_diagonal(adjacent, False)
+                if len(left) and len(right):
+                    adjacent[:len(left), len(left):] = linked([sets[k] for k in left], [sets[k] for k in right], threshold)
+                    adjacent |= adjacent.T
             rank = np.argsort(ids[nodes], kind="stable")
             nodes, adjacent = nodes[rank], adjacent[np.ix_(rank, rank)]
             out_id.append(ids[nodes])
@@ -251,14 +252,14 @@ def near_duplicates(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD, tre
     bins = max(1, math.ceil(candidate.count() / BIN))
     sets = shingles_of(docs.join(members, ["doc_id", "tag"]).dropDuplicates(["doc_id", "tag"])
                        .select("text", "component", "chunk", "chunks", "id", "copies"))
-    # a text meets the chunks before its own as side 1, those after as side 0, its own as both
+    # a text meets the chunks before its own as side 1, those after as side 0
     other = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
     tiles = sets.withColumn("other", other).select(
         "component", "id", "copies", "shingles",
         F.when(F.col("chunks") == 1, F.pmod(F.xxhash64("component"), F.lit(bins))).otherwise(F.col("component")).alias("t0"),
         F.when(F.col("chunks") == 1, -1).otherwise(F.least("chunk", "other")).alias("t1"),
         F.when(F.col("chunks") == 1, -1).otherwise(F.greatest("chunk", "other")).alias("t2"),
-        F.when(F.col("chunk") > F.col("other"), 1).otherwise(0).alias("side"))
+        F.when(F.col("chunk") == F.col("other"), -1).otherwise((F.col("chunk") > F.col("other")).cast("int")).alias("side"))
     found = materialize(tiles.groupBy("t0", "t1", "t2").applyInArrow(verify_tile(threshold), "id long, links long, to long"), "links")
     root = connected_components(found.select(F.col("id").alias("a"), F.col("to").alias("b")))
     named = root.join(classes.select("id", "doc_id"), "id")
