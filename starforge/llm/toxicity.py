@@ -32,7 +32,7 @@ TRAIN_ROWS = 8_000          # labelled documents the machine is fitted on, at mo
 TRAIN_TERMS = 4_000         # distinct terms of one training document, at most (smallest hashes)
 MIN_DOCS = 3                # training documents a term needs
 MIN_Z = 4.0                 # how far its share among toxic documents differs, in standard errors
-COMMON = 0.05               # a term of this share of the training documents is kept as a partner of others
+COMMON = 0.2                # a term of this share of the training documents is kept as a partner of others
 THRESHOLD = 0.7
 CACHE_TERMS = 400_000
 
