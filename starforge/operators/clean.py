@@ -51,10 +51,14 @@ def dedup_rows(df: DataFrame, per: list[str] | None = None) -> DataFrame:
 
     ``per`` names lineage columns that scope the de-duplication (e.g.
     ``_bronze_path``): the key is business columns + ``per``. Map-side partial
-    aggregation makes a hot duplicate cost one row per task in the shuffle.
+    aggregation makes a hot duplicate cost one row per task in the shuffle. Of equal
+    rows the smallest ``_src_row`` stays.
     """
     business = [c for c in df.columns if not c.startswith("_")]
     key = business + [c for c in (per or []) if c not in business]
+    if [c for c in df.columns if c not in key] == ["_src_row"]:
+        return df.groupBy(*[F.col(f"`{c}`") for c in key]).agg(F.min("_src_row").alias("_src_row")).select(
+            *[F.col(f"`{c}`") for c in df.columns])
     return df.dropDuplicates(key)
 
 
@@ -66,15 +70,6 @@ def clean(df: DataFrame, per: list[str] | None = None, csv_like: bool = False) -
     return out.transform(trim_strings).transform(drop_empty_rows).transform(lambda d: dedup_rows(d, per))
 
 
-def clean_report(before: DataFrame, after: DataFrame, per: list[str]) -> DataFrame:
-    """Rows in / rows out / removed duplicates per source (one aggregate per side)."""
-    a = before.groupBy(*per).agg(F.count(F.lit(1)).alias("rows_in"))
-    b = after.groupBy(*per).agg(F.count(F.lit(1)).alias("rows_out"))
-    return (a.join(b, per, "left")
-            .select(*per, "rows_in", F.coalesce("rows_out", F.lit(0)).alias("rows_out"))
-            .withColumn("removed", F.col("rows_in") - F.col("rows_out")))
-
-
 def first_per_key(df: DataFrame, keys: list[str], order_cols: list[str] | None = None) -> DataFrame:
     """Keep the first row per key, "first" = smallest ``order_cols`` (default: all columns).
 

@@ -15,18 +15,10 @@ from pyspark.sql import functions as F
 from starforge.operators.clean import first_per_key
 from starforge.operators.joins import null_safe_anti_join
 from starforge.operators.keys import dense_ids
-from starforge.session import ensure_checkpoint_dir
 
 CHECKSUM = "_row_checksum"
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write a delta once to the shared checkpoint folder (it is counted,
-    numbered and appended - three reads - and must not change in between)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def max_key(existing: DataFrame, key_col: str) -> int:
     """MAX(key) of the existing table, 0 when empty (one scalar to the driver)."""
     v = existing.agg(F.max(key_col)).first()[0]
@@ -56,11 +48,11 @@ def load_dimension(existing: DataFrame | None, batch: DataFrame, entity: str, na
     """Keys 1..N on first load / full reload, else unseen ids get max+1.."""
     key_col = f"{entity}_key"
     if full_reload or existing is None:
-        appended = dense_ids(materialize(batch), [nat], key_col, 1, stable_input=True)
+        appended = dense_ids(batch, [nat], key_col, 1)
         return appended, appended
     start = max_key(existing, key_col) + 1
-    fresh = materialize(new_rows(existing, batch, nat, null_safe=True))
-    appended = dense_ids(fresh, [nat], key_col, start, stable_input=True).select(*existing.columns)
+    fresh = new_rows(existing, batch, nat, null_safe=True)
+    appended = dense_ids(fresh, [nat], key_col, start).select(*existing.columns)
     return existing.unionByName(appended), appended
 
 
@@ -81,17 +73,16 @@ def load_fact(existing: DataFrame | None, batch: DataFrame, full_reload: bool =
               on_duplicate: str = "drop", order_cols: list[str] | None = None):
     """``fact_id`` 1..N on first load, else rows with unseen checksums get max+1..
 
-    Ids follow ``_row_checksum`` order. Shuffles: existing checksums (one
-    column) and the batch hash-partitioned on the checksum for the anti-join
-    and de-duplication, then only the *new* rows are range-partitioned for ids.
+    Ids follow ``_row_checksum`` order. Known checksums are taken out first
+    (only that column of the stored table is read), then the rest is
+    de-duplicated, and only *new* rows are range-partitioned for ids.
     """
-    batch = dedup_checksums(batch, on_duplicate, order_cols)
     if full_reload or existing is None:
-        appended = dense_ids(materialize(batch), [CHECKSUM], "fact_id", 1, stable_input=True)
+        appended = dense_ids(dedup_checksums(batch, on_duplicate, order_cols), [CHECKSUM], "fact_id", 1)
         return appended, appended
     start = max_key(existing, "fact_id") + 1
-    fresh = materialize(new_rows(existing, batch, CHECKSUM))
-    appended = dense_ids(fresh, [CHECKSUM], "fact_id", start, stable_input=True).select(*existing.columns)
+    fresh = dedup_checksums(new_rows(existing, batch, CHECKSUM), on_duplicate, order_cols)
+    appended = dense_ids(fresh, [CHECKSUM], "fact_id", start).select(*existing.columns)
     return existing.unionByName(appended), appended
 
 

@@ -16,7 +16,7 @@ from starforge.functions.dates import parse_datetime
 # Text that counts as a number (pandas' to_numeric accepts these; Spark's cast
 # alone would also take '1d' or 'NaN').
 NUMBER_PATTERN = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$|^[+-]?([iI][nN][fF]|[iI][nN][fF][iI][nN][iI][tT][yY])$"
-INTEGER_PATTERN = r"^[+-]?[0-9]{1,18}$"
+INTEGER_PATTERN = r"^[+-]?[0-9]+$"       # and the value fits a bigint
 
 STAT_FIELDS = ["nonnull", "bool_hits", "num_hits", "int_hits", "dt_hits"]
 
@@ -60,7 +60,7 @@ def column_stats(df: DataFrame, cols: list[str] | None = None, cfg: C.Config | N
         F.count(t).alias("nonnull"),
         F.count_if(F.lower(t).isin(vocab)).alias("bool_hits"),
         F.count_if(t.rlike(NUMBER_PATTERN)).alias("num_hits"),
-        F.count_if(t.rlike(INTEGER_PATTERN)).alias("int_hits"),
+        F.count(integer_value(t)).alias("int_hits"),
         F.count_if(parse_datetime(t).isNotNull()).alias("dt_hits"),
     )
     names = C.local_df(df.sparkSession, [(i, c) for i, c in enumerate(cols)], "position int, column string")

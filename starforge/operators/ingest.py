@@ -11,24 +11,32 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starforge.sources.catalog import STRUCTURED_FORMATS, UNSTRUCTURED_FORMATS
+from starforge.sources.catalog import READABLE_FORMATS, UNSTRUCTURED_FORMATS
+
+
+def latest_outputs(existing: DataFrame) -> DataFrame:
+    """One row per path: the checksum its last output was made from (by ``written_at``;
+    without that column a path's versions can't be told apart, and the greatest counts)."""
+    order = "written_at" if "written_at" in existing.columns else "out_checksum"
+    return existing.groupBy("path").agg(F.max_by("out_checksum", order).alias("out_checksum"))
 
 
 def gate(files: DataFrame, existing: DataFrame | None, size_limit: int | None = None) -> DataFrame:
     """Adds ``status`` and ``reason``.
 
     ``files``: path, format, size_bytes, checksum [, on_disk, decodable].
-    ``existing``: path, out_checksum of outputs already written.
+    ``existing``: path, out_checksum [, written_at] of outputs already written; a path may
+    have several versions, of which the last counts.
     """
     j = files
     if existing is not None:
-        j = j.join(existing.select("path", "out_checksum"), "path", "left")
+        j = j.join(latest_outputs(existing), "path", "left")
     else:
         j = j.withColumn("out_checksum", F.lit(None).cast("string"))
     on_disk = F.col("on_disk") if "on_disk" in files.columns else F.lit(True)
     decodable = F.col("decodable") if "decodable" in files.columns else F.lit(True)
     unstructured = F.col("format").isin(*UNSTRUCTURED_FORMATS)
-    structured = F.col("format").isin(*STRUCTURED_FORMATS)
+    structured = F.col("format").isin(*READABLE_FORMATS)
     done = F.col("out_checksum").isNotNull() & (F.col("out_checksum") == F.col("checksum"))
     too_big = (F.col("size_bytes") > F.lit(size_limit)) if size_limit is not None else F.lit(False)
     steps = [
@@ -59,8 +67,16 @@ def review_queue(results: DataFrame) -> DataFrame:
     return results.where(F.coalesce(flag, F.lit(False)) | (F.col("domain") == "unknown"))
 
 
+def file_lineage(results: DataFrame, run_id: str, silver_root: str) -> DataFrame:
+    """One lineage row per processed or copied file."""
+    silver = F.concat(F.lit(f"{silver_root.rstrip('/')}/domain="), F.col("domain"), F.lit("/entity="), F.col("entity"))
+    return results.where(F.col("status").isin("SUCCESS", "COPIED")).select(
+        F.lit(run_id).alias("pipeline_run_id"), F.col("path").alias("bronze_path"), silver.alias("silver_path"),
+        "domain", "entity", "rows_in", "rows_out", "checksum", F.current_timestamp().alias("processed_at"))
+
+
 def lineage_log(results: DataFrame, run_id: str) -> DataFrame:
-    """One lineage row per (domain, entity) of processed or copied files."""
+    """S22 summed up: one row per (domain, entity) of processed or copied files."""
     ok = results.where(F.col("status").isin("SUCCESS", "COPIED"))
     success = F.col("status") == "SUCCESS"
     return ok.groupBy("domain", "entity").agg(

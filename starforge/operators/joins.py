@@ -1,25 +1,11 @@
-"""Join helpers: size-checked broadcast and NULL-safe key joins."""
+"""NULL-safe key joins. Whether a side is broadcast is the planner's choice (its byte
+threshold, and AQE's sizes at run time); these helpers give no hints."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows a lookup side may have and still be broadcast (a checked bound, not a guess).
-DEFAULT_BROADCAST_ROWS = 2_000_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
-    """Broadcast ``df`` only if it has at most ``max_rows`` rows.
-
-    The check is a bounded action (``limit(max_rows + 1).count()``); above the
-    bound the join is left to the planner (shuffle join, AQE skew handling).
-    """
-    n = df.limit(max_rows + 1).count()
-    if n <= max_rows:
-        return F.broadcast(df), True
-    return df, False
-
 
 def null_safe_left_join(left: DataFrame, right: DataFrame, key: str, right_key: str | None = None) -> DataFrame:
     """``left ⟕ right`` where NULL matches NULL (pandas merge semantics).

@@ -1,19 +1,16 @@
 """Dense surrogate keys (W1-W3) without a global window.
 
 ``dense_ids`` numbers rows 1..N (or start..start+N-1) in the order of
-``order_cols``:
+``order_cols``, the same way at every size:
 
 1. range-partition on the order columns and sort within partitions
    (one shuffle; no single-partition window);
-2. ``checkpoint`` that layout to the shared checkpoint folder: the count
-   branch and the numbering branch below must see the *same* partitions in
-   the same order. Without it each branch may plan its own range exchange
-   (column pruning makes them differ) with its own sampled bounds, and a
-   task recomputed after an executor loss could see other rows;
-3. ``monotonically_increasing_id`` then encodes (partition, position);
-4. per-partition counts (one row per partition - bounded by the partition
-   count, so broadcasting them is safe) give running offsets;
-5. id = start + offset(partition) + position.
+2. tag each row with (partition, position) and write that layout once to the
+   shared checkpoint folder. Everything below reads the written tags, so a
+   second exchange, other sampled bounds or a task recomputed after an
+   executor loss can't give a row another number;
+3. per-partition counts (one row per partition) give running offsets;
+4. id = start + offset(partition) + position.
 """
 
 from __future__ import annotations
@@ -26,26 +23,13 @@ from starforge.session import ensure_checkpoint_dir, shuffle_partitions
 _PID_SHIFT = 33  # monotonically_increasing_id = partition << 33 | row position
 
 
-# Inputs with at most this many rows (a checked bound) are numbered by one
-# ordered window: one small task instead of a range shuffle and a checkpoint.
-LOCAL_ROWS = 200_000
-
-
 def dense_ids(df: DataFrame, order_cols: list[str | Column], id_col: str,
-              start: int | Column = 1, num_partitions: int | None = None,
-              local_rows: int = LOCAL_ROWS, stable_input: bool = False) -> DataFrame:
-    """``stable_input=True`` says ``df`` is read from storage or a checkpoint,
-    i.e. recomputing it yields the same partitions in the same order; then the
-    range layout is reproducible and is not checkpointed again."""
-    if local_rows and df.limit(local_rows + 1).count() <= local_rows:
-        return small_dense_ids(df, order_cols, id_col, start)
+              start: int | Column = 1, num_partitions: int | None = None) -> DataFrame:
     n = num_partitions or shuffle_partitions(df.sparkSession)
-    laid_out = df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
-    if not stable_input:
-        ensure_checkpoint_dir(df.sparkSession)
-        laid_out = laid_out.checkpoint(eager=True)
-    ranged = laid_out.withColumn("__mid", F.monotonically_increasing_id())
-    tagged = (ranged.withColumn("__pid", F.shiftright("__mid", _PID_SHIFT))
+    ensure_checkpoint_dir(df.sparkSession)
+    tagged = (df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
+              .withColumn("__mid", F.monotonically_increasing_id()).checkpoint(eager=True)
+              .withColumn("__pid", F.shiftright("__mid", _PID_SHIFT))
               .withColumn("__pos", F.col("__mid") - F.shiftleft(F.col("__pid"), _PID_SHIFT)))
     counts = tagged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
     offsets = counts.select(
@@ -53,16 +37,8 @@ def dense_ids(df: DataFrame, order_cols: list[str | Column], id_col: str,
         F.coalesce(F.sum("__n").over(Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)),
                    F.lit(0)).alias("__off"))
     start_col = start if isinstance(start, Column) else F.lit(int(start))
+    # at most ``n`` offset rows: the broadcast is bounded by the partition count
     out = (tagged.join(F.broadcast(offsets), "__pid", "inner")
            .withColumn(id_col, (start_col + F.col("__off") + F.col("__pos")).cast("bigint"))
            .drop("__mid", "__pid", "__pos", "__off"))
     return out.select(id_col, *[c for c in out.columns if c != id_col])
-
-
-def small_dense_ids(df: DataFrame, order_cols: list[str | Column], id_col: str,
-                    start: int | Column = 1) -> DataFrame:
-    """For inputs of a checked small size: one global ordered window."""
-    w = Window.orderBy(*order_cols)
-    s = start if isinstance(start, Column) else F.lit(int(start))
-    out = df.withColumn(id_col, (F.row_number().over(w) + s - 1).cast("bigint"))
-    return out.select(id_col, *[c for c in out.columns if c != id_col])

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starforge.functions.hashing import row_checksum
-from starforge.operators.joins import bounded_broadcast
 
 LINEAGE_COLUMNS = ["_bronze_path", "_domain", "_entity", "_format", "_file_checksum",
                    "_processed_at", "_pipeline_run_id", "_row_checksum", "_needs_review"]
@@ -17,7 +16,7 @@ def add_lineage(df: DataFrame, catalog: DataFrame, run_id: str, processed_at: st
     """Adds the nine lineage columns.
 
     ``df`` carries ``_bronze_path``; ``catalog`` (path, domain, entity, format,
-    checksum) is file-sized and joined with a size-checked broadcast.
+    checksum) has a row per file.
     ``_processed_at`` stays ISO text; ``_row_checksum`` hashes the business
     columns only, so equal rows from different files share it.
     """
@@ -26,7 +25,6 @@ def add_lineage(df: DataFrame, catalog: DataFrame, run_id: str, processed_at: st
     cat = catalog.select(F.col("path").alias("_bronze_path"), F.col("domain").alias("_domain"),
                          F.col("entity").alias("_entity"), F.col("format").alias("_format"),
                          F.col("checksum").alias("_file_checksum"))
-    cat, _ = bounded_broadcast(cat)
     if processed_at is None:
         processed_at = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
     elif isinstance(processed_at, str):

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starforge.functions import dates as D
-from starforge.operators.joins import DEFAULT_BROADCAST_ROWS, bounded_broadcast, null_safe_left_join
+from starforge.operators.joins import null_safe_left_join
 
 ID_SUFFIX = "_id"
 DIM_LINEAGE = ["_bronze_path", "_file_checksum"]
@@ -137,23 +137,20 @@ def with_date_keys(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     return df.withColumns({f"{c}_key": D.date_key(F.col(f"`{c}`")) for c in cols})
 
 
-def resolve_fk(fact_df: DataFrame, dim_df: DataFrame, nat: str, key_col: str,
-               max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def resolve_fk(fact_df: DataFrame, dim_df: DataFrame, nat: str, key_col: str) -> DataFrame:
     """Fact ⟕ dim on the natural id (NULL matches NULL), adds ``key_col``."""
     lookup = dim_df.select(F.col(nat).alias("__nat"), F.col(key_col))
-    lookup, _ = bounded_broadcast(lookup, max_broadcast_rows)
     return null_safe_left_join(fact_df, lookup, nat, "__nat")
 
 
-def fact(df: DataFrame, entity: str, dims: dict[str, tuple[DataFrame, str]],
-         max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def fact(df: DataFrame, entity: str, dims: dict[str, tuple[DataFrame, str]]) -> DataFrame:
     """Date keys + one ``<dim>_key`` per other dimension whose natural id
     is a fact column. ``dims``: entity -> (dim DataFrame with key, natural id)."""
     out = with_date_keys(df)
     for dim_entity, (dim_df, nat) in dims.items():
         if dim_entity == entity or nat not in out.columns:
             continue
-        out = resolve_fk(out, dim_df, nat, f"{dim_entity}_key", max_broadcast_rows)
+        out = resolve_fk(out, dim_df, nat, f"{dim_entity}_key")
     return out
 
 

@@ -7,26 +7,34 @@ Tables live in a versioned ``TableStore`` under one shared root.
 
 from __future__ import annotations
 
+import json
 import os
 import sys
 import time
+import uuid
+from collections import Counter
 from dataclasses import dataclass, field
+from datetime import datetime, timezone
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starforge import config as C
 from starforge.operators import clean, cube, harmonize, incremental, infer, profile, star, validate
-from starforge.operators.ingest import gate, lineage_log, status_summary
+from starforge.operators.ingest import file_lineage, gate, review_queue, status_summary
 from starforge.operators.lineage import add_lineage
 from starforge.sources import catalog as CAT
 from starforge.sources.readers import csv_layout, read_group
 from starforge.session import ensure_checkpoint_dir
-from starforge.sources.sinks import TableStore, write_partitioned
+from starforge.sources.sinks import TableStore, check_unique, write_partitioned
 
 CSV_LIKE = (".csv", ".xlsx", ".xls")
-SILVER_PARTITIONS = ["domain", "entity", "year", "month"]
+# ``attempt`` names one run of the job. Rows of an attempt count only for the files that
+# ``silver_outputs`` ascribes to it, so a run that failed half-way, or the rows of a file
+# that has changed since, are never read.
+SILVER_PARTITIONS = ["domain", "entity", "year", "month", "attempt"]
 
 
 _TIMING = os.environ.get("STARFORGE_TIMING") == "1"
@@ -64,8 +72,9 @@ def bronze_to_silver(spark: SparkSession, bronze_root: str, silver_root: str, st
     files of one streaming micro-batch.
     """
     clock = _Clock()
-    prev = store.read("catalog")
-    catalog = CAT.with_source_date(CAT.build(spark, bronze_root, prev))
+    attempt = uuid.uuid4().hex
+    known = store.read("catalog")
+    catalog = CAT.with_source_date(CAT.build(spark, bronze_root, known))
     if only_paths is not None:
         catalog = catalog.where(F.col("path").isin(list(only_paths)))
     # Checkpoint, not cache: this run appends to the tables these plans read
@@ -116,20 +125,22 @@ def bronze_to_silver(spark: SparkSession, bronze_root: str, silver_root: str, st
     # pass 2 - write Silver; everything below reads the written Silver (pruned
     # Parquet, this run only) instead of re-reading and re-cleaning Bronze
     parts = catalog.select(F.col("path").alias("_bronze_path"), "year", "month")
-    silver_cols = {}
+    silver_cols, schemas = {}, {}
     for key in keys:
         domain, entity = key
         silver = add_lineage(renamed[key], catalog, run_id, needs_review=F.lit(review[key]))
         silver_cols[key] = [c for c in silver.columns if c != "_src_row"]
-        out = silver.join(F.broadcast(parts), "_bronze_path", "left").withColumns(
-            {"domain": F.lit(domain), "entity": F.lit(entity)}).drop("_src_row")
+        schemas[key] = silver.schema
+        out = silver.join(parts, "_bronze_path", "left").withColumns(
+            {"domain": F.lit(domain), "entity": F.lit(entity), "attempt": F.lit(attempt)})
         write_partitioned(out, silver_root, SILVER_PARTITIONS, mode="append")
         clock.mark(f"write {domain}.{entity}")
 
     per_file = []
     if keys:
-        ents = silver_entities(spark, silver_root, keys)
-        written = {k: ents[k].where(F.col("_pipeline_run_id") == run_id).select(*silver_cols[k]) for k in keys}
+        store.append("silver_schemas", C.local_df(spark, [(k[0], k[1], attempt, schemas[k].json()) for k in keys],
+                                                  "domain string, entity string, attempt string, schema string"))
+        written = {k: _silver_files(spark, silver_root, k, schemas[k], [attempt]).select(*silver_cols[k]) for k in keys}
         # three small per-file tables, each computed once for all entities
         raw_counts = _union([_raw_counts(raw_of[k], any(f in CSV_LIKE for f in groups[k]))
                              for k in keys]).checkpoint(eager=True)
@@ -156,11 +167,13 @@ def bronze_to_silver(spark: SparkSession, bronze_root: str, silver_root: str, st
         # Q4: drift of every entity against its previous load, one job
         prev = store.read("profile_columns")
         if prev is not None:
-            cur = C.local_df(spark, [(k[0], k[1], c) for k in keys for c in silver_cols[k]],
+            cur = C.local_df(spark, [(k[0], k[1], c) for k in keys for c in silver_cols[k] if c != "_bronze_path"],
                              "domain string, entity string, column string")
-            store.append("schema_drift", profile.drift(prev, cur, ["domain", "entity"])
-                         .withColumn("run_id", F.lit(run_id)))
-        store.append("profile_columns", prof_cols.withColumn("run_id", F.lit(run_id)))
+            last = prev.groupBy("domain", "entity").agg(F.max("recorded_at").alias("recorded_at"))
+            store.append("schema_drift", profile.drift(prev.join(last, ["domain", "entity", "recorded_at"], "left_semi"), cur,
+                                                       ["domain", "entity"]).withColumn("run_id", F.lit(run_id)))
+        now = datetime.now(timezone.utc)        # one moment for all rows of a run
+        store.append("profile_columns", prof_cols.withColumns({"run_id": F.lit(run_id), "recorded_at": F.lit(now)}))
         store.append("profile_summary", prof_sum.withColumn("run_id", F.lit(run_id)))
         per_file = [out_counts.join(raw_counts.select("_bronze_path", "rows_in"), "_bronze_path", "right")
                     .withColumnRenamed("_bronze_path", "path")]
@@ -182,43 +195,97 @@ def bronze_to_silver(spark: SparkSession, bronze_root: str, silver_root: str, st
         binf = spark.read.format("binaryFile").load([f"{bronze_root.rstrip('/')}/{r['path']}" for r in copied])
         b = binf.select(F.regexp_replace("path", r"^.*?" + CAT._quote(bronze_root.rstrip("/")) + "/", "").alias("path"),
                         "content")
-        b = b.join(catalog.select("path", "domain", "entity", "year", "month", "checksum"), "path")
+        b = b.join(catalog.select("path", "domain", "entity", "year", "month", "checksum", F.lit(attempt).alias("attempt")), "path")
         write_partitioned(b.withColumnRenamed("path", "_bronze_path"), f"{silver_root}/_binary", SILVER_PARTITIONS)
 
     # logs and state (append-only / new versions)
     if mappings:
         resolved = _union(mappings)
         store.replace("mapping_memory", harmonize.upsert_memory(memory, resolved))
-    done = results.where(F.col("status").isin("SUCCESS", "COPIED")).select("path", F.col("checksum").alias("out_checksum"))
-    store.append("silver_outputs", done)
+    # publishing: one row per path; what this attempt wrote counts from here on
+    done = results.where(F.col("status").isin("SUCCESS", "COPIED")).select(
+        "path", F.col("checksum").alias("out_checksum"), F.lit(attempt).alias("attempt"), F.current_timestamp().alias("written_at"))
+    store.replace("silver_outputs", _replaced(existing, done))
     store.append("processing_log", results.drop("on_disk", "decodable", "out_checksum"))
-    store.append("lineage_log", lineage_log(results, run_id))
-    if only_paths is None:
-        store.replace("catalog", catalog)
-    else:
-        store.append("catalog", catalog)
+    store.append("lineage_log", file_lineage(results, run_id, silver_root))
+    store.append("review_queue", review_queue(results).select("run_id", "path", "domain", "entity", "status", "needs_review"))
+    store.replace("catalog", catalog if only_paths is None else _replaced(known, catalog))
     clock.mark("profiles+logs")
     return RunResult(catalog, results, mappings)
 
 
-def silver_entities(spark: SparkSession, silver_root: str,
+def _replaced(old: DataFrame | None, new: DataFrame) -> DataFrame:
+    """``old`` with the rows of the paths in ``new`` replaced by ``new``'s."""
+    if old is None:
+        return new
+    return old.join(new.select("path"), "path", "left_anti").unionByName(new, allowMissingColumns=True)
+
+
+def _silver_files(spark: SparkSession, silver_root: str, key: tuple[str, str], schema: T.StructType, attempts: list[str]) -> DataFrame:
+    """The rows that some attempts, which shared a schema, wrote for one entity."""
+    whole = T.StructType([*schema.fields, *[T.StructField(c, T.StringType()) for c in SILVER_PARTITIONS]])
+    return (spark.read.schema(whole).option("basePath", silver_root)
+            .parquet(f"{silver_root}/domain={key[0]}/entity={key[1]}").where(F.col("attempt").isin(attempts)))
+
+
+def widest(types: list[T.DataType]) -> T.DataType:
+    """The type that holds all of ``types`` without loss of rows: one type stays, numbers
+    become long or double, dates timestamps, anything else text."""
+    if len(set(types)) == 1:
+        return types[0]
+    if all(star.type_class(t) == "numeric" for t in types):
+        whole = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+        return T.LongType() if all(isinstance(t, whole) for t in types) else T.DoubleType()
+    if all(star.type_class(t) == "datetime" for t in types):
+        return T.TimestampType()
+    return T.StringType()
+
+
+def widened_union(frames: list[DataFrame]) -> DataFrame:
+    """Union by name; a column whose type differs gets the widest one."""
+    types: dict[str, list[T.DataType]] = {}
+    for df in frames:
+        for f in df.schema.fields:
+            types.setdefault(f.name, []).append(f.dataType)
+    wide = {c: widest(t) for c, t in types.items()}
+    return _union([df.select(*[F.col(f"`{c}`").cast(wide[c]).alias(c) for c in df.columns]) for df in frames])
+
+
+def silver_entities(spark: SparkSession, silver_root: str, store: TableStore,
                     keys: list[tuple[str, str]] | None = None) -> dict[tuple[str, str], DataFrame]:
-    """One DataFrame per (domain, entity); files of an entity are merged by name."""
-    if keys is None:
-        listing = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-                   .option("pathGlobFilter", "*.parquet").load(silver_root).select("path"))
-        ents = (listing.select(F.regexp_extract("path", r"domain=([^/]+)/entity=([^/]+)/", 1).alias("d"),
-                               F.regexp_extract("path", r"domain=([^/]+)/entity=([^/]+)/", 2).alias("e"))
-                .where(F.col("d") != "").distinct().collect())
-        keys = [(r["d"], r["e"]) for r in ents]
+    """One DataFrame per (domain, entity) of the published rows; attempts are read by
+    schema, and a column whose type changed between runs is widened."""
+    schemas, outputs = store.read("silver_schemas"), store.read("silver_outputs")
+    if schemas is None or outputs is None:
+        return {}
+    live = outputs.select(F.col("path").alias("_bronze_path"), "attempt")
+    used = schemas.join(outputs.select("attempt").distinct(), "attempt", "left_semi").collect()     # a row per run and entity
+    groups: dict[tuple[str, str], dict[str, list[str]]] = {}
+    for r in used:
+        groups.setdefault((r["domain"], r["entity"]), {}).setdefault(r["schema"], []).append(r["attempt"])
     out = {}
-    for d, e in sorted(keys):
-        df = (spark.read.option("mergeSchema", "true").option("basePath", silver_root)
-              .parquet(f"{silver_root}/domain={d}/entity={e}"))
-        out[(d, e)] = df.drop(*SILVER_PARTITIONS)
+    for key in sorted(groups if keys is None else keys):
+        frames = [_silver_files(spark, silver_root, key, T.StructType.fromJson(json.loads(schema)), sorted(attempts))
+                  .join(live, ["_bronze_path", "attempt"], "left_semi").drop(*SILVER_PARTITIONS)
+                  for schema, attempts in sorted(groups[key].items())]
+        out[key] = widened_union(frames)
     return out
 
 
+def _store_new(store: TableStore, name: str, old: DataFrame | None, appended: DataFrame, unique: list[str],
+               sort_within: list[str] | None = None) -> None:
+    """Append what is new; the table is rewritten when a column's type has widened.
+    Each column of ``unique`` must hold no value twice among the new rows."""
+    for column in unique:
+        check_unique(appended, [column])
+    if old is None:
+        store.replace(name, appended, sort_within=sort_within)
+    elif dict(old.dtypes) == dict(appended.dtypes):
+        store.append(name, appended)
+    else:
+        store.replace(name, widened_union([old, appended]), sort_within=sort_within)
+
+
 def _raw_counts(raw: DataFrame, csv_like: bool) -> DataFrame:
     """Per file: rows read and rows left after P1-P4 (before de-duplication)."""
     cleaned = raw.transform(clean.normalize_names)
@@ -235,7 +302,7 @@ def _raw_counts(raw: DataFrame, csv_like: bool) -> DataFrame:
 def silver_to_gold(spark: SparkSession, silver_root: str, store: TableStore, cfg: C.Config,
                    full_reload: bool = False) -> DataFrame:
     """Classify, dim_date, dimensions, facts; returns a manifest."""
-    ents = silver_entities(spark, silver_root)
+    ents = silver_entities(spark, silver_root, store)
     if not ents:
         raise ValueError("no Silver entities")
     cats = [star.column_catalog(df, d, e) for (d, e), df in ents.items()]
@@ -249,27 +316,27 @@ def silver_to_gold(spark: SparkSession, silver_root: str, store: TableStore, cfg
         full, appended = incremental.load_dim_date(old, dd, full_reload)
         (store.replace if old is None else store.append)("dim_date", appended)
         manifest.append(("dim_date", "dim", None))
-    dims: dict[str, tuple[DataFrame, str]] = {}
+    dims: dict[tuple[str, str], tuple[str, DataFrame, str]] = {}
+    shared = Counter(e for (d, e) in ents if classes[(d, e)] == "dimension")
     for (d, e), df in ents.items():
         if classes[(d, e)] != "dimension":
             continue
+        name = e if shared[e] == 1 else f"{d}_{e}"      # an entity of several domains is qualified
         dim, nat = star.dimension(df)
-        old = None if full_reload else store.read(f"dim_{e}")
-        full, appended = incremental.load_dimension(old, dim, e, nat, full_reload)
-        (store.replace if old is None else store.append)(f"dim_{e}", appended)
-        dims[e] = (store.read(f"dim_{e}"), nat)
-        manifest.append((f"dim_{e}", "dim", None))
+        old = None if full_reload else store.read(f"dim_{name}")
+        full, appended = incremental.load_dimension(old, dim, name, nat, full_reload)
+        _store_new(store, f"dim_{name}", old, appended, [f"{name}_key", nat])
+        dims[(d, e)] = (name, store.read(f"dim_{name}"), nat)
+        manifest.append((f"dim_{name}", "dim", None))
     for (d, e), df in ents.items():
         if classes[(d, e)] != "fact":
             continue
         name = f"fact_{d}_{e}"
-        f = star.fact(df, e, dims)
+        f = star.fact(df, e, {n: (table, nat) for (_, entity), (n, table, nat) in dims.items() if entity != e})
         old = None if full_reload else store.read(name)
         full, appended = incremental.load_fact(old, f, full_reload)
-        if old is None:
-            store.replace(name, appended, sort_within=[c for c in appended.columns if c.endswith("_date_key")][:1] or None)
-        else:
-            store.append(name, appended)
+        _store_new(store, name, old, appended.drop("_src_row"), ["fact_id", "_row_checksum"],
+                   sort_within=[c for c in appended.columns if c.endswith("_date_key")][:1] or None)
         manifest.append((name, "fact", None))
     rows = [(n, k, fct, store.read(n).count()) for n, k, fct in manifest]   # footer counts
     return C.local_df(spark, rows, "name string, kind string, fact string, rows long")
@@ -318,8 +385,9 @@ def validate_gold(spark: SparkSession, store: TableStore, manifest: DataFrame) -
 
 
 def run(spark: SparkSession, bronze_root: str, lake_root: str, cfg: C.Config | None = None,
-        run_id: str = "run", full_reload: bool = False, size_limit: int | None = None) -> dict:
-    """The whole pipeline; returns summary DataFrames."""
+        run_id: str = "run", full_reload: bool = False, size_limit: int | None = None, strict: bool = False) -> dict:
+    """The whole pipeline; returns summary DataFrames. ``strict`` raises if validation
+    finds anything (the findings are stored either way)."""
     cfg = cfg or C.Config.load()
     store = TableStore(spark, f"{lake_root.rstrip('/')}/tables")
     silver_root = f"{lake_root.rstrip('/')}/silver"
@@ -331,5 +399,8 @@ def run(spark: SparkSession, bronze_root: str, lake_root: str, cfg: C.Config | N
         return out
     cubes = gold_olap(spark, store)
     manifest = manifest.unionByName(cubes)
-    out.update(manifest=manifest, findings=validate_gold(spark, store, manifest))
+    store.replace("validation_findings", validate_gold(spark, store, manifest))
+    out.update(manifest=manifest, findings=store.read("validation_findings"))
+    if strict:
+        validate.raise_on_findings(out["findings"])
     return out

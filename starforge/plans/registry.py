@@ -114,9 +114,12 @@ def _gate_inputs(spark, d):
     files = _files(spark, d)
     files = files.withColumn("on_disk", F.col("doc_id") % 31 != 0)
     files = files.withColumn("decodable", F.col("doc_id") % 13 != 0)
-    existing = (files.where(F.col("doc_id") % 5 == 0)
-                .select("path", F.when(F.col("doc_id") % 10 == 5, F.lit("stale")).otherwise(F.col("checksum"))
-                        .alias("out_checksum")))
+    done = files.where(F.col("doc_id") % 5 == 0)
+    stale = F.col("doc_id") % 10 == 5
+    # several versions per path: the last one counts, an older one may have today's checksum
+    existing = (done.select("path", F.when(stale, F.lit("stale")).otherwise(F.col("checksum")).alias("out_checksum"), F.lit(2).alias("written_at"))
+                .unionByName(done.select("path", F.when(stale, F.col("checksum")).otherwise(F.lit("older")).alias("out_checksum"),
+                                         F.lit(1).alias("written_at"))))
     return files, existing
 
 
@@ -127,14 +130,18 @@ def _ingest_gate(spark, d):
 
 
 GATE_SQL = f"""
-ex AS (SELECT path, CASE WHEN doc_id % 10 = 5 THEN 'stale' ELSE checksum END AS out_checksum FROM as_files WHERE doc_id % 5 = 0),
+versions AS (
+  SELECT path, CASE WHEN doc_id % 10 = 5 THEN 'stale' ELSE checksum END AS out_checksum, 2 AS written_at FROM as_files WHERE doc_id % 5 = 0
+  UNION ALL
+  SELECT path, CASE WHEN doc_id % 10 = 5 THEN checksum ELSE 'older' END, 1 FROM as_files WHERE doc_id % 5 = 0),
+ex AS (SELECT path, arg_max(out_checksum, written_at) AS out_checksum FROM versions GROUP BY path),
 gate AS (
   SELECT c.*, CASE
       WHEN c.doc_id % 31 = 0 THEN 'FAILED'
       WHEN c.size_bytes > {SIZE_LIMIT} THEN 'SKIPPED'
       WHEN c.format IN ({", ".join(S.q(x) for x in CAT.UNSTRUCTURED_FORMATS)}) AND e.out_checksum = c.checksum THEN 'SKIPPED'
       WHEN c.format IN ({", ".join(S.q(x) for x in CAT.UNSTRUCTURED_FORMATS)}) THEN 'COPIED'
-      WHEN c.format NOT IN ({", ".join(S.q(x) for x in CAT.STRUCTURED_FORMATS)}) THEN 'SKIPPED'
+      WHEN c.format NOT IN ({", ".join(S.q(x) for x in CAT.READABLE_FORMATS)}) THEN 'SKIPPED'
       WHEN e.out_checksum = c.checksum THEN 'SKIPPED'
       WHEN c.doc_id % 13 = 0 THEN 'FAILED'
       ELSE 'SUCCESS' END AS status,
@@ -143,7 +150,7 @@ gate AS (
       WHEN c.size_bytes > {SIZE_LIMIT} THEN 'exceeds size limit'
       WHEN c.format IN ({", ".join(S.q(x) for x in CAT.UNSTRUCTURED_FORMATS)}) AND e.out_checksum = c.checksum THEN 'already copied (idempotent)'
       WHEN c.format IN ({", ".join(S.q(x) for x in CAT.UNSTRUCTURED_FORMATS)}) THEN NULL
-      WHEN c.format NOT IN ({", ".join(S.q(x) for x in CAT.STRUCTURED_FORMATS)}) THEN 'unsupported extension ' || c.format
+      WHEN c.format NOT IN ({", ".join(S.q(x) for x in CAT.READABLE_FORMATS)}) THEN 'unsupported extension ' || c.format
       WHEN e.out_checksum = c.checksum THEN 'silver output exists (idempotent)'
       WHEN c.doc_id % 13 = 0 THEN 'decode error'
       ELSE NULL END AS reason
@@ -183,6 +190,15 @@ def q_lineage_log(spark, d):
     return lineage_log(_ingest_gate(spark, d), FX.RUN_ID)
 
 
+@register("file_lineage", with_ctes(FX.AS_FILES_SQL, CAT_SQL, GATE_SQL) + f"""
+SELECT {S.q(FX.RUN_ID)} AS pipeline_run_id, path AS bronze_path, '/lake/silver/domain=' || domain || '/entity=' || entity AS silver_path,
+       domain, entity, rows_in, rows_out, checksum
+FROM gate WHERE status IN ('SUCCESS', 'COPIED')""")
+def q_file_lineage(spark, d):
+    from starforge.operators.ingest import file_lineage
+    return file_lineage(_ingest_gate(spark, d), FX.RUN_ID, "/lake/silver").drop("processed_at")
+
+
 def flagship(spark, d):
     """C8 + A6: star from orders/customer, month x customer cube."""
     return q_cuboid_month_dim(spark, d)
@@ -291,7 +307,7 @@ def _stats_sql(source: str, frm: str, cols: list[str]) -> list[str]:
             f"SELECT {S.q(source)} AS source, {S.q(c)} AS \"column\", {i} AS position, count({c}) AS nonnull, "
             f"count(CASE WHEN lower({t}) IN ({vocab}) THEN 1 END) AS bool_hits, "
             f"count(CASE WHEN regexp_matches({t}, {S.q(infer.NUMBER_PATTERN)}) THEN 1 END) AS num_hits, "
-            f"count(CASE WHEN regexp_matches({t}, {S.q(infer.INTEGER_PATTERN)}) THEN 1 END) AS int_hits, "
+            f"count(CASE WHEN regexp_matches({t}, {S.q(infer.INTEGER_PATTERN)}) THEN TRY_CAST({t} AS BIGINT) END) AS int_hits, "
             f"count({S.parse_dt_sql(t)}) AS dt_hits FROM {frm}")
     return out
 

@@ -7,8 +7,10 @@ pruned and files are not read.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starforge.functions.hashing import content_checksum
 
@@ -16,6 +18,7 @@ from starforge.functions.hashing import content_checksum
 # like 2026 or 20260601); 14-digit upload stamps are stripped too.
 DATE_TOKEN = r"[0-9]{4,8}|[0-9]{14}"
 STRUCTURED_FORMATS = [".csv", ".xlsx", ".xls", ".json", ".xml"]
+READABLE_FORMATS = [f for f in STRUCTURED_FORMATS if f != ".xls"]      # the binary format has no reader here
 UNSTRUCTURED_FORMATS = [".png", ".jpg", ".jpeg", ".gif", ".mp3", ".wav", ".pdf"]
 
 
@@ -26,10 +29,47 @@ def list_files(spark: SparkSession, root: str, with_content: bool = True) -> Dat
     rel = F.regexp_replace(F.col("path"), r"^.*?" + _quote(root_uri.split("://")[-1]) + "/", "")
     cols = [rel.alias("path"), F.col("length").alias("size_bytes"), F.col("modificationTime").alias("mtime")]
     if with_content:
-        cols.append(content_checksum(F.col("content")).alias("checksum"))
+        kind = format_of(F.col("path"))
+        looked_at = F.when(kind.isin(".json", ".xml", ".xlsx"), F.col("content"))
+        cols += [content_checksum(F.col("content")).alias("checksum"), _decodes(kind, looked_at).alias("decodable")]
     return df.select(*cols)
 
 
+@F.pandas_udf(T.BooleanType())
+def _decodes(kind: pd.Series, content: pd.Series) -> pd.Series:
+    """Whether a JSON, XML or workbook file can be decoded; other kinds always can."""
+    import io
+    import json
+    import xml.etree.ElementTree as ET
+    import zipfile
+
+    def json_lines(data: bytes) -> None:
+        text = data.decode("utf-8-sig")
+        try:
+            json.loads(text)
+        except ValueError:
+            for line in text.splitlines():
+                if line.strip():
+                    json.loads(line)
+
+    def workbook(data: bytes) -> None:
+        with zipfile.ZipFile(io.BytesIO(data)) as z:
+            if z.testzip() or not any(n.startswith("xl/worksheets/") for n in z.namelist()):
+                raise ValueError("not a workbook")
+
+    decoders = {".json": json_lines, ".xml": ET.fromstring, ".xlsx": workbook}
+
+    def ok(k, data) -> bool:
+        try:
+            if data is not None:
+                decoders[k](bytes(data))
+            return True
+        except Exception:       # whatever a decoder raises, the file fails and the run goes on
+            return False
+
+    return pd.Series([ok(k, c) for k, c in zip(kind, content)], dtype=bool)
+
+
 def _quote(s: str) -> str:
     import re
     return re.escape(s)

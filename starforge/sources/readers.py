@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from starforge.config import NA_TOKENS
@@ -93,14 +93,25 @@ def read_json(spark: SparkSession, paths: list[str], root: str | None = None) ->
     Spark sorts inferred fields by name; the order of the first record's keys
     is restored so "first ``_id`` column" rules see the source order.
     """
-    # a file holding one JSON array is read whole; JSON-lines files are split
-    multi = _json_is_array(spark, paths[0])
-    df = spark.read.option("multiLine", multi).option("primitivesAsString", True).json(paths)
-    df = _with_lineage(df.select("*", "_metadata"), root).drop("_metadata")
-    order = _json_key_order(spark, paths)
-    flat_cols = flatten(df.drop("_bronze_path", "_src_row")).columns
-    cols = sorted(flat_cols, key=lambda c: (order.get(c, order.get(c.split("_")[0], len(order))), c))
-    return _json_select(df, cols)
+    # files holding one JSON array are read whole; JSON-lines files are split
+    kinds = _json_kinds(spark, paths)
+    parts = []
+    for multi in (True, False):
+        files = [p for p in paths if kinds.get(_strip_uri(p), True) == multi]
+        if files:
+            df = spark.read.option("multiLine", multi).option("primitivesAsString", True).json(files)
+            df = _with_lineage(df.select("*", "_metadata"), root).drop("_metadata")
+            order = _json_key_order(spark, files)
+            flat_cols = flatten(df.drop("_bronze_path", "_src_row")).columns
+            cols = sorted(flat_cols, key=lambda c: (order.get(c, order.get(c.split("_")[0], len(order))), c))
+            parts.append(_json_select(df, cols))
+    return _by_name(parts)
+
+
+def _by_name(parts: list[DataFrame]) -> DataFrame:
+    """Union by name; the lineage columns stay last."""
+    df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return df.select(*[F.col(f"`{c}`") for c in df.columns if c not in ("_bronze_path", "_src_row")], "_bronze_path", "_src_row")
 
 
 def _json_select(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -109,11 +120,15 @@ def _json_select(df: DataFrame, cols: list[str]) -> DataFrame:
     return flat.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in keep], "_bronze_path", "_src_row")
 
 
-def _json_is_array(spark: SparkSession, path: str) -> bool:
-    """True unless the file is JSON lines: first line a complete object (bounded head read)."""
-    lines = [r[0] for r in spark.read.text(path).limit(5).collect()]
-    first = next((x.strip() for x in lines if x.strip()), "")
-    return not (first.startswith("{") and first.endswith("}"))
+def _json_kinds(spark: SparkSession, paths: list[str]) -> dict[str, bool]:
+    """path -> whether the file is one JSON value; it is JSON lines if its first line with
+    text is a whole object. Looked up on executors, in each file's first split."""
+    line = F.trim("value")
+    t = spark.read.text(paths).select(line.alias("line"), F.col("_metadata.file_path").alias("path"),
+                                      F.col("_metadata.file_block_start").alias("b"), F.monotonically_increasing_id().alias("i"))
+    whole = ~(F.col("line").startswith("{") & F.col("line").endswith("}"))
+    first = t.where((F.col("b") == 0) & (F.col("line") != "")).groupBy("path").agg(F.min_by(whole, "i").alias("whole"))
+    return {_strip_uri(r["path"]): r["whole"] for r in first.collect()}      # one row per file
 
 
 def _json_key_order(spark: SparkSession, paths: list[str]) -> dict[str, int]:
@@ -130,21 +145,26 @@ def _json_key_order(spark: SparkSession, paths: list[str]) -> dict[str, int]:
 
 def read_xml(spark: SparkSession, paths: list[str], root: str | None = None, row_tag: str | None = None) -> DataFrame:
     """Repeated children of the root are rows; attributes and child text are columns."""
-    tag = row_tag or _xml_row_tag(spark, paths[0])
-    df = (spark.read.format("xml").option("rowTag", tag).option("attributePrefix", "")
-          .option("inferSchema", False).load(paths))
-    df = _with_lineage(df.select("*", "_metadata"), root).drop("_metadata")
-    business = [c for c in df.columns if c not in ("_bronze_path", "_src_row")]
-    return df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in business], "_bronze_path", "_src_row")
-
-
-def _xml_row_tag(spark: SparkSession, path: str) -> str:
-    import re
-    head = "".join(r[0] for r in spark.read.text(path).limit(50).collect())
-    tags = [t for t in re.findall(r"<([A-Za-z_][\w.\-]*)[\s>/]", head)]
-    if len(tags) < 2:
-        raise ValueError(f"cannot find a row tag in {path}")
-    return tags[1]
+    tags = {_strip_uri(p): row_tag for p in paths} if row_tag else _xml_row_tags(spark, paths)
+    parts = []
+    for tag in sorted({t for t in tags.values() if t}):
+        files = [p for p in paths if tags.get(_strip_uri(p)) == tag]
+        df = (spark.read.format("xml").option("rowTag", tag).option("attributePrefix", "")
+              .option("inferSchema", False).load(files))
+        df = _with_lineage(df.select("*", "_metadata"), root).drop("_metadata")
+        business = [c for c in df.columns if c not in ("_bronze_path", "_src_row")]
+        parts.append(df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in business], "_bronze_path", "_src_row"))
+    if not parts:
+        raise ValueError(f"no row tag in any of {len(paths)} XML files")
+    return _by_name(parts)
+
+
+def _xml_row_tags(spark: SparkSession, paths: list[str]) -> dict[str, str]:
+    """path -> its second element's name, the first child of the root (null without one)."""
+    text = F.regexp_replace(F.col("content").cast("string"), r"(?s)<!--.*?-->", "")
+    tag = F.try_element_at(F.regexp_extract_all(text, F.lit(r"<([A-Za-z_][\w.\-]*)[\s>/]")), F.lit(2))
+    rows = spark.read.format("binaryFile").load(paths).select("path", tag.alias("tag")).collect()   # one row per file
+    return {_strip_uri(r["path"]): r["tag"] for r in rows}
 
 
 XLSX_CELL_SCHEMA = "path string, sheet int, row int, col int, value string"
@@ -179,8 +199,14 @@ def _xlsx_cells(batches):
             if "xl/sharedStrings.xml" in z.namelist():
                 for si in ET.fromstring(z.read("xl/sharedStrings.xml")).findall("m:si", ns):
                     shared.append("".join(t.text or "" for t in si.iter(f"{{{ns['m']}}}t")))
-            sheets = sorted((n for n in z.namelist() if re.match(r"xl/worksheets/sheet\d+\.xml$", n)),
-                            key=lambda n: int(re.findall(r"\d+", n)[-1]))
+            sheets = sorted((n for n in z.namelist() if re.match(r"xl/worksheets/[^/]+\.xml$", n)),
+                            key=lambda n: [int(x) for x in re.findall(r"\d+", n)] or [0])
+            if {"xl/workbook.xml", "xl/_rels/workbook.xml.rels"} <= set(z.namelist()):      # the workbook's own order
+                target = {r.get("Id"): r.get("Target") for r in ET.fromstring(z.read("xl/_rels/workbook.xml.rels"))}
+                rel = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
+                named = [target.get(s.get(rel), "") for s in ET.fromstring(z.read("xl/workbook.xml")).iter(f"{{{ns['m']}}}sheet")]
+                ordered = [n.lstrip("/") if n.startswith("/") else f"xl/{n}" for n in named]
+                sheets = [n for n in ordered if n in sheets] or sheets
             for si, name in enumerate(sheets):
                 root = ET.fromstring(z.read(name))
                 for r_i, row in enumerate(root.iter(f"{{{ns['m']}}}row")):
@@ -199,16 +225,19 @@ def _xlsx_cells(batches):
 
 
 def read_xlsx(spark: SparkSession, paths: list[str], root: str | None = None) -> DataFrame:
-    """First non-empty sheet of each workbook, first row = header.
+    """First sheet of each workbook that has rows below its header; a header name that
+    repeats gets the suffix ``.1``, ``.2``, ...
 
     Decoding runs on executors (``mapInPandas`` over ``binaryFile``); cells
     are then pivoted back to rows with DataFrame operations.
     """
     cells = spark.read.format("binaryFile").load(paths).select("path", "content").mapInPandas(
         _xlsx_cells, XLSX_CELL_SCHEMA)
-    first = cells.groupBy("path").agg(F.min("sheet").alias("sheet"))
+    first = cells.where(F.col("row") > 0).groupBy("path").agg(F.min("sheet").alias("sheet"))
     cells = cells.join(first, ["path", "sheet"], "left_semi")
-    header = cells.where(F.col("row") == 0).select("path", "col", F.col("value").alias("name"))
+    nth = F.row_number().over(Window.partitionBy("path", "value").orderBy("col")) - 1      # within one header
+    header = cells.where(F.col("row") == 0).withColumn("nth", nth).select(
+        "path", "col", F.when(F.col("nth") > 0, F.concat_ws(".", "value", "nth")).otherwise(F.col("value")).alias("name"))
     body = cells.where(F.col("row") > 0).join(header, ["path", "col"], "inner")
     # header names in column order (schema-sized metadata)
     names = [r[0] for r in header.groupBy("name").agg(F.min("col").alias("c")).orderBy("c", "name").collect()]

@@ -1,67 +1,51 @@
-"""Classification C1/C2 on column catalogs."""
+"""Classification C1/C2 on column catalogs, natural id C3."""
 
 import pytest
 
 from starforge.operators import star
 
+SCHEMA = "domain string, entity string, column string, position int, type_class string, null_free boolean"
 
-def _cls(spark, cols, overrides=None, domain="retail", entity="x"):
-    rows = [(domain, entity, n, i, t, True) for i, (n, t) in enumerate(cols)]
-    cat = spark.createDataFrame(rows, "domain string, entity string, column string, position int, "
-                                      "type_class string, null_free boolean")
-    ov = None
-    if overrides is not None:
-        ov = spark.createDataFrame(overrides, "domain string, entity string, forced string")
-    return star.classify(cat, ov).first()["class"]
 
+def _classes(spark, tables, overrides=None):
+    rows = [("yard", e, n, i, t, free) for e, cols in tables.items() for i, (n, t, free) in enumerate(cols)]
+    ov = None if overrides is None else spark.createDataFrame(overrides, "domain string, entity string, forced string")
+    return {r["entity"]: r["class"] for r in star.classify(spark.createDataFrame(rows, SCHEMA), ov).collect()}
 
-def test_one_id_one_date_is_dimension(spark):
-    assert _cls(spark, [("customer_id", "string"), ("name", "string"), ("signup_date", "datetime")]) == "dimension"
 
+def _cols(*spec):
+    return [(n, t, True) for n, t in spec]
 
-def test_two_ids_is_fact(spark):
-    assert _cls(spark, [("order_id", "string"), ("customer_id", "string"), ("status", "string")]) == "fact"
 
+def test_rules_at_their_limits(spark):
+    got = _classes(spark, {
+        "one_id": _cols(("berth_id", "string"), ("side", "string")),
+        "two_ids": _cols(("berth_id", "string"), ("crane_id", "string")),
+        "numeric_id": _cols(("berth_id", "numeric"), ("side", "string")),
+        "one_number": _cols(("berth_id", "string"), ("depth", "numeric")),
+        "one_date": _cols(("side", "string"), ("built", "datetime")),
+        "two_dates": _cols(("built", "datetime"), ("closed", "datetime")),
+        "lineage_only": _cols(("side", "string"), ("_source_id", "string"), ("_n", "numeric")),
+    })
+    assert got == {"one_id": "dimension", "two_ids": "fact", "numeric_id": "dimension", "one_number": "fact",
+                   "one_date": "dimension", "two_dates": "fact", "lineage_only": "dimension"}
 
-def test_measure_is_fact(spark):
-    assert _cls(spark, [("ticket_id", "string"), ("amount", "numeric")]) == "fact"
 
+def test_boolean_is_a_measure_only_without_nulls(spark):
+    got = _classes(spark, {"whole": [("berth_id", "string", True), ("lit", "boolean", True)],
+                           "holes": [("berth_id", "string", True), ("lit", "boolean", False)]})
+    assert got == {"whole": "fact", "holes": "dimension"}
 
-def test_two_dates_is_fact(spark):
-    assert _cls(spark, [("ticket_id", "string"), ("opened_at", "datetime"), ("closed_at", "datetime")]) == "fact"
 
+@pytest.mark.parametrize("override, want", [
+    (("yard", "calls", "dimension"), "dimension"), (("yard", "other", "dimension"), "fact"),
+    (("harbour", "calls", "dimension"), "fact"), (("yard", "calls", "table"), "fact")])
+def test_overrides(spark, override, want):
+    tables = {"calls": _cols(("ship_id", "string"), ("berth_id", "string"))}
+    assert _classes(spark, tables, [override]) == {"calls": want}
 
-def test_override_to_dimension(spark):
-    cols = [("order_id", "string"), ("customer_id", "string")]
-    assert _cls(spark, cols, [("retail", "x", "dimension")]) == "dimension"
 
-
-def test_override_to_fact(spark):
-    cols = [("customer_id", "string"), ("name", "string")]
-    assert _cls(spark, cols, [("retail", "x", "fact")]) == "fact"
-
-
-def test_override_of_other_entity_ignored(spark):
-    cols = [("customer_id", "string"), ("name", "string")]
-    assert _cls(spark, cols, [("retail", "other", "fact")]) == "dimension"
-
-
-def test_invalid_override_ignored(spark):
-    cols = [("customer_id", "string"), ("name", "string")]
-    assert _cls(spark, cols, [("retail", "x", "cube")]) == "dimension"
-
-
-def test_null_free_boolean_counts_as_measure(spark):
-    rows = [("d", "e", "customer_id", 0, "string", True), ("d", "e", "active", 1, "boolean", True),
-            ("d", "f", "customer_id", 0, "string", True), ("d", "f", "active", 1, "boolean", False)]
-    cat = spark.createDataFrame(rows, "domain string, entity string, column string, position int, "
-                                      "type_class string, null_free boolean")
-    got = {r["entity"]: r["class"] for r in star.classify(cat).collect()}
-    assert got == {"e": "fact", "f": "dimension"}
-
-
-def test_natural_id_choice(spark):
-    df = spark.createDataFrame([("a", "W1", "x")], "name string, widget_id string, code_id string")
-    assert star.natural_id(df) == "widget_id"
-    df2 = spark.createDataFrame([("a", "b")], "name string, code string")
-    assert star.natural_id(df2) == "name"
+def test_natural_id(spark):
+    df = spark.createDataFrame([("x", "y", "z")], "side string, crane_id string, berth_id string")
+    assert star.natural_id(df) == "crane_id"
+    assert star.natural_id(df.select("side")) == "side"

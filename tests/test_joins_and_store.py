@@ -1,21 +1,13 @@
-"""Checked broadcast, NULL-safe joins, versioned table store."""
+"""NULL-safe joins, versioned table store."""
 
 import os
 
 from pyspark.sql import functions as F
 
-from starforge.operators.joins import bounded_broadcast, null_safe_anti_join, null_safe_left_join
+from starforge.operators.joins import null_safe_anti_join, null_safe_left_join
 from starforge.sources.sinks import TableStore, check_unique
 
 
-def test_bounded_broadcast(spark):
-    small = spark.range(10)
-    _, used = bounded_broadcast(small, max_rows=10)
-    assert used
-    _, used = bounded_broadcast(small, max_rows=9)
-    assert not used
-
-
 def test_null_matches_null(spark):
     left = spark.createDataFrame([(1, "a"), (2, None), (3, "z")], "id int, k string")
     right = spark.createDataFrame([("a", 10), (None, 20)], "k string, key int")

@@ -11,7 +11,7 @@ SF001 = "/root/testdata/sf0.01"
 def test_dense_ids_are_dense_and_ordered(spark):
     li = spark.read.parquet(f"{SF001}/lineitem.parquet")
     cols = li.columns
-    ids = dense_ids(li, cols, "fact_id", start=11, num_partitions=7, local_rows=0)
+    ids = dense_ids(li, cols, "fact_id", start=11, num_partitions=7)
     agg = ids.agg(F.min("fact_id"), F.max("fact_id"), F.countDistinct("fact_id"), F.count(F.lit(1))).first()
     assert tuple(agg) == (11, 60010, 60000, 60000)
     # order: the id follows the ordering columns
@@ -79,7 +79,7 @@ def test_validation(spark):
 
 def test_dense_ids_paths_agree(spark):
     o = spark.read.parquet(f"{SF001}/orders.parquet").select("o_orderkey", "o_custkey")
-    a = dense_ids(o, ["o_custkey", "o_orderkey"], "k", start=5, local_rows=0)
+    a = dense_ids(o, ["o_custkey", "o_orderkey"], "k", start=5)
     b = dense_ids(o, ["o_custkey", "o_orderkey"], "k", start=5)
     assert sorted(tuple(r) for r in a.collect()) == sorted(tuple(r) for r in b.collect())
 

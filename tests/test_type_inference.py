@@ -1,68 +1,80 @@
-"""Type rules T0-T5 (thresholds, order of the rules, NA markers, empty)."""
+"""Type rules T0-T5: thresholds at and around their limits, order of the rules, empty columns."""
 
 import datetime as dt
 
+import pytest
+
 from starforge import config as C
 from starforge.operators import infer
+from starforge.operators.clean import na_tokens
+
+
+def _infer(spark, values, markers=False):
+    df = spark.createDataFrame([(v,) for v in values], "cell string")
+    typed, labels = infer.infer_and_cast(na_tokens(df) if markers else df, cfg=C.Config.load())
+    return [r[0] for r in typed.collect()], labels["cell"], typed.schema["cell"].dataType.typeName()
+
+
+@pytest.mark.parametrize("numbers, label", [(7, "numeric"), (6, "string")])
+def test_numeric_threshold(spark, numbers, label):
+    """Seven of ten values must be numbers."""
+    values = [str(k * 1.25 + 0.5) for k in range(numbers)] + ["pear", "plum", "fig", "kiwi"][:10 - numbers]
+    got, found, _ = _infer(spark, values)
+    assert found == label
+    if label == "numeric":
+        assert sum(v is None for v in got) == 10 - numbers
 
 
-def _infer(spark, values):
-    df = spark.createDataFrame([(v,) for v in values], "value string")
-    typed, labels = infer.infer_and_cast(df, cfg=C.Config.load())
-    return [r[0] for r in typed.collect()], labels["value"]
+@pytest.mark.parametrize("dates, label", [(7, "datetime"), (6, "string")])
+def test_datetime_threshold(spark, dates, label):
+    values = [f"1999-1{k % 3}-0{k + 1}" for k in range(dates)] + ["soon", "later", "never", "maybe"][:10 - dates]
+    assert _infer(spark, values)[1] == label
 
 
-def test_numeric_with_na_marker(spark):
-    from starforge.operators.clean import na_tokens
-    df = na_tokens(spark.createDataFrame([(v,) for v in ["12.5", "99.0", "N/A", "250.75", "4.2"]], "value string"))
-    typed, labels = infer.infer_and_cast(df)
-    vals = [r[0] for r in typed.collect()]
-    assert labels["value"] == "numeric"
-    assert sum(v is None for v in vals) == 1
+@pytest.mark.parametrize("flags, label", [(18, "boolean"), (17, "string")])
+def test_boolean_threshold(spark, flags, label):
+    """Nine of ten values must be in the vocabulary."""
+    values = ["yes" if k % 2 else "no" for k in range(flags)] + ["perhaps"] * (20 - flags)
+    if _infer(spark, ["yes", "no"])[1] != "boolean":
+        values = [{"yes": "TRUE", "no": "false"}.get(v, v) for v in values]
+    assert _infer(spark, values)[1] == label
 
 
-def test_numeric_before_datetime(spark):
-    vals, label = _infer(spark, ["423.45", "19.99", "5.0", "88.10", "500.0"])
-    assert label == "numeric"
-    assert vals[0] == 423.45
+def test_markers_do_not_count(spark):
+    got, label, _ = _infer(spark, ["-3", "NULL", "n/a", "18", "", "0"], markers=True)
+    assert label == "numeric" and got == [-3, None, None, 18, None, 0]
 
 
-def test_mixed_dates(spark):
-    vals, label = _infer(spark, ["2026-01-01", "2026-02-15", "06/03/2026", "2026-04-20"])
-    assert label == "datetime"
-    assert vals[2] == dt.datetime(2026, 6, 3)   # month first
+def test_numbers_win_over_dates(spark):
+    """Eight digits could be a day; a column of them is numeric."""
+    got, label, kind = _infer(spark, ["20191231", "20200229", "19700101"])
+    assert (label, kind) == ("numeric", "long") and got[1] == 20200229
 
 
-def test_day_first_fallback(spark):
-    vals, label = _infer(spark, ["13/05/2026", "05/06/2026"])
-    assert label == "datetime"
-    assert vals == [dt.datetime(2026, 5, 13), dt.datetime(2026, 5, 6)]
+def test_fraction_makes_the_column_double(spark):
+    assert _infer(spark, ["4", "5", "6.5"])[2] == "double"
+    assert _infer(spark, ["4", "5", "6"])[2] == "long"
 
 
-def test_booleans(spark):
-    vals, label = _infer(spark, ["true", "false", "TRUE", "False", "true"])
-    assert label == "boolean"
-    assert vals == [True, False, True, False, True]
+def test_long_identifiers_keep_their_digits(spark):
+    got, label, kind = _infer(spark, ["9223372036854775807", "-9223372036854775808", "12"])
+    assert (label, kind) == ("numeric", "long") and got[0] == 9223372036854775807 and got[1] == -9223372036854775808
 
 
-def test_free_text_with_empty_string(spark):
-    vals, label = _infer(spark, ["Great service!", "Could be faster", "", "Loved it", "meh"])
-    assert label == "string"
-    assert "" in vals          # '' is text, not NULL
+def test_day_first_only_where_month_first_fails(spark):
+    got, label, _ = _infer(spark, ["31/12/2001", "01/02/2003"])
+    assert label == "datetime" and got == [dt.datetime(2001, 12, 31), dt.datetime(2003, 1, 2)]
 
 
-def test_all_null_is_empty(spark):
-    vals, label = _infer(spark, [None, None, None])
-    assert label == "empty"
+def test_month_first_in_mixed_shapes(spark):
+    got, label, _ = _infer(spark, ["2011-10-09", "07/04/2012", "2013-02-28"])
+    assert label == "datetime" and got[1] == dt.datetime(2012, 7, 4)
 
 
-def test_below_threshold_stays_string(spark):
-    vals, label = _infer(spark, ["abc", "def", "ghi", "jkl", "34"])
-    assert label == "string"
+def test_empty_text_is_not_null(spark):
+    got, label, _ = _infer(spark, ["rain", "", "snow and hail"])
+    assert label == "string" and got[1] == ""
 
 
-def test_integral_numbers_are_long(spark):
-    df = spark.createDataFrame([("1",), ("22",), ("333",)], "value string")
-    typed, labels = infer.infer_and_cast(df)
-    assert labels["value"] == "numeric"
-    assert typed.schema["value"].dataType.typeName() == "long"
+def test_nothing_known_is_empty(spark):
+    assert _infer(spark, [None] * 4)[1] == "empty"
