@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starforge.functions import dates as D
-from starforge.operators.star import NUMERIC_TYPES
+from starforge.operators.star import NUMERIC_TYPES, datetime_columns
 
 RECORD_COUNT = "_record_count"
 
@@ -41,7 +41,15 @@ def measures(df: DataFrame, reference_measures: bool = False) -> list[str]:
     return out
 
 
-def date_key_columns(df: DataFrame, dim_keys: list[str]) -> list[str]:
+def date_key_columns(df: DataFrame, dim_keys: list[str] | None = None) -> list[str]:
+    """The keys made from the fact's datetime columns, in name order. A fact without
+    these columns is judged by names: ``*_key`` columns that aren't in ``dim_keys`` (or,
+    where the dimensions aren't known, ``*_date_key``)."""
+    own = {f"{c}_key" for c in datetime_columns(df)} & set(df.columns)
+    if own:
+        return sorted(own)
+    if dim_keys is None:
+        return sorted(c for c in df.columns if c.endswith("_date_key") or c == "date_key")
     return sorted(c for c in df.columns if c.endswith("_key") and c not in dim_keys and c != "fact_id")
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starforge.functions import dates as D
+from starforge.operators.cube import date_key_columns
 
 
 def coerce_literal(value, dtype: T.DataType) -> Column:
@@ -37,7 +38,7 @@ def rows(fact: DataFrame, filters: dict, date_role: str | None = None, limit: in
     year, month = filters.get("year"), filters.get("month")
     if year is not None or month is not None:
         if date_role is None:
-            keys = sorted(c for c in fact.columns if c.endswith("_date_key") or c == "date_key")
+            keys = date_key_columns(fact)
             if not keys:
                 raise ValueError("no date key to filter year/month on")
             date_role = keys[0]

@@ -95,3 +95,14 @@ def test_empty_fact_apex_and_late_dimension(spark):
     fixed = {r["order_id"]: r["customer_key"] for r in
              incremental.reresolve_null_fks(fact, dim, "customer_id", "customer_key").collect()}
     assert fixed == {"O1": 1, "O2": 9, "O3": 2}
+
+
+def test_drill_and_cube_use_one_date_key(spark):
+    """A key made from a datetime column whatever its name; dimension keys are never dates."""
+    import datetime as dt
+    from starforge.operators import cube, drill, star
+    df = spark.createDataFrame([(dt.datetime(2020, 1, 5), 7, 1.0), (dt.datetime(2021, 3, 9), 8, 2.0)],
+                               "created_at timestamp, port_key int, tons double")
+    fact = star.with_date_keys(df)
+    assert cube.date_key_columns(fact, []) == cube.date_key_columns(fact) == ["created_at_key"]
+    assert [r["tons"] for r in drill.rows(fact, {"year": 2021, "month": 3}).collect()] == [2.0]
