@@ -29,15 +29,18 @@ def _with_lineage(df: DataFrame, root: str | None) -> DataFrame:
 
 
 def csv_headers(spark: SparkSession, paths: list[str], encoding: str = "UTF-8") -> DataFrame:
-    """First line of each file (path, header), computed on executors.
+    """First line of each file, and whether a quoted field may span lines (path, header,
+    multi), computed on executors in one pass over splits.
 
-    Only rows of each file's first split take part, and ``min_by`` keeps one
-    row per file before the shuffle.
+    A line with an odd number of quotes opens or closes a field that spans lines; a file
+    without one can be read in splits. ``min_by`` keeps one row per file and task.
     """
     t = spark.read.option("encoding", encoding).text(paths)
     t = t.select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("b"),
                  F.monotonically_increasing_id().alias("i"))
-    return t.where(F.col("b") == 0).groupBy("path").agg(F.min_by("value", "i").alias("header"))
+    odd = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
+    return t.groupBy("path").agg(F.min_by(F.when(F.col("b") == 0, F.col("value")), F.when(F.col("b") == 0, F.col("i"))).alias("header"),
+                                 F.max(odd % 2 == 1).alias("multi"))
 
 
 def utf8_validity(spark: SparkSession, paths: list[str]) -> DataFrame:
@@ -46,8 +49,8 @@ def utf8_validity(spark: SparkSession, paths: list[str]) -> DataFrame:
     return b.select(F.col("path"), F.is_valid_utf8(F.col("content").cast("string")).alias("valid_utf8"))
 
 
-def csv_layout(spark: SparkSession, paths: list[str], detect_encoding: bool = True) -> dict[str, tuple[str, str]]:
-    """path -> (encoding, header line) for many CSV files in at most three jobs."""
+def csv_layout(spark: SparkSession, paths: list[str], detect_encoding: bool = True) -> dict[str, tuple[str, str, bool]]:
+    """path -> (encoding, header line, fields span lines) for many CSV files in at most three jobs."""
     enc = {_strip_uri(p): "UTF-8" for p in paths}
     if detect_encoding:
         for r in utf8_validity(spark, paths).collect():   # one row per file
@@ -56,27 +59,27 @@ def csv_layout(spark: SparkSession, paths: list[str], detect_encoding: bool = Tr
     for encoding in sorted(set(enc.values())):
         group = [p for p in paths if enc[_strip_uri(p)] == encoding]
         for r in csv_headers(spark, group, encoding).collect():   # one row per file
-            out[_strip_uri(r["path"])] = (encoding, r["header"])
+            out[_strip_uri(r["path"])] = (encoding, r["header"], r["multi"])
     return out
 
 
 def read_csv(spark: SparkSession, paths: list[str], root: str | None = None,
-             detect_encoding: bool = True, layout: dict[str, tuple[str, str]] | None = None) -> DataFrame:
+             detect_encoding: bool = True, layout: dict[str, tuple[str, str, bool]] | None = None) -> DataFrame:
     """Header row, all columns text, pandas' NA markers -> NULL.
 
-    Files are grouped by (encoding, header line); each group is one CSV read,
-    groups are unioned by name (missing columns NULL). ``layout`` (from
-    ``csv_layout``) lets a caller discover many files' headers at once.
+    Files are grouped by (encoding, header line, fields span lines); each group is one
+    CSV read, in splits unless fields span lines; groups are unioned by name (missing
+    columns NULL). ``layout`` (from ``csv_layout``) lets a caller discover many files'
+    headers at once.
     """
     layout = layout or csv_layout(spark, paths, detect_encoding)
-    by_group: dict[tuple[str, str], list[str]] = {}
+    by_group: dict[tuple[str, str, bool], list[str]] = {}
     for p in paths:
-        encoding, header = layout.get(_strip_uri(p), ("UTF-8", ""))
-        by_group.setdefault((encoding, header), []).append(p)
+        by_group.setdefault(layout.get(_strip_uri(p), ("UTF-8", "", False)), []).append(p)
     parts = []
-    for (encoding, _), files in sorted(by_group.items()):
+    for (encoding, _, multi), files in sorted(by_group.items()):
         df = (spark.read.option("header", True).option("inferSchema", False).option("encoding", encoding)
-              .option("multiLine", True).option("escape", '"').csv(files))
+              .option("multiLine", multi).option("escape", '"').csv(files))
         df = df.select(*[F.when(~F.col(f"`{c}`").isin(NA_TOKENS), F.col(f"`{c}`")).alias(c) for c in df.columns],
                        "_metadata")
         parts.append(_with_lineage(df, root).drop("_metadata"))

@@ -68,7 +68,8 @@ class TableStore:
         vs = self._versions(name)
         path = self.path(name, (vs[-1] + 1) if vs else 1)
         out = df.sortWithinPartitions(*sort_within) if sort_within else df
-        w = out.write.mode("overwrite").option("compression", "snappy")
+        # a dynamic overwrite leaves no _SUCCESS at the top, without which a version doesn't count
+        w = out.write.mode("overwrite").option("compression", "snappy").option("partitionOverwriteMode", "static")
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(path)
@@ -81,6 +82,12 @@ class TableStore:
         df.write.mode("append").option("compression", "snappy").parquet(path)
         return path
 
+    def by_kind(self) -> dict[str, list[str]]:
+        """The stored star's tables by kind, read from the store itself."""
+        names = self.names()
+        prefixes = {"dim": "dim_", "fact": "fact_", "cuboid": "cuboids_"}
+        return {kind: [n for n in names if n.startswith(p) and self.exists(n)] for kind, p in prefixes.items()}
+
     def names(self) -> list[str]:
         fs, p = _hadoop_fs(self.spark, self.root)
         if not fs.exists(p):

@@ -153,6 +153,29 @@ def test_xml_row_tags_in_one_group(spark, tmpdir_path):
     assert sorted(r["n"] for r in df.collect()) == ["1", "2", "3", "5"]
 
 
+def test_csv_is_read_in_splits_unless_fields_span_lines(spark, tmpdir_path):
+    plain = "id,word\n" + "".join(f'{k},"w, {k}"\n' for k in range(30_000))
+    paths = _paths(tmpdir_path, {"plain.csv": plain, "span.csv": 'id,word\n1,"two\nlines"\n2,x\n'})
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "65536")
+    try:
+        df = readers.read_csv(spark, paths[:1])
+        assert df.rdd.getNumPartitions() > 4
+        rows = df.orderBy("_src_row").collect()
+        assert [r["id"] for r in rows] == [str(k) for k in range(30_000)] and rows[7]["word"] == "w, 7"
+        assert sorted((r["id"], r["word"]) for r in readers.read_csv(spark, paths[1:]).collect()) == [("1", "two\nlines"), ("2", "x")]
+        assert readers.read_csv(spark, paths).count() == 30_002
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_tables_are_listed_by_kind(lake):
+    lake.put("shop/items_2026.csv", "item id,price\nA,1\n")
+    lake.run("r1")
+    kinds = lake.store.by_kind()
+    assert kinds["fact"] == ["fact_shop_items"] and kinds["cuboid"] == ["cuboids_fact_shop_items"]
+
+
 def _sheet(rows):
     cells = "".join("<row>" + "".join(f'<c r="{"ABC"[k]}{n + 1}" t="inlineStr"><is><t>{v}</t></is></c>' for k, v in enumerate(r)) + "</row>"
                     for n, r in enumerate(rows))
