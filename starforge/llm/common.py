@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starforge.session import ensure_checkpoint_dir
+from starforge.session import ensure_checkpoint_dir, shuffle_partitions
 
 #: Separator tables for ``bytes.translate``: everything that is not part of a word becomes a space.
 #: Words of the contamination rule: digits, a-z and every byte of a non-ASCII character.
@@ -38,6 +38,48 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class BlockTable:
+    """Rows with a ``text`` column in blocks of about ``block_bytes``, kept in a table that is
+    bucketed by block below the shared folder. A row is named by (block, pos); what later jobs
+    find out about rows comes back to them by block, and the texts are never shuffled."""
+
+    def __init__(self, rows: DataFrame, block_bytes: int = 8 << 20):
+        self.spark, self.name = rows.sparkSession, f"starforge_texts_{uuid.uuid4().hex}"
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            from pyspark import TaskContext
+            block, pos, size = TaskContext.get().partitionId() << 32, 0, 0
+            for batch in split_batches(batches):
+                n = int(pa.compute.sum(pa.compute.binary_length(batch.column("text"))).as_py() or 0)
+                if size and size + n > block_bytes:
+                    block, pos, size = block + 1, 0, 0
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(batch.num_rows, block)), pa.array(np.arange(pos, pos + batch.num_rows, dtype=np.int32)), *batch.columns],
+                    ["block", "pos", *batch.schema.names])
+                pos, size = pos + batch.num_rows, size + n
+
+        schema = ", ".join(["block long", "pos int", *(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)])
+        buckets = min(50_000, max(shuffle_partitions(self.spark), 2 * rows.rdd.getNumPartitions()))
+        rows.mapInArrow(run, schema).write.option("compression", "zstd").bucketBy(buckets, "block") \
+            .option("path", scratch_path(self.spark, self.name)).saveAsTable(self.name)
+
+    @property
+    def rows(self) -> DataFrame:
+        return self.spark.table(self.name)
+
+    def beside(self, found: DataFrame):
+        """Each block's rows beside what was found for them (``found`` has block and pos)."""
+        return self.rows.groupBy("block").cogroup(found.groupBy("block"))
+
+    def drop(self) -> None:
+        self.spark.sql(f"DROP TABLE {self.name}")
+
+
+def ordered(table: pa.Table) -> pa.RecordBatch:
+    """A block's rows by pos, as one batch."""
+    return table.sort_by("pos").combine_chunks().to_batches()[0] if table.num_rows else pa.RecordBatch.from_pylist([], table.schema)
+
+
 def parts(batch: pa.RecordBatch, column: str = "text", limit: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of a batch of at most ``limit`` bytes of ``column`` (one row at least)."""
     offsets = np.cumsum(pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))

@@ -12,7 +12,8 @@ where the windows are laid out as rows of word numbers and sorted: equal rows ar
 windows, and the smallest id among them decides. A minimiser with more than ``HOT_RUNS``
 super-k-mers (a passage that very many texts share) would make one bucket grow with the
 corpus; its windows are spread singly by a 128-bit digest, aggregated on the map side to
-their smallest id, and joined back (runtime skew handling splits that join).
+their smallest id, and joined back (runtime skew handling splits that join). Texts stay in a
+table bucketed by block; marks and spans come to them, they are not shuffled.
 
 Nulls: a null text has no words; rows with a null id lose nothing and take nothing from
 others. Rows with one id never take words from each other. Texts shorter than a window
@@ -32,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starforge.llm.common import materialize, mix64, raw, read_table, split_batches
+from starforge.llm.common import BlockTable, materialize, mix64, ordered, raw, read_table, split_batches
 
 WINDOW = 50
 MINIMISER = 8
@@ -97,53 +98,62 @@ class Runs:
         self.minimiser = least[first].view(np.int64)
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    """doc_id, tag (tells texts under one id apart) and text of the rows that take part."""
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    return docs.filter(F.col("doc_id").isNotNull()) \
-        .select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("tag"), text.alias("text"))
+MARKS = "block long, pos int, m long"
+SPANS = "block long, pos int, start int, end int"
 
 
-def minimisers(docs: DataFrame, window: int, minimiser: int) -> DataFrame:
-    """(m, doc_id, tag) of every super-k-mer."""
+def text_blocks(docs: DataFrame, **rest) -> BlockTable:
+    """doc_id and text of all rows (and what else a caller wants back)."""
+    return BlockTable(docs.select(F.col("doc_id").cast("long").alias("doc_id"),
+                                  F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
+                                  *[c.alias(n) for n, c in rest.items()]))
+
+
+def minimisers(blocks: BlockTable, window: int, minimiser: int) -> DataFrame:
+    """(m, doc_id, block, pos) of every super-k-mer of the rows with an id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in split_batches(batches):
             runs = Runs(raw(batch), window, minimiser)
             take = pa.array(runs.text)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(runs.minimiser), batch.column("doc_id").take(take), batch.column("tag").take(take)], ["m", "doc_id", "tag"])
+            yield pa.RecordBatch.from_arrays([pa.array(runs.minimiser), *(batch.column(c).take(take) for c in ("doc_id", "block", "pos"))],
+                                             ["m", "doc_id", "block", "pos"])
 
-    return docs.mapInArrow(run, "m long, doc_id long, tag long")
+    return blocks.rows.filter("doc_id is not null").select("doc_id", "block", "pos", "text") \
+        .mapInArrow(run, "m long, doc_id long, block long, pos int")
 
 
-def packed_runs(marked: DataFrame, window: int, minimiser: int) -> DataFrame:
-    """(m, doc_id, start, tag, words) of the super-k-mers whose minimiser is in ``ms``."""
+def chosen(runs: Runs, pos: np.ndarray, marks: pa.Table) -> np.ndarray:
+    """Numbers of the super-k-mers whose minimiser is among their row's marks."""
+    own = np.stack((pos[runs.text].astype(np.int64), runs.minimiser), 1) if len(runs.text) else np.zeros((0, 2), np.int64)
+    wanted = np.stack((marks.column("pos").to_numpy().astype(np.int64), marks.column("m").to_numpy()), 1)
+    pair = np.dtype([("p", np.int64), ("m", np.int64)])
+    flat = lambda a: np.ascontiguousarray(a).view(pair).ravel()
+    return np.flatnonzero(np.isin(flat(own), flat(wanted))) if len(own) and len(wanted) else np.zeros(0, np.int64)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in split_batches(batches):
-            runs = Runs(raw(batch), window, minimiser)
-            keep = chosen(runs, batch.column("ms"))
-            take = pa.array(runs.text[keep])
-            words = [b" ".join(runs.words[a:a + n + window - 1]) for a, n in zip(runs.at[keep].tolist(), runs.windows[keep].tolist())]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(runs.minimiser[keep]), batch.column("doc_id").take(take), batch.column("tag").take(take),
-                 pa.array(runs.start[keep].astype(np.int32)), pa.array(words, pa.binary())], ["m", "doc_id", "tag", "start", "words"])
 
-    return marked.mapInArrow(run, "m long, doc_id long, tag long, start int, words binary")
+def marked_rows(texts: pa.Table, marks: pa.Table) -> pa.RecordBatch:
+    """The rows of a block that have marks."""
+    return ordered(texts.filter(pa.compute.is_in(texts.column("pos"), marks.column("pos").combine_chunks())))
 
 
-def chosen(runs: Runs, marks: pa.Array) -> np.ndarray:
-    """Numbers of the super-k-mers whose minimiser is among their text's marks."""
-    keep = np.zeros(len(runs.text), bool)
-    edge = np.searchsorted(runs.text, np.arange(len(marks) + 1))
-    for k, m in enumerate(marks):
-        keep[edge[k]:edge[k + 1]] = np.isin(runs.minimiser[edge[k]:edge[k + 1]], m.values.to_numpy())
-    return np.flatnonzero(keep)
+def packed_runs(blocks: BlockTable, marks: DataFrame, window: int, minimiser: int) -> DataFrame:
+    """(m, doc_id, block, pos, start, words) of the marked super-k-mers."""
+
+    def run(texts: pa.Table, found: pa.Table) -> pa.Table:
+        batch = marked_rows(texts, found)
+        runs = Runs(raw(batch), window, minimiser)
+        keep = chosen(runs, batch.column("pos").to_numpy(), found)
+        take = pa.array(runs.text[keep])
+        words = [b" ".join(runs.words[a:a + n + window - 1]) for a, n in zip(runs.at[keep].tolist(), runs.windows[keep].tolist())]
+        return pa.table({"m": pa.array(runs.minimiser[keep]), **{c: batch.column(c).take(take) for c in ("doc_id", "block", "pos")},
+                         "start": pa.array(runs.start[keep].astype(np.int32)), "words": pa.array(words, pa.binary())})
+
+    return blocks.beside(marks).applyInArrow(run, "m long, doc_id long, block long, pos int, start int, words binary")
 
 
 def count_windows(window: int):
-    """For ``applyInArrow``: spans (doc_id, tag, start, end) that a smaller id also has, in one bucket."""
+    """For ``applyInArrow``: the SPANS that a smaller id also has, in one bucket."""
 
     def run(table: pa.Table) -> pa.Table:
         ids, start = table.column("doc_id").to_numpy(), table.column("start").to_numpy().astype(np.int64)
@@ -156,8 +166,8 @@ def count_windows(window: int):
         place = np.repeat(np.cumsum(size) - size, n) + offset
         rows = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(code, window)[place])
         order = np.argsort(rows.view(np.dtype((np.void, 4 * window))).ravel(), kind="stable")
-        ordered = rows[order]
-        new = np.concatenate(([True], (ordered[1:] != ordered[:-1]).any(axis=1)))
+        by_words = rows[order]
+        new = np.concatenate(([True], (by_words[1:] != by_words[:-1]).any(axis=1)))
         group = np.empty(len(order), np.int64)
         group[order] = np.cumsum(new) - 1
         least = np.full(int(new.sum()), np.iinfo(np.int64).max)
@@ -169,99 +179,100 @@ def count_windows(window: int):
         last = np.concatenate((cut[1:], [len(hit)]))[:len(cut)] - 1
         a = start[r[cut]] + o[cut]
         b = start[r[last]] + o[last] + window
-        return pa.table({"doc_id": pa.array(ids[r[cut]]), "tag": pa.array(table.column("tag").to_numpy()[r[cut]]),
+        return pa.table({**{c: pa.array(table.column(c).to_numpy()[r[cut]]) for c in ("block", "pos")},
                          "start": pa.array(a.astype(np.int32)), "end": pa.array(b.astype(np.int32))})
 
     return run
 
 
-def hot_windows(marked: DataFrame, window: int, minimiser: int) -> DataFrame:
-    """(w1, w2, doc_id, tag, start) of each window of the marked super-k-mers: a 128-bit digest and its place."""
+def hot_windows(blocks: BlockTable, marks: DataFrame, window: int, minimiser: int) -> DataFrame:
+    """(w1, w2, doc_id, block, pos, start) of each window of the marked super-k-mers: a 128-bit
+    digest and its place."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in split_batches(batches):
-            runs = Runs(raw(batch), window, minimiser)
-            keep = chosen(runs, batch.column("ms"))
-            n = runs.windows[keep]
-            offset = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            at = np.repeat(runs.at[keep], n) + offset
-            take = pa.array(np.repeat(runs.text[keep], n))
-            one = run_hash(runs.hashes, window, 2)
-            two = run_hash(word_hashes(runs.words, 1), window, 3)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(one[at].view(np.int64)), pa.array(two[at].view(np.int64)), batch.column("doc_id").take(take),
-                 batch.column("tag").take(take), pa.array((np.repeat(runs.start[keep], n) + offset).astype(np.int32))],
-                ["w1", "w2", "doc_id", "tag", "start"])
-
-    return marked.mapInArrow(run, "w1 long, w2 long, doc_id long, tag long, start int")
-
-
-def shared_spans(docs: DataFrame, window: int = WINDOW, minimiser: int = MINIMISER, hot_runs: int = HOT_RUNS) -> DataFrame:
-    """doc_id, tag and spans (array of start, end in words) of the texts of :func:`keyed`
-    that share a window with a smaller id."""
-    runs = materialize(minimisers(docs, window, minimiser), "minimisers")
+    def run(texts: pa.Table, found: pa.Table) -> pa.Table:
+        batch = marked_rows(texts, found)
+        runs = Runs(raw(batch), window, minimiser)
+        keep = chosen(runs, batch.column("pos").to_numpy(), found)
+        n = runs.windows[keep]
+        offset = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        at = np.repeat(runs.at[keep], n) + offset
+        take = pa.array(np.repeat(runs.text[keep], n))
+        one = run_hash(runs.hashes, window, 2)
+        two = run_hash(word_hashes(runs.words, 1), window, 3)
+        return pa.table({"w1": pa.array(one[at].view(np.int64)), "w2": pa.array(two[at].view(np.int64)),
+                         **{c: batch.column(c).take(take) for c in ("doc_id", "block", "pos")},
+                         "start": pa.array((np.repeat(runs.start[keep], n) + offset).astype(np.int32))})
+
+    return blocks.beside(marks).applyInArrow(run, "w1 long, w2 long, doc_id long, block long, pos int, start int")
+
+
+def shared_spans(blocks: BlockTable, window: int = WINDOW, minimiser: int = MINIMISER, hot_runs: int = HOT_RUNS) -> DataFrame:
+    """SPANS (in words) of the rows of :func:`text_blocks` that share a window with a smaller id."""
+    runs = materialize(minimisers(blocks, window, minimiser), "minimisers")
     buckets = max(1, math.ceil(runs.count() / RUNS_PER_BUCKET))
     shared = runs.groupBy("m").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count("*").alias("n")) \
         .filter("low < high").select("m", (F.col("n") > hot_runs).alias("hot"))
-    marks = materialize(
-        runs.distinct().join(shared, "m").groupBy("doc_id", "tag")
-        .agg(F.collect_list(F.when(~F.col("hot"), F.col("m"))).alias("cold"), F.collect_list(F.when(F.col("hot"), F.col("m"))).alias("hot")),
-        "marks")
-
-    def marked(kind: str) -> DataFrame:
-        return docs.join(marks.filter(F.size(kind) > 0).select("doc_id", "tag", F.col(kind).alias("ms")), ["doc_id", "tag"])
-
-    cold = packed_runs(marked("cold"), window, minimiser) \
-        .groupBy(F.pmod("m", F.lit(buckets)).alias("bucket")) \
-        .applyInArrow(count_windows(window), "doc_id long, tag long, start int, end int")
-    spans = cold
-    if not marks.filter(F.size("hot") > 0).isEmpty():
-        single = materialize(hot_windows(marked("hot"), window, minimiser), "hot_windows")
+    marks = materialize(runs.select("m", "block", "pos").join(shared, "m").select("block", "pos", "m", "hot"), "marks")
+    spans = packed_runs(blocks, marks.filter("not hot").drop("hot"), window, minimiser) \
+        .groupBy(F.pmod("m", F.lit(buckets)).alias("bucket")).applyInArrow(count_windows(window), SPANS)
+    hot = marks.filter("hot").drop("hot")
+    if not hot.isEmpty():
+        single = materialize(hot_windows(blocks, hot, window, minimiser), "hot_windows")
         least = single.groupBy("w1", "w2").agg(F.min("doc_id").alias("low"))
-        spans = cold.unionByName(single.join(least, ["w1", "w2"]).filter("low < doc_id")
-                                 .select("doc_id", "tag", "start", (F.col("start") + window).alias("end")))
-    return spans.groupBy("doc_id", "tag").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+        spans = spans.unionByName(single.join(least, ["w1", "w2"]).filter("low < doc_id")
+                                  .select("block", "pos", "start", (F.col("start") + window).alias("end")))
+    return materialize(spans, "spans")
 
 
-def gone(spans: list[dict] | None, n: int) -> np.ndarray:
-    """Which of a text's n words its spans cover."""
+def gone(spans: np.ndarray, n: int) -> np.ndarray:
+    """Which of a text's n words its (start, end) spans cover."""
     edge = np.zeros(n + 1, np.int64)
-    for s in spans or ():
-        edge[s["start"]] += 1
-        edge[s["end"]] -= 1
+    np.add.at(edge, spans[:, 0], 1)
+    np.add.at(edge, spans[:, 1], -1)
     return np.cumsum(edge[:n]) > 0
 
 
-def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in split_batches(batches):
-        out = []
-        for text, spans in zip(raw(batch), batch.column("spans").to_pylist()):
-            words = text.split() if text else []
-            drop = gone(spans, len(words))
-            kept = b" ".join(w for w, d in zip(words, drop.tolist()) if not d)
-            out.append((len(words), int(drop.sum()), hashlib.sha256(kept).hexdigest()))
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), *(pa.array([r[k] for r in out], kind) for k, kind in enumerate((pa.int64(), pa.int64(), pa.string())))],
-            ["doc_id", "n_words", "n_removed", "kept_sha256"])
+def spans_of(batch: pa.RecordBatch, found: pa.Table) -> list[np.ndarray]:
+    """The (start, end) spans of each row of a block."""
+    pos = found.column("pos").to_numpy()
+    order = np.argsort(pos, kind="stable")
+    both = np.stack([found.column(c).to_numpy()[order].astype(np.int64) for c in ("start", "end")], 1)
+    edge = np.searchsorted(pos[order], batch.column("pos").to_numpy())
+    end = np.searchsorted(pos[order], batch.column("pos").to_numpy(), side="right")
+    return [both[a:b] for a, b in zip(edge, end)]
+
+
+def digests(texts: pa.Table, found: pa.Table) -> pa.Table:
+    batch, out = ordered(texts), []
+    for text, spans in zip(raw(batch), spans_of(batch, found)):
+        words = text.split()
+        drop = gone(spans, len(words))
+        kept = b" ".join(w for w, d in zip(words, drop.tolist()) if not d)
+        out.append((len(words), int(drop.sum()), hashlib.sha256(kept).hexdigest()))
+    return pa.table({"doc_id": batch.column("doc_id"), "n_words": pa.array([x[0] for x in out], pa.int64()),
+                     "n_removed": pa.array([x[1] for x in out], pa.int64()), "kept_sha256": pa.array([x[2] for x in out], pa.string())})
+
+
+def removed(docs: DataFrame, **options) -> DataFrame:
+    """doc_id, n_words, n_removed and kept_sha256 of every row."""
+    blocks = text_blocks(docs)
+    out = blocks.beside(shared_spans(blocks, **options)).applyInArrow(digests, "doc_id long, n_words long, n_removed long, kept_sha256 string")
+    out = materialize(out, "removed")
+    blocks.drop()
+    return out
 
 
 def query(spark, sf_dir: str) -> DataFrame:
     """op7: words removed from every document."""
-    docs = read_table(spark, sf_dir, "documents")
-    own = keyed(docs)
-    spans = materialize(shared_spans(own), "spans")
-    unnamed = docs.filter(F.col("doc_id").isNull()).select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.lit(None).cast(spans.schema["spans"].dataType).alias("spans"))
-    return own.join(spans, ["doc_id", "tag"], "left").select("doc_id", "text", "spans").unionByName(unnamed) \
-        .mapInArrow(digests, "doc_id long, n_words long, n_removed long, kept_sha256 string")
+    return removed(read_table(spark, sf_dir, "documents"))
 
 
-def cut_text(text: bytes, spans: list[dict]) -> bytes:
+def cut_text(text: bytes, spans: np.ndarray) -> bytes:
     """``text`` without the words in ``spans`` and the white space inside them."""
     inside = np.frombuffer(text, np.uint8)
     space = (inside == 0x20) | ((inside >= 0x09) & (inside <= 0x0D))
     edges = np.flatnonzero(np.diff(np.concatenate(([0], ~space, [0])).astype(np.int8)))
-    starts, ends = edges[::2], edges[1::2]
+    starts = edges[::2]
     drop = np.flatnonzero(np.diff(np.concatenate(([0], gone(spans, len(starts)), [0])).astype(np.int8)))
     out, at = [], 0
     for a, b in zip(drop[::2].tolist(), drop[1::2].tolist()):
@@ -273,20 +284,28 @@ def cut_text(text: bytes, spans: list[dict]) -> bytes:
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pipeline's stage: repeated passages are cut out of the later documents;
     documents without a word left by that go. n_chars follows the text."""
-    spans = materialize(shared_spans(keyed(docs)), "spans").withColumnsRenamed({"doc_id": "__id", "tag": "__tag", "spans": "__spans"})
-    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("__id"),
-                       F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("__tag"))
-    joined = rows.join(spans, ["__id", "__tag"], "left")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column("row").field("text").cast(pa.binary()).to_pylist()
-            new = [t if s is None else cut_text(t, s) for t, s in zip(texts, batch.column("spans").to_pylist())]
-            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(new, pa.binary()).cast(pa.string())], ["row", "new"])
-
-    kind = joined.schema["row"].dataType.simpleString()
-    cut = joined.filter(F.col("__spans").isNotNull()).select("row", F.col("__spans").alias("spans")) \
-        .mapInArrow(run, f"row {kind}, new string").filter(F.col("new").rlike(r"[^\x20\x09-\x0D]"))
-    columns = [F.col("new").alias(c) if c == "text" else F.length("new").cast(docs.schema[c].dataType).alias(c) if c == "n_chars"
-               else F.col(f"row.`{c}`").alias(c) for c in docs.columns]
-    return joined.filter(F.col("__spans").isNull()).select("row.*").unionByName(cut.select(*columns))
+    rest = [c for c in docs.columns if c != "text"]
+    blocks = text_blocks(docs, rest=F.struct(*rest), bare=F.col("text").isNull())
+    kind = docs.select(F.struct(*rest).alias("rest")).schema["rest"].dataType.simpleString()
+
+    def run(texts: pa.Table, found: pa.Table) -> pa.Table:
+        batch = ordered(texts)
+        old, spans = raw(batch), spans_of(batch, found)
+        cut = [len(s) > 0 for s in spans]
+        new = [cut_text(t, s) if c else t for t, s, c in zip(old, spans, cut)]
+        bare = batch.column("bare").to_pylist()
+        keep = pa.array([not c or bool(t.split()) for t, c in zip(new, cut)])
+        new = pa.array([None if b else t for t, b in zip(new, bare)], pa.binary()).cast(pa.string())
+        return pa.table({"rest": batch.column("rest"), "text": new, "cut": pa.array(cut)}).filter(keep)
+
+    out = blocks.beside(shared_spans(blocks)).applyInArrow(run, f"rest {kind}, text string, cut boolean")
+
+    def column(c: str):
+        if c == "text":
+            return F.col("text")
+        own = F.col(f"rest.`{c}`")
+        return F.when(F.col("cut"), F.length("text").cast(docs.schema[c].dataType)).otherwise(own).alias(c) if c == "n_chars" else own.alias(c)
+
+    out = materialize(out.select(*[column(c) for c in docs.columns]), "cut")
+    blocks.drop()
+    return out
