@@ -9,12 +9,13 @@ must reach ``MIN_GAIN`` nats. Next-token distributions are smoothed towards the
 (count + MASS * parent) / (context count + MASS); the root is the smoothed unigram
 distribution. A token is scored in its longest retained suffix state.
 
-All counts cover all training texts and none is collected or broadcast. Texts are put in
-blocks of about ``BLOCK_BYTES``, kept in a table bucketed by block. Per depth, a block
-asks for the totals of its distinct keys (64-bit hashes of context and token): packed
-arrays go to the keys' buckets, are summed there with everybody else's, and the totals
-return in the order asked. A frequent key is thus one entry per block, never one per
-occurrence.
+All counts cover all training texts and none is collected or broadcast. Texts are
+tokenised once into blocks of about ``BLOCK_BYTES``, kept as packed token numbers in a
+table bucketed by block. Per depth, a block asks for the totals of its distinct keys
+(64-bit hashes of context and token): packed arrays go to the keys' buckets, are summed
+there with everybody else's, and the totals return in the order asked, to a second table
+bucketed alike, so that neither is shuffled again by later rounds. A frequent key is thus
+one entry per block, never one per occurrence.
 
 Nulls: a null text is empty (its end is still a token); a null id counts as the empty
 text for the held-out rule and is kept. Empty tables give empty results. Repeated rows
@@ -28,6 +29,7 @@ import uuid
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
@@ -42,7 +44,7 @@ MIN_CONTEXT = 8
 MIN_GAIN = 4.0
 MASS = 20.0
 BASE = 0.1                  # added to every unigram count
-BLOCK_BYTES = 12 << 20
+BLOCK_BYTES = 15 << 20
 MAX_TABLE_BUCKETS = 50_000
 END = np.uint64(0x5EED0F0E2D000001)
 WORDS, NEXT, GAIN = "words", "next", "gain"
@@ -71,21 +73,34 @@ def bucket_edges(keys: np.ndarray, buckets: int) -> np.ndarray:
     return np.concatenate((np.searchsorted(keys, bounds), [len(keys)]))
 
 
+def numbered(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct keys, and the number of each entry's key among them."""
+    code, distinct = pd.factorize(keys)
+    order = np.argsort(distinct)
+    number = np.empty(len(order), np.int64)
+    number[order] = np.arange(len(order))
+    return distinct[order], number[code]
+
+
 # -- one block of texts -------------------------------------------------------
+def tokens(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all tokens, and the number of tokens of each text."""
+    split = [t.lower().split() if t else [] for t in texts]
+    size = np.array([len(s) + 1 for s in split], np.int64)
+    token = np.empty(int(size.sum()), np.uint64)
+    is_end = np.zeros(len(token), bool)
+    is_end[np.cumsum(size) - 1] = True
+    token[~is_end] = word_hashes([w for s in split for w in s])
+    token[is_end] = END
+    return token, size
+
+
 class Block:
     """Tokens of a block's texts, and what is known of them so far."""
 
-    def __init__(self, texts: list[bytes | None], train: np.ndarray):
-        split = [t.lower().split() if t else [] for t in texts]
-        size = np.array([len(s) + 1 for s in split], np.int64)
-        self.end = np.cumsum(size)
-        self.token = np.empty(int(size.sum()), np.uint64)
-        is_end = np.zeros(len(self.token), bool)
-        is_end[self.end - 1] = True
-        self.token[~is_end] = word_hashes([w for s in split for w in s])
-        self.token[is_end] = END
-        self.size = size
-        self.place = np.arange(len(self.token)) - np.repeat(self.end - size, size)
+    def __init__(self, token: np.ndarray, size: np.ndarray, train: np.ndarray):
+        self.token, self.size, self.end = token, size, np.cumsum(size)
+        self.place = np.arange(len(token)) - np.repeat(self.end - size, size)
         self.train = np.repeat(train, size)
         self.count: list[np.ndarray] = []       # per depth: training count of the last depth + 1 tokens
         self.retained: list[np.ndarray] = []    # per depth: whether the context before a token is a node
@@ -117,12 +132,12 @@ class Block:
     def ask(self, depth: int) -> tuple[np.ndarray, np.ndarray]:
         """Distinct wanted keys, sorted, and their training counts in this block."""
         at = self.wanted(depth)
-        keys, inverse = np.unique(self.keys(depth)[at], return_inverse=True)
+        keys, inverse = numbered(self.keys(depth)[at])
         return keys, np.bincount(inverse, self.train[at], len(keys)).astype(np.int64)
 
     def learn(self, depth: int, totals: np.ndarray) -> None:
         at = self.wanted(depth)
-        _, inverse = np.unique(self.keys(depth)[at], return_inverse=True)
+        _, inverse = numbered(self.keys(depth)[at])
         count = np.zeros(len(self.token), np.int64)
         count[at] = totals[inverse]
         self.count.append(count)
@@ -153,13 +168,13 @@ class Block:
         self.retained.append(at)
         own = self.probabilities(known, depth, leave_out=True)
         self.retained.pop()
-        keys, inverse = np.unique(self.context_keys(depth)[at], return_inverse=True)
+        keys, inverse = numbered(self.context_keys(depth)[at])
         gain = np.log(own[at] / parent[at]) * self.train[at]
         return keys, np.bincount(inverse, gain, len(keys)).astype(np.float32)
 
     def learn_gain(self, depth: int, totals: np.ndarray) -> None:
         at = self.contexts(depth)
-        _, inverse = np.unique(self.context_keys(depth)[at], return_inverse=True)
+        _, inverse = numbered(self.context_keys(depth)[at])
         node = np.zeros(len(self.token), bool)
         node[at] = totals[inverse] >= MIN_GAIN
         self.retained.append(node)
@@ -176,7 +191,9 @@ REPLY = "block long, name string, bucket int, totals binary"
 
 def restored(texts: pa.Table, replies: pa.Table, rounds: list[tuple[str, int]], known: dict) -> Block:
     """The block with the totals of the rounds so far."""
-    block = Block(raw(texts.combine_chunks().to_batches()[0]) if texts.num_rows else [], texts.column("train").to_numpy().astype(np.int64))
+    code, table, size, train = (unpack(texts.column(c)[0].as_py(), kind)
+                                for c, kind in (("codes", np.int32), ("words", np.uint64), ("sizes", np.int64), ("train", np.int64)))
+    block = Block(table[code], size, train)
     got: dict[str, list] = {}
     for name, bucket, totals in zip(*(replies.column(c).to_pylist() for c in ("name", "bucket", "totals"))):
         got.setdefault(name, []).append((bucket, totals))
@@ -190,43 +207,88 @@ def restored(texts: pa.Table, replies: pa.Table, rounds: list[tuple[str, int]],
     return block
 
 
-def make_blocks(docs: DataFrame, block_bytes: int) -> tuple[DataFrame, str]:
-    """(block, doc_id, train, text) in a table bucketed by block, so that later rounds find
-    each block's texts without a shuffle; the table's name."""
-    spark = docs.sparkSession
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-        block, size = TaskContext.get().partitionId() << 32, 0
-        for batch in split_batches(batches):
-            n = int(pa.compute.sum(pa.compute.binary_length(batch.column("text"))).as_py() or 0)
-            if size and size + n > block_bytes:
-                block, size = block + 1, 0
-            size += n
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(batch.num_rows, block)), *batch.columns], ["block", *batch.schema.names])
+class Tables:
+    """The blocks and the replies to them, in two tables bucketed by block below the shared
+    folder; no round shuffles either."""
 
-    rows = docs.select("doc_id", (crc_column() % 10 != 0).cast("int").alias("train"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    table = f"starforge_blocks_{uuid.uuid4().hex}"
-    buckets = min(MAX_TABLE_BUCKETS, max(shuffle_partitions(spark), 2 * rows.rdd.getNumPartitions()))
-    rows.mapInArrow(run, f"block long, doc_id {kind}, train int, text string").write.format("parquet") \
-        .bucketBy(buckets, "block").option("path", scratch_path(spark, "blocks")).saveAsTable(table)
-    return spark.table(table), table
+    def __init__(self, docs: DataFrame, block_bytes: int):
+        self.spark, name = docs.sparkSession, uuid.uuid4().hex
+        self.blocks_name, self.replies_name = f"starforge_blocks_{name}", f"starforge_replies_{name}"
+        rows = docs.select("doc_id", (crc_column() % 10 != 0).cast("long").alias("train"), F.col("text").cast("string").alias("text"))
+        self.buckets = min(MAX_TABLE_BUCKETS, max(shuffle_partitions(self.spark), 2 * rows.rdd.getNumPartitions()))
+        kind = rows.schema["doc_id"].dataType.simpleString()
+        self._add(rows.mapInArrow(self._cut(block_bytes), f"block long, doc_ids array<{kind}>, train binary, sizes binary, codes binary, words binary"),
+                  self.blocks_name)
+        self._add(self.spark.createDataFrame([], REPLY), self.replies_name)
 
-
-def ask(blocks: DataFrame, replies: DataFrame, rounds: list[tuple[str, int]], known: dict, kind: str, depth: int, buckets: int) -> DataFrame:
-    """(bucket, block, keys, values): what every block wants to know in a round."""
+    def _add(self, df: DataFrame, name: str) -> None:
+        if not self.spark.catalog.tableExists(name):
+            df.write.bucketBy(self.buckets, "block").option("path", scratch_path(self.spark, name)).saveAsTable(name)
+        else:
+            df.repartition(self.buckets, "block").write.bucketBy(self.buckets, "block").mode("append").saveAsTable(name)
+
+    @staticmethod
+    def _cut(block_bytes: int):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            from pyspark import TaskContext
+            block = TaskContext.get().partitionId() << 32
+            ids, train, sizes, parts, held = [], [], [], [], 0
+
+            def row() -> pa.RecordBatch:
+                code, table = pd.factorize(np.concatenate(parts))
+                common = np.argsort(-np.bincount(code), kind="stable")      # small numbers for frequent words
+                number = np.empty(len(common), np.int32)
+                number[common] = np.arange(len(common), dtype=np.int32)
+                return pa.RecordBatch.from_arrays(
+                    [pa.array([block], pa.int64()), pa.array([pa.concat_arrays(ids).to_pylist()], pa.list_(ids[0].type)),
+                     *(pa.array([pack(x)], pa.binary()) for x in (np.concatenate(train), np.concatenate(sizes), number[code], table[common]))],
+                    ["block", "doc_ids", "train", "sizes", "codes", "words"])
+
+            for batch in split_batches(batches):
+                n = int(pa.compute.sum(pa.compute.binary_length(batch.column("text"))).as_py() or 0)
+                if held and held + n > block_bytes:
+                    yield row()
+                    block, ids, train, sizes, parts, held = block + 1, [], [], [], [], 0
+                token, size = tokens(raw(batch))
+                ids.append(batch.column("doc_id"))
+                train.append(batch.column("train").to_numpy())
+                sizes.append(size)
+                parts.append(token)
+                held += n + 1
+            if parts:
+                yield row()
+
+        return run
+
+    @property
+    def blocks(self) -> DataFrame:
+        return self.spark.table(self.blocks_name)
+
+    def reply(self, got: DataFrame) -> None:
+        self._add(got, self.replies_name)
+
+    def cogrouped(self):
+        """Each block beside its replies."""
+        return self.blocks.groupBy("block").cogroup(self.spark.table(self.replies_name).groupBy("block"))
+
+    def drop(self) -> None:
+        for name in (self.blocks_name, self.replies_name):
+            self.spark.sql(f"DROP TABLE {name}")
+
+
+def ask(tables: Tables, rounds: list[tuple[str, int]], known: dict, kind: str, depth: int, buckets: int) -> DataFrame:
+    """(bucket, block, keys, amounts): what every block wants to know in a round."""
 
     def run(texts: pa.Table, answered: pa.Table) -> pa.Table:
         block = restored(texts, answered, rounds, known)
         keys, values = block.ask_gain(known, depth) if kind == GAIN else block.ask(depth)
         edge = bucket_edges(keys, buckets)
         some = np.flatnonzero(np.diff(edge)).tolist()
-        return pa.table({"bucket": pa.array(some, pa.int32()), "block": pa.array([texts.column("block")[0].as_py()] * len(some), pa.int64()) if texts.num_rows else pa.array([], pa.int64()),
+        return pa.table({"bucket": pa.array(some, pa.int32()), "block": pa.array([texts.column("block")[0].as_py()] * len(some), pa.int64()),
                          "keys": pa.array([pack(steps(keys[edge[b]:edge[b + 1]])) for b in some], pa.binary()),
                          "amounts": pa.array([pack(values[edge[b]:edge[b + 1]]) for b in some], pa.binary())})
 
-    return blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(run, "bucket int, block long, keys binary, amounts binary")
+    return tables.cogrouped().applyInArrow(run, "bucket int, block long, keys binary, amounts binary")
 
 
 def answer(asked: DataFrame, kind: str, depth: int) -> DataFrame:
@@ -236,7 +298,7 @@ def answer(asked: DataFrame, kind: str, depth: int) -> DataFrame:
     def run(table: pa.Table) -> pa.Table:
         keys = [np.cumsum(unpack(k, np.uint64), dtype=np.uint64) for k in table.column("keys").to_pylist()]
         amounts = np.concatenate([unpack(v, KINDS[kind]) for v in table.column("amounts").to_pylist()])
-        distinct, inverse = np.unique(np.concatenate(keys), return_inverse=True)
+        distinct, inverse = numbered(np.concatenate(keys))
         totals = np.bincount(inverse, amounts, len(distinct))
         sent = (totals >= MIN_GAIN).astype(np.uint8) if kind == GAIN else totals.astype(np.int64)
         edge = np.cumsum([0, *(len(k) for k in keys)])
@@ -255,19 +317,17 @@ def score(docs: DataFrame, max_depth: int = MAX_DEPTH, block_bytes: int = BLOCK_
     tokens scored in a context (n_in_context) of every whole text."""
     spark = docs.sparkSession
     kind_of_id = docs.schema["doc_id"].dataType.simpleString()
-    blocks, table = make_blocks(docs, block_bytes)
-    n = blocks.select("block").distinct().count()
-    buckets = max(shuffle_partitions(spark), math.ceil(n / 2))
-    replies = spark.createDataFrame([], REPLY)
+    tables = Tables(docs, block_bytes)
+    buckets = max(shuffle_partitions(spark), math.ceil(tables.blocks.count() / 2))
     rounds: list[tuple[str, int]] = []
     known = {"N": 0, "V": 0}
     for kind, depth in [(WORDS, 0), *((k, d) for d in range(1, max_depth + 1) for k in (NEXT, GAIN))]:
-        got = materialize(answer(ask(blocks, replies, rounds, known, kind, depth, buckets), kind, depth), f"{kind}{depth}")
+        got = materialize(answer(ask(tables, rounds, known, kind, depth, buckets), kind, depth), f"{kind}{depth}")
         if kind == WORDS:       # two sums per bucket
             for row in got.filter("block = -1").select("totals").toLocalIterator():
                 v, t = np.frombuffer(row["totals"], np.int64).tolist()
                 known = {"N": known["N"] + t, "V": known["V"] + v}
-        replies = replies.unionByName(got.filter("block <> -1"))
+        tables.reply(got.filter("block <> -1"))
         rounds = [*rounds, (kind, depth)]
 
     def run(texts: pa.Table, answered: pa.Table) -> pa.Table:
@@ -276,18 +336,19 @@ def score(docs: DataFrame, max_depth: int = MAX_DEPTH, block_bytes: int = BLOCK_
         inside = np.zeros(len(p), bool)
         for node in block.retained:
             inside |= node
+        train = unpack(texts.column("train")[0].as_py(), np.int64)
         return pa.table({
-            "doc_id": texts.column("doc_id"), "held_out": pa.array(texts.column("train").to_numpy() == 0),
+            "doc_id": texts.column("doc_ids").combine_chunks().flatten(), "held_out": pa.array(train == 0),
             "n_tokens": pa.array(block.size), "n_known": pa.array(block.per_text(block.count[0] > 0).astype(np.int64)),
             "train_tokens": pa.array(np.full(len(block.size), known["N"], np.int64)),
             "base_score": pa.array(block.per_text(np.log10(base))), "score": pa.array(block.per_text(np.log10(p))),
             "n_in_context": pa.array(block.per_text(inside).astype(np.int64))})
 
     scored = materialize(
-        blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(
+        tables.cogrouped().applyInArrow(
             run, f"doc_id {kind_of_id}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, n_in_context long"),
         "scored")
-    spark.sql(f"DROP TABLE {table}")
+    tables.drop()
     return scored
 
 
