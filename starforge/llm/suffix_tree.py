@@ -15,7 +15,9 @@ table bucketed by block. Per depth, a block asks for the totals of its distinct
 (64-bit hashes of context and token): packed arrays go to the keys' buckets, are summed
 there with everybody else's, and the totals return in the order asked, to a second table
 bucketed alike, so that neither is shuffled again by later rounds. A frequent key is thus
-one entry per block, never one per occurrence.
+one entry per block, never one per occurrence. A key frequent enough to be a context also
+gets its number within the bucket, under which its gains (in whole SCALEths of a nat, so
+that sums don't depend on their order) are gathered.
 
 Nulls: a null text is empty (its end is still a token); a null id counts as the empty
 text for the held-out rule and is kept. Empty tables give empty results. Repeated rows
@@ -43,6 +45,7 @@ MAX_DEPTH = 2
 MIN_CONTEXT = 8
 MIN_GAIN = 4.0
 MASS = 20.0
+SCALE = 1024
 BASE = 0.1                  # added to every unigram count
 BLOCK_BYTES = 15 << 20
 MAX_TABLE_BUCKETS = 50_000
@@ -103,6 +106,9 @@ class Block:
         self.place = np.arange(len(token)) - np.repeat(self.end - size, size)
         self.train = np.repeat(train, size)
         self.count: list[np.ndarray] = []       # per depth: training count of the last depth + 1 tokens
+        self.slot: list[np.ndarray] = []        # per depth: 1 + number, among the block's frequent keys, of that run; or 0
+        self.frequent: list[int] = []           # per depth: how many of the block's keys are frequent
+        self.numbers: list[list] = []           # per depth: (bucket, packed numbers there) of these
         self.retained: list[np.ndarray] = []    # per depth: whether the context before a token is a node
 
     def keys(self, depth: int) -> np.ndarray:
@@ -138,9 +144,13 @@ class Block:
     def learn(self, depth: int, totals: np.ndarray) -> None:
         at = self.wanted(depth)
         _, inverse = numbered(self.keys(depth)[at])
-        count = np.zeros(len(self.token), np.int64)
+        count, slot = np.zeros(len(self.token), np.int64), np.zeros(len(self.token), np.int64)
         count[at] = totals[inverse]
+        often = totals >= MIN_CONTEXT
+        slot[at] = np.where(often, np.cumsum(often), 0)[inverse]
         self.count.append(count)
+        self.slot.append(slot)
+        self.frequent.append(int(often.sum()))
 
     def probabilities(self, known: dict, depth: int, leave_out: bool = False) -> np.ndarray:
         """Of each token in its longest retained context of at most ``depth`` tokens; with
@@ -155,28 +165,24 @@ class Block:
         return p
 
     def contexts(self, depth: int) -> np.ndarray:
-        return (self.place >= depth) & (self.shift(self.count[depth - 1]) >= MIN_CONTEXT)
+        """Whether a token's context is frequent enough to be tested."""
+        return self.shift(self.slot[depth - 1]) > 0
 
-    def context_keys(self, depth: int) -> np.ndarray:
-        """The key, at depth - 1, of the context before each token."""
-        return self.shift(self.keys(depth - 1))
-
-    def ask_gain(self, known: dict, depth: int) -> tuple[np.ndarray, np.ndarray]:
-        """Distinct contexts and the log-ratio their training tokens here gain by them."""
+    def ask_gain(self, known: dict, depth: int) -> np.ndarray:
+        """Per frequent key, as a context: the log-ratio its training tokens here gain by it."""
         at = self.contexts(depth)
         parent = self.probabilities(known, depth - 1)
         self.retained.append(at)
         own = self.probabilities(known, depth, leave_out=True)
         self.retained.pop()
-        keys, inverse = numbered(self.context_keys(depth)[at])
         gain = np.log(own[at] / parent[at]) * self.train[at]
-        return keys, np.bincount(inverse, gain, len(keys)).astype(np.float32)
+        total = np.bincount(self.shift(self.slot[depth - 1])[at] - 1, gain, self.frequent[depth - 1])
+        return np.rint(total * SCALE).astype(np.int64)
 
-    def learn_gain(self, depth: int, totals: np.ndarray) -> None:
+    def learn_gain(self, depth: int, kept: np.ndarray) -> None:
         at = self.contexts(depth)
-        _, inverse = numbered(self.context_keys(depth)[at])
         node = np.zeros(len(self.token), bool)
-        node[at] = totals[inverse] >= MIN_GAIN
+        node[at] = kept[self.shift(self.slot[depth - 1])[at] - 1]
         self.retained.append(node)
 
     def per_text(self, values: np.ndarray) -> np.ndarray:
@@ -185,8 +191,7 @@ class Block:
 
 
 # -- rounds -------------------------------------------------------------------
-KINDS = {WORDS: np.int64, NEXT: np.int64, GAIN: np.float32}
-REPLY = "block long, name string, bucket int, totals binary"
+REPLY = "block long, name string, bucket int, totals binary, numbers binary"
 
 
 def restored(texts: pa.Table, replies: pa.Table, rounds: list[tuple[str, int]], known: dict) -> Block:
@@ -195,15 +200,16 @@ def restored(texts: pa.Table, replies: pa.Table, rounds: list[tuple[str, int]],
                                 for c, kind in (("codes", np.int32), ("words", np.uint64), ("sizes", np.int64), ("train", np.int64)))
     block = Block(table[code], size, train)
     got: dict[str, list] = {}
-    for name, bucket, totals in zip(*(replies.column(c).to_pylist() for c in ("name", "bucket", "totals"))):
-        got.setdefault(name, []).append((bucket, totals))
+    for name, *reply in zip(*(replies.column(c).to_pylist() for c in ("name", "bucket", "totals", "numbers"))):
+        got.setdefault(name, []).append(reply)
     for kind, depth in rounds:
-        parts = [unpack(t, KINDS[kind] if kind != GAIN else np.uint8) for _, t in sorted(got.get(f"{kind}{depth}", []))]
-        totals = np.concatenate(parts) if parts else np.zeros(0, np.int64)
+        answers = sorted(got.get(f"{kind}{depth}", []))
+        totals = [unpack(t, np.uint8 if kind == GAIN else np.int64) for _, t, _ in answers]
         if kind == GAIN:
-            block.learn_gain(depth, np.where(totals > 0, MIN_GAIN, -1.0))
+            block.learn_gain(depth, np.concatenate([np.zeros(0, np.uint8), *totals]) > 0)
         else:
-            block.learn(depth, totals)
+            block.learn(depth, np.concatenate([np.zeros(0, np.int64), *totals]))
+            block.numbers.append([(bucket, n) for bucket, _, n in answers])
     return block
 
 
@@ -281,12 +287,19 @@ def ask(tables: Tables, rounds: list[tuple[str, int]], known: dict, kind: str, d
 
     def run(texts: pa.Table, answered: pa.Table) -> pa.Table:
         block = restored(texts, answered, rounds, known)
-        keys, values = block.ask_gain(known, depth) if kind == GAIN else block.ask(depth)
-        edge = bucket_edges(keys, buckets)
-        some = np.flatnonzero(np.diff(edge)).tolist()
-        return pa.table({"bucket": pa.array(some, pa.int32()), "block": pa.array([texts.column("block")[0].as_py()] * len(some), pa.int64()),
-                         "keys": pa.array([pack(steps(keys[edge[b]:edge[b + 1]])) for b in some], pa.binary()),
-                         "amounts": pa.array([pack(values[edge[b]:edge[b + 1]]) for b in some], pa.binary())})
+        if kind == GAIN:
+            gains, at, rows = block.ask_gain(known, depth), 0, []
+            for bucket, numbers in block.numbers[depth - 1]:
+                n = len(unpack(numbers, np.int64))
+                if n:
+                    rows.append((bucket, numbers, pack(gains[at:at + n])))
+                at += n
+        else:
+            keys, counts = block.ask(depth)
+            edge = bucket_edges(keys, buckets).tolist()
+            rows = [(k, pack(steps(keys[a:b])), pack(counts[a:b])) for k, (a, b) in enumerate(zip(edge[:-1], edge[1:])) if b > a]
+        return pa.table({"bucket": pa.array([x[0] for x in rows], pa.int32()), "block": pa.array([texts.column("block")[0].as_py()] * len(rows), pa.int64()),
+                         "keys": pa.array([x[1] for x in rows], pa.binary()), "amounts": pa.array([x[2] for x in rows], pa.binary())})
 
     return tables.cogrouped().applyInArrow(run, "bucket int, block long, keys binary, amounts binary")
 
@@ -296,18 +309,23 @@ def answer(asked: DataFrame, kind: str, depth: int) -> DataFrame:
     (block -1, as an array of two longs)."""
 
     def run(table: pa.Table) -> pa.Table:
-        keys = [np.cumsum(unpack(k, np.uint64), dtype=np.uint64) for k in table.column("keys").to_pylist()]
-        amounts = np.concatenate([unpack(v, KINDS[kind]) for v in table.column("amounts").to_pylist()])
-        distinct, inverse = numbered(np.concatenate(keys))
-        totals = np.bincount(inverse, amounts, len(distinct))
-        sent = (totals >= MIN_GAIN).astype(np.uint8) if kind == GAIN else totals.astype(np.int64)
+        keys = [np.cumsum(unpack(k, np.int64 if kind == GAIN else np.uint64)) for k in table.column("keys").to_pylist()]
+        amounts = np.concatenate([unpack(v, np.int64) for v in table.column("amounts").to_pylist()])
+        flat = np.concatenate(keys)
+        distinct, number = (None, flat) if kind == GAIN else numbered(flat)
+        totals = np.bincount(number, amounts).astype(np.int64)
+        sent = (totals >= MIN_GAIN * SCALE).astype(np.uint8) if kind == GAIN else totals
+        often = totals >= MIN_CONTEXT
+        rank = np.cumsum(often) - 1
         edge = np.cumsum([0, *(len(k) for k in keys)])
-        parts = [pack(sent[inverse[a:b]]) for a, b in zip(edge[:-1], edge[1:])]
-        total = np.array([(sent > 0).sum(), sent.sum()], np.int64)
+        parts = [number[a:b] for a, b in zip(edge[:-1], edge[1:])]
+        numbers = [b""] * len(parts) if kind == GAIN else [pack(np.diff(rank[n[often[n]]], prepend=0)) for n in parts]
+        total = np.array([(totals > 0).sum(), totals.sum()], np.int64)
         bucket = table.column("bucket")[0].as_py()
         return pa.table({"block": pa.array([*table.column("block").to_pylist(), -1], pa.int64()),
                          "name": pa.array([f"{kind}{depth}"] * (len(parts) + 1)), "bucket": pa.array([bucket] * (len(parts) + 1), pa.int32()),
-                         "totals": pa.array([*parts, total.tobytes()], pa.binary())})
+                         "totals": pa.array([*(pack(sent[n]) for n in parts), total.tobytes()], pa.binary()),
+                         "numbers": pa.array([*numbers, b""], pa.binary())})
 
     return asked.groupBy("bucket").applyInArrow(run, REPLY)
 
