@@ -59,7 +59,9 @@ def run_hash(h: np.ndarray, length: int, seed: int) -> np.ndarray:
 
 
 def sliding_min(a: np.ndarray, width: int) -> np.ndarray:
-    """Minimum of every ``width`` consecutive entries, by doubling."""
+    """Minimum of every ``width`` consecutive entries, by doubling; none of fewer entries."""
+    if len(a) < width:
+        return a[:0]
     out, have = a, 1
     while have < width:
         step = min(have, width - have)
@@ -83,7 +85,7 @@ class Runs:
         size = np.array([len(s) for s in split], np.int64)
         self.begin = np.concatenate(([0], np.cumsum(size)))
         self.hashes = word_hashes(self.words)
-        least = sliding_min(run_hash(self.hashes, minimiser, 1), window - minimiser + 1)[:max(0, len(self.words) - window + 1)]
+        least = sliding_min(run_hash(self.hashes, minimiser, 1), window - minimiser + 1)
         owner = np.repeat(np.arange(len(texts)), size)
         start = np.arange(len(least))
         valid = start + window <= self.begin[owner[start] + 1]

@@ -61,3 +61,20 @@ def test_stage_cuts_and_drops(spark, docs_of):
     assert kept.columns == docs.columns
     rows = {r["doc_id"]: (r["text"], r["n_chars"]) for r in kept.collect()}
     assert rows == {1: (f"first\t{shared} end", 10 + len(shared)), 2: ("other \ntail", 11), 4: ("short", 5), None: (shared, len(shared)), 5: (None, None)}
+
+
+def test_short_slices_at_the_production_window():
+    for total in range(2 * S.WINDOW):
+        words = b" ".join(b"w%d" % k for k in range(total))
+        for texts in ([words], [words[:len(words) // 2], None, words[len(words) // 2:]]):
+            runs = S.Runs(texts, S.WINDOW, S.MINIMISER)
+            assert runs.windows.sum() == sum(max(0, len((t or b"").split()) - S.WINDOW + 1) for t in texts)
+        a = S.run_hash(S.word_hashes(words.split()), S.MINIMISER, 1)
+        width = S.WINDOW - S.MINIMISER + 1
+        assert S.sliding_min(a, width).tolist() == [a[k:k + width].min() for k in range(len(a) - width + 1)]
+
+
+def test_lone_short_documents(spark, docs_of):
+    rows = [(n, " ".join(f"w{k}" for k in range(n))) for n in (13, 20, 33, 46)]
+    got = {(r["doc_id"], r["n_words"], r["n_removed"]) for r in S.removed(docs_of(rows).repartition(4, "doc_id")).collect()}
+    assert got == {(n, n, 0) for n, _ in rows}
