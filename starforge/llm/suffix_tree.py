@@ -1,14 +1,21 @@
 """LM scoring with a probabilistic suffix tree over words.
 
 Tokens are a text's words (lower-cased A-Z, separated by ASCII white space), then one
-end. The tree's nodes are contexts: the empty one, and the up to ``MAX_DEPTH`` words
-before a token. A context of at least ``MIN_CONTEXT`` training occurrences is retained
+end. The tree's nodes are contexts: the empty one, and the words before a token, as many
+as it takes (``score`` can be given a bound). A context of at least ``MIN_CONTEXT`` training occurrences is retained
 when its own predictions diverge from those of its longest retained suffix: the sum over
 its training tokens of the log-ratio of the two, each token left out of its own count,
 must reach ``MIN_GAIN`` nats. Next-token distributions are smoothed towards the parent:
 (count + MASS * parent) / (context count + MASS); the root is the smoothed unigram
 distribution. A token is scored in its longest retained suffix state.
 
+A longer context has a part of the occurrences of its suffix, and MIN_CONTEXT or more, so a
+token that follows the suffix w times gains at most log((w - 1 + MASS * p) / ((n - 1 + MASS) * p))
+by any longer one, with n the larger of w and MIN_CONTEXT. A context whose training tokens
+have less than ``MIN_GAIN`` of such room is not live: nothing longer can be retained, and
+nothing longer is counted. Depths end when no context is live or none is frequent; each costs
+two rounds, so the longest frequent passage with an uncertain continuation sets their number.
+
 All counts cover all training texts and none is collected or broadcast. Texts are
 tokenised once into blocks of about ``BLOCK_BYTES``, kept as packed token numbers in a
 table bucketed by block. Per depth, a block asks for the totals of its distinct keys
@@ -41,7 +48,6 @@ from starforge.llm.common import crc_column, materialize, mix64, raw, read_table
 from starforge.llm.substring_dedup import word_hashes
 from starforge.session import shuffle_partitions
 
-MAX_DEPTH = 2
 MIN_CONTEXT = 8
 MIN_GAIN = 4.0
 MASS = 20.0
@@ -51,6 +57,7 @@ BLOCK_BYTES = 15 << 20
 MAX_TABLE_BUCKETS = 50_000
 END = np.uint64(0x5EED0F0E2D000001)
 WORDS, NEXT, GAIN = "words", "next", "gain"
+RETAINED, LIVE = 1, 2
 
 
 # -- packed arrays ----------------------------------------------------------
@@ -105,85 +112,92 @@ class Block:
         self.token, self.size, self.end = token, size, np.cumsum(size)
         self.place = np.arange(len(token)) - np.repeat(self.end - size, size)
         self.train = np.repeat(train, size)
-        self.count: list[np.ndarray] = []       # per depth: training count of the last depth + 1 tokens
-        self.slot: list[np.ndarray] = []        # per depth: 1 + number, among the block's frequent keys, of that run; or 0
-        self.frequent: list[int] = []           # per depth: how many of the block's keys are frequent
-        self.numbers: list[list] = []           # per depth: (bucket, packed numbers there) of these
-        self.retained: list[np.ndarray] = []    # per depth: whether the context before a token is a node
-
-    def keys(self, depth: int) -> np.ndarray:
-        """Hash of each token and the ``depth`` before it (0 where there are fewer)."""
-        key = self.token.copy()
-        with np.errstate(over="ignore"):
-            for j in range(1, depth + 1):
-                before = np.zeros_like(key)
-                before[j:] = self.token[:-j]
-                key = mix64(key + mix64(before + np.uint64(j)) * np.uint64(2 * j + 1))
-        return key
-
-    def shift(self, a: np.ndarray) -> np.ndarray:
-        """The value at the token before (0 at a text's start)."""
-        out = np.zeros_like(a)
-        out[1:] = a[:-1]
-        out[self.place == 0] = 0
-        return out
-
-    def wanted(self, depth: int) -> np.ndarray:
-        """Tokens whose count with ``depth`` tokens before them can matter: the context is
-        frequent enough, and the shorter run occurs in training at all."""
+        self.at, self.key = np.arange(len(token)), token    # tokens asked for at the last depth, and their keys
+        self.asked = np.ones(len(token), bool)
+        self.count: list[np.ndarray | None] = []    # per depth: training count of the last depth + 1 tokens (the first and last two are kept)
+        self.slot: list[tuple | None] = []          # per depth: ends of frequent runs, and their numbers among the block's frequent keys
+        self.frequent: list[int] = []               # per depth: how many of the block's keys are frequent
+        self.numbers: list[list] = []               # per depth: (bucket, packed numbers there) of these
+        self.live = np.ones(len(token), bool)       # whether something longer than the last depth's context may be retained
+        self.inside = np.zeros(len(token), bool)    # whether a context was retained
+        self.base = self.p = np.zeros(0)            # of each token, by itself and in its longest retained context
+
+    def wanted(self, depth: int) -> tuple[np.ndarray, np.ndarray]:
+        """Tokens whose count with ``depth`` tokens before them can matter, and the hashes of these
+        runs: as a prediction, the context is frequent enough, its suffix live, and the shorter run
+        occurs in training at all; as the next token's context, it may be frequent and that one's
+        suffix is live. Both follow from the run's tokens alone."""
         if depth == 0:
-            return np.ones(len(self.token), bool)
-        return (self.place >= depth) & (self.shift(self.count[depth - 1]) >= MIN_CONTEXT) & (self.count[depth - 1] >= 1)
+            return self.at, self.key
+        far = self.place[self.at] >= depth
+        at, key = self.at[far], self.key[far]
+        here, before = self.count[depth - 1][at], self.count[depth - 1][at - 1]
+        predicted = self.live[at] & (before >= MIN_CONTEXT) & (here >= 1)
+        follows = self.live[np.minimum(at + 1, len(self.live) - 1)] & (self.token[at] != END)
+        context = follows & (here >= MIN_CONTEXT) & ((before >= MIN_CONTEXT) | ~self.asked[at - 1])
+        keep = predicted | context
+        at, key = at[keep], key[keep]
+        with np.errstate(over="ignore"):
+            return at, mix64(key + mix64(self.token[at - depth] + np.uint64(depth)) * np.uint64(2 * depth + 1))
 
     def ask(self, depth: int) -> tuple[np.ndarray, np.ndarray]:
         """Distinct wanted keys, sorted, and their training counts in this block."""
-        at = self.wanted(depth)
-        keys, inverse = numbered(self.keys(depth)[at])
+        at, key = self.wanted(depth)
+        keys, inverse = numbered(key)
         return keys, np.bincount(inverse, self.train[at], len(keys)).astype(np.int64)
 
     def learn(self, depth: int, totals: np.ndarray) -> None:
-        at = self.wanted(depth)
-        _, inverse = numbered(self.keys(depth)[at])
-        count, slot = np.zeros(len(self.token), np.int64), np.zeros(len(self.token), np.int64)
-        count[at] = totals[inverse]
+        self.at, self.key = self.wanted(depth)
+        _, inverse = numbered(self.key)
+        count = np.zeros(len(self.token), np.int64)
+        count[self.at] = totals[inverse]
+        self.asked = np.zeros(len(self.token), bool)
+        self.asked[self.at] = True
         often = totals >= MIN_CONTEXT
-        slot[at] = np.where(often, np.cumsum(often), 0)[inverse]
+        run = often[inverse]
         self.count.append(count)
-        self.slot.append(slot)
+        self.slot.append((self.at[run], (np.cumsum(often) - 1)[inverse[run]]))
         self.frequent.append(int(often.sum()))
-
-    def probabilities(self, known: dict, depth: int, leave_out: bool = False) -> np.ndarray:
-        """Of each token in its longest retained context of at most ``depth`` tokens; with
-        ``leave_out`` training tokens are taken out of the counts of that context itself."""
-        p = (self.count[0] + BASE) / (known["N"] + BASE * (known["V"] + 1))
-        for d in range(1, depth + 1):
-            node = self.retained[d - 1] if d <= len(self.retained) else self.contexts(d)
-            own = self.train if leave_out and d == depth else 0
-            with_context = np.maximum(self.count[d] - own, 0)
-            context = np.maximum(self.shift(self.count[d - 1]) - own, 0)
-            p = np.where(node, (with_context + MASS * p) / (context + MASS), p)
-        return p
-
-    def contexts(self, depth: int) -> np.ndarray:
-        """Whether a token's context is frequent enough to be tested."""
-        return self.shift(self.slot[depth - 1]) > 0
-
-    def ask_gain(self, known: dict, depth: int) -> np.ndarray:
-        """Per frequent key, as a context: the log-ratio its training tokens here gain by it."""
-        at = self.contexts(depth)
-        parent = self.probabilities(known, depth - 1)
-        self.retained.append(at)
-        own = self.probabilities(known, depth, leave_out=True)
-        self.retained.pop()
-        gain = np.log(own[at] / parent[at]) * self.train[at]
-        total = np.bincount(self.shift(self.slot[depth - 1])[at] - 1, gain, self.frequent[depth - 1])
-        return np.rint(total * SCALE).astype(np.int64)
-
-    def learn_gain(self, depth: int, kept: np.ndarray) -> None:
-        at = self.contexts(depth)
-        node = np.zeros(len(self.token), bool)
-        node[at] = kept[self.shift(self.slot[depth - 1])[at] - 1]
-        self.retained.append(node)
+        if depth > 2:
+            self.count[depth - 2] = None
+        if depth > 1:
+            self.slot[depth - 2] = None
+
+    def learn_words(self, known: dict) -> None:
+        self.base = (self.count[0] + BASE) / (known["N"] + BASE * (known["V"] + 1))
+        self.p = self.base.copy()
+
+    def contexts(self, depth: int) -> tuple[np.ndarray, np.ndarray]:
+        """Tokens whose context is tested, and its number among the frequent keys."""
+        ends, number = self.slot[depth - 1]
+        inner = self.token[ends] != END
+        at, number = ends[inner] + 1, number[inner]
+        return at[self.live[at]], number[self.live[at]]
+
+    def within(self, depth: int, at: np.ndarray, own=0) -> np.ndarray:
+        """Probabilities of tokens in their context of ``depth`` tokens; ``own`` is taken out of its counts."""
+        with_context = np.maximum(self.count[depth][at] - own, 0)
+        return (with_context + MASS * self.p[at]) / (np.maximum(self.count[depth - 1][at - 1] - own, 0) + MASS)
+
+    def ask_gain(self, depth: int) -> np.ndarray:
+        """Per frequent key, as a context: the log-ratio its training tokens here gain by it, and
+        the room they leave to longer ones with it retained and with it not."""
+        at, number = self.contexts(depth)
+        train, follows = self.train[at], np.maximum(self.count[depth][at], 1)
+        least = np.maximum(follows, MIN_CONTEXT) - 1 + MASS
+        total = lambda x: np.bincount(number, x * train, self.frequent[depth - 1]) * SCALE
+        room = lambda p: np.ceil(total(np.maximum(np.log((follows - 1 + MASS * p) / (least * p)), 0)))
+        gain = np.rint(total(np.log(self.within(depth, at, train) / self.p[at])))
+        return np.stack((gain, room(self.within(depth, at)), room(self.p[at]))).astype(np.int64)
+
+    def learn_gain(self, depth: int, verdict: np.ndarray) -> None:
+        """``verdict``: per frequent key RETAINED, LIVE, both or none."""
+        at, number = self.contexts(depth)
+        node = at[verdict[number] & RETAINED > 0]
+        self.p[node] = self.within(depth, node)
+        self.inside[node] = True
+        self.live = np.zeros(len(self.token), bool)
+        self.live[at[verdict[number] & LIVE > 0]] = True
 
     def per_text(self, values: np.ndarray) -> np.ndarray:
         total = np.concatenate(([0.0], np.cumsum(values)))
@@ -206,9 +220,11 @@ def restored(texts: pa.Table, replies: pa.Table, rounds: list[tuple[str, int]],
         answers = sorted(got.get(f"{kind}{depth}", []))
         totals = [unpack(t, np.uint8 if kind == GAIN else np.int64) for _, t, _ in answers]
         if kind == GAIN:
-            block.learn_gain(depth, np.concatenate([np.zeros(0, np.uint8), *totals]) > 0)
+            block.learn_gain(depth, np.concatenate([np.zeros(0, np.uint8), *totals]))
         else:
             block.learn(depth, np.concatenate([np.zeros(0, np.int64), *totals]))
+            if kind == WORDS:
+                block.learn_words(known)
             block.numbers.append([(bucket, n) for bucket, _, n in answers])
     return block
 
@@ -288,11 +304,11 @@ def ask(tables: Tables, rounds: list[tuple[str, int]], known: dict, kind: str, d
     def run(texts: pa.Table, answered: pa.Table) -> pa.Table:
         block = restored(texts, answered, rounds, known)
         if kind == GAIN:
-            gains, at, rows = block.ask_gain(known, depth), 0, []
+            gains, at, rows = block.ask_gain(depth), 0, []
             for bucket, numbers in block.numbers[depth - 1]:
                 n = len(unpack(numbers, np.int64))
                 if n:
-                    rows.append((bucket, numbers, pack(gains[at:at + n])))
+                    rows.append((bucket, numbers, pack(gains[:, at:at + n].ravel())))
                 at += n
         else:
             keys, counts = block.ask(depth)
@@ -305,22 +321,27 @@ def ask(tables: Tables, rounds: list[tuple[str, int]], known: dict, kind: str, d
 
 
 def answer(asked: DataFrame, kind: str, depth: int) -> DataFrame:
-    """REPLY rows, and the bucket's number of keys with a positive total and sum of totals
-    (block -1, as an array of two longs)."""
+    """REPLY rows, and the bucket's number of keys with a positive total, sum of totals and number
+    of frequent keys or live contexts (block -1, as an array of three longs)."""
 
     def run(table: pa.Table) -> pa.Table:
         keys = [np.cumsum(unpack(k, np.int64 if kind == GAIN else np.uint64)) for k in table.column("keys").to_pylist()]
-        amounts = np.concatenate([unpack(v, np.int64) for v in table.column("amounts").to_pylist()])
+        amounts = np.concatenate([unpack(v, np.int64).reshape(3 if kind == GAIN else 1, -1) for v in table.column("amounts").to_pylist()], axis=1)
         flat = np.concatenate(keys)
         distinct, number = (None, flat) if kind == GAIN else numbered(flat)
-        totals = np.bincount(number, amounts).astype(np.int64)
-        sent = (totals >= MIN_GAIN * SCALE).astype(np.uint8) if kind == GAIN else totals
-        often = totals >= MIN_CONTEXT
+        totals, *room = (np.bincount(number, x).astype(np.int64) for x in amounts)
+        if kind == GAIN:
+            retained = totals >= MIN_GAIN * SCALE
+            often = np.where(retained, *room) >= MIN_GAIN * SCALE
+            sent = (RETAINED * retained + LIVE * often).astype(np.uint8)
+        else:
+            often = totals >= MIN_CONTEXT
+            sent = totals
         rank = np.cumsum(often) - 1
         edge = np.cumsum([0, *(len(k) for k in keys)])
         parts = [number[a:b] for a, b in zip(edge[:-1], edge[1:])]
         numbers = [b""] * len(parts) if kind == GAIN else [pack(np.diff(rank[n[often[n]]], prepend=0)) for n in parts]
-        total = np.array([(totals > 0).sum(), totals.sum()], np.int64)
+        total = np.array([(totals > 0).sum(), totals.sum(), often.sum()], np.int64)
         bucket = table.column("bucket")[0].as_py()
         return pa.table({"block": pa.array([*table.column("block").to_pylist(), -1], pa.int64()),
                          "name": pa.array([f"{kind}{depth}"] * (len(parts) + 1)), "bucket": pa.array([bucket] * (len(parts) + 1), pa.int32()),
@@ -330,8 +351,8 @@ def answer(asked: DataFrame, kind: str, depth: int) -> DataFrame:
     return asked.groupBy("bucket").applyInArrow(run, REPLY)
 
 
-def score(docs: DataFrame, max_depth: int = MAX_DEPTH, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, and the number of
+def score(docs: DataFrame, max_depth: float = 2, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """With contexts of up to ``max_depth`` words (math.inf: all): doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, and the number of
     tokens scored in a context (n_in_context) of every whole text."""
     spark = docs.sparkSession
     kind_of_id = docs.schema["doc_id"].dataType.simpleString()
@@ -339,28 +360,31 @@ def score(docs: DataFrame, max_depth: int = MAX_DEPTH, block_bytes: int = BLOCK_
     buckets = max(shuffle_partitions(spark), math.ceil(tables.blocks.count() / 2))
     rounds: list[tuple[str, int]] = []
     known = {"N": 0, "V": 0}
-    for kind, depth in [(WORDS, 0), *((k, d) for d in range(1, max_depth + 1) for k in (NEXT, GAIN))]:
+
+    def ask_all(kind: str, depth: int) -> list[int]:
+        """One round; three sums per bucket come back."""
         got = materialize(answer(ask(tables, rounds, known, kind, depth, buckets), kind, depth), f"{kind}{depth}")
-        if kind == WORDS:       # two sums per bucket
-            for row in got.filter("block = -1").select("totals").toLocalIterator():
-                v, t = np.frombuffer(row["totals"], np.int64).tolist()
-                known = {"N": known["N"] + t, "V": known["V"] + v}
+        sums = [np.frombuffer(r["totals"], np.int64) for r in got.filter("block = -1").select("totals").toLocalIterator()]
         tables.reply(got.filter("block <> -1"))
-        rounds = [*rounds, (kind, depth)]
+        rounds.append((kind, depth))
+        return np.sum([np.zeros(3, np.int64), *sums], axis=0).tolist()
+
+    known["V"], known["N"], frequent = ask_all(WORDS, 0)
+    depth, live = 0, 1
+    while frequent and live and depth < max_depth:
+        depth += 1
+        frequent = ask_all(NEXT, depth)[2]
+        live = ask_all(GAIN, depth)[2]
 
     def run(texts: pa.Table, answered: pa.Table) -> pa.Table:
         block = restored(texts, answered, rounds, known)
-        base, p = block.probabilities(known, 0), block.probabilities(known, max_depth)
-        inside = np.zeros(len(p), bool)
-        for node in block.retained:
-            inside |= node
         train = unpack(texts.column("train")[0].as_py(), np.int64)
         return pa.table({
             "doc_id": texts.column("doc_ids").combine_chunks().flatten(), "held_out": pa.array(train == 0),
             "n_tokens": pa.array(block.size), "n_known": pa.array(block.per_text(block.count[0] > 0).astype(np.int64)),
             "train_tokens": pa.array(np.full(len(block.size), known["N"], np.int64)),
-            "base_score": pa.array(block.per_text(np.log10(base))), "score": pa.array(block.per_text(np.log10(p))),
-            "n_in_context": pa.array(block.per_text(inside).astype(np.int64))})
+            "base_score": pa.array(block.per_text(np.log10(block.base))), "score": pa.array(block.per_text(np.log10(block.p))),
+            "n_in_context": pa.array(block.per_text(block.inside).astype(np.int64))})
 
     scored = materialize(
         tables.cogrouped().applyInArrow(
@@ -372,4 +396,4 @@ def score(docs: DataFrame, max_depth: int = MAX_DEPTH, block_bytes: int = BLOCK_
 
 def query(spark, sf_dir: str) -> DataFrame:
     """op1: log10 probability of every document under the suffix tree."""
-    return score(read_table(spark, sf_dir, "documents"))
+    return score(read_table(spark, sf_dir, "documents"), max_depth=math.inf)

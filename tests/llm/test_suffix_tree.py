@@ -74,3 +74,13 @@ def test_empty_table(spark, docs_of):
 def test_packed_arrays():
     for a in (np.sort(np.random.default_rng(1).integers(0, 2**63, 1000).astype(np.uint64)), np.zeros(0, np.uint64)):
         assert (np.cumsum(S.unpack(S.pack(S.steps(a)), np.uint64), dtype=np.uint64) == a).all()
+
+
+def test_contexts_of_any_length(spark, docs_of, odd_rows, tmp_path):
+    rows = corpus() + odd_rows
+    nodes, want = brute(rows, 16)
+    assert any(nodes[3:])
+    docs_of(rows).repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    got = sorted((tuple(r)[:7] for r in S.query(spark, str(tmp_path)).collect()), key=str)
+    for g, w in zip(got, sorted(want, key=str), strict=True):
+        assert g[:5] == w[:5] and g[6] == pytest.approx(w[6], rel=1e-9)
