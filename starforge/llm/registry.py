@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from starforge.llm import byte_bpe, decontaminate, hamming, language_id, ngram_join, prefix_trie, sharding, spelling, substring_dedup, suffix_tree, toxicity, warc
+from starforge.llm import bwt_merge, byte_bpe, decontaminate, hamming, language_id, ngram_join, prefix_trie, sharding, spelling, substring_dedup, suffix_tree, toxicity, warc
 
 QUERIES = {
     "op1_suffix_tree": suffix_tree.query,
@@ -16,6 +16,7 @@ QUERIES = {
     "op8_toxicity": toxicity.query,
     "op9_byte_bpe": byte_bpe.query,
     "op10_language_id": language_id.query,
+    "op11_bwt_merge": bwt_merge.query,
     "op12_spelling": spelling.query,
     "op13_prefix_trie": prefix_trie.query,
     "pipeline": corpus_pipeline.run,
