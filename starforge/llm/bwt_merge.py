@@ -22,8 +22,7 @@ suffixes out so that no task needs those of another:
 
 A minimiser whose distinct strings exceed ``HOT_BYTES`` (a line that very many texts have in
 different surroundings) would make one bucket grow with the corpus. Its windows are spread by a
-128-bit digest instead; a block sends each distinct one once, with its smallest id, and learns
-of smaller ids elsewhere. Texts stay in a table bucketed by block and are never shuffled.
+128-bit digest instead, each distinct one once a block. Texts stay in a table bucketed by block and are never shuffled.
 
 Nulls: a null text is empty; rows with a null id lose nothing and take nothing from others.
 Rows with one id never take bytes from each other. Texts shorter than a window stay whole; very
@@ -54,7 +53,7 @@ WINDOW = 100
 MINIMISER = 24
 STEP = 4                    # bytes a letter; divides WINDOW
 BLOCK_BYTES = 8 << 20
-PIECE = 1 << 20             # bytes hashed at a time
+PIECE = 1 << 16             # bytes hashed at a time
 LONGEST_RUN = 4_096         # windows of one string
 KEYS_PER_BUCKET = 500_000
 BUCKET_BYTES = 1 << 20      # of strings
@@ -81,42 +80,41 @@ def rolling(data: np.ndarray, length: int, seed: int) -> np.ndarray:
             if left:
                 n = max(0, len(data) - 2 * size + 1)
                 power, size = power[:n] * factor[k + 1] + power[size:size + n], 2 * size
-        return mix64(out[:max(0, len(data) - length + 1)])
+        return out[:max(0, len(data) - length + 1)]
 
 
 class Runs:
     """Strings of consecutive windows with one minimiser, in some joined texts: text number, first
-    byte in the text, windows and minimiser of each; ``at`` is the first byte in ``data``."""
+    byte in the text, windows and minimiser of each; ``at`` is the first byte in ``data``, ``again``
+    whether the minimiser occurs twice in the string, so that it may have equal windows of its own."""
 
     def __init__(self, rows: list[int], offsets: list[int], parts: list[bytes], window: int, minimiser: int):
         self.data = b"".join(parts)
-        self.bytes = np.frombuffer(self.data, np.uint8)
         size = np.array([len(p) for p in parts], np.int64)
         end = np.cumsum(size)
-        hashes, width = rolling(self.bytes, minimiser, 0), window - minimiser + 1
-        least = sliding_min(hashes, width)
+        hashes = rolling(np.frombuffer(self.data, np.uint8), minimiser, 0)
+        least = sliding_min(hashes, window - minimiser + 1)
         part = np.repeat(np.arange(len(parts)), size)[:len(least)]
         place = np.arange(len(least))
         valid = place + window <= end[part]
-        new = valid.copy()
-        new[1:] &= ~valid[:-1] | (least[1:] != least[:-1]) | (part[1:] != part[:-1])
-        first = np.flatnonzero(new)
+        same = np.zeros(len(least), bool)       # as the window before
+        same[1:] = valid[1:] & valid[:-1] & (least[1:] == least[:-1])
+        first = np.flatnonzero(valid & ~same)
         if len(first):
-            new = valid & ((place - first[np.maximum(np.cumsum(new) - 1, 0)]) % LONGEST_RUN == 0)
-            first = np.flatnonzero(new)
-        self.windows = np.bincount((np.cumsum(new) - 1)[valid], minlength=len(first)) if len(first) else np.zeros(0, np.int64)
+            label = np.cumsum(valid & ~same) - 1
+            cut = valid & ((place - first[np.maximum(label, 0)]) % LONGEST_RUN == 0)
+            first, label = np.flatnonzero(cut), np.cumsum(cut) - 1
+        else:
+            label = np.zeros(0, np.int64)
+            valid = valid[:0]
+        self.windows = np.bincount(label[valid], minlength=len(first))
+        self.again = np.zeros(len(first), bool)
+        # a window that begins with its minimum, and the next one has the same minimum
+        self.again[label[np.flatnonzero(same[1:] & (hashes[:max(0, len(least) - 1)] == least[:-1]))]] = True
         self.at = first
         self.row = np.array(rows, np.int64)[part[first]]
         self.start = first - (end - size)[part[first]] + np.array(offsets, np.int64)[part[first]]
-        self.minimiser = least[first]
-        # minimisers that follow themselves: a string with one may have equal windows of its own
-        edge = np.zeros(width - 1, np.uint64)
-        chosen = hashes[hashes == ~sliding_min(~np.concatenate((edge, least, edge)), width)] if len(least) else least
-        self.again = np.unique(chosen[1:][chosen[1:] == chosen[:-1]])
-
-    def string(self, k: int, window: int) -> bytes:
-        a = int(self.at[k])
-        return self.data[a:a + int(self.windows[k]) + window - 1]
+        self.minimiser = mix64(least[first])    # minima are small numbers; this spreads them
 
 
 def runs_of(texts: list[bytes], window: int, minimiser: int) -> Iterator[Runs]:
@@ -142,12 +140,22 @@ class BlockRuns:
     """A block's texts by pos, and the runs of those with an id."""
 
     def __init__(self, table: pa.Table, window: int, minimiser: int):
-        self.batch = ordered(table)
-        self.texts = raw(self.batch)
-        ids = self.batch.column("doc_id")
+        self.window = window
+        batch = ordered(table)
+        ids = batch.column("doc_id")
         self.ids = ids.fill_null(0).to_numpy(zero_copy_only=False)
-        self.pieces = list(runs_of([t if known else b"" for t, known in zip(self.texts, ids.is_valid().to_pylist())], window, minimiser))
-        self.keys = np.unique(np.concatenate([np.zeros(0, np.uint64), *(p.minimiser for p in self.pieces)]))
+        pieces = list(runs_of([t if known else b"" for t, known in zip(raw(batch), ids.is_valid().to_pylist())], window, minimiser))
+        self.data = b"".join(p.data for p in pieces)
+        begin = np.cumsum([0, *(len(p.data) for p in pieces)])
+        joined = lambda parts, kind: np.concatenate([np.zeros(0, kind), *parts])
+        self.at = joined((p.at + b for p, b in zip(pieces, begin)), np.int64)
+        self.size = joined((p.windows for p in pieces), np.int64) + window - 1
+        self.row, self.start = (joined((getattr(p, c) for p in pieces), np.int64) for c in ("row", "start"))
+        self.minimiser, self.again = joined((p.minimiser for p in pieces), np.uint64), joined((p.again for p in pieces), bool)
+        self.keys, self.number = np.unique(self.minimiser, return_inverse=True)
+
+    def strings(self, which=slice(None)) -> list[bytes]:
+        return [self.data[a:a + n] for a, n in zip(self.at[which].tolist(), self.size[which].tolist())]
 
 
 def block_keys(buckets: int, window: int, minimiser: int):
@@ -156,20 +164,13 @@ def block_keys(buckets: int, window: int, minimiser: int):
 
     def run(table: pa.Table) -> pa.Table:
         block = BlockRuns(table, window, minimiser)
-        key, digest, size = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
-        for p in block.pieces:
-            key.append(p.minimiser)
-            digest.append(np.array([xxhash.xxh3_64_intdigest(p.string(k, window)) for k in range(len(p.at))], np.uint64))
-            size.append(p.windows + window - 1)
-        key, digest, size = (np.concatenate(x) for x in (key, digest, size))
-        order = np.lexsort((digest, key))
-        k, d, n = key[order], digest[order], size[order]
+        digest = np.array([xxhash.xxh3_64_intdigest(x) for x in block.strings()], np.uint64)
+        order = np.lexsort((digest, block.number))
+        k, d = block.number[order], digest[order]
         fresh = np.concatenate(([True], (k[1:] != k[:-1]) | (d[1:] != d[:-1]))) if len(k) else np.zeros(0, bool)
-        number = np.searchsorted(block.keys, k)
-        twice = np.bincount(number, minlength=len(block.keys)) > 1
-        for p in block.pieces:
-            twice |= np.isin(block.keys, p.again)
-        info = (2 * np.bincount(number, n * fresh, len(block.keys)) + twice).astype(np.uint32)
+        size = np.bincount(k, block.size[order] * fresh, len(block.keys))
+        twice = np.bincount(k, 1 + block.again[order], len(block.keys)) > 1
+        info = (2 * np.minimum(size, 1 << 30) + twice).astype(np.uint32)
         edge = bucket_edges(block.keys, buckets).tolist()
         rows = [(b, pack(steps(block.keys[x:y])), pack(info[x:y])) for b, (x, y) in enumerate(zip(edge[:-1], edge[1:])) if y > x]
         return pa.table({"bucket": pa.array([r[0] for r in rows], pa.int32()), "block": pa.array([table.column("block")[0].as_py()] * len(rows), pa.int64()),
@@ -181,7 +182,7 @@ def block_keys(buckets: int, window: int, minimiser: int):
 def find_repeated(hot_bytes: int):
     """For ``applyInArrow`` on a bucket of minimisers: per block 0, 1 (repeated) or 2 (repeated and
     hot) for each of its keys; on block -1 the bytes of the strings that are repeated and not hot,
-    and whether any is hot."""
+    and of the hot ones."""
 
     def run(table: pa.Table) -> pa.Table:
         keys = [np.cumsum(unpack(k, np.uint64), dtype=np.uint64) for k in table.column("keys").to_pylist()]
@@ -196,12 +197,12 @@ def find_repeated(hot_bytes: int):
         n, bucket = len(parts) + 1, table.column("bucket")[0].as_py()
         return pa.table({"block": pa.array([*table.column("block").to_pylist(), -1], pa.int64()), "bucket": pa.array([bucket] * n, pa.int32()),
                          "state": pa.array([*parts, b""], pa.binary()), "size": pa.array([0] * (n - 1) + [int(size[state == 1].sum())], pa.int64()),
-                         "hot": pa.array([False] * (n - 1) + [bool((state == 2).any())])})
+                         "hot": pa.array([0] * (n - 1) + [int(size[state == 2].sum())], pa.int64())})
 
     return run
 
 
-STATES = "block long, bucket int, state binary, size long, hot boolean"
+STATES = "block long, bucket int, state binary, size long, hot long"
 
 
 def states_of(block: BlockRuns, answers: pa.Table) -> np.ndarray:
@@ -215,59 +216,74 @@ class Firsts:
 
     def __init__(self):
         self.seen: dict[bytes, tuple] = {}
+        self.rows: set[tuple] = set()       # further rows of an id that have a string
 
     def repeats(self, string: bytes, doc: int, row) -> bool:
         got = self.seen.get(string)
         if got is None:
-            self.seen[string] = (doc, {row})
+            self.seen[string] = (doc, row)
             return False
-        if doc > got[0] or row in got[1]:
+        if doc > got[0] or row == got[1] or (string, row) in self.rows:
             return True
-        got[1].add(row)         # another row of the same id
+        self.rows.add((string, row))        # another row of the same id
         return False
 
 
-PACKED = "bucket int, block long, m binary, again binary, ids binary, pos binary, starts binary, sizes binary, letters binary"
+PACKED = "kind string, bucket int, block long, m binary, more binary, ids binary, pos binary, starts binary, sizes binary, letters binary"
 SPANS = "block long, pos binary, starts binary, ends binary"
+LOCAL, STRINGS, HOT = "local", "strings", "hot"
 
 
 def squeezed(data: bytes) -> bytes:
     return zstandard.ZstdCompressor(1).compress(data)
 
 
-def packed_strings(buckets: int, window: int, minimiser: int):
+def by_bucket(bucket: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """(bucket, numbers of its entries)."""
+    order = np.argsort(bucket, kind="stable")
+    edge = np.flatnonzero(np.concatenate(([True], bucket[order][1:] != bucket[order][:-1], [True]))) if len(order) else [0]
+    for a, b in zip(edge[:-1], edge[1:]):
+        yield int(bucket[order[a]]), order[a:b]
+
+
+def packed_strings(buckets: int, hot_buckets: int, window: int, minimiser: int):
     """For a cogrouped ``applyInArrow``: PACKED rows of the block's distinct strings of repeated
-    minimisers, one per bucket; repeats found within the block are a row of bucket -1."""
+    minimisers, one per bucket; of the distinct windows of hot ones, likewise; and of the repeats
+    found within the block."""
 
     def run(texts: pa.Table, answers: pa.Table) -> pa.Table:
-        block = BlockRuns(texts, window, minimiser)
-        state = states_of(block, answers)
-        found = []              # (id, row, start, piece, number) of the wanted strings
-        for n, p in enumerate(block.pieces):
-            k = np.flatnonzero(state[np.searchsorted(block.keys, p.minimiser)] == 1)
-            found.append(np.stack((block.ids[p.row[k]], p.row[k], p.start[k], np.full(len(k), n), k), 1))
-        found = np.concatenate([np.zeros((0, 5), np.int64), *found])
-        found = found[np.lexsort((found[:, 2], found[:, 1], found[:, 0]))]
-        firsts, repeat, strings = Firsts(), [], []
-        for doc, row, _, n, k in found.tolist():
-            s = block.pieces[n].string(k, window)
-            repeat.append(firsts.repeats(s, doc, row))
-            strings.append(s)
-        repeat = np.array(repeat, bool)
-        m = np.array([block.pieces[n].minimiser[k] for n, k in found[:, 3:].tolist()], np.uint64)
-        again = np.isin(m, np.concatenate([np.zeros(0, np.uint64), *(p.again for p in block.pieces)])).astype(np.uint8)
-        size = np.array([len(s) for s in strings], np.int64)
-        bucket = np.where(repeat, -1, (mix64(m) % np.uint64(buckets)).astype(np.int64))
-        order = np.argsort(bucket, kind="stable")
-        edge = np.flatnonzero(np.concatenate(([True], bucket[order][1:] != bucket[order][:-1], [True]))) if len(order) else [0]
-        number, rows = texts.column("block")[0].as_py() if texts.num_rows else 0, []
-        for a, b in zip(edge[:-1], edge[1:]):
-            k = order[a:b]
-            local = bucket[k[0]] < 0
-            rows.append((int(bucket[k[0]]), number, None if local else pack(m[k]), None if local else pack(again[k]), pack(found[k, 0]), pack(found[k, 1]), pack(found[k, 2]), pack(size[k]),
-                         None if local else squeezed(b"".join(strings[x] for x in k.tolist()))))
+        rows: list[tuple] = []
+        if texts.num_rows:
+            block = BlockRuns(texts, window, minimiser)
+            name, state = texts.column("block")[0].as_py(), states_of(block, answers)[block.number]
+            ids = block.ids[block.row]
+            k = np.flatnonzero(state == 1)
+            k = k[np.lexsort((block.start[k], block.row[k], ids[k]))]
+            firsts, strings = Firsts(), block.strings(k)
+            repeat = np.array([firsts.repeats(*x) for x in zip(strings, ids[k].tolist(), block.row[k].tolist())], bool)
+            again = np.flatnonzero(repeat)
+            local = [(block.row[k][again], block.start[k][again], (block.start + block.size)[k][again])]
+            first = np.flatnonzero(~repeat)
+            for bucket, x in by_bucket((mix64(block.minimiser[k[first]]) % np.uint64(buckets)).astype(np.int64)):
+                x = first[x]
+                y = k[x]
+                rows.append((STRINGS, bucket, name, pack(block.minimiser[y]), pack(block.again[y].view(np.uint8)), pack(ids[y]), pack(block.row[y]),
+                             pack(block.start[y]), pack(block.size[y]), squeezed(b"".join([strings[z] for z in x.tolist()]))))
+            one, two, row, start = hot_windows(block, np.flatnonzero(state == 2))
+            if len(one):
+                number = numbered_pairs(one, two)
+                ids = block.ids[row]
+                hit = repeated_windows(ids, row, start, number)
+                local.append(as_spans(row[hit], start[hit], window))
+                left = np.flatnonzero(~hit)
+                for bucket, x in by_bucket((mix64(one[left]) % np.uint64(hot_buckets)).astype(np.int64)):
+                    x = left[x]
+                    rows.append((HOT, bucket, name, pack(one[x]), pack(two[x]), pack(ids[x]), pack(row[x]), pack(start[x]), None, None))
+            gone = [np.concatenate(x) for x in zip(*local)]
+            if len(gone[0]):
+                rows.append((LOCAL, None, name, None, None, None, pack(gone[0]), pack(gone[1]), pack(gone[2] - gone[1]), None))
         names = [f.split()[0] for f in PACKED.split(", ")]
-        types = [pa.int32(), pa.int64()] + [pa.binary()] * 7
+        types = [pa.string(), pa.int32(), pa.int64()] + [pa.binary()] * 7
         return pa.table({c: pa.array([r[x] for r in rows], t) for x, (c, t) in enumerate(zip(names, types))})
 
     return run
@@ -396,7 +412,7 @@ def merge_bucket(window: int, unit_bytes: int):
 
     def run(table: pa.Table) -> pa.Table:
         blocks, columns = table.column("block").to_pylist(), {}
-        for name, kind in (("m", np.uint64), ("again", np.uint8), ("ids", np.int64), ("pos", np.int64), ("starts", np.int64), ("sizes", np.int64)):
+        for name, kind in (("m", np.uint64), ("more", np.uint8), ("ids", np.int64), ("pos", np.int64), ("starts", np.int64), ("sizes", np.int64)):
             parts = [unpack(x, kind) for x in table.column(name).to_pylist()]
             columns[name] = np.concatenate(parts)
         block = np.repeat(np.arange(len(blocks)), [len(x) for x in parts])      # by number of its row: blocks fit no 32 bits with pos
@@ -415,7 +431,7 @@ def merge_bucket(window: int, unit_bytes: int):
             whole[k] = firsts.repeats(strings[k], int(columns["ids"][k]), int(row[k]))
         got_row, got_start, got_end = [row[whole]], [columns["starts"][whole]], [(columns["starts"] + columns["sizes"])[whole]]
         left = np.flatnonzero(~whole)
-        for unit in units(*(columns[c][left] for c in ("m", "again", "sizes")), unit_bytes):
+        for unit in units(*(columns[c][left] for c in ("m", "more", "sizes")), unit_bytes):
             k = left[unit]
             same = np.concatenate(([True], columns["m"][k][1:] != columns["m"][k][:-1]))
             turn = np.arange(len(k)) - np.flatnonzero(same)[np.cumsum(same) - 1]     # strings of a minimiser go to different shards
@@ -424,101 +440,51 @@ def merge_bucket(window: int, unit_bytes: int):
             hit = repeated_windows(columns["ids"][x], row[x], columns["starts"][x] + offset, group)
             for out, values in zip((got_row, got_start, got_end), as_spans(row[x][hit], (columns["starts"][x] + offset)[hit], window)):
                 out.append(values)
-        got_row, got_start, got_end = (np.concatenate(x) for x in (got_row, got_start, got_end))
-        out = []
-        owner = got_row >> 32
-        for b in np.unique(owner).tolist():
-            k = np.flatnonzero(owner == b)
-            out.append((blocks[b], pack(got_row[k] & 0xFFFFFFFF), pack(got_start[k]), pack(got_end[k])))
-        return span_table(out)
+        return span_table(blocks, *(np.concatenate(x) for x in (got_row, got_start, got_end)))
 
     return run
 
 
-def span_table(rows: list[tuple]) -> pa.Table:
+def span_table(blocks: list[int], row: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Table:
+    """SPANS, one row per block; ``row`` is (number of the block, pos)."""
+    rows = [(blocks[b], pack(row[k] & 0xFFFFFFFF), pack(start[k]), pack(end[k])) for b, k in by_bucket(row >> 32)]
     return pa.table({"block": pa.array([r[0] for r in rows], pa.int64()),
                      **{c: pa.array([r[k] for r in rows], pa.binary()) for k, c in enumerate(("pos", "starts", "ends"), 1)}})
 
 
 # -- hot minimisers ----------------------------------------------------------------
-def hot_windows(block: BlockRuns, state: np.ndarray, window: int):
-    """(digest, second digest, row, start) of every window of the block's hot minimisers."""
-    out = [[np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]]
-    for p in block.pieces:
-        k = np.flatnonzero(state[np.searchsorted(block.keys, p.minimiser)] == 2)
-        if not len(k):
-            continue
-        n = p.windows[k]
-        inside = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        at = np.repeat(p.at[k], n) + inside
-        for x, values in zip(out, (rolling(p.bytes, window, 1)[at], rolling(p.bytes, window, 2)[at], np.repeat(p.row[k], n), np.repeat(p.start[k], n) + inside)):
-            x.append(values)
-    return [np.concatenate(x) for x in out]
-
-
-def grouped(one: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct pairs (n x 2, sorted), and the number of each entry's pair."""
+def hot_windows(block: BlockRuns, which: np.ndarray):
+    """(digest, second digest, row, start) of every window of some of the block's strings."""
+    if not len(which):
+        return (np.zeros(0, np.uint64),) * 2 + (np.zeros(0, np.int64),) * 2
+    size, window = block.size[which], block.window
+    data = np.frombuffer(b"".join(block.strings(which)), np.uint8)
+    n = size - window + 1
+    inside = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    at = np.repeat(np.cumsum(size) - size, n) + inside
+    return rolling(data, window, 1)[at], rolling(data, window, 2)[at], np.repeat(block.row[which], n), np.repeat(block.start[which], n) + inside
+
+
+def numbered_pairs(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """The number of each entry's pair among the distinct ones."""
     order = np.lexsort((two, one))
     a, b = one[order], two[order]
-    new = np.concatenate(([True], (a[1:] != a[:-1]) | (b[1:] != b[:-1]))) if len(a) else np.zeros(0, bool)
     number = np.empty(len(a), np.int64)
-    number[order] = np.cumsum(new) - 1
-    return np.stack((a[new], b[new]), 1), number
-
-
-def least_id(ids: np.ndarray, number: np.ndarray, n: int) -> np.ndarray:
-    out = np.full(n, np.iinfo(np.int64).max)
-    np.minimum.at(out, number, ids)
-    return out
+    number[order] = np.cumsum(np.concatenate(([0], (a[1:] != a[:-1]) | (b[1:] != b[:-1]))))
+    return number
 
 
-def hot_keys(buckets: int, window: int, minimiser: int):
-    """For a cogrouped ``applyInArrow``: per bucket the block's distinct hot windows and their smallest ids."""
+def merge_hot(window: int):
+    """For ``applyInArrow`` on the PACKED rows of a bucket of hot windows: SPANS that also occur earlier."""
 
-    def run(texts: pa.Table, answers: pa.Table) -> pa.Table:
-        rows = []
-        if texts.num_rows:
-            block = BlockRuns(texts, window, minimiser)
-            one, two, row, _ = hot_windows(block, states_of(block, answers), window)
-            keys, number = grouped(one, two)
-            low = least_id(block.ids[row], number, len(keys))
-            edge = bucket_edges(np.ascontiguousarray(keys[:, 0]), buckets).tolist()
-            rows = [(b, texts.column("block")[0].as_py(), pack(steps(keys[x:y, 0])), pack(np.ascontiguousarray(keys[x:y, 1])), pack(low[x:y]))
-                    for b, (x, y) in enumerate(zip(edge[:-1], edge[1:])) if y > x]
-        return pa.table({"bucket": pa.array([r[0] for r in rows], pa.int32()), "block": pa.array([r[1] for r in rows], pa.int64()),
-                         **{c: pa.array([r[k] for r in rows], pa.binary()) for k, c in enumerate(("one", "two", "low"), 2)}})
-
-    return run
-
-
-def hot_least(table: pa.Table) -> pa.Table:
-    """For ``applyInArrow`` on a bucket of hot windows: each block's smallest ids, over all blocks."""
-    one = [np.cumsum(unpack(x, np.uint64), dtype=np.uint64) for x in table.column("one").to_pylist()]
-    two, low = ([unpack(x, kind) for x in table.column(c).to_pylist()] for c, kind in (("two", np.uint64), ("low", np.int64)))
-    keys, number = grouped(np.concatenate(one), np.concatenate(two))
-    all_low = least_id(np.concatenate(low), number, len(keys))[number]
-    parts = np.split(all_low, np.cumsum([len(x) for x in one])[:-1])
-    return pa.table({"block": table.column("block"), "bucket": table.column("bucket"), "low": pa.array([pack(p) for p in parts], pa.binary())})
-
-
-def hot_spans(window: int, minimiser: int):
-    """For a cogrouped ``applyInArrow``: SPANS among the block's hot windows."""
-
-    def run(texts: pa.Table, answers: pa.Table) -> pa.Table:
-        if not texts.num_rows:
-            return span_table([])
-        block = BlockRuns(texts, window, minimiser)
-        state = states_of(block, answers.filter(pa.compute.is_valid(answers.column("state"))))
-        one, two, row, start = hot_windows(block, state, window)
-        if not len(one):
-            return span_table([])
-        keys, number = grouped(one, two)
-        lows = answers.filter(pa.compute.is_valid(answers.column("low")))
-        low = np.concatenate([unpack(x, np.int64) for _, x in sorted(zip(lows.column("bucket").to_pylist(), lows.column("low").to_pylist()))])
-        ids = block.ids[row]
-        hit = (low[number] < ids) | repeated_windows(ids, row, start, number)
-        r, a, b = as_spans(row[hit], start[hit], window)
-        return span_table([(texts.column("block")[0].as_py(), pack(r), pack(a), pack(b))] if len(r) else [])
+    def run(table: pa.Table) -> pa.Table:
+        unpacked = {c: [unpack(x, kind) for x in table.column(c).to_pylist()]
+                    for c, kind in (("m", np.uint64), ("more", np.uint64), ("ids", np.int64), ("pos", np.int64), ("starts", np.int64))}
+        block = np.repeat(np.arange(table.num_rows), [len(x) for x in unpacked["m"]])
+        one, two, ids, pos, start = (np.concatenate(x) for x in unpacked.values())
+        row = (block << 32) | pos
+        hit = repeated_windows(ids, row, start, numbered_pairs(one, two))
+        return span_table(table.column("block").to_pylist(), *as_spans(row[hit], start[hit], window))
 
     return run
 
@@ -532,25 +498,21 @@ def repeated_spans(blocks: BlockTable, n_blocks: int, window: int = WINDOW, mini
     rows = blocks.rows.select("block", "pos", "doc_id", "text")
     states = materialize(rows.groupBy("block").applyInArrow(block_keys(keys, window, minimiser), "bucket int, block long, keys binary, info binary")
                          .groupBy("bucket").applyInArrow(find_repeated(hot_bytes), STATES), "states")
-    total = states.filter("block = -1").agg(F.sum("size").alias("size"), F.max("hot").alias("hot")).first()
+    total = states.filter("block = -1").agg(F.sum("size").alias("size"), F.sum("hot").alias("hot")).first()
     answers = states.filter("block >= 0").select("block", "bucket", "state")
-    beside = lambda found: rows.groupBy("block").cogroup(found.groupBy("block"))
-    buckets = max(least, math.ceil((total["size"] or 0) / BUCKET_BYTES))
-    strings = materialize(beside(answers).applyInArrow(packed_strings(buckets, window, minimiser), PACKED), "strings")
-    size = F.col("sizes")
+    buckets, hot_buckets = (max(least, math.ceil((total[c] or 0) / BUCKET_BYTES)) for c in ("size", "hot"))
+    strings = materialize(rows.groupBy("block").cogroup(answers.groupBy("block"))
+                          .applyInArrow(packed_strings(buckets, hot_buckets, window, minimiser), PACKED), "strings")
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ends = [pack(unpack(s, np.int64) + unpack(n, np.int64)) for s, n in zip(b.column("starts").to_pylist(), b.column("sizes").to_pylist())]
             yield pa.RecordBatch.from_arrays([b.column("block"), b.column("pos"), b.column("starts"), pa.array(ends, pa.binary())], ["block", "pos", "starts", "ends"])
 
-    spans = strings.filter("bucket >= 0").groupBy("bucket").applyInArrow(merge_bucket(window, unit_bytes), SPANS) \
-        .unionByName(strings.filter("bucket = -1").select("block", "pos", "starts", size).mapInArrow(local, SPANS))
+    spans = strings.filter(F.col("kind") == STRINGS).groupBy("bucket").applyInArrow(merge_bucket(window, unit_bytes), SPANS) \
+        .unionByName(strings.filter(F.col("kind") == LOCAL).select("block", "pos", "starts", "sizes").mapInArrow(local, SPANS))
     if total["hot"]:
-        low = beside(answers).applyInArrow(hot_keys(keys, window, minimiser), "bucket int, block long, one binary, two binary, low binary") \
-            .groupBy("bucket").applyInArrow(hot_least, "block long, bucket int, low binary")
-        known = materialize(answers.withColumn("low", F.lit(None).cast("binary")).unionByName(low.withColumn("state", F.lit(None).cast("binary"))), "hot")
-        spans = spans.unionByName(beside(known).applyInArrow(hot_spans(window, minimiser), SPANS))
+        spans = spans.unionByName(strings.filter(F.col("kind") == HOT).groupBy("bucket").applyInArrow(merge_hot(window), SPANS))
     return materialize(spans, "spans")
 
 

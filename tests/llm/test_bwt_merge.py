@@ -80,8 +80,7 @@ def test_long_runs_and_pieces(spark, docs_of, monkeypatch):
     monkeypatch.setattr(B, "PIECE", 1_000)
     monkeypatch.setattr(B, "LONGEST_RUN", 64)
     rows = texts(2, 25) + [(5, "z" * 3_000), (6, "long " * 1_500), (7, "y" + "long " * 900)]
-    got = {p.row[0] for p in B.runs_of([t.encode() for _, t in rows], 100, 24)}
-    assert got
+    assert len(list(B.runs_of([t.encode() for _, t in rows], 100, 24))) > 10
     assert found(B.removed(docs_of(rows))) == brute(rows)
 
 
