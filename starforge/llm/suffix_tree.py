@@ -2,7 +2,11 @@
 
 Tokens are a text's words (lower-cased A-Z, separated by ASCII white space), then one
 end. The tree's nodes are contexts: the empty one, and the words before a token, as many
-as it takes (``score`` can be given a bound). A context of at least ``MIN_CONTEXT`` training occurrences is retained
+as it takes (``score`` can be given a bound). A longer context is of use where it sets
+occurrences apart: one that has over 1 - 1 / ``APART`` of its suffix's occurrences is passed
+over, and ``PASSED`` of these in a row end the branch, as those inside a passage do that is
+always the same. So the depth grows with the logarithm of the largest count, not with the
+longest passage. Of the others, a context of at least ``MIN_CONTEXT`` training occurrences is retained
 when its own predictions diverge from those of its longest retained suffix: the sum over
 its training tokens of the log-ratio of the two, each token left out of its own count,
 must reach ``MIN_GAIN`` nats. Next-token distributions are smoothed towards the parent:
@@ -14,7 +18,7 @@ token that follows the suffix w times gains at most log((w - 1 + MASS * p) / ((n
 by any longer one, with n the larger of w and MIN_CONTEXT. A context whose training tokens
 have less than ``MIN_GAIN`` of such room is not live: nothing longer can be retained, and
 nothing longer is counted. Depths end when no context is live or none is frequent; each costs
-two rounds, so the longest frequent passage with an uncertain continuation sets their number.
+two rounds.
 
 All counts cover all training texts and none is collected or broadcast. Texts are
 tokenised once into blocks of about ``BLOCK_BYTES``, kept as packed token numbers in a
@@ -51,6 +55,8 @@ from starforge.session import shuffle_partitions
 MIN_CONTEXT = 8
 MIN_GAIN = 4.0
 MASS = 20.0
+APART = 8
+PASSED = 3
 SCALE = 1024
 BASE = 0.1                  # added to every unigram count
 BLOCK_BYTES = 15 << 20
@@ -114,11 +120,12 @@ class Block:
         self.train = np.repeat(train, size)
         self.at, self.key = np.arange(len(token)), token    # tokens asked for at the last depth, and their keys
         self.asked = np.ones(len(token), bool)
-        self.count: list[np.ndarray | None] = []    # per depth: training count of the last depth + 1 tokens (the first and last two are kept)
+        self.count: list[np.ndarray | None] = []    # per depth: training count of the last depth + 1 tokens (the first and last three are kept)
         self.slot: list[tuple | None] = []          # per depth: ends of frequent runs, and their numbers among the block's frequent keys
         self.frequent: list[int] = []               # per depth: how many of the block's keys are frequent
         self.numbers: list[list] = []               # per depth: (bucket, packed numbers there) of these
         self.live = np.ones(len(token), bool)       # whether something longer than the last depth's context may be retained
+        self.passed = np.zeros(len(token), np.int8) # contexts passed over in a row so far
         self.inside = np.zeros(len(token), bool)    # whether a context was retained
         self.base = self.p = np.zeros(0)            # of each token, by itself and in its longest retained context
 
@@ -158,8 +165,8 @@ class Block:
         self.count.append(count)
         self.slot.append((self.at[run], (np.cumsum(often) - 1)[inverse[run]]))
         self.frequent.append(int(often.sum()))
-        if depth > 2:
-            self.count[depth - 2] = None
+        if depth > 3:
+            self.count[depth - 3] = None
         if depth > 1:
             self.slot[depth - 2] = None
 
@@ -174,6 +181,13 @@ class Block:
         at, number = ends[inner] + 1, number[inner]
         return at[self.live[at]], number[self.live[at]]
 
+    def passed_over(self, depth: int, at: np.ndarray) -> np.ndarray:
+        """How many contexts in a row, this one the last, are passed over; 0 if this one is not."""
+        if depth == 1:
+            return np.zeros(len(at), np.int8)
+        like_suffix = APART * self.count[depth - 1][at - 1] > (APART - 1) * self.count[depth - 2][at - 1]
+        return np.where(like_suffix, self.passed[at] + 1, 0).astype(np.int8)
+
     def within(self, depth: int, at: np.ndarray, own=0) -> np.ndarray:
         """Probabilities of tokens in their context of ``depth`` tokens; ``own`` is taken out of its counts."""
         with_context = np.maximum(self.count[depth][at] - own, 0)
@@ -185,14 +199,18 @@ class Block:
         at, number = self.contexts(depth)
         train, follows = self.train[at], np.maximum(self.count[depth][at], 1)
         least = np.maximum(follows, MIN_CONTEXT) - 1 + MASS
-        total = lambda x: np.bincount(number, x * train, self.frequent[depth - 1]) * SCALE
+        total = lambda x: np.bincount(number, x * train, self.frequent[depth - 1]) * SCALE  # noqa: E731 (by the train of the moment)
         room = lambda p: np.ceil(total(np.maximum(np.log((follows - 1 + MASS * p) / (least * p)), 0)))
+        passed = self.passed_over(depth, at)
+        train = np.where(passed == 0, self.train[at], 0)
         gain = np.rint(total(np.log(self.within(depth, at, train) / self.p[at])))
+        train = np.where(passed < PASSED, self.train[at], 0)
         return np.stack((gain, room(self.within(depth, at)), room(self.p[at]))).astype(np.int64)
 
     def learn_gain(self, depth: int, verdict: np.ndarray) -> None:
         """``verdict``: per frequent key RETAINED, LIVE, both or none."""
         at, number = self.contexts(depth)
+        self.passed[at] = self.passed_over(depth, at)
         node = at[verdict[number] & RETAINED > 0]
         self.p[node] = self.within(depth, node)
         self.inside[node] = True
@@ -351,8 +369,8 @@ def answer(asked: DataFrame, kind: str, depth: int) -> DataFrame:
     return asked.groupBy("bucket").applyInArrow(run, REPLY)
 
 
-def score(docs: DataFrame, max_depth: float = 2, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """With contexts of up to ``max_depth`` words (math.inf: all): doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, and the number of
+def score(docs: DataFrame, max_depth: float = math.inf, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """With contexts of up to ``max_depth`` words: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, and the number of
     tokens scored in a context (n_in_context) of every whole text."""
     spark = docs.sparkSession
     kind_of_id = docs.schema["doc_id"].dataType.simpleString()
@@ -396,4 +414,4 @@ def score(docs: DataFrame, max_depth: float = 2, block_bytes: int = BLOCK_BYTES)
 
 def query(spark, sf_dir: str) -> DataFrame:
     """op1: log10 probability of every document under the suffix tree."""
-    return score(read_table(spark, sf_dir, "documents"), max_depth=math.inf)
+    return score(read_table(spark, sf_dir, "documents"))
