@@ -24,7 +24,7 @@ def latest_outputs(existing: DataFrame) -> DataFrame:
 def gate(files: DataFrame, existing: DataFrame | None, size_limit: int | None = None) -> DataFrame:
     """Adds ``status`` and ``reason``.
 
-    ``files``: path, format, size_bytes, checksum [, on_disk, decodable].
+    ``files``: path, format, size_bytes, checksum [, on_disk, decodable, problem, problem_at].
     ``existing``: path, out_checksum [, written_at] of outputs already written; a path may
     have several versions, of which the last counts.
     """
@@ -35,6 +35,9 @@ def gate(files: DataFrame, existing: DataFrame | None, size_limit: int | None =
         j = j.withColumn("out_checksum", F.lit(None).cast("string"))
     on_disk = F.col("on_disk") if "on_disk" in files.columns else F.lit(True)
     decodable = F.col("decodable") if "decodable" in files.columns else F.lit(True)
+    decode_error = F.lit("decode error")
+    if {"problem", "problem_at"} <= set(files.columns):
+        decode_error = F.concat_ws(" at byte ", F.concat_ws(": ", decode_error, "problem"), F.col("problem_at").cast("string"))
     unstructured = F.col("format").isin(*UNSTRUCTURED_FORMATS)
     structured = F.col("format").isin(*READABLE_FORMATS)
     done = F.col("out_checksum").isNotNull() & (F.col("out_checksum") == F.col("checksum"))
@@ -46,7 +49,7 @@ def gate(files: DataFrame, existing: DataFrame | None, size_limit: int | None =
         (unstructured, "COPIED", F.lit(None).cast("string")),
         (~structured, "SKIPPED", F.concat(F.lit("unsupported extension "), F.col("format"))),
         (done, "SKIPPED", F.lit("silver output exists (idempotent)")),
-        (~decodable, "FAILED", F.lit("decode error")),
+        (~decodable, "FAILED", decode_error),
     ]
     status = reason = None
     for cond, st, rs in steps:

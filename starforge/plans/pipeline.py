@@ -26,7 +26,7 @@ from starforge.operators import clean, cube, harmonize, incremental, infer, prof
 from starforge.operators.ingest import file_lineage, gate, review_queue, status_summary
 from starforge.operators.lineage import add_lineage
 from starforge.sources import catalog as CAT
-from starforge.sources.readers import csv_layout, read_group
+from starforge.sources.readers import read_group
 from starforge.session import ensure_checkpoint_dir
 from starforge.sources.sinks import TableStore, check_unique, write_partitioned
 
@@ -65,18 +65,17 @@ def _union(frames: list[DataFrame]) -> DataFrame:
 
 def bronze_to_silver(spark: SparkSession, bronze_root: str, silver_root: str, store: TableStore,
                      cfg: C.Config, run_id: str, size_limit: int | None = None,
-                     only_paths: list[str] | None = None) -> RunResult:
+                     new_files: DataFrame | None = None) -> RunResult:
     """S1-S14, P1-P9, T0-T5, H1-H9, Q-profile, S20-S22 for one Bronze root.
 
-    ``only_paths`` (relative paths) restricts the run to some files, e.g. the
-    files of one streaming micro-batch.
+    ``new_files`` (path, uri, size_bytes, mtime) restricts the run to some files, e.g. those
+    of one streaming micro-batch; no other file is listed or read.
     """
     clock = _Clock()
     attempt = uuid.uuid4().hex
     known = store.read("catalog")
-    catalog = CAT.with_source_date(CAT.build(spark, bronze_root, known))
-    if only_paths is not None:
-        catalog = catalog.where(F.col("path").isin(list(only_paths)))
+    known = None if known is None else CAT.latest(known)
+    catalog = CAT.with_source_date(CAT.build(spark, bronze_root, known) if new_files is None else CAT.update(new_files, known))
     # Checkpoint, not cache: this run appends to the tables these plans read
     # (catalog, silver_outputs), and a write refreshes cached plans over its
     # path - the gate would be re-evaluated against its own outputs.
@@ -97,12 +96,10 @@ def bronze_to_silver(spark: SparkSession, bronze_root: str, silver_root: str, st
     clock.mark("catalog+gate")
     keys = sorted(groups)
     raw_of, clean_of = {}, {}
-    csv_paths = [p for k in keys for p in groups[k].get(".csv", [])]
-    layout = csv_layout(spark, csv_paths) if csv_paths else {}      # all CSV headers in one pass
     for key in keys:                         # lazy reads, one per (format, header) group
         raw_parts, clean_parts = [], []
         for fmt, paths in sorted(groups[key].items()):
-            raw = read_group(spark, paths, fmt, bronze_root, layout)
+            raw = read_group(spark, paths, fmt, bronze_root, catalog)
             raw_parts.append(raw)
             clean_parts.append(clean.clean(raw, per=["_bronze_path"], csv_like=fmt in CSV_LIKE))
         raw_of[key], clean_of[key] = _union(raw_parts), _union(clean_parts)
@@ -206,10 +203,14 @@ def bronze_to_silver(spark: SparkSession, bronze_root: str, silver_root: str, st
     done = results.where(F.col("status").isin("SUCCESS", "COPIED")).select(
         "path", F.col("checksum").alias("out_checksum"), F.lit(attempt).alias("attempt"), F.current_timestamp().alias("written_at"))
     store.replace("silver_outputs", _replaced(existing, done))
-    store.append("processing_log", results.drop("on_disk", "decodable", "out_checksum"))
+    store.append("processing_log", results.drop("on_disk", "out_checksum", "uri", *[c for c in CAT.FOUND if c != "checksum"]))
     store.append("lineage_log", file_lineage(results, run_id, silver_root))
     store.append("review_queue", review_queue(results).select("run_id", "path", "domain", "entity", "status", "needs_review"))
-    store.replace("catalog", catalog if only_paths is None else _replaced(known, catalog))
+    if new_files is None or known is None:
+        store.replace("catalog", catalog)
+    else:
+        # new and changed files only; CAT.latest reads the last row of a path
+        store.append("catalog", catalog.join(known.select("path", "size_bytes", "mtime"), ["path", "size_bytes", "mtime"], "left_anti").select(*known.columns))
     clock.mark("profiles+logs")
     return RunResult(catalog, results, mappings)
 

@@ -79,10 +79,25 @@ def q_source_date(spark, d):
     return CAT.with_source_date(FX.as_files(spark, d)).select("path", "year", "month")
 
 
-@register("fingerprint", "SELECT doc_id, sha256(text) AS checksum FROM documents")
+LEAF = 16_384           # of the registered queries, so that small tables still give trees
+
+
+@register("fingerprint", f"""
+WITH f AS (SELECT doc_id % 8 AS bucket, encode(string_agg(coalesce(text, '') || chr(10), '' ORDER BY doc_id)) AS b FROM documents GROUP BY 1),
+o AS (SELECT bucket, b, octet_length(b) AS size_bytes, unnest(range(0, octet_length(b), {LEAF})) AS o FROM f),
+h AS (SELECT bucket, size_bytes, o, sha256(array_slice(b, o + 1, o + {LEAF})) AS leaf FROM o)
+SELECT bucket, CAST(max(size_bytes) AS BIGINT) AS size_bytes,
+       CASE WHEN count(*) = 1 THEN min(leaf) ELSE sha256(string_agg(leaf, '' ORDER BY o)) END AS checksum
+FROM h GROUP BY bucket""")
 def q_fingerprint(spark, d):
-    from starforge.functions.hashing import content_checksum
-    return FX.table(spark, d, "documents").select("doc_id", content_checksum(F.col("text")).alias("checksum"))
+    """Documents written as eight files, listed and hashed in byte ranges."""
+    from starforge.sources import scan
+    root = _scratch(spark, "fingerprint")
+    docs = FX.table(spark, d, "documents").withColumn("bucket", F.pmod("doc_id", F.lit(8)))
+    docs.repartition("bucket").sortWithinPartitions("bucket", "doc_id").select("bucket", "text").write.partitionBy("bucket").text(root)
+    files = CAT.list_files(spark, root, with_content=False).where(F.col("path").rlike(r"(^|/)bucket="))
+    found = scan.scan(files.select("uri", F.lit(".txt").alias("format"), "size_bytes"), 4 * LEAF, LEAF)
+    return files.join(found, "uri").select(F.regexp_extract("path", r"bucket=([0-9]+)", 1).cast("bigint").alias("bucket"), "size_bytes", "checksum")
 
 
 @register("duplicate_files", with_ctes(FX.AS_FILES_SQL) + """
@@ -1076,13 +1091,14 @@ def q_xml_roundtrip(spark, d):
 SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey,
        CAST(c_acctbal AS VARCHAR) AS c_acctbal, c_mktsegment FROM customer""")
 def q_json_roundtrip(spark, d):
-    """Customer written half as JSON lines, half as files of one array each, read back as one group."""
-    from starforge.sources.readers import read_group
+    """Customer written half as JSON lines, half as files of one array each, read back as one group
+    in ranges smaller than the files."""
+    from starforge.sources.readers import read_json, scanned_files
     root = _scratch(spark, "json")
     c = FX.table(spark, d, "customer")
     c.where(F.col("c_custkey") % 2 == 0).repartition(3).write.json(f"{root}/tpch/customer_2025")
     arrays = c.where(F.col("c_custkey") % 2 == 1).groupBy(F.floor(F.col("c_custkey") / 500)).agg(
         F.to_json(F.collect_list(F.struct(*c.columns))).alias("value"))       # at most 250 rows a file
     arrays.select("value").write.option("maxRecordsPerFile", 1).text(f"{root}/tpch/customer_2026")
-    raw = read_group(spark, _bronze_files(spark, root), ".json", root)
-    return raw.drop("_bronze_path", "_src_row")
+    paths = _bronze_files(spark, root)
+    return read_json(spark, paths, root, scanned=scanned_files(spark, paths, ".json", range_bytes=LEAF // 4, leaf=LEAF // 4)).drop("_bronze_path", "_src_row")

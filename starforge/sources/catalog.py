@@ -1,18 +1,18 @@
 """Bronze catalog S1-S6 as DataFrame transforms.
 
-The listing is ``binaryFile`` with recursive lookup: executors list, read and
-hash files in parallel; when only metadata is needed the ``content`` column is
-pruned and files are not read.
+Listing uses Spark's file listing (metadata only). What a file holds is found out by one pass over
+byte ranges (``sources.scan``): fingerprint, encoding, header, whether it can be decoded, and where
+its records can be cut. Files whose path, size and time are those of the last catalog are not read
+again. ``update`` takes in some new files without looking at the others.
 """
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from starforge.functions.hashing import content_checksum
+from starforge.session import ensure_checkpoint_dir
+from starforge.sources import scan as SCAN
 
 # Trailing stem tokens stripped from the entity name: 4 to 8 digits (dates
 # like 2026 or 20260601); 14-digit upload stamps are stripped too.
@@ -21,53 +21,72 @@ STRUCTURED_FORMATS = [".csv", ".xlsx", ".xls", ".json", ".xml"]
 READABLE_FORMATS = [f for f in STRUCTURED_FORMATS if f != ".xls"]      # the binary format has no reader here
 UNSTRUCTURED_FORMATS = [".png", ".jpg", ".jpeg", ".gif", ".mp3", ".wav", ".pdf"]
 
+# What the scan of a file found out, kept in the catalog.
+FOUND = ["checksum", "utf8", "header", "spans_lines", "kind", "row_tag", "decodable", "problem", "problem_at", "splits"]
+
+
+def relative(uri: Column, root: str) -> Column:
+    return F.regexp_replace(uri, r"^.*?" + _quote(root.rstrip("/").split("://")[-1]) + "/", "")
+
 
 def list_files(spark: SparkSession, root: str, with_content: bool = True) -> DataFrame:
-    """S1 (+S3): every file under ``root`` -> path (relative), size_bytes, checksum, mtime."""
-    df = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root))
-    root_uri = root.rstrip("/")
-    rel = F.regexp_replace(F.col("path"), r"^.*?" + _quote(root_uri.split("://")[-1]) + "/", "")
-    cols = [rel.alias("path"), F.col("length").alias("size_bytes"), F.col("modificationTime").alias("mtime")]
-    if with_content:
-        kind = format_of(F.col("path"))
-        looked_at = F.when(kind.isin(".json", ".xml", ".xlsx"), F.col("content"))
-        cols += [content_checksum(F.col("content")).alias("checksum"), _decodes(kind, looked_at).alias("decodable")]
-    return df.select(*cols)
-
-
-@F.pandas_udf(T.BooleanType())
-def _decodes(kind: pd.Series, content: pd.Series) -> pd.Series:
-    """Whether a JSON, XML or workbook file can be decoded; other kinds always can."""
-    import io
-    import json
-    import xml.etree.ElementTree as ET
-    import zipfile
-
-    def json_lines(data: bytes) -> None:
-        text = data.decode("utf-8-sig")
-        try:
-            json.loads(text)
-        except ValueError:
-            for line in text.splitlines():
-                if line.strip():
-                    json.loads(line)
-
-    def workbook(data: bytes) -> None:
-        with zipfile.ZipFile(io.BytesIO(data)) as z:
-            if z.testzip() or not any(n.startswith("xl/worksheets/") for n in z.namelist()):
-                raise ValueError("not a workbook")
-
-    decoders = {".json": json_lines, ".xml": ET.fromstring, ".xlsx": workbook}
-
-    def ok(k, data) -> bool:
-        try:
-            if data is not None:
-                decoders[k](bytes(data))
-            return True
-        except Exception:       # whatever a decoder raises, the file fails and the run goes on
-            return False
-
-    return pd.Series([ok(k, c) for k, c in zip(kind, content)], dtype=bool)
+    """Every file under ``root`` -> path (relative), uri, size_bytes, mtime; ``with_content`` (S3) adds FOUND."""
+    df = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    out = df.select(relative(F.col("path"), root).alias("path"), F.col("path").alias("uri"),
+                    F.col("length").alias("size_bytes"), F.col("modificationTime").alias("mtime"))
+    return with_found(out) if with_content else out
+
+
+def found(listing: DataFrame, range_bytes: int = SCAN.RANGE, leaf: int = SCAN.LEAF) -> DataFrame:
+    """(uri, FOUND) of listed files, each read once in ranges; the elements of one-array JSON files and
+    JSON lines are parsed where they lie."""
+    spark = listing.sparkSession
+    ensure_checkpoint_dir(spark)
+    kind = F.col("format") if "format" in listing.columns else format_of(F.col("uri"))
+    files = listing.select("uri", kind.alias("format"), "size_bytes")
+    scanned = SCAN.scan(files, range_bytes, leaf).checkpoint(eager=True)       # read again below, and by the readers
+    json_files = scanned.filter("decodable and kind is not null").join(files, "uri")
+    rows = json_files.select("uri", "kind").collect() if not json_files.isEmpty() else []       # a row per JSON file
+    problems = []
+    if any(r["kind"] == "array" for r in rows) and SCAN.can_open(rows[0]["uri"]):
+        problems.append(SCAN.json_problems(json_files.filter("kind = 'array'"), spark))
+    for kind in ("lines", "value", *(["array"] if not problems else [])):
+        paths = [r["uri"] for r in rows if r["kind"] == kind]
+        if paths:
+            text = spark.read.text(paths, wholetext=kind != "lines").select(F.col("_metadata.file_path").alias("file"), F.trim("value").alias("v"))
+            text = text.withColumn("v", F.trim(F.regexp_replace("v", "^\ufeff", "")))
+            bad = text.filter((F.col("v") != "") & F.try_parse_json("v").isNull()).select("file").distinct()
+            problems.append(files.join(bad, plain(F.col("uri")) == plain(F.url_decode(F.replace(F.col("file"), F.lit("+"), F.lit("%2B")))), "left_semi")
+                            .select("uri", F.lit(None).cast("long").alias("problem_at")))
+    if not problems:
+        return scanned
+    bad = problems[0]
+    for more in problems[1:]:
+        bad = bad.unionByName(more)
+    bad = bad.select("uri", F.col("problem_at").alias("__at"), F.lit(True).alias("__bad"))
+    ok = F.col("__bad").isNull()
+    return scanned.join(bad, "uri", "left").withColumns({
+        "decodable": F.col("decodable") & ok,
+        "problem": F.when(ok, F.col("problem")).otherwise(F.lit("JSON: syntax")),
+        "problem_at": F.coalesce("__at", "problem_at")}).drop("__at", "__bad")
+
+
+def plain(uri: Column) -> Column:
+    """A URI without the ``file:`` in front, however many slashes follow it."""
+    return F.regexp_replace(uri, "^file:/*", "/")
+
+
+def with_found(listing: DataFrame, previous: DataFrame | None = None) -> DataFrame:
+    """The listing with FOUND; files that ``previous`` (a catalog) has with this path, size and time are not read."""
+    if previous is None or not {"uri", "mtime", "size_bytes", *FOUND} <= set(previous.columns):
+        return listing.join(found(listing), "uri")
+    same = ["path", "size_bytes", "mtime"]
+    old = previous.select(*same, *FOUND)
+    todo = listing.join(old.select(*same), same, "left_anti")
+    kept = listing.join(old, same)
+    if todo.isEmpty():
+        return kept.select(*listing.columns, *FOUND)
+    return kept.select(*listing.columns, *FOUND).unionByName(todo.join(found(todo), "uri").select(*listing.columns, *FOUND))
 
 
 def _quote(s: str) -> str:
@@ -143,5 +162,22 @@ def merge(listing: DataFrame, previous: DataFrame | None, now: Column | None = N
 
 def build(spark: SparkSession, root: str, previous: DataFrame | None = None) -> DataFrame:
     """Catalog of a Bronze root: path, domain, entity, format, size, checksum, seen, duplicate_of."""
-    listing = with_domain_entity(list_files(spark, root))
+    listing = with_domain_entity(with_found(list_files(spark, root, with_content=False), previous))
     return first_of_checksum(merge(listing, previous))
+
+
+def update(listing: DataFrame, previous: DataFrame | None = None) -> DataFrame:
+    """Catalog rows of some files (path, uri, size_bytes, mtime) alone: only they are read. Earlier files
+    count as firsts of a checksum through the rows of ``previous`` that share it."""
+    new = merge(with_domain_entity(with_found(listing, previous)), previous)
+    if previous is None:
+        return first_of_checksum(new)
+    others = previous.join(new.select("path"), "path", "left_anti").join(new.select("checksum").distinct(), "checksum", "left_semi")
+    both = new.withColumn("__new", F.lit(True)).unionByName(others.select("path", "checksum", "first_seen"), allowMissingColumns=True)
+    return first_of_checksum(both).filter("__new").drop("__new")
+
+
+def latest(catalog: DataFrame) -> DataFrame:
+    """One row per path of a catalog that updates were appended to: the one seen last."""
+    rest = [c for c in catalog.columns if c != "path"]
+    return catalog.groupBy("path").agg(F.max_by(F.struct(*rest), "last_seen").alias("r")).select("path", "r.*")

@@ -11,9 +11,12 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starforge.config import NA_TOKENS
 from starforge.functions.json import flatten
+from starforge.sources.catalog import found, plain
+from starforge.sources.scan import can_open, csv_records, json_elements
 
 
 def _rel(path_col, root: str | None):
@@ -28,56 +31,65 @@ def _with_lineage(df: DataFrame, root: str | None) -> DataFrame:
             .withColumn("_src_row", F.monotonically_increasing_id()))
 
 
-def csv_headers(spark: SparkSession, paths: list[str], encoding: str = "UTF-8") -> DataFrame:
-    """First line of each file, and whether a quoted field may span lines (path, header,
-    multi), computed on executors in one pass over splits.
+def scanned_files(spark: SparkSession, paths: list[str], fmt: str, **sizes: int) -> DataFrame:
+    """The scan of some files, taken to be of one format whatever their names (see ``sources.catalog.found``, also for ``sizes``), with uri and size_bytes."""
+    listing = spark.read.format("binaryFile").load(paths).select(F.col("path").alias("uri"), F.col("length").alias("size_bytes"))
+    return found(listing.withColumn("format", F.lit(fmt)), **sizes).join(listing, "uri")
 
-    A line with an odd number of quotes opens or closes a field that spans lines; a file
-    without one can be read in splits. ``min_by`` keeps one row per file and task.
-    """
-    t = spark.read.option("encoding", encoding).text(paths)
-    t = t.select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("b"),
-                 F.monotonically_increasing_id().alias("i"))
-    odd = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
-    return t.groupBy("path").agg(F.min_by(F.when(F.col("b") == 0, F.col("value")), F.when(F.col("b") == 0, F.col("i"))).alias("header"),
-                                 F.max(odd % 2 == 1).alias("multi"))
-
-
-def utf8_validity(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """(path, valid_utf8) per file: files that are not UTF-8 are read as Latin-1."""
-    b = spark.read.format("binaryFile").load(paths)
-    return b.select(F.col("path"), F.is_valid_utf8(F.col("content").cast("string")).alias("valid_utf8"))
-
-
-def csv_layout(spark: SparkSession, paths: list[str], detect_encoding: bool = True) -> dict[str, tuple[str, str, bool]]:
-    """path -> (encoding, header line, fields span lines) for many CSV files in at most three jobs."""
-    enc = {_strip_uri(p): "UTF-8" for p in paths}
-    if detect_encoding:
-        for r in utf8_validity(spark, paths).collect():   # one row per file
-            enc[_strip_uri(r["path"])] = "UTF-8" if r["valid_utf8"] else "ISO-8859-1"
+
+def _of(scanned: DataFrame, paths: list[str]) -> DataFrame:
+    return scanned.where(plain(F.col("uri")).isin([_strip_uri(p) for p in paths]))
+
+
+def csv_layout(scanned: DataFrame) -> dict[str, tuple[str, str, bool]]:
+    """path -> (encoding, header line, fields span lines) of scanned CSV files. Files that are not
+    UTF-8 are read as Latin-1."""
     out = {}
-    for encoding in sorted(set(enc.values())):
-        group = [p for p in paths if enc[_strip_uri(p)] == encoding]
-        for r in csv_headers(spark, group, encoding).collect():   # one row per file
-            out[_strip_uri(r["path"])] = (encoding, r["header"], r["multi"])
+    for r in scanned.select("uri", "utf8", "header", "spans_lines").collect():      # one row per file
+        encoding = "UTF-8" if r["utf8"] else "ISO-8859-1"
+        out[_strip_uri(r["uri"])] = (encoding, None if r["header"] is None else bytes(r["header"]).decode(encoding), r["spans_lines"])
     return out
 
 
-def read_csv(spark: SparkSession, paths: list[str], root: str | None = None,
-             detect_encoding: bool = True, layout: dict[str, tuple[str, str, bool]] | None = None) -> DataFrame:
+def header_names(header: str) -> list[str]:
+    """Column names of a header line, as Spark's CSV reader gives them: an empty name is ``_c`` and its
+    place, a repeated one gets its place behind it."""
+    import csv
+    from collections import Counter
+    raw = next(csv.reader([header]), [])
+    seen = Counter(n.lower() for n in raw if n)
+    return [f"_c{k}" if not n else f"{n}{k}" if seen[n.lower()] > 1 else n for k, n in enumerate(raw)]
+
+
+def _csv_in_ranges(scanned: DataFrame, header: str) -> DataFrame:
+    """CSV files whose fields span lines, cut into records by many tasks; each record is parsed by
+    Spark's own CSV parser."""
+    names = header_names(header)
+    ddl = ", ".join(f"c{k} string" for k in range(len(names)))
+    rows = csv_records(scanned).where((F.col("at") > 0) & (F.col("record") != ""))
+    parsed = rows.select("uri", "at", F.from_csv("record", ddl, {"escape": '"', "multiLine": "true"}).alias("r"))
+    return parsed.select(*[F.when(~F.col(f"r.c{k}").isin(NA_TOKENS), F.col(f"r.c{k}")).alias(n) for k, n in enumerate(names)],
+                         F.col("uri").alias("_bronze_path"), F.col("at").alias("_src_row"))
+
+
+def read_csv(spark: SparkSession, paths: list[str], root: str | None = None, scanned: DataFrame | None = None) -> DataFrame:
     """Header row, all columns text, pandas' NA markers -> NULL.
 
-    Files are grouped by (encoding, header line, fields span lines); each group is one
-    CSV read, in splits unless fields span lines; groups are unioned by name (missing
-    columns NULL). ``layout`` (from ``csv_layout``) lets a caller discover many files'
-    headers at once.
+    Files are grouped by (encoding, header line, fields span lines). A group without line breaks in
+    fields is one CSV read in splits; the others are cut into records by their scan, in ranges. Groups
+    are unioned by name (missing columns NULL). ``scanned``: the files' scan, if the caller has it.
     """
-    layout = layout or csv_layout(spark, paths, detect_encoding)
+    scanned = _of(scanned, paths) if scanned is not None else scanned_files(spark, paths, ".csv")
+    layout = csv_layout(scanned)
     by_group: dict[tuple[str, str, bool], list[str]] = {}
     for p in paths:
-        by_group.setdefault(layout.get(_strip_uri(p), ("UTF-8", "", False)), []).append(p)
+        by_group.setdefault(layout[_strip_uri(p)], []).append(p)
     parts = []
-    for (encoding, _, multi), files in sorted(by_group.items()):
+    for (encoding, header, multi), files in sorted(by_group.items(), key=str):
+        if multi and header and can_open(files[0]):
+            df = _csv_in_ranges(_of(scanned, files), header)
+            parts.append(df.withColumn("_bronze_path", _rel(F.col("_bronze_path"), root)))
+            continue
         df = (spark.read.option("header", True).option("inferSchema", False).option("encoding", encoding)
               .option("multiLine", multi).option("escape", '"').csv(files))
         df = df.select(*[F.when(~F.col(f"`{c}`").isin(NA_TOKENS), F.col(f"`{c}`")).alias(c) for c in df.columns],
@@ -87,30 +99,60 @@ def read_csv(spark: SparkSession, paths: list[str], root: str | None = None,
 
 
 def _strip_uri(p: str) -> str:
-    return p[5:] if p.startswith("file:") else p
+    return "/" + p[5:].lstrip("/") if p.startswith("file:") else p
 
 
-def read_json(spark: SparkSession, paths: list[str], root: str | None = None) -> DataFrame:
+def read_json(spark: SparkSession, paths: list[str], root: str | None = None, scanned: DataFrame | None = None) -> DataFrame:
     """JSON array of records; nested records flattened (``a.b`` -> ``a_b``), lists as JSON text.
 
-    Spark sorts inferred fields by name; the order of the first record's keys
-    is restored so "first ``_id`` column" rules see the source order.
+    JSON lines are read in splits; a file of one array is cut at its elements, in ranges; only a file
+    that is one other value is read whole. Spark sorts inferred fields by name; the order of the first
+    record's keys is restored so "first ``_id`` column" rules see the source order.
     """
-    # files holding one JSON array are read whole; JSON-lines files are split
-    kinds = _json_kinds(spark, paths)
+    scanned = _of(scanned, paths) if scanned is not None else scanned_files(spark, paths, ".json")
+    kinds = {_strip_uri(r["uri"]): r["kind"] for r in scanned.select("uri", "kind").collect()}      # one row per file
+    in_ranges = can_open(paths[0])
     parts = []
-    for multi in (True, False):
-        files = [p for p in paths if kinds.get(_strip_uri(p), True) == multi]
-        if files:
-            df = spark.read.option("multiLine", multi).option("primitivesAsString", True).json(files)
+    for kind in ("array", "value", "lines"):
+        files = [p for p in paths if (kinds.get(_strip_uri(p)) or "value") == kind]
+        if not files:
+            continue
+        if kind == "array" and in_ranges:
+            df = _json_in_ranges(_of(scanned, files), root)
+        else:
+            df = spark.read.option("multiLine", kind != "lines").option("primitivesAsString", True).json(files)
             df = _with_lineage(df.select("*", "_metadata"), root).drop("_metadata")
-            order = _json_key_order(spark, files)
-            flat_cols = flatten(df.drop("_bronze_path", "_src_row")).columns
-            cols = sorted(flat_cols, key=lambda c: (order.get(c, order.get(c.split("_")[0], len(order))), c))
-            parts.append(_json_select(df, cols))
+        order = _json_key_order(spark, files)
+        flat_cols = flatten(df.drop("_bronze_path", "_src_row")).columns
+        cols = sorted(flat_cols, key=lambda c: (order.get(c, order.get(c.split("_")[0], len(order))), c))
+        parts.append(_json_select(df, cols))
     return _by_name(parts)
 
 
+def as_text(t: T.DataType) -> T.DataType:
+    """A type with its leaves as text."""
+    if isinstance(t, T.StructType):
+        return T.StructType([T.StructField(f.name, as_text(f.dataType)) for f in t.fields])
+    return T.ArrayType(as_text(t.elementType)) if isinstance(t, T.ArrayType) else T.StringType()
+
+
+def _json_in_ranges(scanned: DataFrame, root: str | None) -> DataFrame:
+    """The elements of one-array files, cut out by many tasks; one pass merges their schemas. Elements
+    that are no records are text in a column ``value``."""
+    rows = json_elements(scanned)
+    record = F.ltrim(F.regexp_replace("record", r"^[\t\r\n ]+", "")).startswith("{")
+    seen = rows.agg(F.schema_of_variant_agg(F.when(record, F.try_parse_json("record"))).alias("schema"), F.max(~record).alias("bare")).first()
+    parts = (seen["schema"] or "VOID").split("`")           # every other part is a quoted name
+    text = "`".join(p if k % 2 else p.replace("OBJECT<", "STRUCT<") for k, p in enumerate(parts))
+    schema = T._parse_datatype_string(text)
+    fields = as_text(schema).fields if isinstance(schema, T.StructType) else []
+    rows = rows.withColumn("__r", F.from_json("record", T.StructType(fields)))
+    columns = [F.col("__r").getField(f.name).alias(f.name) for f in fields]
+    if seen["bare"]:
+        columns = [c for c, f in zip(columns, fields) if f.name != "value"] + [F.when(~record, F.trim("record")).alias("value")]
+    return rows.select(*columns, _rel(F.col("uri"), root).alias("_bronze_path"), F.col("at").alias("_src_row"))
+
+
 def _by_name(parts: list[DataFrame]) -> DataFrame:
     """Union by name; the lineage columns stay last."""
     df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
@@ -123,17 +165,6 @@ def _json_select(df: DataFrame, cols: list[str]) -> DataFrame:
     return flat.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in keep], "_bronze_path", "_src_row")
 
 
-def _json_kinds(spark: SparkSession, paths: list[str]) -> dict[str, bool]:
-    """path -> whether the file is one JSON value; it is JSON lines if its first line with
-    text is a whole object. Looked up on executors, in each file's first split."""
-    line = F.trim("value")
-    t = spark.read.text(paths).select(line.alias("line"), F.col("_metadata.file_path").alias("path"),
-                                      F.col("_metadata.file_block_start").alias("b"), F.monotonically_increasing_id().alias("i"))
-    whole = ~(F.col("line").startswith("{") & F.col("line").endswith("}"))
-    first = t.where((F.col("b") == 0) & (F.col("line") != "")).groupBy("path").agg(F.min_by(whole, "i").alias("whole"))
-    return {_strip_uri(r["path"]): r["whole"] for r in first.collect()}      # one row per file
-
-
 def _json_key_order(spark: SparkSession, paths: list[str]) -> dict[str, int]:
     """Key order of the first record of the first file (a bounded head read)."""
     head = spark.read.text(paths[:1], wholetext=False).limit(200).collect()
@@ -146,9 +177,15 @@ def _json_key_order(spark: SparkSession, paths: list[str]) -> dict[str, int]:
     return out
 
 
-def read_xml(spark: SparkSession, paths: list[str], root: str | None = None, row_tag: str | None = None) -> DataFrame:
-    """Repeated children of the root are rows; attributes and child text are columns."""
-    tags = {_strip_uri(p): row_tag for p in paths} if row_tag else _xml_row_tags(spark, paths)
+def read_xml(spark: SparkSession, paths: list[str], root: str | None = None, row_tag: str | None = None,
+             scanned: DataFrame | None = None) -> DataFrame:
+    """Repeated children of the root are rows; attributes and child text are columns. The row tag
+    comes from the files' scan; Spark's reader then splits the files at it."""
+    if row_tag:
+        tags = {_strip_uri(p): row_tag for p in paths}
+    else:
+        scanned = _of(scanned, paths) if scanned is not None else scanned_files(spark, paths, ".xml")
+        tags = {_strip_uri(r["uri"]): r["row_tag"] for r in scanned.select("uri", "row_tag").collect()}     # one row per file
     parts = []
     for tag in sorted({t for t in tags.values() if t}):
         files = [p for p in paths if tags.get(_strip_uri(p)) == tag]
@@ -162,14 +199,6 @@ def read_xml(spark: SparkSession, paths: list[str], root: str | None = None, row
     return _by_name(parts)
 
 
-def _xml_row_tags(spark: SparkSession, paths: list[str]) -> dict[str, str]:
-    """path -> its second element's name, the first child of the root (null without one)."""
-    text = F.regexp_replace(F.col("content").cast("string"), r"(?s)<!--.*?-->", "")
-    tag = F.try_element_at(F.regexp_extract_all(text, F.lit(r"<([A-Za-z_][\w.\-]*)[\s>/]")), F.lit(2))
-    rows = spark.read.format("binaryFile").load(paths).select("path", tag.alias("tag")).collect()   # one row per file
-    return {_strip_uri(r["path"]): r["tag"] for r in rows}
-
-
 XLSX_CELL_SCHEMA = "path string, sheet int, row int, col int, value string"
 
 
@@ -254,10 +283,10 @@ READERS = {".csv": read_csv, ".json": read_json, ".xml": read_xml, ".xlsx": read
 
 
 def read_group(spark: SparkSession, paths: list[str], fmt: str, root: str | None = None,
-               csv_layout_: dict | None = None) -> DataFrame:
-    """Dispatch on the lower-cased extension."""
+               scanned: DataFrame | None = None) -> DataFrame:
+    """Dispatch on the lower-cased extension. ``scanned``: rows of the catalog, if there is one."""
     if fmt not in READERS:
         raise ValueError(f"unsupported extension {fmt}")
-    if fmt == ".csv" and csv_layout_ is not None:
-        return read_csv(spark, paths, root, layout=csv_layout_)
-    return READERS[fmt](spark, paths, root)
+    if fmt == ".xlsx":
+        return read_xlsx(spark, paths, root)
+    return READERS[fmt](spark, paths, root, scanned=scanned)

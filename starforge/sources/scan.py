@@ -476,10 +476,11 @@ def _records(splits: DataFrame, cut) -> DataFrame:
 
 
 def _splits(scanned: DataFrame) -> DataFrame:
-    """A row per range of scanned files (uri, size_bytes, utf8, splits), each its own task where they are few."""
+    """A row per range of scanned files (uri, size_bytes, utf8, splits), about one to a task."""
+    n = scanned.agg(F.sum(F.size("splits"))).first()[0] or 1        # one scalar
     rows = scanned.select("uri", "size_bytes", "utf8", F.coalesce(F.octet_length("header"), F.lit(0)).alias("begin"),
                           F.explode("splits").alias("s")).select("uri", "size_bytes", "utf8", "begin", "s.*")
-    return rows.repartition(F.col("uri"), F.col("offset"))
+    return rows.repartition(int(min(n, 100_000)), "uri", "offset")      # a given number is not coalesced
 
 
 def csv_records(scanned: DataFrame) -> DataFrame:

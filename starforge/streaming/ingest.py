@@ -37,13 +37,13 @@ def ingest_stream(spark: SparkSession, bronze_root: str, lake_root: str, checkpo
     files = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
              .option("recursiveFileLookup", "true")
              .option("maxFilesPerTrigger", max_files_per_trigger).load(root)
-             .select("path", "length"))   # content pruned: the batch job reads what it needs
+             .select("path", "length", "modificationTime"))   # content pruned: the batch job reads what it needs
 
     def per_batch(batch: DataFrame, epoch: int) -> None:
-        rel = batch.select(F.regexp_replace("path", r"^.*?" + CAT._quote(root) + "/", "").alias("p"))
-        paths = [r["p"] for r in rel.collect()]      # file names of one trigger (bounded by maxFilesPerTrigger)
-        if paths:
-            bronze_to_silver(spark, root, silver_root, store, cfg, f"{run_id}-{epoch}", only_paths=paths)
+        new = batch.select(CAT.relative(F.col("path"), root).alias("path"), F.col("path").alias("uri"),
+                           F.col("length").alias("size_bytes"), F.col("modificationTime").alias("mtime")).checkpoint(eager=True)
+        if not new.isEmpty():       # only these files are listed, hashed and read
+            bronze_to_silver(spark, root, silver_root, store, cfg, f"{run_id}-{epoch}", new_files=new)
 
     w = files.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
