@@ -44,14 +44,63 @@ STRPTIME_FORMATS = [
 
 
 # One test every format's shape passes: numbers and words stop here.
-_ANY_SHAPE = rf"^([0-9]{{1,4}}[-/][0-9]{{1,2}}[-/][0-9]{{1,4}}|[A-Za-z]{{3}} {_D2} {_Y}|{_D2} [A-Za-z]{{3}} {_Y})"
+ANY_SHAPE = rf"^(?:[A-Za-z]{{3,9}}, )?([0-9]{{1,4}}[-/.][0-9]{{1,2}}[-/.][0-9]{{1,4}}|[0-9]{{8}}T|[A-Za-z]{{3,9}}[., ]+{_D2}|{_D2}[ -][A-Za-z]{{3,9}}[., -]+{_Y})"
+
+
+# -- the grammar: date part, separator, time part, fraction, half of the day, offset ---------------
+# It takes what none of the formats above has. A date is year first, or month first (day first where
+# that is no date), each with one of three separators; or has its month written out, in front or between.
+_MONTH = ("(?:[Jj]an(?:uary)?|[Ff]eb(?:ruary)?|[Mm]ar(?:ch)?|[Aa]pr(?:il)?|[Mm]ay|[Jj]une?|[Jj]uly?|[Aa]ug(?:ust)?|[Ss]ept?(?:ember)?"
+          "|[Oo]ct(?:ober)?|[Nn]ov(?:ember)?|[Dd]ec(?:ember)?)[.]?")
+_SEP = r"[-/.]"
+_DATE = (rf"(?:{_Y}{_SEP}{_D2}{_SEP}{_D2}|{_D2}{_SEP}{_D2}{_SEP}{_Y}|[0-9]{{8}}(?=T)|{_MONTH} {_D2},? {_Y}|{_D2}[ -]{_MONTH},?[ -]{_Y})")
+_TIME = rf"(?:{_D2}:[0-5][0-9](?::[0-5][0-9](?:[.,][0-9]{{1,9}})?)?|[0-2][0-9][0-5][0-9][0-5][0-9])"
+_OFFSET = r" ?(?:[Zz]|UTC|GMT|[+-][0-9]{2}(?::?[0-9]{2})?)"
+GRAMMAR = rf"^(?:[A-Za-z]{{3,9}}, )?{_DATE}(?:(?:T|,? ){_TIME}(?: ?[AaPp][Mm])?(?:{_OFFSET})?)?$"
+
+# Rewriting steps that turn any text of the grammar into "year month day time[ half][offset]", in order; the
+# month-first reading is replaced by the day-first one where it gives no date.
+_YEAR_LAST = rf"^({_D2}){_SEP}({_D2}){_SEP}({_Y})"
+_STEPS = [
+    (r"^[A-Za-z]{3,9}, (?=[0-9A-Z])", ""),                                  # the day of the week
+    (rf"^([A-Za-z]{{3}})[A-Za-z]*[.]? ({_D2}),? ({_Y})", "$3 $1 $2"),
+    (rf"^({_D2})[ -]([A-Za-z]{{3}})[A-Za-z]*[.]?,?[ -]({_Y})", "$3 $2 $1"),
+    (rf"^({_Y}){_SEP}({_D2}){_SEP}({_D2})", "$1 $2 $3"),
+    (r"^([0-9]{4})([0-9]{2})([0-9]{2})T", "$1 $2 $3 "),
+    (_YEAR_LAST, "$3 $1 $2"),
+    (rf"^({_Y} [0-9A-Za-z]+ {_D2})(?:T|,? )", "$1 "),
+    (r" ([0-9]{2})([0-9]{2})([0-9]{2})(?![0-9:])", " $1:$2:$3"),            # a time without colons
+    (rf"( {_D2}:[0-9]{{2}})(?![0-9:])", "$1:00"),                           # without seconds
+    (r"[.,]([0-9]{1,6})[0-9]*", ".$1"),                                     # microseconds at most
+    (r"(?<=[0-9]) ?([AaPp][Mm])", " $1"),
+    (r" ?(?:[Zz]|UTC|GMT)$", "+00:00"),
+    (r" ?([+-][0-9]{2})$", "$1:00"),
+    (r" ?([+-][0-9]{2}):?([0-9]{2})$", "$1:$2"),
+]
+_CANONICAL = "yyyy [MMM][M] d[ h:mm:ss[.SSSSSS] a][ H:mm:ss[.SSSSSS]][XXX]"
+
+
+def by_grammar(s: Column) -> Column:
+    """Timestamp of text of the GRAMMAR's shape, NULL for a day or time there is not. Fractions beyond
+    microseconds are cut; an offset is turned to UTC."""
+    def read(year_last: str) -> Column:
+        text = s
+        for pattern, to in _STEPS:
+            text = F.regexp_replace(text, pattern, year_last if pattern == _YEAR_LAST else to)
+        return F.try_to_timestamp(text, F.lit(_CANONICAL))
+
+    return F.coalesce(read("$3 $1 $2"), F.when(s.rlike(_YEAR_LAST), read("$3 $2 $1")))
 
 
 def parse_datetime(c: Column) -> Column:
-    """Mixed-format text -> timestamp, NULL when no format fits."""
+    """Mixed-format text -> timestamp, NULL when no format fits. The plain formats come first; only
+    what they don't read is looked at by the grammar."""
     s = c.cast("string")
-    parsed = F.coalesce(*[F.when(s.rlike(shape), F.try_to_timestamp(s, F.lit(f))) for f, shape in DATETIME_FORMATS])
-    return F.when(s.rlike(_ANY_SHAPE), parsed)
+    parsed = [F.when(s.rlike(shape), F.try_to_timestamp(s, F.lit(f))) for f, shape in DATETIME_FORMATS]
+    # behind a lambda the steps are evaluated one by one, and only for text that gets there; generated
+    # together with the formats above they would make one method too long to be compiled to machine code
+    other = F.transform(F.array(s), by_grammar).getItem(0)
+    return F.when(s.rlike(ANY_SHAPE), F.coalesce(*parsed, F.when(s.rlike(GRAMMAR), other)))
 
 
 def date_key(c: Column) -> Column:

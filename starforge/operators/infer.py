@@ -1,8 +1,8 @@
 """Type inference T0-T5 in one aggregate pass.
 
 ``column_stats`` computes, for every column at once, the number of non-NULL
-values and how many of them look boolean / numeric / integral / datetime.
-Only k rows of statistics reach the driver; the cast is one projection.
+values and how many of them look boolean / numeric / integral / datetime; a
+value that repeats is looked at once. Only k rows of statistics reach the driver; the cast is one projection.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starforge import config as C
-from starforge.functions.dates import parse_datetime
+from starforge.functions.dates import ANY_SHAPE, parse_datetime
 
 # Text that counts as a number (pandas' to_numeric accepts these; Spark's cast
 # alone would also take '1d' or 'NaN').
@@ -41,28 +41,70 @@ def integer_value(c: Column) -> Column:
     return F.when(t.rlike(INTEGER_PATTERN), t.try_cast("bigint"))
 
 
-def column_stats(df: DataFrame, cols: list[str] | None = None, cfg: C.Config | None = None) -> DataFrame:
+# Dates are the dear cells (a parse each). A column is counted by distinct value, each looked at once, if in
+# the first SAMPLE rows (of the table, or of a cheaper form of it) most values have a date's shape and fewer
+# than REPEATED of them are different. This decides the path only; every cell is counted on either.
+SAMPLE = 10_000
+REPEATED = 0.5
+
+
+def _cells(df: DataFrame, cols: list[str]) -> DataFrame:
+    """(position, t): the trimmed text of every cell."""
+    cells = F.explode(F.array(*[F.struct(F.lit(i).alias("p"), _text(F.col(f"`{c}`")).alias("v")) for i, c in enumerate(cols)]))
+    return df.select(cells.alias("s")).select(F.col("s.p").alias("position"), F.trim(F.col("s.v")).alias("t"))
+
+
+def repeated_dates(frames: list[tuple[DataFrame, list[str]]]) -> list[list[int]]:
+    """Per frame the positions of the columns of repeated dates, measured on its first rows in one job."""
+    parts = [_cells(df.limit(SAMPLE), cols).withColumn("k", F.lit(k)) for k, (df, cols) in enumerate(frames) if cols]
+    out: list[list[int]] = [[] for _ in frames]
+    if not parts:
+        return out
+    both = parts[0]
+    for p in parts[1:]:
+        both = both.unionByName(p)
+    share = both.groupBy("k", "position", "t").agg(F.count("t").alias("n")).groupBy("k", "position").agg(
+        F.count("t").alias("different"), F.sum("n").alias("n"), F.sum(F.when(F.col("t").rlike(ANY_SHAPE), F.col("n"))).alias("dates"))
+    for r in share.where((F.col("different") < REPEATED * F.col("n")) & (2 * F.col("dates") > F.col("n"))).collect():      # a row per column
+        out[r["k"]].append(r["position"])
+    return out
+
+
+def _flags(t: Column, vocab: list[str]) -> Column:
+    """What a text looks like, as bits: 1 a flag, 2 a number, 4 a bigint, 8 a date. Each test is made only
+    where the ones before leave room: no number has a date's shape."""
+    number = t.rlike(NUMBER_PATTERN)
+    return (F.when(F.lower(t).isin(vocab), 1).otherwise(0)
+            + F.when(number, F.lit(2) + F.when(integer_value(t).isNotNull(), 4).otherwise(0))
+            .when(parse_datetime(t).isNotNull(), 8).otherwise(0)).cast("tinyint")
+
+
+def column_stats(df: DataFrame, cols: list[str] | None = None, cfg: C.Config | None = None,
+                 repeated: list[int] | None = None) -> DataFrame:
     """Long table: column, position, rows, nonnull, bool_hits, num_hits, int_hits, dt_hits.
 
-    Values are unpivoted to (position, text) and aggregated per position: a
-    narrow aggregate that stays in generated code however many columns there
-    are, and is reduced map-side to one row per column and task.
+    ``repeated``: positions of the columns whose values repeat (see :func:`repeated_dates`).
+    One scan: cells are unpivoted to (position, text) and counted by what the text looks like, reduced
+    map-side to a row per column and task. Columns in ``repeated`` are first counted by text, and each
+    distinct text is looked at once, weighted by its count.
     """
     cfg = cfg or C.Config.load()
     cols = cols if cols is not None else list(df.columns)
     vocab = [v.lower() for v in cfg.true_values + cfg.false_values]
-    cells = F.explode(F.array(*[F.struct(F.lit(i).alias("p"), _text(F.col(f"`{c}`")).alias("v"))
-                                for i, c in enumerate(cols)]))
-    long = df.select(cells.alias("s")).select(F.col("s.p").alias("position"), F.trim(F.col("s.v")).alias("t"))
     t = F.col("t")
-    stats = long.groupBy("position").agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.count(t).alias("nonnull"),
-        F.count_if(F.lower(t).isin(vocab)).alias("bool_hits"),
-        F.count_if(t.rlike(NUMBER_PATTERN)).alias("num_hits"),
-        F.count(integer_value(t)).alias("int_hits"),
-        F.count_if(parse_datetime(t).isNotNull()).alias("dt_hits"),
-    )
+    cells = _cells(df, cols).withColumn("some", t.isNotNull())
+    looks = F.when(t.isNotNull(), _flags(t, vocab))
+    if repeated:
+        by_value = F.col("position").isin(repeated)
+        seen = cells.select("position", "some", F.when(by_value, t).alias("t"), F.when(~by_value, looks).alias("bits")) \
+            .groupBy("position", "some", "t", "bits").agg(F.count(F.lit(1)).alias("n")) \
+            .select("position", "some", "n", F.coalesce("bits", looks, F.lit(0)).cast("int").alias("bits"))
+    else:
+        seen = cells.select("position", "some", F.coalesce(looks, F.lit(0)).cast("int").alias("bits"), F.lit(1).alias("n"))
+    hits = lambda bit: F.coalesce(F.sum(F.when(F.col("bits").bitwiseAND(bit) > 0, F.col("n"))), F.lit(0)).cast("bigint")
+    stats = seen.groupBy("position").agg(
+        F.sum("n").alias("rows"), F.coalesce(F.sum(F.when(F.col("some"), F.col("n"))), F.lit(0)).cast("bigint").alias("nonnull"),
+        hits(1).alias("bool_hits"), hits(2).alias("num_hits"), hits(4).alias("int_hits"), hits(8).alias("dt_hits"))
     names = C.local_df(df.sparkSession, [(i, c) for i, c in enumerate(cols)], "position int, column string")
     return (stats.join(F.broadcast(names), "position")
             .select("column", "position", "rows", *STAT_FIELDS))
@@ -121,18 +163,20 @@ def infer_and_cast(df: DataFrame, cols: list[str] | None = None, cfg: C.Config |
     return cast(df, decided, cfg), {c: v[0] for c, v in decided.items()}
 
 
-def labels_many(frames: dict, cfg: C.Config | None = None) -> dict:
+def labels_many(frames: dict, cfg: C.Config | None = None, samples: dict | None = None) -> dict:
     """Type decisions of many DataFrames in one job.
 
     ``frames``: key -> (DataFrame, columns). The per-frame long statistics are
     unioned, so all entities are decided by one action that returns one row
-    per column (schema-sized).
+    per column (schema-sized). ``samples``: key -> the same table in a form whose first rows are
+    cheap to get (not de-duplicated yet); columns of repeated dates in it are counted by value.
     """
     cfg = cfg or C.Config.load()
     keys = list(frames)
     if not keys:
         return {}
-    parts = [column_stats(df, cols, cfg).withColumn("__k", F.lit(i)) for i, (df, cols) in
+    repeated = repeated_dates([(samples[k], frames[k][1]) for k in keys]) if samples else [[] for _ in keys]
+    parts = [column_stats(df, cols, cfg, repeated[i]).withColumn("__k", F.lit(i)) for i, (df, cols) in
              ((i, frames[k]) for i, k in enumerate(keys)) if cols]
     out = {k: {} for k in keys}
     if not parts:

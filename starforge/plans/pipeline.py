@@ -107,7 +107,7 @@ def bronze_to_silver(spark: SparkSession, bronze_root: str, silver_root: str, st
 
     # pass 1 - T0-T5 for every entity in one job, H1-H9 for every entity in one job
     decided = infer.labels_many({k: (clean_of[k], [c for c in clean_of[k].columns if not c.startswith("_")])
-                                 for k in keys}, cfg)
+                                 for k in keys}, cfg, {k: clean.normalize_names(raw_of[k]) for k in keys})
     typed = {k: infer.cast(clean_of[k], decided[k], cfg) for k in keys}
     clock.mark("types")
     renamed, mapping = harmonize.harmonize_many(typed, cfg, memory)

@@ -303,6 +303,35 @@ def q_cast_datetime(spark, d):
     return df.select("order_no", D.parse_datetime(F.trim(F.col("order_dt"))).alias("order_date"))
 
 
+# Written forms of a moment: Spark's pattern, strftime's, minutes that the written offset is ahead of UTC.
+WRITTEN_FORMS = [
+    ("yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'", "%Y-%m-%dT%H:%M:%S.%fZ", 0), ("yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "%Y-%m-%dT%H:%M:%S.%f", 0),
+    ("yyyy-MM-dd'T'HH:mm:ss'+02:00'", "%Y-%m-%dT%H:%M:%S+02:00", 120), ("yyyy-MM-dd HH:mm:ss'-0530'", "%Y-%m-%d %H:%M:%S-0530", -330),
+    ("yyyy-MM-dd'T'HH:mm'Z'", "%Y-%m-%dT%H:%MZ", 0), ("yyyy-MM-dd HH:mm:ss 'UTC'", "%Y-%m-%d %H:%M:%S UTC", 0), ("yyyy-MM-dd HH:mm:ss", "%Y-%m-%d %H:%M:%S", 0),
+    ("yyyy/MM/dd HH:mm", "%Y/%m/%d %H:%M", 0), ("yyyy.MM.dd", "%Y.%m.%d", 0), ("yyyyMMdd'T'HHmmss'Z'", "%Y%m%dT%H%M%SZ", 0), ("yyyy-MM-dd", "%Y-%m-%d", 0),
+    ("M/d/yyyy", "%-m/%-d/%Y", 0), ("MM/dd/yyyy hh:mm a", "%m/%d/%Y %I:%M %p", 0), ("M/d/yyyy HH:mm:ss", "%-m/%-d/%Y %H:%M:%S", 0), ("MM.dd.yyyy", "%m.%d.%Y", 0),
+    ("MMMM d, yyyy", "%B %-d, %Y", 0), ("MMM d yyyy", "%b %-d %Y", 0), ("MMMM dd, yyyy hh:mm:ss a", "%B %d, %Y %I:%M:%S %p", 0), ("d MMMM yyyy", "%-d %B %Y", 0),
+    ("dd-MMM-yyyy HH:mm:ss", "%d-%b-%Y %H:%M:%S", 0), ("EEEE, MMMM d, yyyy", "%A, %B %-d, %Y", 0), ("EEE, dd MMM yyyy HH:mm:ss 'GMT'", "%a, %d %b %Y %H:%M:%S GMT", 0),
+    ("dd MMM yyyy HH:mm:ss'+01'", "%d %b %Y %H:%M:%S+01", 60), ("yyyy-MM-dd HH:mm:ss,SSS", "%Y-%m-%d %H:%M:%S,%g", 0),
+]
+
+
+@register("cast_datetime_forms", f"""
+WITH m AS (SELECT o_orderkey, o_orderkey % {len(WRITTEN_FORMS)} AS form,
+             o_orderdate + to_seconds(o_orderkey * 7919 % 86400) + to_microseconds(o_orderkey * 104729 % 1000000) AS moment0 FROM orders)
+SELECT o_orderkey, CASE form {" ".join(f"WHEN {k} THEN strftime(moment0, {S.q(f)})" for k, (_, f, _) in enumerate(WRITTEN_FORMS))} END AS written,
+       CASE form {" ".join(f"WHEN {k} THEN strptime(strftime(moment0, {S.q(f)}), {S.q(f)}) - to_minutes({m})" for k, (_, f, m) in enumerate(WRITTEN_FORMS))} END AS moment
+FROM m""")
+def q_cast_datetime_forms(spark, d):
+    """Every order's moment written in one of 24 forms and read again."""
+    o, k = FX.table(spark, d, "orders"), F.col("o_orderkey")
+    at = F.timestamp_micros(F.unix_micros(F.col("o_orderdate").cast("timestamp")) + (k * 7919 % 86400) * 1_000_000 + k * 104729 % 1_000_000)
+    written = None
+    for n, (form, _, _) in enumerate(WRITTEN_FORMS):
+        written = (F if written is None else written).when(k % len(WRITTEN_FORMS) == n, F.date_format(at, form))
+    return o.select("o_orderkey", written.alias("written")).withColumn("moment", D.parse_datetime(F.col("written")))
+
+
 @register("cast_boolean", f"""
 SELECT doc_id, {S.bool_sql('CAST(quality AS VARCHAR)', FX.cfg())} AS quality,
        {S.bool_sql('CAST(toxic AS VARCHAR)', FX.cfg())} AS toxic FROM labels""")
@@ -346,9 +375,11 @@ FROM st"""))
 def q_infer_types(spark, d):
     srcs = {"dirty_orders": _dirty_clean(spark, d), "labels": FX.table(spark, d, "labels"),
             "events": FX.table(spark, d, "events")}
+    first = clean.trim_strings(clean.na_tokens(_dirty(spark, d)))        # rows not yet de-duplicated
+    repeated = [infer.repeated_dates([(first, FX.DIRTY_NORMALIZED)])[0], [], []]
     out = None
-    for name, cols in INFER_SOURCES:
-        st = infer.decide(infer.column_stats(srcs[name], cols, FX.cfg())).select(
+    for (name, cols), rep in zip(INFER_SOURCES, repeated):
+        st = infer.decide(infer.column_stats(srcs[name], cols, FX.cfg(), rep)).select(
             F.lit(name).alias("source"), "column", "position", "nonnull", "bool_hits", "num_hits", "int_hits",
             "dt_hits", "label")
         out = st if out is None else out.unionByName(st)

@@ -78,3 +78,18 @@ def test_empty_text_is_not_null(spark):
 
 def test_nothing_known_is_empty(spark):
     assert _infer(spark, [None] * 4)[1] == "empty"
+
+
+def test_counting_by_value_or_by_cell_gives_one_result(spark):
+    """Columns of repeated, of all different and of no values, on either path."""
+    from pyspark.sql import functions as F
+    df = spark.range(3_000).select(
+        F.element_at(F.array(*[F.lit(x) for x in ("true", " no ", "7", "2026-01-02", "x", "1e3", "9999999999999999999", "June 3, 2020")]), (F.col("id") % 8 + 1).cast("int")).alias("few"),
+        F.concat(F.lit("2026-01-01 00:00:"), F.lpad((F.col("id") % 60).cast("string"), 2, "0"), F.lit("."), F.col("id").cast("string")).alias("all"),
+        F.lit(None).cast("string").alias("none"), F.when(F.col("id") % 3 > 0, F.col("id").cast("string")).alias("holes"))
+    rows = lambda repeated: sorted(map(tuple, infer.column_stats(df, cfg=C.Config.load(), repeated=repeated).collect()))
+    assert rows([]) == rows([0, 1, 2, 3]) == rows([0]) == rows([2, 3])
+    days = df.select("few", "all", F.concat(F.lit("2026-01-"), F.lpad((F.length("all") % 28 + 1).cast("string"), 2, "0")).alias("day"))
+    assert infer.repeated_dates([(df, df.columns), (days, days.columns)]) == [[], [2]]
+    few = next(r for r in rows([]) if r[0] == "few")
+    assert few[2:] == (3_000, 3_000, 750, 1_125, 375, 750)
