@@ -2,8 +2,9 @@
 
 ``lattice`` computes apex, by-month, by-dimension and month x dimension in
 **one** ``groupingSets`` pass: Spark expands each row once per grouping set,
-aggregates partially map-side, and shuffles only partial aggregates. The
-``grouping_id`` tells a NULL key (kept as its own group, as pandas'
+aggregates partially map-side, and shuffles only partial aggregates.
+``lattice_by_parents`` groups the fact by the finest cuboids only and sums up every coarser one from
+the smallest that holds it; the pipeline uses it. The ``grouping_id`` tells a NULL key (kept as its own group, as pandas'
 ``dropna=False``) from a rolled-up key.
 
 Aggregates per measure: ``sum`` (0 over an all-NULL group), ``count``
@@ -170,6 +171,103 @@ def lattice(fact: DataFrame, dim_keys: list[str], date_key: str | None = None,
     return out.select("cuboid", *keys, *[c for c in out.columns if c not in keys and c not in ("__gid", "cuboid")])
 
 
+def _buffers(ms: list[str]) -> list[Column]:
+    """What is summed up per measure: sum (NULL over no value) and count."""
+    return [x for m in ms for x in (F.sum(F.col(f"`{m}`")).alias(f"{m}__s"), F.count(F.col(f"`{m}`")).alias(f"{m}__n"))]
+
+
+def _merged(part: DataFrame, ms: list[str]) -> list[Column]:
+    """The same over groups that are already summed up; types don't widen."""
+    types = dict(part.dtypes)
+    return [F.sum(F.col(f"`{m}__{x}`")).cast(types[f"{m}__{x}"]).alias(f"{m}__{x}") for m in ms for x in "sn"]
+
+
+def _finished(ms: list[str]) -> list[Column]:
+    out = []
+    for m in ms:
+        s, n = F.col(f"`{m}__s`"), F.col(f"`{m}__n`")
+        out += [F.coalesce(s, F.lit(0)).alias(f"{m}_sum"), n.alias(f"{m}_count"), F.when(n > 0, s.cast("double") / n).alias(f"{m}_mean")]
+    return out
+
+
+def smallest_key(df: DataFrame, dim_keys: list[str], sizes: dict[str, int] | None) -> str:
+    """The dimension key of the fewest members: by ``sizes`` (rows of the dimension tables) where known,
+    else estimated in one pass over the key columns."""
+    if len(dim_keys) == 1:
+        return dim_keys[0]
+    if sizes is None or not set(dim_keys) <= set(sizes):
+        row = df.agg(*[F.approx_count_distinct(F.col(f"`{k}`"), 0.05).alias(k) for k in dim_keys]).first()     # one scalar per key
+        sizes = {k: row[k] for k in dim_keys}
+    return min(sorted(dim_keys), key=lambda k: sizes[k])
+
+
+def lattice_by_parents(fact: DataFrame, dim_keys: list[str], date_key: str | None = None,
+            ms: list[str] | None = None, sizes: dict[str, int] | None = None) -> DataFrame:
+    """The same table as :func:`lattice`, each cuboid from its smallest computed parent (sums of
+    doubles may differ in the last bits, as they are added in another order).
+
+    Only the finest cuboids (month x dimension, or the dimensions where there is no date) are grouped
+    from the fact, which is expanded once per dimension. By-dimension cuboids are summed up from their
+    month x dimension cuboid, by-month from the one of the smallest dimension (``sizes``: key -> members,
+    estimated if not given), the apex from by-month. The finest groups are shuffled once; the
+    further steps read that shuffle again and move groups, not facts.
+
+    Output: ``cuboid`` + all grouping columns (NULL when rolled up) + the measure aggregates. Split with
+    ``where(cuboid == ...)`` or write partitioned by ``cuboid``. ``month_name`` is a function of
+    (year, month), so it is derived after the aggregate, once per output row.
+    """
+    ms = measures(fact) if ms is None else ms
+    df = fact
+    if date_key:
+        k = F.col(date_key)
+        df = fact.withColumns({"year": D.key_year(k), "month": D.key_month(k)})
+    df, ms = _prepared(df, ms)
+    dims = sorted(dim_keys)
+    month = ["year", "month"] if date_key else []
+    group_cols = month + dims
+    if not group_cols:
+        return df.agg(*_buffers(ms)).select(F.lit("apex").alias("cuboid"), *_finished(ms))
+    prefix = "by_month_" if month else "by_"
+    finest_sets = {f"{prefix}{k}": [*month, k] for k in dims} or {"by_month": month}
+    if len(finest_sets) == 1:
+        (name, cols), = finest_sets.items()
+        finest = df.groupBy(*cols).agg(*_buffers(ms)).withColumn("cuboid", F.lit(name))
+    else:
+        # grouping_id has bit i (from the left) set where group column i is rolled up
+        gid = {sum(1 << (len(group_cols) - 1 - i) for i, c in enumerate(group_cols) if c not in cols): name for name, cols in finest_sets.items()}
+        names = F.create_map(*[F.lit(x) for kv in gid.items() for x in kv])
+        finest = df.groupingSets([[F.col(c) for c in cols] for cols in finest_sets.values()], *[F.col(c) for c in group_cols]) \
+            .agg(F.grouping_id(*group_cols).alias("__gid"), *_buffers(ms)).withColumn("cuboid", names[F.col("__gid").cast("int")]).drop("__gid")
+    buffers = [f"`{m}__{x}`" for m in ms for x in "sn"]
+    least = smallest_key(df, dims, sizes) if dims else None
+    # cuboid -> the coarser ones summed up from it
+    further = {f"by_month_{k}": [f"by_{k}", *(["by_month"] if k == least else [])] for k in dims} if month else {f"by_{least}": ["apex"]}
+    kept = {"by_month": month, "apex": [], **{f"by_{k}": [k] for k in dims}}
+
+    def summed_up(part: DataFrame, targets: dict[str, list[str]]) -> DataFrame:
+        to = F.create_map(*[x for name, ts in targets.items() for x in (F.lit(name), F.array(*map(F.lit, ts)))])
+        here = part.where(F.col("cuboid").isin(list(targets))).withColumn("cuboid", F.explode(to[F.col("cuboid")]))
+        names = {t for ts in targets.values() for t in ts}
+        keys = [F.when(F.col("cuboid").isin([t for t in names if c in kept[t]]), F.col(f"`{c}`")).alias(c) for c in group_cols if c in part.columns]
+        here = here.select("cuboid", *keys, *buffers)
+        return here.groupBy("cuboid", *[c for c in group_cols if c in part.columns]).agg(*_merged(part, ms))
+
+    parts = [finest]
+    if dims:
+        parts.append(summed_up(finest, further))
+    if month:
+        parts.append(summed_up(parts[-1], {"by_month": ["apex"]}))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    keys = list(group_cols)
+    if date_key:
+        mname = F.when(F.col("cuboid") == "by_month", D.month_name(F.make_date(F.col("year"), F.col("month"), F.lit(1))))
+        out = out.withColumn("month_name", mname)
+        keys = ["year", "month", "month_name", *dims]
+    return out.select("cuboid", *keys, *_finished(ms))
+
+
 def lattice_apex(lattice_df: DataFrame) -> DataFrame:
     """The apex row of a lattice in the stored apex shape (measure, sum, count, mean)."""
     ms = [c[: -len("_sum")] for c in lattice_df.columns if c.endswith("_sum")]

@@ -900,7 +900,8 @@ FROM m GROUP BY GROUPING SETS ({gsets})"""
 @register("cuboid_lattice", _lattice_sql())
 def q_cuboid_lattice(spark, d):
     f = _fact_lineitem(spark, d)
-    return rounded(cube.lattice(f, LATTICE_KEYS, "ship_date_key", LI_MEASURES))
+    sizes = {k: FX.table(spark, d, k.removesuffix("_key")).count() for k in LATTICE_KEYS}       # footer counts
+    return rounded(cube.lattice_by_parents(f, LATTICE_KEYS, "ship_date_key", LI_MEASURES, sizes))
 
 
 @register("monthly_trend", with_ctes(*STAR_ORDERS) + f"""
@@ -966,6 +967,32 @@ def q_validate_apex(spark, d):
     return ok.unionByName(bad)
 
 
+@register("validate_lattice", with_ctes(*STAR_ORDERS) + f"""
+, m AS (SELECT *, {_month_sql('order_date_key')} FROM fact_orders),
+bc AS (SELECT customer_key, coalesce(sum(amount), 0) AS s, count(amount) AS n FROM m GROUP BY customer_key),
+lim AS (SELECT min(customer_key) AS a, max(customer_key) AS b FROM bc),
+swapped AS (SELECT bool_and(x.s = y.s AND x.n = y.n) AS same FROM lim JOIN bc x ON x.customer_key = lim.a JOIN bc y ON y.customer_key = lim.b),
+sums AS (SELECT 'apex' AS cuboid, sum(n) AS v FROM bc
+  UNION ALL SELECT 'by_customer_key', sum(n) FROM bc
+  UNION ALL SELECT 'by_month', sum(n) FROM (SELECT count(amount) AS n FROM m GROUP BY year, month)
+  UNION ALL SELECT 'by_month_customer_key', sum(n) FROM (SELECT count(amount) AS n FROM m GROUP BY year, month, customer_key))
+SELECT 'stored' AS copy, cuboid, 'amount' AS measure, CAST(v AS BIGINT) AS "values", TRUE AS ok FROM sums
+UNION ALL
+SELECT 'swapped', cuboid, 'amount', CAST(v AS BIGINT), cuboid <> 'by_customer_key' OR same FROM sums, swapped""")
+def q_validate_lattice(spark, d):
+    """V3: every cuboid against its fact, as stored and with the groups of two customers swapped (all totals still add up)."""
+    f = _fact_orders(spark, d)
+    lat = cube.lattice_by_parents(f, ["customer_key"], "order_date_key", ["amount"])
+    here = F.col("cuboid") == "by_customer_key"
+    ends = lat.where(here).agg(F.min("customer_key").alias("a"), F.max("customer_key").alias("b")).first()      # two scalars
+    key = F.when(here & (F.col("customer_key") == ends["a"]), ends["b"]).when(here & (F.col("customer_key") == ends["b"]), ends["a"]).otherwise(F.col("customer_key"))
+    out = None
+    for copy, stored in (("stored", lat), ("swapped", lat.withColumn("customer_key", key))):
+        part = validate.lattice_check(f, stored, ["customer_key"], "order_date_key", ["amount"]).select(F.lit(copy).alias("copy"), "cuboid", "measure", "values", "ok")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def _events_fact(spark, d):
     return star.with_date_keys(FX.table(spark, d, "events"))
 

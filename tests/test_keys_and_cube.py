@@ -106,3 +106,46 @@ def test_drill_and_cube_use_one_date_key(spark):
     fact = star.with_date_keys(df)
     assert cube.date_key_columns(fact, []) == cube.date_key_columns(fact) == ["created_at_key"]
     assert [r["tons"] for r in drill.rows(fact, {"year": 2021, "month": 3}).collect()] == [2.0]
+
+
+def _three_dims(spark):
+    o = spark.read.parquet(f"{SF001}/orders.parquet")
+    k = F.col("o_orderkey")
+    return o.select(F.when(k % 11 > 0, k % 7).alias("a_key"), F.when(k % 13 > 0, k % 3).alias("b_key"), (k % 40).alias("c_key"),
+                    F.when(k % 9 > 0, F.col("o_totalprice").cast("decimal(12,2)")).alias("price"), (k % 5 == 0).alias("flag"),
+                    F.when(k % 17 > 0, F.date_format("o_orderdate", "yyyyMMdd").cast("int")).alias("day_key"))
+
+
+def test_lattice_from_smallest_parents_equals_each_cuboid(spark):
+    f, dims, ms = _three_dims(spark), ["a_key", "b_key", "c_key"], ["price", "flag"]
+    for date_key in ("day_key", None):
+        lat = cube.lattice_by_parents(f, dims, date_key, ms, {"a_key": 7, "b_key": 3, "c_key": 40}).cache()
+        assert sorted(r[0] for r in lat.select("cuboid").distinct().collect()) == sorted(n for n, _ in cube.lattice_sets(dims, date_key is not None))
+        df, _ = cube._prepared(cube.with_month(f, date_key) if date_key else f, ms)
+        for name, keys in cube.lattice_sets(dims, date_key is not None):
+            want = df.groupBy(*keys).agg(*cube.measure_aggs(ms)).select(*keys, *[f"{m}_{x}" for m in ms for x in ("sum", "count", "mean")])
+            got = lat.where(F.col("cuboid") == name).select(*want.columns)
+            assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())), name
+
+
+def test_lattice_expands_the_fact_once_per_dimension(spark):
+    f = _three_dims(spark)
+    plan = cube.lattice_by_parents(f, ["a_key", "b_key", "c_key"], "day_key", ["price"], {"a_key": 7, "b_key": 3, "c_key": 40})
+    rows = plan._jdf.queryExecution().optimizedPlan().toString()
+    expands = [line for line in rows.splitlines() if "Expand" in line]
+    assert expands and all(line.count("[price") - 1 == 3 for line in expands)     # three sets (and the output), not eight
+    assert cube.smallest_key(f, ["a_key", "b_key", "c_key"], None) == "b_key"
+
+
+def test_every_cuboid_is_validated(spark):
+    f, dims, ms = _three_dims(spark), ["a_key", "b_key"], ["price", "flag"]
+    lat = cube.lattice_by_parents(f, dims, "day_key", ms).cache()
+    bad = lambda x: sorted({r["cuboid"] for r in validate.lattice_check(f, x, dims, "day_key", ms).where("not ok").collect()})
+    assert bad(lat) == []
+    for name, _ in cube.lattice_sets(dims, True):
+        here = F.col("cuboid") == name
+        one = lat.where(here).select(F.max("price_sum")).first()[0]
+        assert bad(lat.withColumn("price_sum", F.when(here & (F.col("price_sum") == one), F.col("price_sum") + 1).otherwise(F.col("price_sum")))) == [name]
+        assert bad(lat.where(~(here & (F.col("price_sum") == one)))) == [name]                               # a group is missing
+    moved = lat.withColumn("a_key", F.when((F.col("cuboid") == "by_a_key") & F.col("a_key").isNull(), 99).otherwise(F.col("a_key")))
+    assert bad(moved) == ["by_a_key"]
