@@ -27,9 +27,9 @@ def apex_check(fact: DataFrame, apex_df: DataFrame, ms: list[str] | None = None,
 
 
 def _weight(keys: list[str]) -> Column:
-    """A number below 2^31 that depends on a group's key, NULL keys included; 1 without a key."""
+    """A number up to 2^31 that depends on a group's key, NULL keys included; 2^31 without a key."""
     if not keys:
-        return F.lit(1).cast("bigint")
+        return F.lit(1 << 31).cast("bigint")
     marked = [x for k in keys for x in (F.col(f"`{k}`").isNull(), F.col(f"`{k}`").cast("string"))]
     return F.pmod(F.xxhash64(*marked), F.lit((1 << 31) - 1)) + 1
 
@@ -75,7 +75,8 @@ def lattice_marks(lattice: DataFrame, dim_keys: list[str], date_key: str | None)
 def lattice_check(fact: DataFrame, lattice: DataFrame, dim_keys: list[str], date_key: str | None, ms: list[str],
                   rel_tol: float = 1e-9, abs_tol: float = 1e-6) -> DataFrame:
     """V3 for every cuboid: (cuboid, measure, values, ok). A group that is wrong, missing or moved to another
-    key changes its cuboid's marks, also where all totals still add up."""
+    key changes its cuboid's marks, also where all totals still add up; only a change of a sum below
+    ``rel_tol`` of the whole cuboid is taken for rounding."""
     want = fact_marks(fact, dim_keys, date_key, ms)
     got = lattice_marks(lattice, dim_keys, date_key).select("cuboid", "measure", *[F.col(x).alias(f"got_{x}") for x in MARKS])
     tol = F.greatest(F.lit(abs_tol), F.greatest("size", "got_size") * rel_tol)
