@@ -9,7 +9,7 @@ the caller's (``sources.sinks``) job, so reruns append nothing.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starforge.operators.clean import first_per_key
@@ -70,22 +70,45 @@ def dedup_checksums(batch: DataFrame, on_duplicate: str = "drop", order_cols: li
 
 
 def load_fact(existing: DataFrame | None, batch: DataFrame, full_reload: bool = False,
-              on_duplicate: str = "drop", order_cols: list[str] | None = None):
+              on_duplicate: str = "drop", order_cols: list[str] | None = None,
+              known: DataFrame | None = None, last_id: int | None = None):
     """``fact_id`` 1..N on first load, else rows with unseen checksums get max+1..
 
     Ids follow ``_row_checksum`` order. Known checksums are taken out first
     (only that column of the stored table is read), then the rest is
-    de-duplicated, and only *new* rows are range-partitioned for ids.
+    de-duplicated, and only *new* rows are range-partitioned for ids. A caller that keeps an index gives
+    the stored checksums that can matter (``known``) and the largest id (``last_id``); the
+    stored table is then not read at all.
     """
     if full_reload or existing is None:
         appended = dense_ids(dedup_checksums(batch, on_duplicate, order_cols), [CHECKSUM], "fact_id", 1)
         return appended, appended
-    start = max_key(existing, "fact_id") + 1
-    fresh = dedup_checksums(new_rows(existing, batch, CHECKSUM), on_duplicate, order_cols)
+    start = (max_key(existing, "fact_id") if last_id is None else last_id) + 1
+    fresh = dedup_checksums(new_rows(existing if known is None else known, batch, CHECKSUM), on_duplicate, order_cols)
     appended = dense_ids(fresh, [CHECKSUM], "fact_id", start).select(*existing.columns)
     return existing.unionByName(appended), appended
 
 
+# -- checksum index -------------------------------------------------------------
+BUCKET = "bucket"
+
+
+def checksum_bucket(checksum) -> Column:
+    """One of 256 buckets: the first two hexadecimal digits."""
+    return F.substring(checksum, 1, 2)
+
+
+def index_rows(fact: DataFrame) -> DataFrame:
+    """(_row_checksum, fact_id, bucket): what the index of a fact table holds, a folder per bucket."""
+    return fact.select(CHECKSUM, "fact_id", checksum_bucket(F.col(CHECKSUM)).alias(BUCKET))
+
+
+def touched(index: DataFrame, batch: DataFrame) -> DataFrame:
+    """The index rows in the buckets of the batch's checksums; no other bucket is read."""
+    buckets = [r[0] for r in batch.select(checksum_bucket(F.col(CHECKSUM)).alias(BUCKET)).distinct().collect()]    # 256 at most
+    return index.where(F.col(BUCKET).isin(buckets)).select(CHECKSUM)
+
+
 def reresolve_null_fks(fact_df: DataFrame, dim_df: DataFrame, nat: str, key_col: str) -> DataFrame:
     """Optional repair for late dimensions: fill NULL ``key_col`` where the id now matches."""
     lookup = dim_df.select(F.col(nat).alias("__nat"), F.col(key_col).alias("__k"))

@@ -252,10 +252,11 @@ def widened_union(frames: list[DataFrame]) -> DataFrame:
     return _union([df.select(*[F.col(f"`{c}`").cast(wide[c]).alias(c) for c in df.columns]) for df in frames])
 
 
-def silver_entities(spark: SparkSession, silver_root: str, store: TableStore,
-                    keys: list[tuple[str, str]] | None = None) -> dict[tuple[str, str], DataFrame]:
+def silver_entities(spark: SparkSession, silver_root: str, store: TableStore, keys: list[tuple[str, str]] | None = None,
+                    applied: dict[tuple[str, str], set[str]] | None = None) -> dict[tuple[str, str], DataFrame]:
     """One DataFrame per (domain, entity) of the published rows; attempts are read by
-    schema, and a column whose type changed between runs is widened."""
+    schema, and a column whose type changed between runs is widened. With ``applied`` the rows of these
+    attempts are left out and not read; the columns and types stay those of all attempts."""
     schemas, outputs = store.read("silver_schemas"), store.read("silver_outputs")
     if schemas is None or outputs is None:
         return {}
@@ -266,9 +267,12 @@ def silver_entities(spark: SparkSession, silver_root: str, store: TableStore,
         groups.setdefault((r["domain"], r["entity"]), {}).setdefault(r["schema"], []).append(r["attempt"])
     out = {}
     for key in sorted(groups if keys is None else keys):
-        frames = [_silver_files(spark, silver_root, key, T.StructType.fromJson(json.loads(schema)), sorted(attempts))
-                  .join(live, ["_bronze_path", "attempt"], "left_semi").drop(*SILVER_PARTITIONS)
-                  for schema, attempts in sorted(groups[key].items())]
+        frames = []
+        for schema, attempts in sorted(groups[key].items()):
+            wanted = sorted(set(attempts) - (applied or {}).get(key, set()))
+            shape = T.StructType.fromJson(json.loads(schema))
+            frames.append(_silver_files(spark, silver_root, key, shape, wanted).join(live, ["_bronze_path", "attempt"], "left_semi").drop(*SILVER_PARTITIONS)
+                          if wanted else spark.createDataFrame([], shape))
         out[key] = widened_union(frames)
     return out
 
@@ -300,57 +304,134 @@ def _raw_counts(raw: DataFrame, csv_like: bool) -> DataFrame:
                                                F.count_if(nonempty).alias("n_nonempty"))
 
 
+class GoldState:
+    """Which attempts each Gold table has taken in (table ``gold_state``: name, attempt, status, last_id).
+
+    A load is noted as pending before its table is written and as applied after its index is. A table
+    whose last load is still pending may or may not hold it: its index is then made anew from the table
+    itself, and the load is repeated against that. So a run after a failure gives no row twice and every
+    row the key it had."""
+
+    def __init__(self, spark: SparkSession, store: TableStore):
+        self.spark, self.store = spark, store
+        state = store.read("gold_state")
+        self.applied: dict[str, set[str]] = {}
+        self.open: set[str] = set()
+        self.last_id: dict[str, int] = {}
+        for r in sorted(state.collect() if state is not None else [], key=lambda r: r["at"]):       # a row per table, run and status
+            if r["status"] == "pending":
+                self.open.add(r["name"])
+            else:
+                self.open.discard(r["name"])
+                self.applied.setdefault(r["name"], set()).update(r["attempts"])
+                self.last_id[r["name"]] = r["last_id"]
+
+    def note(self, name: str, attempts: set[str], status: str, last_id: int | None = None) -> None:
+        row = (name, sorted(attempts), status, last_id, datetime.now(timezone.utc))
+        self.store.append("gold_state", C.local_df(self.spark, [row], "name string, attempts array<string>, status string, last_id long, at timestamp"))
+
+    def load_fact(self, name: str, batch: DataFrame, attempts: set[str], full_reload: bool) -> None:
+        """I3 with the checksum index: only the index buckets of the batch's checksums are read."""
+        index, old = f"keys_{name}", None if full_reload else self.store.read(name)
+        self.note(name, attempts, "pending")
+        known = last_id = None
+        if old is not None:
+            stored = self.store.read(index)
+            if stored is None or name in self.open or name not in self.last_id:
+                self.store.replace(index, incremental.index_rows(old), partition_by=[incremental.BUCKET])
+                stored, last_id = self.store.read(index), incremental.max_key(old, "fact_id")
+            else:
+                last_id = self.last_id[name]
+            known = incremental.touched(stored, batch)
+        _, appended = incremental.load_fact(old, batch, full_reload, known=known, last_id=last_id)
+        appended = appended.drop("_src_row").checkpoint(eager=True)        # written twice below, and must be one thing
+        n = appended.count()
+        if n or old is None:
+            _store_new(self.store, name, old, appended, ["fact_id", "_row_checksum"],
+                       sort_within=[c for c in appended.columns if c.endswith("_date_key")][:1] or None)
+            rows = incremental.index_rows(appended)
+            if old is None:
+                self.store.replace(index, rows, partition_by=[incremental.BUCKET])
+            else:
+                self.store.append(index, rows, partition_by=[incremental.BUCKET])
+        self.note(name, attempts, "applied", (last_id or 0) + n)
+
+
 def silver_to_gold(spark: SparkSession, silver_root: str, store: TableStore, cfg: C.Config,
                    full_reload: bool = False) -> DataFrame:
-    """Classify, dim_date, dimensions, facts; returns a manifest."""
+    """Classify, dim_date, dimensions, facts; returns a manifest.
+
+    Change propagation: each table takes in the published attempts it has not applied yet; Silver rows of
+    other attempts are not read (but for boolean columns, whose NULLs decide a class), and a
+    table without a new attempt is left alone."""
     ents = silver_entities(spark, silver_root, store)
     if not ents:
         raise ValueError("no Silver entities")
     cats = [star.column_catalog(df, d, e) for (d, e), df in ents.items()]
     classes = {(r["domain"], r["entity"]): r["class"] for r in
                star.classify(_union(cats), cfg.override_df(spark)).collect()}
-    frames = [(df, star.datetime_columns(df)) for df in ents.values()]
+    state = GoldState(spark, store)
+    shared = Counter(e for (d, e) in ents if classes[(d, e)] == "dimension")
+    # an entity of several domains is qualified
+    name_of = {(d, e): f"fact_{d}_{e}" if classes[(d, e)] == "fact" else f"dim_{e if shared[e] == 1 else f'{d}_{e}'}" for d, e in ents}
+    live: dict[tuple[str, str], set[str]] = {}
+    outputs = store.read("silver_outputs").select("attempt").distinct()
+    for r in store.read("silver_schemas").join(outputs, "attempt", "left_semi").select("domain", "entity", "attempt").collect():     # a row per run and entity
+        live.setdefault((r["domain"], r["entity"]), set()).add(r["attempt"])
+    applied = {} if full_reload else {k: state.applied.get(n, set()) if n not in state.open and store.exists(n) else set() for k, n in name_of.items()}
+    new = {k: live[k] - applied.get(k, set()) for k in ents}
+    changed = [k for k in ents if new[k]]
+    fresh = silver_entities(spark, silver_root, store, changed, applied) if changed else {}
     manifest = []
+    frames = [(df, star.datetime_columns(df)) for df in fresh.values()]
     if any(c for _, c in frames):
         dd = star.dim_date([(f, c) for f, c in frames if c])
         old = None if full_reload else store.read("dim_date")
         full, appended = incremental.load_dim_date(old, dd, full_reload)
         (store.replace if old is None else store.append)("dim_date", appended)
+    if store.exists("dim_date"):
         manifest.append(("dim_date", "dim", None))
     dims: dict[tuple[str, str], tuple[str, DataFrame, str]] = {}
-    shared = Counter(e for (d, e) in ents if classes[(d, e)] == "dimension")
     for (d, e), df in ents.items():
         if classes[(d, e)] != "dimension":
             continue
-        name = e if shared[e] == 1 else f"{d}_{e}"      # an entity of several domains is qualified
-        dim, nat = star.dimension(df)
-        old = None if full_reload else store.read(f"dim_{name}")
-        full, appended = incremental.load_dimension(old, dim, name, nat, full_reload)
-        _store_new(store, f"dim_{name}", old, appended, [f"{name}_key", nat])
-        dims[(d, e)] = (name, store.read(f"dim_{name}"), nat)
-        manifest.append((f"dim_{name}", "dim", None))
+        table = name_of[(d, e)]
+        name, nat = table[len("dim_"):], star.natural_id(df)
+        if (d, e) in fresh:
+            dim, _ = star.dimension(fresh[(d, e)], nat)
+            state.note(table, new[(d, e)], "pending")
+            old = None if full_reload else store.read(table)
+            full, appended = incremental.load_dimension(old, dim, name, nat, full_reload)
+            _store_new(store, table, old, appended, [f"{name}_key", nat])
+            state.note(table, new[(d, e)], "applied")
+        dims[(d, e)] = (name, store.read(table), nat)
+        manifest.append((table, "dim", None))
     for (d, e), df in ents.items():
         if classes[(d, e)] != "fact":
             continue
-        name = f"fact_{d}_{e}"
-        f = star.fact(df, e, {n: (table, nat) for (_, entity), (n, table, nat) in dims.items() if entity != e})
-        old = None if full_reload else store.read(name)
-        full, appended = incremental.load_fact(old, f, full_reload)
-        _store_new(store, name, old, appended.drop("_src_row"), ["fact_id", "_row_checksum"],
-                   sort_within=[c for c in appended.columns if c.endswith("_date_key")][:1] or None)
-        manifest.append((name, "fact", None))
+        table = name_of[(d, e)]
+        if (d, e) in fresh:
+            f = star.fact(fresh[(d, e)], e, {n: (dim, nat) for (_, entity), (n, dim, nat) in dims.items() if entity != e})
+            state.load_fact(table, f, new[(d, e)], full_reload)
+        manifest.append((table, "fact", None))
     rows = [(n, k, fct, store.read(n).count()) for n, k, fct in manifest]   # footer counts
     return C.local_df(spark, rows, "name string, kind string, fact string, rows long")
 
 
-def gold_olap(spark: SparkSession, store: TableStore, reference_measures: bool = False) -> DataFrame:
-    """The lattice of every fact, written partitioned by cuboid."""
-    names = store.names()
+def gold_olap(spark: SparkSession, store: TableStore, reference_measures: bool = False, keep_unchanged: bool = False) -> DataFrame:
+    """The lattice of every fact, written partitioned by cuboid. ``keep_unchanged``: cuboids made from
+    all attempts their fact has applied stay as they are."""
+    names, state = store.names(), GoldState(spark, store)
     dim_keys = {f"{n[len('dim_'):]}_key" for n in names if n.startswith("dim_") and n != "dim_date"}
     rows = []
     for n in names:
         if not n.startswith("fact_"):
             continue
+        applied = state.applied.get(n, set())
+        if keep_unchanged and applied and applied == state.applied.get(f"cuboids_{n}") and n not in state.open and store.exists(f"cuboids_{n}"):
+            counts = store.read(f"cuboids_{n}").groupBy("cuboid").count().collect()     # one row per cuboid
+            rows += [(f"cuboid_{n}_{r['cuboid']}", "cuboid", n, r["count"]) for r in counts]
+            continue
         f = store.read(n)
         keys = sorted(set(f.columns) & dim_keys)
         date_keys = cube.date_key_columns(f, sorted(dim_keys))
@@ -364,6 +445,7 @@ def gold_olap(spark: SparkSession, store: TableStore, reference_measures: bool =
         # partitioned on write: every task writes its share of every cuboid, so
         # a large cuboid never lands in one task
         path = store.replace(f"cuboids_{n}", lat, partition_by=["cuboid"])
+        state.note(f"cuboids_{n}", applied, "applied")
         counts = spark.read.parquet(path).groupBy("cuboid").count().collect()   # one row per cuboid
         rows += [(f"cuboid_{n}_{r['cuboid']}", "cuboid", n, r["count"]) for r in counts]
     return C.local_df(spark, rows, "name string, kind string, fact string, rows long")
@@ -400,7 +482,7 @@ def run(spark: SparkSession, bronze_root: str, lake_root: str, cfg: C.Config | N
         manifest = silver_to_gold(spark, silver_root, store, cfg, full_reload)
     except ValueError:
         return out
-    cubes = gold_olap(spark, store)
+    cubes = gold_olap(spark, store, keep_unchanged=not full_reload)
     manifest = manifest.unionByName(cubes)
     store.replace("validation_findings", validate_gold(spark, store, manifest))
     out.update(manifest=manifest, findings=store.read("validation_findings"))

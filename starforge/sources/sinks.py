@@ -75,11 +75,11 @@ class TableStore:
         w.parquet(path)
         return path
 
-    def append(self, name: str, df: DataFrame) -> str:
+    def append(self, name: str, df: DataFrame, partition_by: list[str] | None = None) -> str:
         """Append to the current version (no read-then-overwrite)."""
         vs = self._versions(name)
         path = self.path(name, vs[-1] if vs else 1)
-        df.write.mode("append").option("compression", "snappy").parquet(path)
+        df.write.mode("append").option("compression", "snappy").parquet(path, partitionBy=partition_by)
         return path
 
     def by_kind(self) -> dict[str, list[str]]:

@@ -264,3 +264,52 @@ def test_stream_trigger_reads_its_own_files(lake, spark, monkeypatch):
     assert rows == {"shop/items_2026.csv": None, "shop/copy_2026.csv": "shop/items_2026.csv", "shop/other_2026.csv": None}
     lake.stream()                   # nothing new: nothing is read
     assert seen == [2]
+
+
+def test_gold_reads_new_attempts_and_touched_buckets_only(lake, monkeypatch):
+    from starforge.operators import incremental
+    lake.put("shop/items_202601.csv", "item id,price\n" + "".join(f"A{k},{k}\n" for k in range(400)))
+    lake.put("shop/notes_202601.csv", "note id,score\n1,2\n")
+    lake.run("r1")
+    ids = {r["item_id"]: r["fact_id"] for r in lake.store.read("fact_shop_items").collect()}
+    assert sorted(ids.values()) == list(range(1, 401))
+    read = []
+    load = incremental.load_fact
+
+    def watched(existing, batch, *a, known=None, **k):
+        read.append((known.count(), batch.count()))
+        return load(existing, batch, *a, known=known, **k)
+
+    monkeypatch.setattr(incremental, "load_fact", watched)
+    lake.put("shop/items_202602.csv", "item id,price\nA7,7\nB1,1\n")
+    lake.run("r2")
+    (index, rows), = read               # the notes have no new attempt: their fact is not loaded
+    assert rows == 2 and 1 <= index < 20        # the index rows in two buckets of 256, of 400
+    now = {r["item_id"]: r["fact_id"] for r in lake.store.read("fact_shop_items").collect()}
+    assert now == {**ids, "B1": 401}
+    lake.run("r3")
+    assert len(read) == 1 and lake.store.read("fact_shop_items").count() == 401
+
+
+@pytest.mark.parametrize("lost", ["fact_shop_items", "keys_fact_shop_items", "cuboids_fact_shop_items"])
+def test_gold_after_a_failure_half_way_gives_the_same_keys(lake, monkeypatch, lost):
+    lake.put("shop/items_202601.csv", "item id,price\n" + "".join(f"A{k},{k}\n" for k in range(30)))
+    lake.run("r1")
+    lake.put("shop/items_202602.csv", "item id,price\n" + "".join(f"A{k},{k}\n" for k in range(20, 50)))
+    with monkeypatch.context() as m:
+        for method in ("append", "replace"):
+            def fail(self, name, *a, _do=getattr(TableStore, method), **k):
+                if name == lost:
+                    raise OSError("lost")
+                return _do(self, name, *a, **k)
+            m.setattr(TableStore, method, fail)
+        with pytest.raises(OSError):
+            lake.run("r2")
+    lake.run("r3")
+    got = {r["item_id"]: r["fact_id"] for r in lake.store.read("fact_shop_items").collect()}
+    assert lake.store.read("fact_shop_items").count() == 50 and sorted(got.values()) == list(range(1, 51))
+    assert {got[f"A{k}"] for k in range(30)} == set(range(1, 31))
+    keys = lake.store.read("keys_fact_shop_items")
+    assert keys.count() == 50 and {r["fact_id"] for r in keys.collect()} == set(range(1, 51))
+    apex = lake.store.read("cuboids_fact_shop_items").where("cuboid = 'apex'").first()
+    assert apex["price_count"] == 50
