@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from starforge.llm.common import per_text, raw, read_table, split_batches
+from starforge.llm.common import per_text, raw, read_table, released, split_batches
 
 MATRIX_MAX = 256            # bytes of a piece handled by the matrices
 CACHE_PIECES = 300_000      # encoded pieces a task remembers
@@ -260,4 +260,6 @@ def query(spark, sf_dir: str) -> DataFrame:
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pipeline's last stage: doc_id, n_tokens, token_ids and round_trip of every document."""
-    return encode(docs, *public_vocabulary())
+    vocab, pattern = public_vocabulary()
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return per_text(docs, ["doc_id"]).mapInArrow(released(encode_partition(vocab, pattern, False)), f"doc_id {kind}, {IDS}")

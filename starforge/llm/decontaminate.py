@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starforge.llm.common import ALNUM_TO_SPACE, per_text, raw, read_table, split_batches
+from starforge.llm.common import ALNUM_TO_SPACE, per_text, raw, read_table, released, split_batches
 
 WINDOW = 13
 BLOCK_WORDS = 200_000
@@ -271,7 +271,7 @@ def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
                 keep.append(not (hit > 0 and hit * round(1 / MIN_COVERAGE) >= len(words)))
             yield batch.select(["row"]).filter(pa.array(keep))
 
-    kept = row.mapInArrow(run, f"row {row.schema['row'].dataType.simpleString()}")
+    kept = row.mapInArrow(released(run), f"row {row.schema['row'].dataType.simpleString()}")
     return kept.select("row.*")
 
 

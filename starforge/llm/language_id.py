@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starforge.llm.common import crc_column, per_text, raw, read_table, split_batches
+from starforge.llm.common import crc_column, per_text, raw, read_table, released, split_batches
 
 WINDOW = 256
 CLASSES = 64
@@ -249,6 +249,6 @@ def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     (score below MIN_SCORE), are rejected; the others stay as they are."""
     shared = spark.sparkContext.broadcast(fit(docs))
     row = docs.select(F.struct(*docs.columns).alias("row"), F.col("text").cast("string").alias("text"), has_letter())
-    kept = row.mapInArrow(predict_partition(shared, ["row"]),
+    kept = row.mapInArrow(released(predict_partition(shared, ["row"])),
                           f"row {row.schema['row'].dataType.simpleString()}, lang_pred string, score double")
     return kept.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= MIN_SCORE)).select("row.*")

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starforge.llm.common import BlockTable, materialize, mix64, ordered, raw, read_table, split_batches
+from starforge.llm.common import BlockTable, materialize, mix64, ordered, raw, read_table, release, split_batches
 
 WINDOW = 50
 MINIMISER = 8
@@ -298,6 +298,7 @@ def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
         bare = batch.column("bare").to_pylist()
         keep = pa.array([not c or bool(t.split()) for t, c in zip(new, cut)])
         new = pa.array([None if b else t for t, b in zip(new, bare)], pa.binary()).cast(pa.string())
+        release()
         return pa.table({"rest": batch.column("rest"), "text": new, "cut": pa.array(cut)}).filter(keep)
 
     out = blocks.beside(shared_spans(blocks)).applyInArrow(run, f"rest {kind}, text string, cut boolean")
