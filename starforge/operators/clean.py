@@ -14,10 +14,15 @@ from starforge.functions.text import null_na_tokens, trim_ws
 SYSTEM_COLUMNS = ("_bronze_path", "_src_row")
 
 
+def names_of(raw: list[str]) -> list[str]:
+    """Normalised names; names that collide get ``_dupN``."""
+    return dedupe_names([normalize_name(c) for c in raw])
+
+
 def normalize_names(df: DataFrame) -> DataFrame:
-    """Normalise every column name; names that collide get ``_dupN``."""
+    """Normalise every column name (see :func:`names_of`)."""
     raw = [c for c in df.columns if c not in SYSTEM_COLUMNS]
-    new = dict(zip(raw, dedupe_names([normalize_name(c) for c in raw])))
+    new = dict(zip(raw, names_of(raw)))
     return df.toDF(*[new.get(c, c) for c in df.columns])
 
 

@@ -26,7 +26,7 @@ from starforge.operators import clean, cube, harmonize, incremental, infer, prof
 from starforge.operators.ingest import file_lineage, gate, review_queue, status_summary
 from starforge.operators.lineage import add_lineage
 from starforge.sources import catalog as CAT
-from starforge.sources.readers import read_group
+from starforge.sources.readers import header_names, read_group
 from starforge.session import ensure_checkpoint_dir
 from starforge.sources.sinks import TableStore, check_unique, write_partitioned
 
@@ -83,7 +83,8 @@ def bronze_to_silver(spark: SparkSession, bronze_root: str, silver_root: str, st
     catalog = catalog.checkpoint(eager=True)
     existing = store.read("silver_outputs")
     gated = gate(catalog, existing, size_limit).checkpoint(eager=True)
-    todo = gated.where(F.col("status") == "SUCCESS").select("path", "domain", "entity", "format").collect()
+    todo = gated.where(F.col("status") == "SUCCESS").select("path", "domain", "entity", "format", "utf8", "header").collect()
+    headers = {r["path"]: bytes(r["header"]).decode("utf-8" if r["utf8"] else "latin-1") for r in todo if r["format"] == ".csv" and r["header"] is not None}
     groups: dict[tuple[str, str], dict[str, list[str]]] = {}
     for r in todo:     # one row per file: metadata, bounded by the number of files
         groups.setdefault((r["domain"], r["entity"]), {}).setdefault(r["format"], []).append(
@@ -113,22 +114,32 @@ def bronze_to_silver(spark: SparkSession, bronze_root: str, silver_root: str, st
     renamed, mapping = harmonize.harmonize_many(typed, cfg, memory)
     clock.mark("harmonize")
     decisions = mapping.collect() if mapping is not None else []          # local table
-    review = {k: False for k in keys}
+    unsure: dict = {k: set() for k in keys}
     final = {k: {} for k in keys}
     for r in decisions:
-        review[(r["domain"], r["entity"])] |= bool(r["needs_review"])
+        if r["needs_review"]:
+            unsure[(r["domain"], r["entity"])].add(r["raw_column"])
         final[(r["domain"], r["entity"])][r["raw_column"]] = r["final_column"]
 
     # pass 2 - write Silver; everything below reads the written Silver (pruned
     # Parquet, this run only) instead of re-reading and re-cleaning Bronze
+    # A file is flagged for the columns it has itself (by its header; without one for any of its entity's)
+    flags = []
+    for r in todo:
+        key = (r["domain"], r["entity"])
+        own = set(clean.names_of(header_names(headers[r["path"]]))) if r["path"] in headers else final[key].keys()
+        flags.append((r["path"], bool(own & unsure[key])))
+    flagged = C.local_df(spark, flags, "_bronze_path string, flagged boolean") if flags else None
     parts = catalog.select(F.col("path").alias("_bronze_path"), "year", "month")
+    if flagged is not None:
+        parts = parts.join(flagged, "_bronze_path", "left")
     silver_cols, schemas = {}, {}
     for key in keys:
         domain, entity = key
-        silver = add_lineage(renamed[key], catalog, run_id, needs_review=F.lit(review[key]))
+        silver = add_lineage(renamed[key], catalog, run_id)
         silver_cols[key] = [c for c in silver.columns if c != "_src_row"]
         schemas[key] = silver.schema
-        out = silver.join(parts, "_bronze_path", "left").withColumns(
+        out = silver.join(parts, "_bronze_path", "left").withColumn("_needs_review", F.col("_needs_review") | F.coalesce("flagged", F.lit(False))).drop("flagged").withColumns(
             {"domain": F.lit(domain), "entity": F.lit(entity), "attempt": F.lit(attempt)})
         write_partitioned(out, silver_root, SILVER_PARTITIONS, mode="append")
         clock.mark(f"write {domain}.{entity}")
@@ -142,7 +153,7 @@ def bronze_to_silver(spark: SparkSession, bronze_root: str, silver_root: str, st
         raw_counts = _union([_raw_counts(raw_of[k], any(f in CSV_LIKE for f in groups[k]))
                              for k in keys]).checkpoint(eager=True)
         out_counts = _union([written[k].groupBy("_bronze_path").agg(F.count(F.lit(1)).alias("rows_out"))
-                             .withColumn("needs_review", F.lit(review[k])) for k in keys]).checkpoint(eager=True)
+                             for k in keys]).join(flagged.withColumnRenamed("flagged", "needs_review"), "_bronze_path", "left").checkpoint(eager=True)
         nulls = _union([profile.null_profile(written[k], by=["_bronze_path"]).withColumns(
             {"domain": F.lit(k[0]), "entity": F.lit(k[1])}) for k in keys]).checkpoint(eager=True)
         # Q5 column profile: null % + type label + mapping decision

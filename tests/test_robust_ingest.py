@@ -313,3 +313,15 @@ def test_gold_after_a_failure_half_way_gives_the_same_keys(lake, monkeypatch, lo
     assert keys.count() == 50 and {r["fact_id"] for r in keys.collect()} == set(range(1, 51))
     apex = lake.store.read("cuboids_fact_shop_items").where("cuboid = 'apex'").first()
     assert apex["price_count"] == 50
+
+
+def test_review_flag_per_file(lake):
+    """Two files of one entity: the one with a column nothing is known about is flagged, the other isn't."""
+    lake.put("retail/customers_202601.csv", "Customer Id,Email Address\nC1,a@x\n")
+    lake.put("retail/customers_202602.csv", "Customer Id,Email Address,Shoe Colour Code\nC2,b@x,red\n")
+    lake.run("r1")
+    log = {r["path"]: r["needs_review"] for r in lake.store.read("processing_log").collect()}
+    assert log == {"retail/customers_202601.csv": False, "retail/customers_202602.csv": True}
+    rows = {r["_bronze_path"]: r["_needs_review"] for r in lake.silver("retail", "customers").collect()}
+    assert rows == log
+    assert {r["path"] for r in lake.store.read("review_queue").collect()} == {"retail/customers_202602.csv"}
