@@ -76,29 +76,3 @@ def drift(prev_cols: DataFrame, cur_cols: DataFrame, keys: list[str] | None = No
     return (j.where(F.col("__p").isNull() | F.col("__c").isNull())
             .select(*keys, "column",
                     F.when(F.col("__p").isNull(), F.lit("added")).otherwise(F.lit("removed")).alias("change")))
-
-
-def assemble(silver: DataFrame, per: str, labels: dict[str, str], mapping: DataFrame,
-             removed: DataFrame, prev_columns: DataFrame | None = None) -> dict[str, DataFrame]:
-    """Q5: the per-file quality profile as long tables.
-
-    ``columns``: source_file, column, rows, nulls, null_pct, type_label,
-    mapped_from, method; ``summary``: source_file, row_count, column_count,
-    completeness, duplicates_removed; ``drift``: column, change against the
-    entity's previous load (empty when the columns are unchanged).
-    """
-    spark = silver.sparkSession
-    from starforge.config import local_df
-    prof = null_profile(silver, by=[per]).withColumnRenamed(per, "source_file")
-    lab = local_df(spark, sorted(labels.items()), "column string, type_label string")
-    maps = mapping.select(F.col("final_column").alias("column"), F.col("raw_column").alias("mapped_from"), "method")
-    cols = (prof.join(F.broadcast(lab), "column", "left").join(F.broadcast(maps), "column", "left"))
-    n_cols = len(silver.columns) - 1
-    summary = (prof.groupBy("source_file").agg(F.max("rows").alias("row_count"),
-                                                 F.round(100 - F.avg("null_pct"), 2).alias("completeness"))
-               .withColumn("column_count", F.lit(n_cols))
-               .join(removed.withColumnRenamed(per, "source_file"), "source_file", "left"))
-    cur = local_df(spark, [(c,) for c in silver.columns if c != per], "column string")
-    drift_df = drift(prev_columns, cur) if prev_columns is not None else cur.limit(0).withColumn(
-        "change", F.lit(None).cast("string"))
-    return {"columns": cols, "summary": summary, "drift": drift_df}

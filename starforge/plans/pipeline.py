@@ -209,11 +209,12 @@ def bronze_to_silver(spark: SparkSession, bronze_root: str, silver_root: str, st
     # logs and state (append-only / new versions)
     if mappings:
         resolved = _union(mappings)
-        store.replace("mapping_memory", harmonize.upsert_memory(memory, resolved))
+        # against the last version, which another run may have written since this one read it
+        store.update("mapping_memory", lambda last: harmonize.upsert_memory(memory if last is None else last, resolved))
     # publishing: one row per path; what this attempt wrote counts from here on
     done = results.where(F.col("status").isin("SUCCESS", "COPIED")).select(
         "path", F.col("checksum").alias("out_checksum"), F.lit(attempt).alias("attempt"), F.current_timestamp().alias("written_at"))
-    store.replace("silver_outputs", _replaced(existing, done))
+    store.update("silver_outputs", lambda last: _replaced(last, done))
     store.append("processing_log", results.drop("on_disk", "out_checksum", "uri", *[c for c in CAT.FOUND if c != "checksum"]))
     store.append("lineage_log", file_lineage(results, run_id, silver_root))
     store.append("review_queue", review_queue(results).select("run_id", "path", "domain", "entity", "status", "needs_review"))

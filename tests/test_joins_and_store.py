@@ -29,3 +29,39 @@ def test_table_store_versions(spark, tmpdir_path):
     import pytest
     with pytest.raises(ValueError):
         check_unique(spark.createDataFrame([(1,), (1,)], "k int"), ["k"])
+
+
+def test_two_writers_keep_both_their_rows(spark, tmpdir_path):
+    """The second writer commits while the first computes; the first computes again from its version."""
+    from starforge.sources.sinks import Conflict, TableStore
+    store, other = TableStore(spark, tmpdir_path), TableStore(spark, tmpdir_path)
+    rows = lambda *names: spark.createDataFrame([(n,) for n in names], "name string")
+    store.replace("memory", rows("old"))
+    tries = []
+
+    def slow(last):
+        tries.append(last.count())
+        if len(tries) == 1:
+            other.update("memory", lambda now: now.unionByName(rows("from the other")))
+        return last.unionByName(rows("from the first"))
+
+    store.update("memory", slow)
+    assert tries == [1, 2] and store.version("memory") == 3
+    assert sorted(r[0] for r in store.read("memory").collect()) == ["from the first", "from the other", "old"]
+    assert store.read("memory", 2).count() == 2          # no version is overwritten
+    try:
+        store.replace("memory", rows("late"), based_on=1)
+        raise AssertionError("the conflict was not noticed")
+    except Conflict:
+        assert store.read("memory").count() == 3
+
+
+def test_versions_that_were_never_committed_are_not_read(spark, tmpdir_path):
+    from starforge.sources.sinks import TableStore
+    store = TableStore(spark, tmpdir_path)
+    assert store.read("t") is None and not store.exists("t") and store.version("t") == 0
+    spark.range(5).write.parquet(f"{tmpdir_path}/t/lost/v=1")
+    assert store.read("t") is None
+    store.append("t", spark.range(2))
+    store.append("t", spark.range(2, 3))
+    assert store.read("t").count() == 3 and store.version("t") == 1
