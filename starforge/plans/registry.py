@@ -1117,6 +1117,21 @@ def _bronze_files(spark, root: str) -> list[str]:
     return [f"{root}/{r['path']}" for r in fs.select("path").collect()]   # one row per file
 
 
+@register("page_deep", """
+WITH n AS (SELECT *, row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice) - 1 AS rn, count(*) OVER () AS total_rows FROM lineitem)
+SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice, total_rows FROM n WHERE rn >= total_rows // 2 AND rn < total_rows // 2 + 500""")
+def q_page_deep(spark, d):
+    """L1: a page from the middle of lineitem, through the directory of its sorted files."""
+    from starforge.operators import pages
+    order = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
+    li = FX.table(spark, d, "lineitem")
+    path = f"{_scratch(spark, 'pages')}/lineitem"
+    n = li.count()
+    pages.write(li, order, path, max(1, n // 12))
+    return pages.page(spark, pages.directory(spark, path, order), order, 500, n // 2) \
+        .select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "total_rows")
+
+
 @register("csv_roundtrip", _dirty_sql(f"SELECT {CLEAN_ORDERS_SELECT} FROM dirty_clean"))
 def q_csv_roundtrip(spark, d):
     """S1, S7, S11, P6, T: dirty orders written as CSV files, read back and cleaned."""
