@@ -1117,6 +1117,75 @@ def _bronze_files(spark, root: str) -> list[str]:
     return [f"{root}/{r['path']}" for r in fs.select("path").collect()]   # one row per file
 
 
+FACT_COLUMNS = {"orders": (["amount"], "order_date_key"), "lineitem": (["l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"], "ship_date_key"),
+                "events": (["value"], "ts_key")}
+FACT_COLUMNS_SQL = {k: f"CAST(strftime({c}, '%Y%m%d') AS INTEGER)" for k, c in (("ship_date_key", "l_shipdate"), ("ts_key", "ts"))}
+FACT_TABLES = {"orders": "fact_orders"}
+
+
+@register("fact_columns", with_ctes(*STAR_ORDERS) + "\nUNION ALL\n".join(
+    [f"SELECT '{t}' AS fact, '{m}' AS \"column\", 'measure' AS role, count({FACT_COLUMNS_SQL.get(m, m)}) AS n, round(CAST(sum({FACT_COLUMNS_SQL.get(m, m)}) AS DOUBLE), 2) AS total FROM {FACT_TABLES.get(t, t)}"
+     for t, (ms, _) in FACT_COLUMNS.items() for m in ms]
+    + [f"SELECT '{t}', '{k}', 'date', count(DISTINCT {FACT_COLUMNS_SQL.get(k, k)}), CAST(min({FACT_COLUMNS_SQL.get(k, k)}) AS DOUBLE) FROM {FACT_TABLES.get(t, t)}"
+       for t, (_, k) in FACT_COLUMNS.items()]))
+def q_fact_columns(spark, d):
+    """The measures and date keys the cube finds in each fact, with what they hold."""
+    dims = {k: ["customer_key", "part_key", "supplier_key"] for k in ("orders", "lineitem", "events")}
+    out = None
+    for name, f in (("orders", _fact_orders(spark, d)), ("lineitem", _fact_lineitem(spark, d)), ("events", _events_fact(spark, d))):
+        ms, keys = cube.measures(f), cube.date_key_columns(f, dims[name])
+        got = f.agg(*[x for m in ms for x in (F.count(m).alias(f"n_{m}"), r2(F.sum(m)).alias(f"t_{m}"))],
+                    *[x for k in keys for x in (F.count_distinct(k).alias(f"n_{k}"), F.min(k).cast("double").alias(f"t_{k}"))])
+        rows = [F.struct(F.lit(c).alias("column"), F.lit(role).alias("role"), F.col(f"n_{c}").alias("n"), F.col(f"t_{c}").alias("total"))
+                for role, cs in (("measure", ms), ("date", keys)) for c in cs]
+        part = got.select(F.lit(name).alias("fact"), F.explode(F.array(*rows)).alias("s")).select("fact", "s.*")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@register("classify_boolean", """
+WITH l AS (SELECT doc_id AS document_id, toxic = 1 AS is_toxic, CASE WHEN doc_id % 7 > 0 THEN toxic = 1 END AS some_toxic FROM labels),
+n AS (SELECT count(*) - count(is_toxic) AS whole, count(*) - count(some_toxic) AS holes FROM l)
+SELECT 'whole' AS entity, whole AS nulls, CASE WHEN whole = 0 THEN 'fact' ELSE 'dimension' END AS class FROM n
+UNION ALL SELECT 'holes', holes, CASE WHEN holes = 0 THEN 'fact' ELSE 'dimension' END FROM n""")
+def q_classify_boolean(spark, d):
+    """A flag counts as a measure where it has no NULL; the NULLs are counted in the labels."""
+    lab = FX.table(spark, d, "labels").select(F.col("doc_id").alias("document_id"), (F.col("toxic") == 1).alias("is_toxic"))
+    holes = lab.select("document_id", F.when(F.col("document_id") % 7 > 0, F.col("is_toxic")).alias("some_toxic"))
+    cats = star.column_catalog(lab, FX.DOMAIN, "whole").unionByName(star.column_catalog(holes, FX.DOMAIN, "holes"))
+    nulls = lab.agg(F.lit("whole").alias("entity"), F.count_if(F.col("is_toxic").isNull()).alias("nulls")).unionByName(
+        holes.agg(F.lit("holes").alias("entity"), F.count_if(F.col("some_toxic").isNull()).alias("nulls")))
+    return star.classify(cats).join(nulls, "entity").select("entity", "nulls", "class")
+
+
+@register("validate_missing", """
+WITH n AS (SELECT (SELECT count(*) FROM orders) AS o, (SELECT count(*) FROM orders WHERE o_totalprice < 0) AS e)
+SELECT 'complete' AS state, 'cuboid_fact_orders_by_month is empty' AS finding FROM n WHERE o = 0
+UNION ALL SELECT 'no facts', 'no fact tables' FROM n
+UNION ALL SELECT 'no facts', 'no cuboid tables' FROM n
+UNION ALL SELECT 'no cuboids', 'no cuboid tables' FROM n
+UNION ALL SELECT 'no cuboids', 'missing apex cuboid for fact_orders' FROM n
+UNION ALL SELECT 'empty cuboid', 'cuboid_fact_orders_by_month is empty' FROM n WHERE e = 0""")
+def q_validate_missing(spark, d):
+    """V1, V2, V4: manifests counted from orders, complete and with something missing, each with its findings."""
+    o = star.with_date_keys(FX.table(spark, d, "orders").withColumnRenamed("o_orderdate", "order_date"))
+    lat = cube.lattice_by_parents(o, [], "order_date_key", ["o_totalprice"])
+    none = cube.lattice_by_parents(o.where("o_totalprice < 0"), [], "order_date_key", ["o_totalprice"])
+    row = lambda df, name, kind, fact: df.agg(F.count(F.lit(1)).alias("rows")).select(
+        F.lit(name).alias("name"), F.lit(kind).alias("kind"), F.lit(fact).cast("string").alias("fact"), "rows")
+    fact = row(o, "fact_orders", "fact", None)
+    apex = row(lat.where("cuboid = 'apex'"), "cuboid_fact_orders_apex", "cuboid", "fact_orders")
+    month = row(lat.where("cuboid = 'by_month'"), "cuboid_fact_orders_by_month", "cuboid", "fact_orders")
+    empty = row(none.where("cuboid = 'by_month'"), "cuboid_fact_orders_by_month", "cuboid", "fact_orders")
+    states = {"complete": fact.unionByName(apex).unionByName(month), "no facts": fact.where("rows < 0"), "no cuboids": fact,
+              "empty cuboid": fact.unionByName(apex).unionByName(empty)}
+    out = None
+    for state, manifest in states.items():
+        part = validate.manifest_findings(manifest).select(F.lit(state).alias("state"), "finding")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 @register("page_deep", """
 WITH n AS (SELECT *, row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice) - 1 AS rn, count(*) OVER () AS total_rows FROM lineitem)
 SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice, total_rows FROM n WHERE rn >= total_rows // 2 AND rn < total_rows // 2 + 500""")
