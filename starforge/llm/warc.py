@@ -53,7 +53,10 @@ def unchunked(body: bytes) -> bytes:
     out, at = [], 0
     while True:
         end = body.index(b"\r\n", at)
-        size = int(body[at:end].split(b";")[0], 16)
+        digits = body[at:end].split(b";")[0].strip(b" \t")
+        if not digits or digits.strip(b"0123456789abcdefABCDEF"):
+            raise ValueError("a chunk's size is no hexadecimal number")
+        size = int(digits, 16)
         at = end + 2
         if size == 0:
             if not body.endswith(b"\r\n"):
@@ -135,14 +138,26 @@ RECORD = ("record_id string, type string, row_id string, segment int, origin str
           "refers_to string, size long, payload binary, block binary, problem string")
 
 
+def whole_number(text: str | bytes | None) -> int | None:
+    """A header's number of ASCII digits, below 2^63; None for anything else."""
+    text = text.decode("latin-1") if isinstance(text, bytes) else text or ""
+    text = text.strip(" \t")
+    return int(text) if text and len(text) < 19 and not text.strip("0123456789") else None
+
+
 def parse(headers: dict[str, str], block: bytes, with_payload: bool) -> dict:
-    """A row of RECORD; whole responses are decoded, segments keep their block."""
+    """A row of RECORD; whole responses are decoded, segments keep their block. A header number that is
+    none is told in ``problem``, and the record is not decoded."""
     name, kind = headers.get("warc-record-id", ""), headers.get("warc-type", "")
-    number = headers.get("warc-segment-number")
-    out = {"record_id": name, "type": kind, "row_id": id_of(name), "segment": int(number) if number else None,
-           "origin": headers.get("warc-segment-origin-id", name) if number else None,
-           "total": int(headers["warc-segment-total-length"]) if "warc-segment-total-length" in headers else None,
+    number, total = headers.get("warc-segment-number"), headers.get("warc-segment-total-length")
+    segment = whole_number(number)
+    out = {"record_id": name, "type": kind, "row_id": id_of(name), "segment": segment if segment is not None and segment < 1 << 31 else None,
+           "origin": headers.get("warc-segment-origin-id", name) if number else None, "total": whole_number(total),
            "digest": headers.get("warc-payload-digest", "").removeprefix("sha1:") or None, "refers_to": headers.get("warc-refers-to")}
+    wrong = [k for k, v, n in (("content-length", headers.get("content-length", "0"), whole_number(headers.get("content-length", "0"))),
+                               ("warc-segment-number", number, out["segment"]), ("warc-segment-total-length", total, out["total"])) if v and n is None]
+    if wrong:
+        return out | {"segment": None, "origin": None, "problem": f"no number in {', '.join(wrong)}"}
     if number:
         return out | {"block": block}
     return out | (decoded(block, out["digest"], with_payload) if kind == "response" else {})
@@ -179,7 +194,7 @@ def read_records(spark: SparkSession, path: str, with_payload: bool = True) -> D
             if text.strip():
                 head, _, rest = text.partition(b"\r\n\r\n")
                 headers = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in head.decode("utf-8", "replace").split("\r\n"))}
-                size = int(headers.get("content-length", 0))
+                size = whole_number(headers.get("content-length", "0")) or 0
                 row = parse(headers, rest[:size], with_payload)
                 if len(rest) < size:
                     row = {**row, "block": None, "payload": None, "size": None, "problem": "the file ends inside the record"}
@@ -189,7 +204,8 @@ def read_records(spark: SparkSession, path: str, with_payload: bool = True) -> D
             head, gap, rest = part.partition(b"\r\n\r\n")
             for line in head.split(b"\r\n") if gap else ():
                 if line[:15].lower() == b"content-length:":
-                    return len(rest) >= int(line[15:])
+                    size = whole_number(line[15:])
+                    return size is None or len(rest) >= size
             return False
 
         for batch in split_batches(batches, "value"):

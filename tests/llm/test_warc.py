@@ -68,3 +68,16 @@ def test_chunked_framing():
     for bad in (b"", b"5\r\nabc\r\n0\r\n\r\n", b"zz\r\n"):
         with pytest.raises(ValueError):
             W.unchunked(bad)
+
+
+def test_damaged_numbers_end_no_job():
+    """Sizes that are no numbers come back with a reason; no loop, no crash."""
+    for body in (b"5\r\nhello\r\n  -8\r\n0\r\n\r\n", b"+5\r\nhello\r\n0\r\n\r\n", b"0x5\r\nhello\r\n0\r\n\r\n", b"1_0\r\nhello\r\n0\r\n\r\n", b"\r\n0\r\n\r\n", b"zz\r\n"):
+        with pytest.raises(ValueError):
+            W.unchunked(body)
+    assert W.unchunked(b"5;x=y\r\nhello\r\n0\r\n\r\n") == b"hello"
+    ok = {"warc-record-id": "<urn:x-page:1:0>", "warc-type": "response", "content-length": "3"}
+    for name, value in (("content-length", "ten"), ("warc-segment-number", "-1"), ("warc-segment-number", "1e3"), ("warc-segment-number", "9" * 30),
+                        ("warc-segment-total-length", "0x10"), ("content-length", "+3")):
+        got = W.parse({**ok, name: value}, b"abc", True)
+        assert got["problem"] == f"no number in {name}" and got["segment"] is None and got["origin"] is None
