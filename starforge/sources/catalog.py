@@ -63,7 +63,7 @@ def found(listing: DataFrame, range_bytes: int = SCAN.RANGE, leaf: int = SCAN.LE
     bad = problems[0]
     for more in problems[1:]:
         bad = bad.unionByName(more)
-    bad = bad.select("uri", F.col("problem_at").alias("__at"), F.lit(True).alias("__bad"))
+    bad = bad.select("uri", F.col("problem_at").alias("__at"), F.lit(True).alias("__bad")).checkpoint(eager=True)      # the files are parsed once, not by every reader of the scan
     ok = F.col("__bad").isNull()
     return scanned.join(bad, "uri", "left").withColumns({
         "decodable": F.col("decodable") & ok,

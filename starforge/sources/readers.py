@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starforge.config import NA_TOKENS
+from starforge.config import NA_TOKENS, local_df
 from starforge.functions.json import flatten
 from starforge.sources.catalog import found, plain
 from starforge.sources.scan import can_open, csv_records, json_elements
@@ -38,7 +38,9 @@ def scanned_files(spark: SparkSession, paths: list[str], fmt: str, **sizes: int)
 
 
 def _of(scanned: DataFrame, paths: list[str]) -> DataFrame:
-    return scanned.where(plain(F.col("uri")).isin([_strip_uri(p) for p in paths]))
+    """The rows of some files; joined, as a list of thousands of paths would go along with every task."""
+    wanted = local_df(scanned.sparkSession, [(p,) for p in sorted({_strip_uri(p) for p in paths})], "__path string")
+    return scanned.join(F.broadcast(wanted), plain(F.col("uri")) == F.col("__path"), "left_semi")
 
 
 def csv_layout(scanned: DataFrame) -> dict[str, tuple[str, str, bool]]:

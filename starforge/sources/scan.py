@@ -61,11 +61,13 @@ def can_open(uri: str) -> bool:
         return False
 
 
-def chunks(f, offset: int, length: int) -> Iterator[bytes]:
-    """Bytes of a range, CHUNK at a time, cut at multiples of CHUNK from its start."""
+def chunks(f, offset: int, length: int, first: int | None = None) -> Iterator[bytes]:
+    """Bytes of a range, CHUNK at a time, or ``first`` and then twice as many each time where that is less."""
     f.seek(offset)
+    size = max(1, min(CHUNK, first or CHUNK))
     while length > 0:
-        data = f.read(min(CHUNK, length))
+        data = f.read(min(size, length))
+        size = min(CHUNK, 2 * size)
         if not data:
             return
         yield data
@@ -313,14 +315,18 @@ def arrow_schema(ddl: str) -> pa.Schema:
 
 def ranges(files: DataFrame, range_bytes: int) -> DataFrame:
     """(uri, format, size_bytes, part, offset, length), dealt out so that a task has about one range,
-    or many small files."""
+    or many small ones."""
     spark = files.sparkSession
     last = F.greatest(F.ceil(F.col("size_bytes") / range_bytes) - 1, F.lit(0))
     parts = files.select("uri", "format", "size_bytes", F.explode(F.sequence(F.lit(0), last)).alias("part")).withColumns(
         {"offset": F.col("part") * range_bytes}).withColumn("length", F.least(F.lit(range_bytes), F.col("size_bytes") - F.col("offset")))
     total = files.agg(F.sum("size_bytes").alias("bytes"), F.count("*").alias("n")).first()     # two scalars
-    tasks = max((total["bytes"] or 0) // range_bytes, min(total["n"], 2 * spark.sparkContext.defaultParallelism), 1)
-    return parts.repartition(int(min(tasks, 100_000)), "uri", "part")
+    return parts.repartition(_tasks(spark, total["bytes"], total["n"], range_bytes), "uri", "part")
+
+
+def _tasks(spark: SparkSession, size: int | None, n: int, range_bytes: int) -> int:
+    """Tasks for ``n`` files or ranges of ``size`` bytes in all: one a range, but LEAF bytes each at least."""
+    return int(min(100_000, max((size or 0) // max(range_bytes, LEAF), min(n, 2 * spark.sparkContext.defaultParallelism), 1)))
 
 
 def scan(files: DataFrame, range_bytes: int = RANGE, leaf: int = LEAF) -> DataFrame:
@@ -373,7 +379,7 @@ def csv_record_bytes(f, size: int, offset: int, length: int, inside: int) -> Ite
     """(first byte, bytes) of the records that begin behind a line break of this range (or at the file's start)."""
     end, odd, at = offset + length, inside, offset
     open_at, held = (0, []) if offset == 0 else (None, [])
-    for data in chunks(f, offset, size - offset):
+    for data in chunks(f, offset, size - offset, length):
         array = np.frombuffer(data, np.uint8)
         quotes, breaks = np.flatnonzero(array == 0x22), np.flatnonzero(array == 0x0A)
         breaks = breaks[(np.searchsorted(quotes, breaks) + odd) % 2 == 0]
@@ -400,7 +406,7 @@ def json_element_bytes(f, size: int, offset: int, length: int, state: int, depth
     element that isn't closed."""
     end, at = offset + length, offset
     open_at, held, first = None, [], False
-    for data in chunks(f, offset, size - offset):
+    for data in chunks(f, offset, size - offset, length):
         array = np.frombuffer(data, np.uint8)
         plain, leading = unescaped_quotes(array)
         quotes = plain if state != ESCAPED or leading < 0 else np.setxor1d(plain, [leading])
@@ -476,11 +482,13 @@ def _records(splits: DataFrame, cut) -> DataFrame:
 
 
 def _splits(scanned: DataFrame) -> DataFrame:
-    """A row per range of scanned files (uri, size_bytes, utf8, splits), about one to a task."""
-    n = scanned.agg(F.sum(F.size("splits"))).first()[0] or 1        # one scalar
+    """A row per range of scanned files (uri, size_bytes, utf8, splits), dealt out so that a task has about
+    one range, or many small ones."""
     rows = scanned.select("uri", "size_bytes", "utf8", F.coalesce(F.octet_length("header"), F.lit(0)).alias("begin"),
                           F.explode("splits").alias("s")).select("uri", "size_bytes", "utf8", "begin", "s.*")
-    return rows.repartition(int(min(n, 100_000)), "uri", "offset")      # a given number is not coalesced
+    total = rows.agg(F.sum("length").alias("bytes"), F.max("length").alias("longest"), F.count("*").alias("n")).first()     # three scalars
+    tasks = _tasks(scanned.sparkSession, total["bytes"], total["n"], total["longest"] or 1)
+    return rows.repartition(tasks, "uri", "offset")      # a given number is not coalesced
 
 
 def csv_records(scanned: DataFrame) -> DataFrame:

@@ -140,3 +140,37 @@ def test_whole_files_where_a_store_has_no_positions(spark, tmpdir_path, monkeypa
     by_position = sorted(map(str, S.scan(files(spark, paths)).collect()))
     monkeypatch.setattr(S, "can_open", lambda uri: False)
     assert sorted(map(str, S.scan(files(spark, paths)).collect())) == by_position
+
+
+def test_small_ranges_and_files_share_tasks(spark, tmpdir_path):
+    """A task takes LEAF bytes at least, and a range reads its own bytes and the end of its last record only."""
+    from starforge.sources.readers import read_json, scanned_files
+    big, rows = os.path.join(tmpdir_path, "big.json"), [{"k": i, "s": "x]" * (i % 9)} for i in range(4_000)]
+    with open(big, "w") as f:
+        json.dump(rows, f)
+    small = []
+    for i in range(40):
+        small.append(os.path.join(tmpdir_path, f"small{i}.json"))
+        with open(small[-1], "w") as f:
+            json.dump([{"k": 10_000 + i, "s": "y"}], f)
+    found = scanned_files(spark, [big, *small], ".json", range_bytes=256, leaf=256)
+    elements = S.json_elements(found)
+    assert elements.rdd.getNumPartitions() <= 2 * spark.sparkContext.defaultParallelism
+    listing = found.select("uri", "size_bytes", F.lit(".json").alias("format"))
+    assert S.ranges(listing, 256).rdd.getNumPartitions() <= 2 * spark.sparkContext.defaultParallelism
+    got = read_json(spark, [big, *small], scanned=found)
+    want = sorted((str(r["k"]), r["s"]) for r in [*rows, *({"k": 10_000 + i, "s": "y"} for i in range(40))])
+    assert sorted((r["k"], r["s"]) for r in got.select("k", "s").collect()) == want
+    read = []
+
+    class Counted(io.BytesIO):
+        def read(self, n=-1):
+            data = super().read(n)
+            read.append(len(data))
+            return data
+
+    size = os.path.getsize(big)
+    with open(big, "rb") as f:
+        text = f.read()
+    list(S.json_element_bytes(Counted(text), size, 0, 256, S.OUTSIDE, 0, 0))
+    assert sum(read) < 2_000 < size
