@@ -24,9 +24,11 @@ def write(df: DataFrame, order_by: list[str], path: str, rows_per_file: int = RO
 
 
 def directory(spark: SparkSession, path: str, order_by: list[str]) -> DataFrame:
-    """(file, rows, before): one row per file, from the order columns alone."""
-    key = F.struct(*[F.col(f"`{c}`") for c in order_by])
-    files = spark.read.parquet(path).groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count("*").alias("rows"), F.min(key).alias("first"))
+    """(file, rows, before): one row per file, from the order columns alone. The files are sorted, so the
+    first row of each tells its place (the least of a struct would be found by sorting every row)."""
+    file, table = F.col("_metadata.file_path").alias("file"), spark.read.parquet(path)
+    first = table.where("_metadata.row_index = 0").select(file, F.struct(*[F.col(f"`{c}`") for c in order_by]).alias("first"))
+    files = table.groupBy(file).agg(F.count("*").alias("rows")).join(first, "file")
     w = Window.orderBy("first").rowsBetween(Window.unboundedPreceding, -1)      # over files, not rows
     return files.select("file", "rows", F.coalesce(F.sum("rows").over(w), F.lit(0)).alias("before"))
 

@@ -39,3 +39,24 @@ def test_limits_and_empty_tables(spark, tmpdir_path):
             pages.page(spark, files, ["id"], *bad)
     with pytest.raises(ValueError):
         pages.page(spark, files, ["id"])
+
+
+def test_files_of_the_deep_page_do_not_grow_with_the_table(spark, tmpdir_path, monkeypatch):
+    from starforge.plans import registry
+    n = 6_000
+    spark.range(n).select((F.col("id") * 7919 % n).alias("l_orderkey"), F.lit(1).alias("l_linenumber"), F.col("id").alias("l_partkey"),
+                          F.lit(2).alias("l_suppkey"), (F.col("id") / 4).alias("l_extendedprice")).write.parquet(tmpdir_path + "/lineitem.parquet")
+    sizes, plain = [], pages.write
+    monkeypatch.setattr(pages, "ROWS_PER_FILE", 200)
+    monkeypatch.setattr(pages, "write", lambda df, order, path, rows: (sizes.append(rows), plain(df, order, path, rows)))
+    got = [(r["l_orderkey"], r["total_rows"]) for r in registry.q_page_deep(spark, tmpdir_path).collect()]
+    assert got == [(k, n) for k in range(3_000, 3_500)] and sizes == [200]
+
+
+def test_the_directory_sorts_no_rows(spark, tmpdir_path):
+    df = spark.range(5_000).select((F.col("id") * 7919 % 5_000).alias("k"), F.col("id").cast("string").alias("s"))
+    pages.write(df, ["k", "s"], tmpdir_path + "/t", 500)
+    files = pages.directory(spark, tmpdir_path + "/t", ["k", "s"])
+    assert "SortAggregate" not in files._jdf.queryExecution().executedPlan().toString()
+    rows = files.orderBy("before").collect()
+    assert [r["before"] for r in rows] == [sum(q["rows"] for q in rows[:i]) for i in range(len(rows))] and sum(r["rows"] for r in rows) == 5_000
