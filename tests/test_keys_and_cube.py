@@ -149,3 +149,17 @@ def test_every_cuboid_is_validated(spark):
         assert bad(lat.where(~(here & (F.col("price_sum") == one)))) == [name]                               # a group is missing
     moved = lat.withColumn("a_key", F.when((F.col("cuboid") == "by_a_key") & F.col("a_key").isNull(), 99).otherwise(F.col("a_key")))
     assert bad(moved) == ["by_a_key"]
+
+
+def test_lattice_shuffles_the_finest_groups_once(spark, tmpdir_path):
+    from starforge.operators import cube
+    path = tmpdir_path + "/fact"
+    spark.range(5_000).select((F.col("id") % 40).alias("a_key"), F.when(F.col("id") % 7 > 0, F.col("id") % 90).alias("b_key"),
+                              (F.lit(20260101) + F.col("id") % 12 * 100).cast("int").alias("d_key"), (F.col("id") % 13).alias("v")).write.parquet(path)
+    fact = spark.read.parquet(path)
+    got = cube.lattice_by_parents(fact, ["a_key", "b_key"], "d_key", ["v"])
+    rows = got.collect()
+    plan = got._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("FileScan parquet") == 1 and "ReusedExchange" in plan
+    want = cube.lattice(fact, ["a_key", "b_key"], "d_key", ["v"]).select(got.columns).collect()
+    assert sorted(map(str, rows)) == sorted(map(str, want))
