@@ -44,7 +44,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starforge.llm.common import BlockTable, materialize, mix64, ordered, raw, read_table
+from starforge.llm.common import BlockTable, lean, lean_pair, materialize, mix64, ordered, raw, read_table
 from starforge.llm.substring_dedup import sliding_min
 from starforge.llm.suffix_tree import bucket_edges, pack, steps, unpack
 from starforge.session import shuffle_partitions
@@ -257,19 +257,19 @@ def packed_strings(buckets: int, hot_buckets: int, window: int, minimiser: int):
             block = BlockRuns(texts, window, minimiser)
             name, state = texts.column("block")[0].as_py(), states_of(block, answers)[block.number]
             ids = block.ids[block.row]
-            k = np.flatnonzero(state == 1)
+            k = np.flatnonzero(state > 0)       # of hot ones too: equal strings need no windows
             k = k[np.lexsort((block.start[k], block.row[k], ids[k]))]
             firsts, strings = Firsts(), block.strings(k)
             repeat = np.array([firsts.repeats(*x) for x in zip(strings, ids[k].tolist(), block.row[k].tolist())], bool)
             again = np.flatnonzero(repeat)
             local = [(block.row[k][again], block.start[k][again], (block.start + block.size)[k][again])]
-            first = np.flatnonzero(~repeat)
+            first = np.flatnonzero(~repeat & (state[k] == 1))
             for bucket, x in by_bucket((mix64(block.minimiser[k[first]]) % np.uint64(buckets)).astype(np.int64)):
                 x = first[x]
                 y = k[x]
                 rows.append((STRINGS, bucket, name, pack(block.minimiser[y]), pack(block.again[y].view(np.uint8)), pack(ids[y]), pack(block.row[y]),
                              pack(block.start[y]), pack(block.size[y]), squeezed(b"".join([strings[z] for z in x.tolist()]))))
-            one, two, row, start = hot_windows(block, np.flatnonzero(state == 2))
+            one, two, row, start = hot_windows(block, k[~repeat & (state[k] == 2)])
             if len(one):
                 number = numbered_pairs(one, two)
                 ids = block.ids[row]
@@ -335,6 +335,8 @@ def merged(strings: list[bytes], shard: np.ndarray, window: int, step: int = STE
         code = (code << np.uint64(8)) | text[k:len(text) - step + 1 + k]
     kinds, letter = np.unique(code, return_inverse=True)
     letter = letter.astype(np.uint16 if len(kinds) <= 1 << 16 else np.uint32)
+    del code
+    number = np.int32 if len(text) < 1 << 31 else np.int64
     # suffix order of each shard, in turn
     which = shard[by_shard]
     suffix = []
@@ -342,18 +344,18 @@ def merged(strings: list[bytes], shard: np.ndarray, window: int, step: int = STE
         own = np.flatnonzero(which == s)
         joined = np.concatenate([np.concatenate((text[begin[k]:begin[k] + size[k]] + 1, np.zeros(1, np.uint8))) for k in own.tolist()])
         at = np.concatenate([np.arange(begin[k], begin[k] + size[k] + 1) for k in own.tolist()])
-        suffix.append(at[suffix_order(joined, begin[own])])
+        suffix.append(at[suffix_order(joined, begin[own])].astype(number))
     suffix = np.concatenate(suffix)
-    owner = np.searchsorted(begin, suffix, side="right") - 1
-    offset = suffix - begin[owner]
-    left = size[owner] - offset                                     # bytes from here to the string's end
+    owner = (np.searchsorted(begin, suffix, side="right") - 1).astype(number)
+    offset = suffix - begin.astype(number)[owner]
+    left = size.astype(number)[owner] - offset                      # bytes from here to the string's end
     rounds = window // step
     # the suffixes from `window` bytes on, shard by shard: an order by no letter at all
     interleave = which[owner[(offset >= window) & (left >= 0)]].astype(np.uint8)
     group = np.zeros(len(interleave), np.int64)
     for done in range(rounds + 1):
         here = np.flatnonzero((offset >= step * (rounds - done)) & (left >= step * done))
-        place = np.empty(len(here), np.int64)
+        place = np.empty(len(here), number)
         place[np.argsort(interleave, kind="stable")] = suffix[here]  # a shard's k-th entry is its k-th suffix
         if done == rounds:
             at = np.searchsorted(begin, place, side="right") - 1
@@ -455,8 +457,14 @@ def span_table(blocks: list[int], row: np.ndarray, start: np.ndarray, end: np.nd
 # -- hot minimisers ----------------------------------------------------------------
 def hot_windows(block: BlockRuns, which: np.ndarray):
     """(digest, second digest, row, start) of every window of some of the block's strings."""
-    if not len(which):
-        return (np.zeros(0, np.uint64),) * 2 + (np.zeros(0, np.int64),) * 2
+    found = [(np.zeros(0, np.uint64),) * 2 + (np.zeros(0, np.int64),) * 2]
+    piece = np.cumsum(block.size[which]) // (8 * PIECE)         # hashed together
+    found += [windows_of(block, which[piece == p]) for p in np.unique(piece).tolist()]
+    return tuple(np.concatenate(x) for x in zip(*found))
+
+
+def windows_of(block: BlockRuns, which: np.ndarray):
+    """The same for strings of few bytes in all."""
     size, window = block.size[which], block.window
     data = np.frombuffer(b"".join(block.strings(which)), np.uint8)
     n = size - window + 1
@@ -496,23 +504,23 @@ def repeated_spans(blocks: BlockTable, n_blocks: int, window: int = WINDOW, mini
     least = shuffle_partitions(blocks.spark)
     keys = max(least, math.ceil(n_blocks * block_bytes / 45 / KEYS_PER_BUCKET))
     rows = blocks.rows.select("block", "pos", "doc_id", "text")
-    states = materialize(rows.groupBy("block").applyInArrow(block_keys(keys, window, minimiser), "bucket int, block long, keys binary, info binary")
+    states = materialize(rows.groupBy("block").applyInArrow(lean(block_keys(keys, window, minimiser)), "bucket int, block long, keys binary, info binary")
                          .groupBy("bucket").applyInArrow(find_repeated(hot_bytes), STATES), "states")
     total = states.filter("block = -1").agg(F.sum("size").alias("size"), F.sum("hot").alias("hot")).first()
     answers = states.filter("block >= 0").select("block", "bucket", "state")
     buckets, hot_buckets = (max(least, math.ceil((total[c] or 0) / BUCKET_BYTES)) for c in ("size", "hot"))
     strings = materialize(rows.groupBy("block").cogroup(answers.groupBy("block"))
-                          .applyInArrow(packed_strings(buckets, hot_buckets, window, minimiser), PACKED), "strings")
+                          .applyInArrow(lean_pair(packed_strings(buckets, hot_buckets, window, minimiser)), PACKED), "strings")
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ends = [pack(unpack(s, np.int64) + unpack(n, np.int64)) for s, n in zip(b.column("starts").to_pylist(), b.column("sizes").to_pylist())]
             yield pa.RecordBatch.from_arrays([b.column("block"), b.column("pos"), b.column("starts"), pa.array(ends, pa.binary())], ["block", "pos", "starts", "ends"])
 
-    spans = strings.filter(F.col("kind") == STRINGS).groupBy("bucket").applyInArrow(merge_bucket(window, unit_bytes), SPANS) \
+    spans = strings.filter(F.col("kind") == STRINGS).groupBy("bucket").applyInArrow(lean(merge_bucket(window, unit_bytes)), SPANS) \
         .unionByName(strings.filter(F.col("kind") == LOCAL).select("block", "pos", "starts", "sizes").mapInArrow(local, SPANS))
     if total["hot"]:
-        spans = spans.unionByName(strings.filter(F.col("kind") == HOT).groupBy("bucket").applyInArrow(merge_hot(window), SPANS))
+        spans = spans.unionByName(strings.filter(F.col("kind") == HOT).groupBy("bucket").applyInArrow(lean(merge_hot(window)), SPANS))
     return materialize(spans, "spans")
 
 
@@ -541,7 +549,7 @@ def removed(docs: DataFrame, block_bytes: int = BLOCK_BYTES, **options) -> DataF
                          "kept_sha256": pa.array([x[3] for x in out], pa.string())})
 
     spans = repeated_spans(blocks, n_blocks, block_bytes=block_bytes, **options)
-    out = materialize(blocks.beside(spans).applyInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"), "removed")
+    out = materialize(blocks.beside(spans).applyInArrow(lean_pair(run), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"), "removed")
     blocks.drop()
     return out
 

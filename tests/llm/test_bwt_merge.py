@@ -111,3 +111,22 @@ def test_suffix_order():
 def test_query_reads_the_table(spark):
     rows = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()]
     assert found(B.query(spark, "/root/testdata/sf0.001")) == brute(rows)
+
+
+def test_equal_hot_strings_of_a_block_are_hashed_once(monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+
+    from starforge.llm import bwt_merge as M
+    text = bytes(np.random.default_rng(1).integers(97, 123, 3_000, dtype=np.uint8)).decode()
+    table = pa.table({"block": pa.array([0] * 50, pa.int64()), "pos": pa.array(range(50), pa.int32()), "doc_id": pa.array(range(50), pa.int64()), "text": [text] * 50})
+    keys = M.BlockRuns(table, M.WINDOW, M.MINIMISER).keys
+    answers = pa.table({"bucket": pa.array([0], pa.int32()), "state": pa.array([M.pack(np.full(len(keys), 2, np.uint8))], pa.binary())})
+    hashed, plain = [], M.hot_windows
+    monkeypatch.setattr(M, "hot_windows", lambda block, which: (hashed.append(int(block.size[which].sum())), plain(block, which))[1])
+    rows = M.packed_strings(4, 4, M.WINDOW, M.MINIMISER)(table, answers).to_pylist()
+    assert hashed[0] < 10 * len(text)
+    gone = np.concatenate([M.unpack(r["pos"], np.int64) for r in rows if r["kind"] == M.LOCAL])
+    assert sorted(set(gone.tolist())) == list(range(1, 50))
+    sent = [r for r in rows if r["kind"] == M.HOT]
+    assert sum(len(M.unpack(r["ids"], np.int64)) for r in sent) <= len(text) - M.WINDOW + 1
