@@ -18,15 +18,17 @@ token that follows the suffix w times gains at most log((w - 1 + MASS * p) / ((n
 by any longer one, with n the larger of w and MIN_CONTEXT. A context whose training tokens
 have less than ``MIN_GAIN`` of such room is not live: nothing longer can be retained, and
 nothing longer is counted. Depths end when no context is live or none is frequent; each costs
-two rounds.
+one round, which asks for the gains of its contexts and for the counts of runs one token longer
+(before it is known which of the contexts are live: those are of no use where they are not).
 
 All counts cover all training texts and none is collected or broadcast. Texts are
 tokenised once into blocks of about ``BLOCK_BYTES``, kept as packed token numbers in a
-table bucketed by block. Per depth, a block asks for the totals of its distinct keys
+table bucketed by block. Per round, a block asks for the totals of its distinct keys
 (64-bit hashes of context and token): packed arrays go to the keys' buckets, are summed
-there with everybody else's, and the totals return in the order asked, to a second table
-bucketed alike, so that neither is shuffled again by later rounds. A frequent key is thus
-one entry per block, never one per occurrence. A key frequent enough to be a context also
+there with everybody else's, and the totals return in the order asked, to the round's table,
+bucketed alike, where the block left its state: what is known of the tokens whose context is
+under test. A round reads the texts, the state and the replies of the round before and nothing
+older, so its work follows the tokens still open. A frequent key is thus one entry per block, never one per occurrence. A key frequent enough to be a context also
 gets its number within the bucket, under which its gains (in whole SCALEths of a nat, so
 that sums don't depend on their order) are gathered.
 
@@ -44,11 +46,12 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starforge.llm.common import crc_column, materialize, mix64, raw, read_table, scratch_path, split_batches
+from starforge.llm.common import crc_column, lean, lean_pair, materialize, mix64, read_table, scratch_path, split_batches
 from starforge.llm.substring_dedup import word_hashes
 from starforge.session import shuffle_partitions
 
@@ -62,7 +65,7 @@ BASE = 0.1                  # added to every unigram count
 BLOCK_BYTES = 15 << 20
 MAX_TABLE_BUCKETS = 50_000
 END = np.uint64(0x5EED0F0E2D000001)
-WORDS, NEXT, GAIN = "words", "next", "gain"
+NEXT, GAIN = "next", "gain"
 RETAINED, LIVE = 1, 2
 
 
@@ -91,181 +94,254 @@ def bucket_edges(keys: np.ndarray, buckets: int) -> np.ndarray:
 
 def numbered(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct keys, and the number of each entry's key among them."""
-    code, distinct = pd.factorize(keys)
-    order = np.argsort(distinct)
-    number = np.empty(len(order), np.int64)
-    number[order] = np.arange(len(order))
-    return distinct[order], number[code]
+    order = np.argsort(keys)
+    keys = keys[order]
+    first = np.ones(len(keys), bool)
+    np.not_equal(keys[1:], keys[:-1], out=first[1:])
+    number = np.empty(len(keys), np.int32 if len(keys) < 2**31 else np.int64)
+    number[order] = np.cumsum(first, dtype=number.dtype) - 1
+    return keys[first], number
 
 
 # -- one block of texts -------------------------------------------------------
-def tokens(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all tokens, and the number of tokens of each text."""
-    split = [t.lower().split() if t else [] for t in texts]
-    size = np.array([len(s) + 1 for s in split], np.int64)
-    token = np.empty(int(size.sum()), np.uint64)
-    is_end = np.zeros(len(token), bool)
-    is_end[np.cumsum(size) - 1] = True
-    token[~is_end] = word_hashes([w for s in split for w in s])
-    token[is_end] = END
+def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all tokens, and the number of tokens of each text (strings)."""
+    words = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    n_parts, parts = pc.list_value_length(words).to_numpy(), words.flatten()
+    is_word = pc.binary_length(parts).to_numpy() > 0            # there is an empty part before leading white space
+    size = np.bincount(np.repeat(np.arange(len(n_parts)), n_parts)[is_word], minlength=len(n_parts)) + 1
+    token = np.full(int(size.sum()), END)
+    inner = np.ones(len(token), bool)
+    inner[np.cumsum(size) - 1] = False
+    token[inner] = word_hashes(parts.filter(pa.array(is_word)).cast(pa.binary()))
     return token, size
 
 
 class Block:
-    """Tokens of a block's texts, and what is known of them so far."""
-
-    def __init__(self, token: np.ndarray, size: np.ndarray, train: np.ndarray):
-        self.token, self.size, self.end = token, size, np.cumsum(size)
-        self.place = np.arange(len(token)) - np.repeat(self.end - size, size)
-        self.train = np.repeat(train, size)
-        self.at, self.key = np.arange(len(token)), token    # tokens asked for at the last depth, and their keys
-        self.asked = np.ones(len(token), bool)
-        self.count: list[np.ndarray | None] = []    # per depth: training count of the last depth + 1 tokens (the first and last three are kept)
-        self.slot: list[tuple | None] = []          # per depth: ends of frequent runs, and their numbers among the block's frequent keys
-        self.frequent: list[int] = []               # per depth: how many of the block's keys are frequent
-        self.numbers: list[list] = []               # per depth: (bucket, packed numbers there) of these
-        self.live = np.ones(len(token), bool)       # whether something longer than the last depth's context may be retained
-        self.passed = np.zeros(len(token), np.int8) # contexts passed over in a row so far
-        self.inside = np.zeros(len(token), bool)    # whether a context was retained
-        self.base = self.p = np.zeros(0)            # of each token, by itself and in its longest retained context
-
-    def wanted(self, depth: int) -> tuple[np.ndarray, np.ndarray]:
-        """Tokens whose count with ``depth`` tokens before them can matter, and the hashes of these
-        runs: as a prediction, the context is frequent enough, its suffix live, and the shorter run
-        occurs in training at all; as the next token's context, it may be frequent and that one's
-        suffix is live. Both follow from the run's tokens alone."""
+    """Tokens of a block's texts, and what the rounds so far left open: the contexts under test, the
+    candidates for the next depth, and the runs asked for. What is settled is in sums by text."""
+
+    def __init__(self, code: np.ndarray, table: np.ndarray, size: np.ndarray, train: np.ndarray):
+        self.code, self.table, self.size, self.learner = code, table, size, train
+        self.end = np.cumsum(size)
+        self.text = np.repeat(np.arange(len(size), dtype=np.int32), size)
+        self.words = np.zeros(0, np.int64)          # totals of the words by key, while the contexts under test are these
+        self.asked = np.ones(len(code), bool)       # ends of the runs asked for in the last round
+        self.at = np.zeros(0, np.int64)             # tokens whose context is under test, and of each of these:
+        self.number = np.zeros(0, np.int32)         # the number of the context among the block's frequent keys
+        self.count = np.zeros(0, np.int64)          # training count of context and token
+        self.p = np.zeros(0)                        # probability in the longest retained context
+        self.inside = np.zeros(0, bool)             # whether a context was retained
+        self.passed = np.zeros(0, np.int8)          # contexts passed over in a row so far
+        self.longer = np.zeros(0, bool)             # whether the context of one more token is frequent
+        self.total = np.zeros(0, np.int64)          # per number: training count of the context
+        self.longer_number = np.zeros(0, np.int32)  # of those with a frequent longer context: its number
+        self.longer_total = np.zeros(0, np.int64)   # per number of a longer context
+        self.numbers: list[tuple[int, bytes]] = []  # (bucket, packed numbers there) of the longer contexts
+        self.under_test: list[tuple[int, bytes]] = []           # the same of those under test
+        self.base = self.score = np.zeros(len(size))            # by text
+        self.n_known = self.n_inside = np.zeros(len(size), np.int64)
+
+    # -- between rounds
+    def state(self) -> list[bytes]:
+        derived = len(self.words) > 0               # from the words, again
+        contexts = () if derived else (self.at, self.number, self.p, self.inside, self.passed)
+        at, number, p, inside, passed = contexts or (np.zeros(0, np.int64), self.number[:0], self.p[:0], self.inside[:0], self.passed[:0])
+        by_text = [x[:0] if derived else x for x in (self.total, self.base, self.score, self.n_known, self.n_inside)]
+        p, values = pd.factorize(p)
+        under_test = np.zeros(len(self.code), bool)
+        under_test[at] = True
+        return [pack(x) for x in (
+            self.words, np.packbits(self.asked), np.packbits(under_test), number, p.astype(np.int32), values, np.packbits(inside), passed,
+            self.count, np.packbits(self.longer), self.longer_number, self.longer_total, *by_text, np.array([b for b, _ in self.numbers], np.int32))] + [
+            n for _, n in self.numbers]
+
+    def restore(self, state: list[bytes], known: dict) -> None:
+        kinds = ("i8", "u1", "u1", "i4", "i4", "f8", "u1", "i1", "i8", "u1", "i4", "i8", "i8", "f8", "f8", "i8", "i8", "i4")
+        (words, asked, under_test, self.number, p, values, inside, self.passed, self.count, longer, self.longer_number, self.longer_total,
+         self.total, self.base, self.score, self.n_known, self.n_inside, buckets) = (unpack(x, k) for x, k in zip(state, kinds))
+        bits = lambda x, n: np.unpackbits(x, count=n).view(bool)
+        self.asked, self.at = bits(asked, len(self.code)), np.flatnonzero(bits(under_test, len(self.code)))
+        self.p, self.inside = values[p], bits(inside, len(p))
+        self.numbers = list(zip(buckets.tolist(), state[len(kinds):]))
+        if len(words):
+            self.learn_words(words, known)
+        self.longer = bits(longer, len(self.count))
+
+    # -- runs of tokens
+    def far(self, depth: int) -> np.ndarray:
+        """Which tokens have more than ``depth`` tokens before them in their text."""
+        far = np.ones(len(self.code), bool)
+        for place in range(depth + 1):
+            far[np.minimum(self.end - self.size + place, self.end - 1)] = False
+        return far
+
+    def extend(self, depth: int, at: np.ndarray, key: np.ndarray) -> np.ndarray:
+        """Hashes of the runs of ``depth`` tokens before each and the token."""
+        with np.errstate(over="ignore"):
+            step = lambda words: mix64(words + np.uint64(depth)) * np.uint64(2 * depth + 1)     # noqa: E731
+            code = self.code[at - depth]
+            return mix64(key + (step(self.table)[code] if len(self.table) < len(code) else step(self.table[code])))
+
+    def runs(self, depth: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ends and hashes of the runs asked for in the round of ``depth``."""
+        at = np.flatnonzero(self.asked)
+        key = self.table[self.code[at]]
+        for d in range(1, depth + 1):
+            key = self.extend(d, at, key)
+        return at, key
+
+    def ask(self, at: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct keys, sorted, and their training counts in this block."""
+        keys, inverse = numbered(key)
+        return keys, np.bincount(inverse[self.learner[self.text[at]] > 0], minlength=len(keys))
+
+    def ask_words(self) -> tuple[np.ndarray, np.ndarray]:
+        """The same for the words."""
+        order = np.argsort(self.table)
+        return self.table[order], np.bincount(self.code[self.learner[self.text] > 0], minlength=len(order))[order]
+
+    def learn_words(self, totals: np.ndarray, known: dict) -> np.ndarray:
+        """Takes in the totals of the words, puts all contexts of one token under test and returns the tokens' counts."""
+        order, often = np.argsort(self.table), totals >= MIN_CONTEXT
+        word, rank = np.empty(len(order), totals.dtype), np.empty(len(order), np.int32)
+        word[order], rank[order] = totals, np.cumsum(often) - 1
+        p, everywhere = (word + BASE) / (known["N"] + BASE * (known["V"] + 1)), slice(None)
+        self.base = self.score = self.per_text(everywhere, np.log10(p)[self.code])
+        self.n_known = self.per_text(everywhere, (word > 0)[self.code]).astype(np.int64)
+        self.n_inside = np.zeros(len(self.size), np.int64)
+        frequent = (word >= MIN_CONTEXT)[self.code]
+        frequent[self.end - 1] = False
+        self.at = np.flatnonzero(frequent) + 1
+        self.number, self.p, self.total, self.words = rank[self.code[self.at - 1]], p[self.code[self.at]], totals[often], totals
+        self.inside, self.passed = np.zeros(len(self.at), bool), np.zeros(len(self.at), np.int8)
+        return word[self.code]
+
+    def learn(self, depth: int, totals: np.ndarray, numbers: list[tuple[int, bytes]], known: dict) -> tuple[np.ndarray, np.ndarray]:
+        """Takes in the totals of the runs of ``depth``, and returns those to ask for next (ends and hashes).
+
+        These are the runs one token longer whose count can matter: as a prediction, the context is
+        frequent enough and under test, and the shorter run occurs in training at all; as the next
+        token's context, it may be frequent and its suffix is under test. Both follow from the run's
+        tokens alone."""
+        self.under_test, self.numbers = self.numbers, numbers
+        totals = totals.astype(np.int32) if totals.max(initial=0) < 2**31 else totals
+        at, key = self.runs(depth)
         if depth == 0:
-            return self.at, self.key
-        far = self.place[self.at] >= depth
-        at, key = self.at[far], self.key[far]
-        here, before = self.count[depth - 1][at], self.count[depth - 1][at - 1]
-        predicted = self.live[at] & (before >= MIN_CONTEXT) & (here >= 1)
-        follows = self.live[np.minimum(at + 1, len(self.live) - 1)] & (self.token[at] != END)
-        context = follows & (here >= MIN_CONTEXT) & ((before >= MIN_CONTEXT) | ~self.asked[at - 1])
-        keep = predicted | context
+            count = found = self.learn_words(totals.astype(np.int64), known).astype(totals.dtype)
+        else:
+            _, inverse = numbered(key)
+            found, count = totals[inverse], np.zeros(len(self.code), totals.dtype)
+            count[at] = found
+            self.count = count[self.at].astype(np.int64)
+        follows = np.ones(len(self.code), bool)
+        follows[self.end - 1] = False
+        tested = np.zeros(len(self.code) + 1, bool)
+        tested[self.at[self.passed < PASSED]] = True
+        follows &= tested[1:]
+        ends = (found >= MIN_CONTEXT) & follows[at]
+        if depth:
+            often = totals >= MIN_CONTEXT
+            rank = (np.cumsum(often) - 1).astype(np.int32)
+            longer = np.zeros(len(self.code) + 1, bool)
+            longer[at[ends] + 1] = True
+            self.longer, self.longer_number, self.longer_total = longer[self.at], rank[inverse[ends]], totals[often].astype(np.int64)
+            del inverse
+
+        far = self.far(depth)[at]
+        at, key, here, context = at[far], key[far], found[far], ends[far]
+        before = count[at - 1]
+        keep = (tested[at] & (before >= MIN_CONTEXT) & (here >= 1)) | (context & ((before >= MIN_CONTEXT) | ~self.asked[at - 1]))
         at, key = at[keep], key[keep]
-        with np.errstate(over="ignore"):
-            return at, mix64(key + mix64(self.token[at - depth] + np.uint64(depth)) * np.uint64(2 * depth + 1))
+        self.asked = np.zeros(len(self.code), bool)
+        self.asked[at] = True
+        return at, self.extend(depth + 1, at, key)
 
-    def ask(self, depth: int) -> tuple[np.ndarray, np.ndarray]:
-        """Distinct wanted keys, sorted, and their training counts in this block."""
-        at, key = self.wanted(depth)
-        keys, inverse = numbered(key)
-        return keys, np.bincount(inverse, self.train[at], len(keys)).astype(np.int64)
-
-    def learn(self, depth: int, totals: np.ndarray) -> None:
-        self.at, self.key = self.wanted(depth)
-        _, inverse = numbered(self.key)
-        count = np.zeros(len(self.token), np.int64)
-        count[self.at] = totals[inverse]
-        self.asked = np.zeros(len(self.token), bool)
-        self.asked[self.at] = True
-        often = totals >= MIN_CONTEXT
-        run = often[inverse]
-        self.count.append(count)
-        self.slot.append((self.at[run], (np.cumsum(often) - 1)[inverse[run]]))
-        self.frequent.append(int(often.sum()))
-        if depth > 3:
-            self.count[depth - 3] = None
-        if depth > 1:
-            self.slot[depth - 2] = None
-
-    def learn_words(self, known: dict) -> None:
-        self.base = (self.count[0] + BASE) / (known["N"] + BASE * (known["V"] + 1))
-        self.p = self.base.copy()
-
-    def contexts(self, depth: int) -> tuple[np.ndarray, np.ndarray]:
-        """Tokens whose context is tested, and its number among the frequent keys."""
-        ends, number = self.slot[depth - 1]
-        inner = self.token[ends] != END
-        at, number = ends[inner] + 1, number[inner]
-        return at[self.live[at]], number[self.live[at]]
-
-    def passed_over(self, depth: int, at: np.ndarray) -> np.ndarray:
-        """How many contexts in a row, this one the last, are passed over; 0 if this one is not."""
-        if depth == 1:
-            return np.zeros(len(at), np.int8)
-        like_suffix = APART * self.count[depth - 1][at - 1] > (APART - 1) * self.count[depth - 2][at - 1]
-        return np.where(like_suffix, self.passed[at] + 1, 0).astype(np.int8)
-
-    def within(self, depth: int, at: np.ndarray, own=0) -> np.ndarray:
-        """Probabilities of tokens in their context of ``depth`` tokens; ``own`` is taken out of its counts."""
-        with_context = np.maximum(self.count[depth][at] - own, 0)
-        return (with_context + MASS * self.p[at]) / (np.maximum(self.count[depth - 1][at - 1] - own, 0) + MASS)
-
-    def ask_gain(self, depth: int) -> np.ndarray:
+    # -- contexts
+    def within(self, own=0) -> np.ndarray:
+        """Probabilities of tokens in the contexts under test; ``own`` is taken out of its counts."""
+        return (np.maximum(self.count - own, 0) + MASS * self.p) / (np.maximum(self.total[self.number] - own, 0) + MASS)
+
+    def ask_gain(self) -> np.ndarray:
         """Per frequent key, as a context: the log-ratio its training tokens here gain by it, and
         the room they leave to longer ones with it retained and with it not."""
-        at, number = self.contexts(depth)
-        train, follows = self.train[at], np.maximum(self.count[depth][at], 1)
+        train, follows = self.learner[self.text[self.at]], np.maximum(self.count, 1)
         least = np.maximum(follows, MIN_CONTEXT) - 1 + MASS
-        total = lambda x: np.bincount(number, x * train, self.frequent[depth - 1]) * SCALE  # noqa: E731 (by the train of the moment)
-        room = lambda p: np.ceil(total(np.maximum(np.log((follows - 1 + MASS * p) / (least * p)), 0)))
-        passed = self.passed_over(depth, at)
-        train = np.where(passed == 0, self.train[at], 0)
-        gain = np.rint(total(np.log(self.within(depth, at, train) / self.p[at])))
-        train = np.where(passed < PASSED, self.train[at], 0)
-        return np.stack((gain, room(self.within(depth, at)), room(self.p[at]))).astype(np.int64)
-
-    def learn_gain(self, depth: int, verdict: np.ndarray) -> None:
-        """``verdict``: per frequent key RETAINED, LIVE, both or none."""
-        at, number = self.contexts(depth)
-        self.passed[at] = self.passed_over(depth, at)
-        node = at[verdict[number] & RETAINED > 0]
-        self.p[node] = self.within(depth, node)
-        self.inside[node] = True
-        self.live = np.zeros(len(self.token), bool)
-        self.live[at[verdict[number] & LIVE > 0]] = True
-
-    def per_text(self, values: np.ndarray) -> np.ndarray:
-        total = np.concatenate(([0.0], np.cumsum(values)))
-        return total[self.end] - total[self.end - self.size]
+        total = lambda x, train: np.bincount(self.number, x * train, len(self.total)) * SCALE
+        open_train = np.where(self.passed < PASSED, train, 0)
+        room = lambda p: np.ceil(total(np.maximum(np.log((follows - 1 + MASS * p) / (least * p)), 0), open_train))
+        train = np.where(self.passed == 0, train, 0)
+        gain = np.rint(total(np.log(self.within(train) / self.p), train))
+        return np.stack((gain, room(self.within()), room(self.p))).astype(np.int64)
+
+    def learn_gain(self, verdict: np.ndarray) -> None:
+        """``verdict``: per frequent key RETAINED, LIVE, both or none. The contexts of one more token
+        are under test from now on, where frequent and live."""
+        sent = verdict[self.number]
+        node = sent & RETAINED > 0
+        better = np.where(node, self.within(), self.p)
+        self.score = self.score + self.per_text(self.at[node], np.log10(better[node]) - np.log10(self.p[node]))
+        self.n_inside = self.n_inside + self.per_text(self.at[node & ~self.inside], 1).astype(np.int64)
+        self.p, self.inside = better, self.inside | node
+        self.next_contexts(sent & LIVE > 0)
+
+    def next_contexts(self, live: np.ndarray) -> None:
+        keep = self.longer & live
+        number = self.longer_number[keep[self.longer]]
+        like_suffix = APART * self.longer_total[number] > (APART - 1) * self.total[self.number[keep]]
+        self.passed = np.where(like_suffix, self.passed[keep] + 1, 0).astype(np.int8)
+        self.at, self.p, self.inside, self.words = self.at[keep], self.p[keep], self.inside[keep], self.words[:0]
+        self.number, self.total = number, self.longer_total
+
+    def per_text(self, at: np.ndarray | slice, values) -> np.ndarray:
+        text = self.text[at]
+        return np.bincount(text, np.broadcast_to(values, len(text)), len(self.size))
 
 
 # -- rounds -------------------------------------------------------------------
-REPLY = "block long, name string, bucket int, totals binary, numbers binary"
+STATE = "state"
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"     # a round's shuffle files go when its replies are written
+ROUND = "block long, kind string, bucket int, state array<binary>, keys binary, amounts binary, totals binary, numbers binary"
 
 
-def restored(texts: pa.Table, replies: pa.Table, rounds: list[tuple[str, int]], known: dict) -> Block:
-    """The block with the totals of the rounds so far."""
+def restored(texts: pa.Table, last: pa.Table, rounds: list[tuple[str, int]], known: dict, final: bool = False) -> tuple[Block, tuple | None]:
+    """The block with what the rounds so far brought, and the runs to ask for next."""
     code, table, size, train = (unpack(texts.column(c)[0].as_py(), kind)
                                 for c, kind in (("codes", np.int32), ("words", np.uint64), ("sizes", np.int64), ("train", np.int64)))
-    block = Block(table[code], size, train)
-    got: dict[str, list] = {}
-    for name, *reply in zip(*(replies.column(c).to_pylist() for c in ("name", "bucket", "totals", "numbers"))):
-        got.setdefault(name, []).append(reply)
-    for kind, depth in rounds:
-        answers = sorted(got.get(f"{kind}{depth}", []))
-        totals = [unpack(t, np.uint8 if kind == GAIN else np.int64) for _, t, _ in answers]
-        if kind == GAIN:
-            block.learn_gain(depth, np.concatenate([np.zeros(0, np.uint8), *totals]))
-        else:
-            block.learn(depth, np.concatenate([np.zeros(0, np.int64), *totals]))
-            if kind == WORDS:
-                block.learn_words(known)
-            block.numbers.append([(bucket, n) for bucket, _, n in answers])
-    return block
+    block, got = Block(code, table, size, train), {}
+    for kind, bucket, totals, numbers, state in zip(*(last.column(c).to_pylist() for c in ("kind", "bucket", "totals", "numbers", "state"))):
+        got.setdefault(kind, []).append((bucket, totals, numbers))
+        if kind == STATE:
+            block.restore(state, known)
+    if not rounds:
+        return block, None
+    depth = rounds[-1][1]
+    gains, answers = sorted(got.get(GAIN, [])), sorted(got.get(NEXT, []))
+    if depth >= 2:
+        block.learn_gain(np.concatenate([np.zeros(0, np.uint8), *(unpack(t, np.uint8) for _, t, _ in gains)]))
+    if final and depth:
+        return block, None
+    totals = np.concatenate([np.zeros(0, np.int64), *(unpack(t, np.int64) for _, t, _ in answers)])
+    return block, block.learn(depth, totals, [(bucket, n) for bucket, _, n in answers], known)
 
 
 class Tables:
-    """The blocks and the replies to them, in two tables bucketed by block below the shared
-    folder; no round shuffles either."""
+    """The blocks, and a table for each round with the blocks' state, what they ask and the replies,
+    all bucketed by block; blocks and state are never shuffled. They are the tables of a database
+    below the shared folder; a round's goes when the next one's is written."""
 
     def __init__(self, docs: DataFrame, block_bytes: int):
-        self.spark, name = docs.sparkSession, uuid.uuid4().hex
-        self.blocks_name, self.replies_name = f"starforge_blocks_{name}", f"starforge_replies_{name}"
+        self.spark, self.database, self.n_rounds = docs.sparkSession, f"starforge_suffix_tree_{uuid.uuid4().hex}", 0
+        self.spark.sql(f"CREATE DATABASE {self.database} LOCATION '{scratch_path(self.spark, self.database)}'")
         rows = docs.select("doc_id", (crc_column() % 10 != 0).cast("long").alias("train"), F.col("text").cast("string").alias("text"))
         self.buckets = min(MAX_TABLE_BUCKETS, max(shuffle_partitions(self.spark), 2 * rows.rdd.getNumPartitions()))
         kind = rows.schema["doc_id"].dataType.simpleString()
-        self._add(rows.mapInArrow(self._cut(block_bytes), f"block long, doc_ids array<{kind}>, train binary, sizes binary, codes binary, words binary"),
-                  self.blocks_name)
-        self._add(self.spark.createDataFrame([], REPLY), self.replies_name)
+        self._write(rows.mapInArrow(self._cut(block_bytes), f"block long, doc_ids array<{kind}>, train binary, sizes binary, codes binary, words binary"),
+                    "blocks")
+        self._write(self.spark.createDataFrame([], ROUND), "round0")
 
-    def _add(self, df: DataFrame, name: str) -> None:
-        if not self.spark.catalog.tableExists(name):
-            df.write.bucketBy(self.buckets, "block").option("path", scratch_path(self.spark, name)).saveAsTable(name)
-        else:
-            df.repartition(self.buckets, "block").write.bucketBy(self.buckets, "block").mode("append").saveAsTable(name)
+    def _write(self, df: DataFrame, name: str, mode: str = "error") -> None:
+        df.write.bucketBy(self.buckets, "block").mode(mode).saveAsTable(f"{self.database}.{name}")
 
     @staticmethod
     def _cut(block_bytes: int):
@@ -285,11 +361,11 @@ class Tables:
                     ["block", "doc_ids", "train", "sizes", "codes", "words"])
 
             for batch in split_batches(batches):
-                n = int(pa.compute.sum(pa.compute.binary_length(batch.column("text"))).as_py() or 0)
+                n = int(pc.sum(pc.binary_length(batch.column("text"))).as_py() or 0)
                 if held and held + n > block_bytes:
                     yield row()
                     block, ids, train, sizes, parts, held = block + 1, [], [], [], [], 0
-                token, size = tokens(raw(batch))
+                token, size = tokens(batch.column("text"))
                 ids.append(batch.column("doc_id"))
                 train.append(batch.column("train").to_numpy())
                 sizes.append(size)
@@ -302,47 +378,72 @@ class Tables:
 
     @property
     def blocks(self) -> DataFrame:
-        return self.spark.table(self.blocks_name)
+        return self.spark.table(f"{self.database}.blocks")
 
-    def reply(self, got: DataFrame) -> None:
-        self._add(got, self.replies_name)
+    @property
+    def last(self) -> DataFrame:
+        return self.spark.table(f"{self.database}.round{self.n_rounds}")
+
+    def ask(self, got: DataFrame) -> DataFrame:
+        """Keeps a round's states and questions, and returns the questions."""
+        self._write(got, f"round{self.n_rounds + 1}")
+        self.spark.sql(f"DROP TABLE {self.database}.round{self.n_rounds}")
+        self.n_rounds += 1
+        return self.last.filter("keys is not null").select("block", "kind", "bucket", "keys", "amounts")
+
+    def reply(self, got: DataFrame) -> Iterator:
+        """Adds the answers to the round, and returns their sums."""
+        empty = [F.lit(None).cast(t).alias(c) for c, t in (("state", "array<binary>"), ("keys", "binary"), ("amounts", "binary"))]
+        rows = got.select("block", "kind", "bucket", *empty, "totals", "numbers")
+        conf, before = self.spark.conf, self.spark.conf.get(CLEANUP, "false")
+        conf.set(CLEANUP, "true")
+        try:
+            self._write(rows.repartition(self.buckets, "block"), f"round{self.n_rounds}", "append")
+        finally:
+            conf.set(CLEANUP, before)
+        return self.last.filter("block = -1").select("kind", "totals").toLocalIterator()
 
     def cogrouped(self):
-        """Each block beside its replies."""
-        return self.blocks.groupBy("block").cogroup(self.spark.table(self.replies_name).groupBy("block"))
+        """Each block beside its state and the replies to it."""
+        last = self.last.filter("keys is null and block <> -1").select("block", "kind", "bucket", "state", "totals", "numbers")
+        return self.blocks.groupBy("block").cogroup(last.groupBy("block"))
 
     def drop(self) -> None:
-        for name in (self.blocks_name, self.replies_name):
-            self.spark.sql(f"DROP TABLE {name}")
+        self.spark.sql(f"DROP DATABASE {self.database} CASCADE")
 
 
 def ask(tables: Tables, rounds: list[tuple[str, int]], known: dict, kind: str, depth: int, buckets: int) -> DataFrame:
-    """(bucket, block, keys, amounts): what every block wants to know in a round."""
-
-    def run(texts: pa.Table, answered: pa.Table) -> pa.Table:
-        block = restored(texts, answered, rounds, known)
-        if kind == GAIN:
-            gains, at, rows = block.ask_gain(depth), 0, []
-            for bucket, numbers in block.numbers[depth - 1]:
+    """The rows of a round: every block's state, and what it wants to know: counts of runs of
+    ``depth`` and the gains of the contexts of one token less."""
+
+    def run(texts: pa.Table, last: pa.Table) -> pa.Table:
+        block, wanted = restored(texts, last, rounds, known)
+        keys, counts = block.ask(*wanted) if wanted else block.ask_words()
+        edge = bucket_edges(keys, buckets).tolist()
+        rows = [(NEXT, k, pack(steps(keys[a:b])), pack(counts[a:b])) for k, (a, b) in enumerate(zip(edge[:-1], edge[1:])) if b > a]
+        if depth > 1:
+            gains, a = block.ask_gain(), 0
+            for bucket, numbers in block.under_test:
                 n = len(unpack(numbers, np.int64))
                 if n:
-                    rows.append((bucket, numbers, pack(gains[:, at:at + n].ravel())))
-                at += n
-        else:
-            keys, counts = block.ask(depth)
-            edge = bucket_edges(keys, buckets).tolist()
-            rows = [(k, pack(steps(keys[a:b])), pack(counts[a:b])) for k, (a, b) in enumerate(zip(edge[:-1], edge[1:])) if b > a]
-        return pa.table({"bucket": pa.array([x[0] for x in rows], pa.int32()), "block": pa.array([texts.column("block")[0].as_py()] * len(rows), pa.int64()),
-                         "keys": pa.array([x[1] for x in rows], pa.binary()), "amounts": pa.array([x[2] for x in rows], pa.binary())})
+                    rows.append((GAIN, bucket, numbers, pack(gains[:, a:a + n].ravel())))
+                a += n
+        name = texts.column("block")[0].as_py()
+        return pa.Table.from_pylist([{"block": name, "kind": STATE, "state": block.state()}] + [
+            {"block": name, "kind": kind, "bucket": bucket, "keys": k, "amounts": v} for kind, bucket, k, v in rows], schema)
 
-    return tables.cogrouped().applyInArrow(run, "bucket int, block long, keys binary, amounts binary")
+    binary = pa.binary()
+    schema = pa.schema([("block", pa.int64()), ("kind", pa.string()), ("bucket", pa.int32()), ("state", pa.list_(binary)), ("keys", binary),
+                        ("amounts", binary), ("totals", binary), ("numbers", binary)])
+    return tables.cogrouped().applyInArrow(lean_pair(run), ROUND)
 
 
-def answer(asked: DataFrame, kind: str, depth: int) -> DataFrame:
-    """REPLY rows, and the bucket's number of keys with a positive total, sum of totals and number
+def answer(asked: DataFrame) -> DataFrame:
+    """Replies, and the bucket's number of keys with a positive total, sum of totals and number
     of frequent keys or live contexts (block -1, as an array of three longs)."""
 
     def run(table: pa.Table) -> pa.Table:
+        kind = table.column("kind")[0].as_py()
         keys = [np.cumsum(unpack(k, np.int64 if kind == GAIN else np.uint64)) for k in table.column("keys").to_pylist()]
         amounts = np.concatenate([unpack(v, np.int64).reshape(3 if kind == GAIN else 1, -1) for v in table.column("amounts").to_pylist()], axis=1)
         flat = np.concatenate(keys)
@@ -362,11 +463,11 @@ def answer(asked: DataFrame, kind: str, depth: int) -> DataFrame:
         total = np.array([(totals > 0).sum(), totals.sum(), often.sum()], np.int64)
         bucket = table.column("bucket")[0].as_py()
         return pa.table({"block": pa.array([*table.column("block").to_pylist(), -1], pa.int64()),
-                         "name": pa.array([f"{kind}{depth}"] * (len(parts) + 1)), "bucket": pa.array([bucket] * (len(parts) + 1), pa.int32()),
+                         "kind": pa.array([kind] * (len(parts) + 1)), "bucket": pa.array([bucket] * (len(parts) + 1), pa.int32()),
                          "totals": pa.array([*(pack(sent[n]) for n in parts), total.tobytes()], pa.binary()),
                          "numbers": pa.array([*numbers, b""], pa.binary())})
 
-    return asked.groupBy("bucket").applyInArrow(run, REPLY)
+    return asked.groupBy("kind", "bucket").applyInArrow(lean(run), "block long, kind string, bucket int, totals binary, numbers binary")
 
 
 def score(docs: DataFrame, max_depth: float = math.inf, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -379,34 +480,33 @@ def score(docs: DataFrame, max_depth: float = math.inf, block_bytes: int = BLOCK
     rounds: list[tuple[str, int]] = []
     known = {"N": 0, "V": 0}
 
-    def ask_all(kind: str, depth: int) -> list[int]:
-        """One round; three sums per bucket come back."""
-        got = materialize(answer(ask(tables, rounds, known, kind, depth, buckets), kind, depth), f"{kind}{depth}")
-        sums = [np.frombuffer(r["totals"], np.int64) for r in got.filter("block = -1").select("totals").toLocalIterator()]
-        tables.reply(got.filter("block <> -1"))
-        rounds.append((kind, depth))
-        return np.sum([np.zeros(3, np.int64), *sums], axis=0).tolist()
-
-    known["V"], known["N"], frequent = ask_all(WORDS, 0)
-    depth, live = 0, 1
-    while frequent and live and depth < max_depth:
+    def ask_all(depth: int) -> tuple[list[int], int]:
+        """One round: the three sums of the runs of ``depth``, and how many contexts of one token less are live."""
+        asked = tables.ask(ask(tables, rounds, known, NEXT, depth, buckets))
+        sums = {NEXT: np.zeros(3, np.int64), GAIN: np.zeros(3, np.int64)}
+        for r in tables.reply(answer(asked)):
+            sums[r["kind"]] += np.frombuffer(r["totals"], np.int64)
+        rounds.append((NEXT, depth))
+        return sums[NEXT].tolist(), int(sums[GAIN][2]) if depth > 1 else 1
+
+    (known["V"], known["N"], first), live = ask_all(0)
+    depth, frequent = 0, [first]
+    while frequent[-2:][0] and live and max(depth, 1) <= max_depth:
         depth += 1
-        frequent = ask_all(NEXT, depth)[2]
-        live = ask_all(GAIN, depth)[2]
+        sums, live = ask_all(depth)
+        frequent.append(sums[2])
 
-    def run(texts: pa.Table, answered: pa.Table) -> pa.Table:
-        block = restored(texts, answered, rounds, known)
-        train = unpack(texts.column("train")[0].as_py(), np.int64)
+    def run(texts: pa.Table, last: pa.Table) -> pa.Table:
+        block, _ = restored(texts, last, rounds, known, final=True)
         return pa.table({
-            "doc_id": texts.column("doc_ids").combine_chunks().flatten(), "held_out": pa.array(train == 0),
-            "n_tokens": pa.array(block.size), "n_known": pa.array(block.per_text(block.count[0] > 0).astype(np.int64)),
+            "doc_id": texts.column("doc_ids").combine_chunks().flatten(), "held_out": pa.array(block.learner == 0),
+            "n_tokens": pa.array(block.size), "n_known": pa.array(block.n_known),
             "train_tokens": pa.array(np.full(len(block.size), known["N"], np.int64)),
-            "base_score": pa.array(block.per_text(np.log10(block.base))), "score": pa.array(block.per_text(np.log10(block.p))),
-            "n_in_context": pa.array(block.per_text(block.inside).astype(np.int64))})
+            "base_score": pa.array(block.base), "score": pa.array(block.score), "n_in_context": pa.array(block.n_inside)})
 
     scored = materialize(
         tables.cogrouped().applyInArrow(
-            run, f"doc_id {kind_of_id}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, n_in_context long"),
+            lean_pair(run), f"doc_id {kind_of_id}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, n_in_context long"),
         "scored")
     tables.drop()
     return scored

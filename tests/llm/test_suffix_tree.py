@@ -120,3 +120,28 @@ def test_long_passage_ends_soon(spark, docs_of, monkeypatch):
     assert max(depths) <= 10
     for g, w in zip(got, sorted(brute(rows, 16)[1], key=str), strict=True):
         assert g[:5] == w[:5] and g[6] == pytest.approx(w[6], rel=1e-9)
+
+
+def test_one_round_a_depth(spark, docs_of, odd_rows, monkeypatch):
+    """Every depth costs one round, and a round's state is no more than what is still open."""
+    asked, sizes = [], {}
+    ask, reply = S.ask, S.Tables.reply
+
+    def kept(tables, got):
+        out = reply(tables, got)
+        sizes[tables.n_rounds] = sum(len(x) for r in tables.last.filter("kind = 'state'").select("state").collect() for x in r["state"])
+        return out
+
+    monkeypatch.setattr(S, "ask", lambda tables, rounds, known, kind, depth, buckets: asked.append(depth) or ask(tables, rounds, known, kind, depth, buckets))
+    monkeypatch.setattr(S.Tables, "reply", kept)
+    S.score(docs_of(varied(5) + odd_rows), block_bytes=1 << 30)
+    assert asked == list(range(len(asked))) and len(asked) > 5
+    assert sizes[len(sizes)] < max(sizes.values()) / 2
+    assert not [r for r in spark.sql("SHOW DATABASES").collect() if r[0].startswith("starforge_")]
+
+
+def test_numbered_like_a_dictionary():
+    for n in (0, 1, 1000):
+        keys = np.random.default_rng(n).integers(0, 300, n).astype(np.uint64) << np.uint64(55)
+        distinct, number = S.numbered(keys)
+        assert distinct.tolist() == sorted(set(keys.tolist())) and (distinct[number] == keys).all()
