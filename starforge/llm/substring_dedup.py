@@ -72,7 +72,7 @@ def sliding_min(a: np.ndarray, width: int) -> np.ndarray:
 
 def word_hashes(words: list[bytes] | pa.Array, seed: int = 0) -> np.ndarray:
     code = (words if isinstance(words, pa.Array) else pa.array(words, pa.binary())).dictionary_encode()
-    table = np.array([xxhash.xxh3_64_intdigest(w, seed) for w in code.dictionary.to_pylist()], np.uint64)
+    table = np.array([xxhash.xxh3_64_intdigest(w, seed) for w in code.dictionary.to_numpy(zero_copy_only=False)], np.uint64)
     return table[code.indices.to_numpy()] if len(words) else np.zeros(0, np.uint64)
 
 

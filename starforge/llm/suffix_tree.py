@@ -51,7 +51,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starforge.llm.common import crc_column, lean, lean_pair, materialize, mix64, read_table, scratch_path, split_batches
+from starforge.llm.common import crc_column, lean, lean_pair, materialize, mix64, read_table, released, scratch_path, split_batches
 from starforge.llm.substring_dedup import word_hashes
 from starforge.session import shuffle_partitions
 
@@ -63,6 +63,7 @@ PASSED = 3
 SCALE = 1024
 BASE = 0.1                  # added to every unigram count
 BLOCK_BYTES = 15 << 20
+PIECE = 1 << 18             # tokens whose logarithms are taken at once
 MAX_TABLE_BUCKETS = 50_000
 END = np.uint64(0x5EED0F0E2D000001)
 NEXT, GAIN = "next", "gain"
@@ -258,31 +259,36 @@ class Block:
         return at, self.extend(depth + 1, at, key)
 
     # -- contexts
-    def within(self, own=0) -> np.ndarray:
+    def within(self, part, own=0) -> np.ndarray:
         """Probabilities of tokens in the contexts under test; ``own`` is taken out of its counts."""
-        return (np.maximum(self.count - own, 0) + MASS * self.p) / (np.maximum(self.total[self.number] - own, 0) + MASS)
+        return (np.maximum(self.count[part] - own, 0) + MASS * self.p[part]) / (np.maximum(self.total[self.number[part]] - own, 0) + MASS)
 
     def ask_gain(self) -> np.ndarray:
         """Per frequent key, as a context: the log-ratio its training tokens here gain by it, and
         the room they leave to longer ones with it retained and with it not."""
-        train, follows = self.learner[self.text[self.at]], np.maximum(self.count, 1)
-        least = np.maximum(follows, MIN_CONTEXT) - 1 + MASS
-        total = lambda x, train: np.bincount(self.number, x * train, len(self.total)) * SCALE
-        open_train = np.where(self.passed < PASSED, train, 0)
-        room = lambda p: np.ceil(total(np.maximum(np.log((follows - 1 + MASS * p) / (least * p)), 0), open_train))
-        train = np.where(self.passed == 0, train, 0)
-        gain = np.rint(total(np.log(self.within(train) / self.p), train))
-        return np.stack((gain, room(self.within()), room(self.p))).astype(np.int64)
+        sums = np.zeros((3, len(self.total)))
+        for begin in range(0, len(self.at), PIECE):
+            part = slice(begin, begin + PIECE)
+            number, p, passed = self.number[part], self.p[part], self.passed[part]
+            train, follows = self.learner[self.text[self.at[part]]], np.maximum(self.count[part], 1)
+            least = np.maximum(follows, MIN_CONTEXT) - 1 + MASS
+            tested, still_open = np.where(passed == 0, train, 0), np.where(passed < PASSED, train, 0)
+            gain = np.log(self.within(part, tested) / p) * tested
+            rooms = [np.maximum(np.log((follows - 1 + MASS * x) / (least * x)), 0) * still_open for x in (self.within(part), p)]
+            for total, x in zip(sums, (gain, *rooms)):
+                total += np.bincount(number, x, len(total))
+        gain, *rooms = sums * SCALE
+        return np.stack((np.rint(gain), *map(np.ceil, rooms))).astype(np.int64)
 
     def learn_gain(self, verdict: np.ndarray) -> None:
         """``verdict``: per frequent key RETAINED, LIVE, both or none. The contexts of one more token
         are under test from now on, where frequent and live."""
         sent = verdict[self.number]
-        node = sent & RETAINED > 0
-        better = np.where(node, self.within(), self.p)
-        self.score = self.score + self.per_text(self.at[node], np.log10(better[node]) - np.log10(self.p[node]))
-        self.n_inside = self.n_inside + self.per_text(self.at[node & ~self.inside], 1).astype(np.int64)
-        self.p, self.inside = better, self.inside | node
+        node = np.flatnonzero(sent & RETAINED)
+        better = self.within(node)
+        self.score = self.score + self.per_text(self.at[node], np.log10(better) - np.log10(self.p[node]))
+        self.n_inside = self.n_inside + self.per_text(self.at[node[~self.inside[node]]], 1).astype(np.int64)
+        self.p[node], self.inside[node] = better, True
         self.next_contexts(sent & LIVE > 0)
 
     def next_contexts(self, live: np.ndarray) -> None:
@@ -300,7 +306,6 @@ class Block:
 
 # -- rounds -------------------------------------------------------------------
 STATE = "state"
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"     # a round's shuffle files go when its replies are written
 ROUND = "block long, kind string, bucket int, state array<binary>, keys binary, amounts binary, totals binary, numbers binary"
 
 
@@ -336,7 +341,7 @@ class Tables:
         rows = docs.select("doc_id", (crc_column() % 10 != 0).cast("long").alias("train"), F.col("text").cast("string").alias("text"))
         self.buckets = min(MAX_TABLE_BUCKETS, max(shuffle_partitions(self.spark), 2 * rows.rdd.getNumPartitions()))
         kind = rows.schema["doc_id"].dataType.simpleString()
-        self._write(rows.mapInArrow(self._cut(block_bytes), f"block long, doc_ids array<{kind}>, train binary, sizes binary, codes binary, words binary"),
+        self._write(rows.mapInArrow(released(self._cut(block_bytes)), f"block long, doc_ids array<{kind}>, train binary, sizes binary, codes binary, words binary"),
                     "blocks")
         self._write(self.spark.createDataFrame([], ROUND), "round0")
 
@@ -395,12 +400,7 @@ class Tables:
         """Adds the answers to the round, and returns their sums."""
         empty = [F.lit(None).cast(t).alias(c) for c, t in (("state", "array<binary>"), ("keys", "binary"), ("amounts", "binary"))]
         rows = got.select("block", "kind", "bucket", *empty, "totals", "numbers")
-        conf, before = self.spark.conf, self.spark.conf.get(CLEANUP, "false")
-        conf.set(CLEANUP, "true")
-        try:
-            self._write(rows.repartition(self.buckets, "block"), f"round{self.n_rounds}", "append")
-        finally:
-            conf.set(CLEANUP, before)
+        self._write(rows.repartition(self.buckets, "block"), f"round{self.n_rounds}", "append")
         return self.last.filter("block = -1").select("kind", "totals").toLocalIterator()
 
     def cogrouped(self):
