@@ -163,3 +163,34 @@ def test_lattice_shuffles_the_finest_groups_once(spark, tmpdir_path):
     assert plan.count("FileScan parquet") == 1 and "ReusedExchange" in plan
     want = cube.lattice(fact, ["a_key", "b_key"], "d_key", ["v"]).select(got.columns).collect()
     assert sorted(map(str, rows)) == sorted(map(str, want))
+
+
+def test_lattice_query_has_the_orders_of_the_line_items(spark, tmpdir_path):
+    import datetime as dt
+    from collections import defaultdict
+
+    from starforge.plans.registry import QUERIES
+    day = lambda m: dt.datetime(2026, m, 5)
+    lines = [(10, 1, 4, 1, 2.0, day(1)), (10, 2, 4, 2, 3.0, day(1)), (10, 1, 5, 3, 4.0, day(2)), (7, 2, 5, 1, 5.0, day(2)),
+             (None, 1, 4, 1, 6.0, day(1)), (99, 1, 4, 1, 7.0, None), (30, None, 8, 2, 8.0, day(3))]
+    spark.createDataFrame([(o, p, s, n, q, q * 10, 0.5, None, "N", "O", t) for o, p, s, n, q, t in lines],
+                          "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, "
+                          "l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp").write.parquet(tmpdir_path + "/lineitem.parquet")
+    orders = [(30, 1), (10, 1), (10, 1), (7, 2), (None, 2)]       # 10 twice; keys by id, NULL first: None 1, 7 2, 10 3, 30 4; 99 is no order
+    spark.createDataFrame([(o, c, "O", 1.0, day(1), "1-URGENT") for o, c in orders],
+                          "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp, o_orderpriority string").write.parquet(tmpdir_path + "/orders.parquet")
+    spark.createDataFrame([(1, "a"), (2, "b")], "p_partkey long, p_name string").write.parquet(tmpdir_path + "/part.parquet")
+    spark.createDataFrame([(4, "a"), (5, "b")], "s_suppkey long, s_name string").write.parquet(tmpdir_path + "/supplier.parquet")
+    keys = {"orders_key": (0, {None: 1, 7: 2, 10: 3, 30: 4}), "part_key": (1, {1: 1, 2: 2}), "supplier_key": (2, {4: 1, 5: 2})}
+    want = defaultdict(list)
+    for x in lines:
+        month = (x[5].year, x[5].month) if x[5] else (None, None)
+        want[("apex", None, None, None, None, None)].append(x[4])
+        want[("by_month", *month, None, None, None)].append(x[4])
+        for k, (at, ids) in keys.items():
+            own = [ids.get(x[at]) if name == k else None for name in sorted(keys)]
+            want[(f"by_{k}", None, None, *own)].append(x[4])
+            want[(f"by_month_{k}", *month, *own)].append(x[4])
+    got = QUERIES["cuboid_lattice"](spark, tmpdir_path).collect()
+    assert {(r["cuboid"], r["year"], r["month"], *[r[k] for k in sorted(keys)]): (r["l_quantity_sum"], r["l_quantity_count"], r["l_tax_count"]) for r in got} \
+        == {k: (sum(v), len(v), 0) for k, v in want.items()} and len(got) == len(want)
